@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType
+from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
 
 def is_ntz(df: DataFrame, column: str) -> bool:
@@ -33,3 +35,35 @@ def epoch_micros(c: Column) -> Column:
 def day_number(c: Column) -> Column:
     """Days since 1970-01-01 of a DATE (the ordering key of calendar frames)."""
     return F.unix_date(c)
+
+
+def utc_naive(ts: _dt.datetime) -> _dt.datetime:
+    if ts.tzinfo is not None:
+        ts = ts.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return ts
+
+
+def ts_lit(ts: _dt.datetime | _dt.date, like: DataType | None = None) -> Column:
+    """A timestamp literal in UTC of the same type as ``like`` (LTZ default).
+
+    Built from text so the Python process' local zone never matters.
+    """
+    if isinstance(ts, _dt.datetime):
+        text = utc_naive(ts).strftime("%Y-%m-%d %H:%M:%S.%f")
+    else:
+        text = ts.strftime("%Y-%m-%d 00:00:00")
+    target = "timestamp_ntz" if isinstance(like, TimestampNTZType) else "timestamp"
+    if like is not None and not isinstance(like, (TimestampNTZType, TimestampType)):
+        target = like.simpleString()
+    return F.lit(text).cast(target)
+
+
+def period_bounds(as_of: _dt.datetime) -> dict[str, _dt.datetime]:
+    """UTC day and month of ``as_of`` as half-open [start, end) bounds."""
+    t = utc_naive(as_of)
+    day = t.replace(hour=0, minute=0, second=0, microsecond=0)
+    month = day.replace(day=1)
+    nxt = (month.replace(year=month.year + 1, month=1) if month.month == 12
+           else month.replace(month=month.month + 1))
+    return {"day_start": day, "day_end": day + _dt.timedelta(days=1),
+            "month_start": month, "month_end": nxt}

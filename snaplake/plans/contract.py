@@ -24,6 +24,16 @@ from pyspark.sql import functions as F
 from snaplake.functions.casts import lenient_int
 from snaplake.functions.json import json_string_field
 from snaplake.functions.time import trunc_like
+from snaplake.operators.bronze import classify_responses, skip_ingested, to_call_registry
+from snaplake.operators.control import (
+    audit_close,
+    constraint_violations,
+    next_execution,
+    pending_entities,
+    quota_status,
+    rate_status,
+    run_outcome,
+)
 from snaplake.operators.gold import (
     band_days_by_month,
     daily_metrics,
@@ -145,6 +155,150 @@ def q_monthly_correlation_cohort(spark, d):
     return _corr_q(pairs, ["cohort"])
 
 
+# ---------------------------------------------------------------- Bronze
+def _landing(spark, d):
+    """events as landed API responses: purchases/errors carry a success
+    payload (errors with HTTP 500), clicks a 'fail' payload, signups a JSON
+    array, views either an empty object or text that is not JSON; values
+    below 1 are transport errors (no status, no body)."""
+    ev = _events(spark, d)
+    failed = F.col("value") < 1
+    et = F.col("event_type")
+    body = (F.when(failed, F.lit(None).cast("string"))
+             .when(et.isin("purchase", "error"),
+                   F.concat(F.lit('{"status": "success", "data": '), F.col("props"), F.lit("}")))
+             .when(et == "click", F.concat(F.lit('{"status": "fail", "message": '), F.col("props"), F.lit("}")))
+             .when(et == "signup", F.concat(F.lit("["), F.col("props"), F.lit("]")))
+             .when(F.col("value") >= 40, F.lit("{}"))
+             .otherwise(F.concat(F.lit("not json: "), F.col("props"))))
+    return ev.select(
+        F.concat(F.lit("execution_"), F.date_format("ts", "yyyyMMdd")).alias("execution_id"),
+        F.lit("run_contract").alias("pipeline_run_id"),
+        "event_id", "user_id",
+        F.when(failed, F.lit(None)).when(et == "error", F.lit(500)).otherwise(F.lit(200))
+         .cast("int").alias("http_status_code"),
+        body.alias("body"),
+        F.when(failed, F.concat(F.lit("timeout after 10s: event "), F.col("event_id").cast("string")))
+         .alias("transport_error"),
+        F.col("ts").alias("api_call_ts"),
+    )
+
+
+def q_classify_responses(spark, d):
+    return classify_responses(_landing(spark, d)).drop("ingestion_ts")
+
+
+def q_to_call_registry(spark, d):
+    return to_call_registry(classify_responses(_landing(spark, d)), environment="contract", keys=["user_id"])
+
+
+def q_skip_ingested(spark, d):
+    ev = _events(spark, d).withColumn("execution_id", F.to_date("ts").cast("string"))
+    incoming = ev.select("execution_id", "user_id", "event_id", "ts", "event_type",
+                         F.when(F.col("event_type") == "signup", F.lit("SUCCESS"))
+                          .otherwise(F.lit("FAILED")).alias("api_result"))
+    bronze = ev.select("execution_id", "user_id",
+                       F.when(F.col("event_type") == "view", F.lit("SUCCESS"))
+                        .otherwise(F.lit("FAILED")).alias("api_result"))
+    return skip_ingested(incoming, bronze, ["user_id"], "execution_id", order_cols=("ts", "event_id"))
+
+
+# ---------------------------------------------------------------- control plane
+AS_OF = dt.datetime(2024, 1, 15, 12, 0, 0)
+LIMITS = [("max_calls_per_minute", "5"), ("max_calls_per_day", "500"), ("max_calls_per_month", "10000")]
+
+
+def _limits(spark):
+    return spark.createDataFrame(LIMITS, "config_key string, config_value string")
+
+
+def q_pending_entities(spark, d):
+    ents = read_testdata(spark, d, "customer").select(
+        "c_custkey", "c_name", "c_nationkey",
+        F.lit("dev").alias("environment"), F.lit(True).alias("is_active"))
+    registry = read_testdata(spark, d, "orders").select(
+        F.col("o_orderpriority").alias("execution_id"), F.col("o_custkey").alias("c_custkey"))
+    return pending_entities(ents, registry, "dev", "1-URGENT", ["c_custkey"]).drop("environment", "is_active")
+
+
+def q_quota_status(spark, d):
+    reg = _events(spark, d).select(F.col("ts").alias("call_ts"))
+    return quota_status(reg, _limits(spark), AS_OF, requested=1)
+
+
+def q_rate_status(spark, d):
+    reg = _events(spark, d).select(F.col("ts").alias("call_ts"))
+    return rate_status(reg, _limits(spark), AS_OF)
+
+
+def _status_of(order_status, mapping):
+    c = None
+    for k, v in mapping.items():
+        c = F.when(F.col(order_status) == k, F.lit(v)) if c is None else c.when(F.col(order_status) == k, F.lit(v))
+    return c
+
+
+def q_next_execution(spark, d):
+    orders = read_testdata(spark, d, "orders")
+    audit = orders.select(
+        F.col("o_orderkey").alias("audit_id"), F.lit("PIPELINE").alias("record_type"),
+        F.concat(F.lit("order_"), F.col("o_orderkey").cast("string")).alias("execution_id"),
+        F.col("o_orderpriority").alias("environment"),
+        _status_of("o_orderstatus", {"F": "SUCCESS", "O": "STARTED", "P": "FAILED"}).alias("status"),
+        F.col("o_orderdate").alias("start_ts"))
+    envs = orders.select(F.col("o_orderpriority").alias("environment"))
+    return next_execution(audit, envs, AS_OF, tiebreak=("audit_id",))
+
+
+def _audit_rows(orders):
+    pending = F.col("o_orderstatus") == "P"
+    return orders.select(
+        F.col("o_orderkey").alias("audit_id"), F.lit("ACTIVITY").alias("record_type"),
+        F.col("o_orderpriority").alias("execution_id"), F.lit("run").alias("pipeline_run_id"),
+        F.lit("dev").alias("environment"), F.lit("bronze").alias("activity_name"),
+        F.col("o_custkey").cast("string").alias("entity"), F.lit(None).cast("string").alias("state"),
+        F.lit(None).cast("string").alias("country"), F.lit("bronze").alias("layer"),
+        F.when(pending, F.lit("SKIPPED")).otherwise(F.lit("STARTED")).alias("status"),
+        F.col("o_orderdate").alias("start_ts"),
+        F.when(pending, F.col("o_orderdate")).alias("end_ts"),
+        F.lit(None).cast("string").alias("error_message"))
+
+
+def _end_events(orders):
+    price = F.col("o_totalprice")
+    status = (F.when(price > 300000, F.lit("SUCCESS")).when(price > 100000, F.lit("FAILED"))
+               .otherwise(F.lit("DONE")))
+    return orders.filter(F.col("o_orderstatus") == "F").select(
+        F.lit("ACTIVITY").alias("record_type"), F.col("o_orderpriority").alias("execution_id"),
+        F.lit("run").alias("pipeline_run_id"), F.lit("bronze").alias("activity_name"),
+        F.col("o_custkey").cast("string").alias("entity"), F.lit("").alias("state"),
+        F.lit(None).cast("string").alias("country"), status.alias("final_status"),
+        F.when(status == "FAILED", F.concat(F.lit("order "), F.col("o_orderkey").cast("string")))
+         .alias("error_message"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("end_ts"))
+
+
+def q_audit_close(spark, d):
+    orders = read_testdata(spark, d, "orders")
+    closed = audit_close(_audit_rows(orders), _end_events(orders))
+    return closed.select("audit_id", "execution_id", "entity", "status", "start_ts", "end_ts", "error_message")
+
+
+def q_run_outcome(spark, d):
+    orders = read_testdata(spark, d, "orders").select(
+        "o_custkey", _status_of("o_orderstatus", {"F": "FAILED", "O": "SUCCESS", "P": "STARTED"}).alias("status"))
+    return run_outcome(orders, ["o_custkey"])
+
+
+def q_constraint_violations(spark, d):
+    li = read_testdata(spark, d, "lineitem")
+    return constraint_violations(
+        li, ["l_orderkey", "l_linenumber"], not_null=["l_shipdate", "l_partkey"],
+        checks={"quantity_range": F.col("l_quantity").between(1, 50),
+                "tax_not_above_discount": F.col("l_tax") <= F.col("l_discount")},
+        domains={"l_returnflag": ["A", "N", "R"], "l_linestatus": ["O", "F"]})
+
+
 QUERIES = {
     "normalize_json": q_normalize_json,
     "latest_wins": q_latest_wins,
@@ -156,6 +310,16 @@ QUERIES = {
     "nearest_join": q_nearest_join,
     "monthly_correlation": q_monthly_correlation,
     "monthly_correlation_cohort": q_monthly_correlation_cohort,
+    "classify_responses": q_classify_responses,
+    "to_call_registry": q_to_call_registry,
+    "skip_ingested": q_skip_ingested,
+    "pending_entities": q_pending_entities,
+    "quota_status": q_quota_status,
+    "rate_status": q_rate_status,
+    "next_execution": q_next_execution,
+    "audit_close": q_audit_close,
+    "run_outcome": q_run_outcome,
+    "constraint_violations": q_constraint_violations,
 }
 
 # ---------------------------------------------------------------- DuckDB oracle
@@ -248,3 +412,158 @@ ORACLE_SQL = {
     "monthly_correlation": _corr_sql("user_id", "user_id"),
     "monthly_correlation_cohort": _corr_sql("CAST(user_id % 10 AS BIGINT)", "cohort"),
 }
+
+_LANDING_SQL = """
+  SELECT 'execution_' || strftime(ts, '%Y%m%d') AS execution_id, 'run_contract' AS pipeline_run_id,
+    event_id, user_id,
+    CAST(CASE WHEN value < 1 THEN NULL WHEN event_type = 'error' THEN 500 ELSE 200 END AS INTEGER)
+      AS http_status_code,
+    CASE WHEN value < 1 THEN NULL
+         WHEN event_type IN ('purchase', 'error') THEN '{"status": "success", "data": ' || props || '}'
+         WHEN event_type = 'click' THEN '{"status": "fail", "message": ' || props || '}'
+         WHEN event_type = 'signup' THEN '[' || props || ']'
+         WHEN value >= 40 THEN '{}'
+         ELSE 'not json: ' || props END AS body,
+    CASE WHEN value < 1 THEN 'timeout after 10s: event ' || CAST(event_id AS VARCHAR) END AS transport_error,
+    ts AS api_call_ts
+  FROM events"""
+
+_CLASSIFIED_SQL = f"""
+  WITH l AS ({_LANDING_SQL}),
+  s AS (SELECT *, CASE WHEN transport_error IS NOT NULL THEN 'request_failed'
+                       WHEN json_valid(body) AND json_type(body) = 'OBJECT' THEN json_extract_string(body, '$.status')
+                       ELSE 'invalid_json' END AS api_status FROM l),
+  r AS (SELECT *, (transport_error IS NULL AND coalesce(http_status_code = 200, false)
+                   AND coalesce(api_status = 'success', false)) AS ok FROM s)
+  SELECT execution_id, pipeline_run_id, event_id, user_id,
+    CASE WHEN ok THEN 'SUCCESS' ELSE 'FAILED' END AS api_result, http_status_code, api_status, api_call_ts,
+    CASE WHEN transport_error IS NOT NULL THEN NULL ELSE body END AS raw_payload,
+    CASE WHEN transport_error IS NOT NULL THEN transport_error WHEN ok THEN NULL ELSE body END AS error_message
+  FROM r"""
+
+_LIMITS_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in LIMITS) + ") t(config_key, config_value)"
+
+
+def _lim(key):
+    return f"(SELECT max(CASE WHEN config_key = '{key}' THEN TRY_CAST(config_value AS INTEGER) END) FROM lim)"
+
+
+_AUDIT_SQL = """
+  SELECT o_orderkey AS audit_id, 'ACTIVITY' AS record_type, o_orderpriority AS execution_id, 'run' AS pipeline_run_id,
+    'bronze' AS activity_name, CAST(o_custkey AS VARCHAR) AS entity, CAST(NULL AS VARCHAR) AS state,
+    CAST(NULL AS VARCHAR) AS country,
+    CASE WHEN o_orderstatus = 'P' THEN 'SKIPPED' ELSE 'STARTED' END AS status, o_orderdate AS start_ts,
+    CASE WHEN o_orderstatus = 'P' THEN o_orderdate END AS end_ts, CAST(NULL AS VARCHAR) AS error_message
+  FROM orders"""
+
+_ENDS_SQL = """
+  SELECT 'ACTIVITY' AS record_type, o_orderpriority AS execution_id, 'run' AS pipeline_run_id,
+    'bronze' AS activity_name, CAST(o_custkey AS VARCHAR) AS entity, '' AS state, CAST(NULL AS VARCHAR) AS country,
+    CASE WHEN o_totalprice > 300000 THEN 'SUCCESS' WHEN o_totalprice > 100000 THEN 'FAILED' ELSE 'DONE' END
+      AS final_status,
+    CASE WHEN o_totalprice > 100000 AND o_totalprice <= 300000 THEN 'order ' || CAST(o_orderkey AS VARCHAR) END
+      AS error_message,
+    o_orderdate + INTERVAL 1 DAY AS end_ts
+  FROM orders WHERE o_orderstatus = 'F'"""
+
+_CV_RULES = [
+    ("not_null:l_shipdate", "l_shipdate IS NULL"),
+    ("not_null:l_partkey", "l_partkey IS NULL"),
+    ("check:quantity_range", "NOT (l_quantity BETWEEN 1 AND 50)"),
+    ("check:tax_not_above_discount", "NOT (l_tax <= l_discount)"),
+    ("domain:l_returnflag", "NOT (l_returnflag IN ('A', 'N', 'R'))"),
+    ("domain:l_linestatus", "NOT (l_linestatus IN ('O', 'F'))"),
+]
+
+ORACLE_SQL.update({
+    "classify_responses": _CLASSIFIED_SQL,
+    "to_call_registry": f"""
+  SELECT pipeline_run_id, execution_id, api_call_ts AS call_ts, 'contract' AS environment, user_id
+  FROM ({_CLASSIFIED_SQL}) WHERE api_call_ts IS NOT NULL""",
+    "skip_ingested": """
+  WITH inc AS (
+    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS execution_id, user_id, event_id, ts, event_type,
+           CASE WHEN event_type = 'signup' THEN 'SUCCESS' ELSE 'FAILED' END AS api_result FROM events),
+  done AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS execution_id, user_id FROM events WHERE event_type = 'view'),
+  fresh AS (SELECT * FROM inc i WHERE NOT EXISTS (
+    SELECT 1 FROM done b WHERE b.execution_id = i.execution_id AND b.user_id = i.user_id)),
+  flagged AS (SELECT *, max(CASE WHEN api_result = 'SUCCESS' THEN 1 ELSE 0 END) OVER (
+    PARTITION BY execution_id, user_id ORDER BY ts, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_ok FROM fresh)
+  SELECT execution_id, user_id, event_id, ts, event_type, api_result FROM flagged WHERE coalesce(prior_ok, 0) = 0""",
+    "pending_entities": """
+  SELECT c_custkey, c_name, c_nationkey FROM customer c
+  WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderpriority = '1-URGENT' AND o.o_custkey = c.c_custkey)""",
+    "quota_status": f"""
+  WITH lim AS ({_LIMITS_SQL}),
+  u AS (SELECT count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00')
+                 AS day_used,
+               count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-01 00:00:00' AND ts < TIMESTAMP '2024-02-01 00:00:00')
+                 AS month_used
+        FROM events),
+  v AS (SELECT day_used, month_used, CAST(1 AS INTEGER) AS requested,
+               {_lim('max_calls_per_day')} AS max_calls_per_day, {_lim('max_calls_per_month')} AS max_calls_per_month
+        FROM u),
+  c AS (SELECT *, CAST(CASE WHEN max_calls_per_day IS NULL OR max_calls_per_month IS NULL THEN 50003
+                            WHEN day_used + requested > max_calls_per_day THEN 50001
+                            WHEN month_used + requested > max_calls_per_month THEN 50002 END AS INTEGER)
+                    AS verdict_code FROM v)
+  SELECT *, CASE WHEN verdict_code IS NULL THEN 'OK' ELSE 'VIOLATION' END AS check_status FROM c""",
+    "rate_status": f"""
+  WITH lim AS ({_LIMITS_SQL}),
+  u AS (SELECT count(*) AS minute_used FROM events
+        WHERE ts > TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 60 SECONDS AND ts <= TIMESTAMP '2024-01-15 12:00:00'),
+  v AS (SELECT minute_used, {_lim('max_calls_per_minute')} AS max_calls_per_minute FROM u)
+  SELECT *, CAST(CASE WHEN max_calls_per_minute IS NULL THEN 50004
+                      WHEN minute_used + 1 > max_calls_per_minute THEN 50005 END AS INTEGER) AS verdict_code
+  FROM v""",
+    "next_execution": """
+  WITH a AS (
+    SELECT o_orderkey AS audit_id, 'order_' || CAST(o_orderkey AS VARCHAR) AS execution_id,
+           o_orderpriority AS environment,
+           CASE o_orderstatus WHEN 'F' THEN 'SUCCESS' WHEN 'O' THEN 'STARTED' WHEN 'P' THEN 'FAILED' END AS status,
+           o_orderdate AS start_ts FROM orders),
+  last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY environment
+                                    ORDER BY start_ts DESC, audit_id DESC) AS rn FROM a) WHERE rn = 1),
+  envs AS (SELECT DISTINCT o_orderpriority AS environment FROM orders)
+  SELECT e.environment, l.execution_id AS last_execution_id, l.status AS last_status,
+    CASE WHEN l.execution_id IS NULL OR l.status = 'SUCCESS'
+         THEN 'execution_' || e.environment || '_20240115_120000' ELSE l.execution_id END AS execution_id,
+    (l.execution_id IS NULL OR l.status = 'SUCCESS') AS is_new
+  FROM envs e LEFT JOIN last l ON e.environment = l.environment""",
+    "audit_close": f"""
+  WITH a AS ({_AUDIT_SQL}), e AS ({_ENDS_SQL}),
+  f AS (SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY record_type, execution_id, pipeline_run_id,
+        coalesce(activity_name, ''), coalesce(entity, ''), coalesce(state, ''), coalesce(country, '')
+        ORDER BY end_ts, final_status, error_message NULLS FIRST) AS rn
+    FROM e WHERE final_status IN ('SUCCESS', 'FAILED', 'SKIPPED')) WHERE rn = 1),
+  j AS (SELECT a.*, f.final_status AS f_status, f.end_ts AS f_end, f.error_message AS f_err,
+               (f.final_status IS NOT NULL) AS hit
+        FROM a LEFT JOIN f ON a.end_ts IS NULL AND a.record_type = f.record_type
+          AND a.execution_id = f.execution_id AND a.pipeline_run_id = f.pipeline_run_id
+          AND coalesce(a.activity_name, '') = coalesce(f.activity_name, '')
+          AND coalesce(a.entity, '') = coalesce(f.entity, '')
+          AND coalesce(a.state, '') = coalesce(f.state, '')
+          AND coalesce(a.country, '') = coalesce(f.country, ''))
+  SELECT audit_id, execution_id, entity, CASE WHEN hit THEN f_status ELSE status END AS status, start_ts,
+         CASE WHEN hit THEN f_end ELSE end_ts END AS end_ts,
+         CASE WHEN hit THEN f_err ELSE error_message END AS error_message
+  FROM j""",
+    "run_outcome": """
+  WITH a AS (SELECT o_custkey, CASE o_orderstatus WHEN 'F' THEN 'FAILED' WHEN 'O' THEN 'SUCCESS'
+                                               WHEN 'P' THEN 'STARTED' END AS status FROM orders),
+  g AS (SELECT o_custkey, count(*) AS activities, count(*) FILTER (WHERE status = 'FAILED') AS failed_cnt,
+               count(*) FILTER (WHERE status = 'STARTED') AS started_cnt, bool_or(status = 'FAILED') AS any_failed
+        FROM a GROUP BY o_custkey)
+  SELECT *, CASE WHEN any_failed THEN 'FAILED' WHEN started_cnt > 0 THEN 'STARTED' ELSE 'SUCCESS' END AS outcome
+  FROM g""",
+    "constraint_violations": "WITH g AS (SELECT l_orderkey, l_linenumber, count(*) AS n, "
+        + ", ".join(f"count(*) FILTER (WHERE {cond}) AS r{i}" for i, (_, cond) in enumerate(_CV_RULES))
+        + " FROM lineitem GROUP BY l_orderkey, l_linenumber) "
+        + "SELECT * FROM (SELECT l_orderkey, l_linenumber, 'pk_unique' AS rule, "
+        + "CASE WHEN n > 1 THEN n ELSE 0 END AS violations FROM g "
+        + " ".join(f"UNION ALL SELECT l_orderkey, l_linenumber, '{r}' AS rule, r{i} AS violations FROM g"
+                   for i, (r, _) in enumerate(_CV_RULES))
+        + ") WHERE violations > 0",
+})
