@@ -37,7 +37,12 @@ def normalize_json(df: DataFrame, json_col: str, spec: dict[str, tuple[str, str]
     """
     keep = [c for c in df.columns if c != json_col] if keep is None else list(keep)
     schema = schema_for_paths([p for p, _ in spec.values()])
-    parsed = df.select(*keep, F.from_json(F.col(json_col), schema, {"mode": "PERMISSIVE"}).alias(_PARSED))
+    # The parse sits in a Generate (inline of a one-element array): a later
+    # filter on a parsed leaf (the NOT NULL observation time) cannot be
+    # pushed below it, so Catalyst does not inline - and repeat - the
+    # from_json inside that filter.  One parse per row.
+    one = F.array(F.struct(F.from_json(F.col(json_col), schema, {"mode": "PERMISSIVE"}).alias(_PARSED)))
+    parsed = df.select(*keep, F.inline(one))
     fmts = list(ts_formats) if ts_formats else None
     out = parsed.select(
         *keep,

@@ -43,6 +43,7 @@ from snaplake.operators.gold import (
 )
 from snaplake.operators.joins import interval_join, nearest_join
 from snaplake.operators.silver import latest_wins, normalize_json
+from snaplake.plans import lake
 from snaplake.schemas import AQI_BANDS, JOIN_WINDOW_HOURS
 from snaplake.sources.io import read_testdata
 
@@ -299,6 +300,104 @@ def q_constraint_violations(spark, d):
         domains={"l_returnflag": ["A", "N", "R"], "l_linestatus": ["O", "F"]})
 
 
+# ---------------------------------------------------------------- the lake itself
+_MS_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+
+
+def _s(c):
+    return c.cast("string")
+
+
+def lake_landing(spark, d):
+    """events as landed responses in the real payload shape (location +
+    current pollution + current weather); the pollution time is the event's
+    hour, the weather time 20 minutes later, so several events collide on
+    one observation and latest-wins decides.  Variants: clicks send the AQI
+    as a quoted decimal text, views the humidity as "NN.0", errors a
+    pollution time without milliseconds (does not parse: dropped from
+    pollution, kept in weather); signups get HTTP 503 and values below 1 a
+    transport error."""
+    ev = _events(spark, d)
+    ev = ev.withColumn("__hour", trunc_like(ev, "ts", "hour"))
+    et, v, uid, eid = F.col("event_type"), F.col("value"), F.col("user_id"), F.col("event_id")
+    failed = v < 1
+    lon = F.pmod(uid * 7, F.lit(360)) - 180 + 0.5
+    lat = F.pmod(uid * 3, F.lit(120)) - 60 + 0.25
+    pts = F.when(et == "error", F.date_format("__hour", "yyyy-MM-dd'T'HH:mm:ss'Z'")) \
+        .otherwise(F.date_format("__hour", _MS_FMT))
+    wts = F.date_format(F.col("__hour") + F.expr("INTERVAL 20 MINUTES"), _MS_FMT)
+    aqius = F.when(et == "click", F.concat(F.lit('"'), _s(v), F.lit('"'))).otherwise(_s(v.cast("int")))
+    hu = F.when(et == "view", F.concat(F.lit('"'), _s(F.pmod(eid, F.lit(100))), F.lit('.0"'))) \
+        .otherwise(_s(F.pmod(eid, F.lit(100))))
+    body = F.concat(
+        F.lit('{"status": "success", "data": {"location": {"type": "Point", "coordinates": ['),
+        _s(lon), F.lit(", "), _s(lat), F.lit(']}, "current": {"pollution": {"ts": "'), pts,
+        F.lit('", "aqius": '), aqius, F.lit(', "mainus": "p2", "aqicn": '), _s(F.pmod(eid, F.lit(300))),
+        F.lit(', "maincn": "'), et, F.lit('"}, "weather": {"ts": "'), wts,
+        F.lit('", "tp": '), _s(v / 10), F.lit(', "pr": '), _s(F.pmod(uid, F.lit(30)) + 1000),
+        F.lit(', "hu": '), hu, F.lit(', "ws": '), _s(v / 100), F.lit(', "wd": '), _s(F.pmod(eid * 7, F.lit(360))),
+        F.lit(', "ic": "04d", "heatIndex": '), _s(v / 10 - 1), F.lit("}}}}"))
+    return ev.select(
+        F.concat(F.lit("execution_"), F.date_format("ts", "yyyyMMdd")).alias("execution_id"),
+        F.lit("run_lake").alias("pipeline_run_id"),
+        "user_id", "event_id",
+        F.when(failed, F.lit(None)).when(et == "signup", F.lit(503)).otherwise(F.lit(200))
+         .cast("int").alias("http_status_code"),
+        F.when(failed, F.lit(None).cast("string")).otherwise(body).alias("body"),
+        F.when(failed, F.lit("read timed out")).alias("transport_error"),
+        F.col("ts").alias("api_call_ts"))
+
+
+_LAKE_KEYS = ["user_id"]
+_LAKE_EXTRA = ["event_id", "api_call_ts"]
+_LAKE_VERSION = ("bronze_ingestion_ts", "api_call_ts", "event_id")
+
+
+def _lake_silver(spark, d):
+    bronze = classify_responses(lake_landing(spark, d))
+    parsed = lake.parsed_snapshots(bronze, _LAKE_KEYS, extra=_LAKE_EXTRA)
+    pol = lake.silver_pollution(parsed, _LAKE_KEYS, _LAKE_VERSION, extra=_LAKE_EXTRA).drop(*_LAKE_EXTRA)
+    wea = lake.silver_weather(parsed, _LAKE_KEYS, _LAKE_VERSION, extra=_LAKE_EXTRA).drop(*_LAKE_EXTRA)
+    return pol, wea
+
+
+def q_silver_pollution(spark, d):
+    pol, _ = _lake_silver(spark, d)
+    return pol.select("user_id", _r6("latitude"), _r6("longitude"),
+                      F.col("pollution_ts").cast("timestamp_ntz").alias("pollution_ts"),
+                      "aqi_us", "aqi_cn", "main_pollutant_us", "main_pollutant_cn", "pollution_date")
+
+
+def q_silver_weather(spark, d):
+    _, wea = _lake_silver(spark, d)
+    return wea.select("user_id", _r6("latitude"), _r6("longitude"),
+                      F.col("weather_ts").cast("timestamp_ntz").alias("weather_ts"),
+                      _r6("temperature"), "humidity", "pressure", _r6("wind_speed"), "wind_direction",
+                      "weather_icon_code", _r6("heat_index"), "weather_date")
+
+
+def q_gold_daily_metrics(spark, d):
+    pol, _ = _lake_silver(spark, d)
+    g = lake.gold_daily_metrics(lake.daily_aqi(pol, _LAKE_KEYS), _LAKE_KEYS)
+    return g.select("user_id", "date", _r6("avg_aqi_us"), "max_aqi_us", "observations_cnt",
+                    _r6("avg_aqi_us_7d"), "max_aqi_us_7d", "days_in_window", "rank_avg_aqi_us_7d",
+                    "is_worst_city_7d")
+
+
+def q_gold_category_days(spark, d):
+    pol, _ = _lake_silver(spark, d)
+    g = lake.gold_category_days(lake.daily_aqi(pol, _LAKE_KEYS), _LAKE_KEYS)
+    return g.withColumn("month_start", F.col("month_start").cast("timestamp_ntz"))
+
+
+def q_gold_weather_correlation(spark, d):
+    pol, wea = _lake_silver(spark, d)
+    g = lake.gold_weather_correlation(pol, wea, _LAKE_KEYS)
+    return g.select("user_id", F.col("month_start").cast("timestamp_ntz").alias("month_start"), "pairs_cnt",
+                    _r6("aqi_temp_corr"), _r6("aqi_humidity_corr"), _r6("aqi_pressure_corr"),
+                    _r6("aqi_wind_speed_corr"), "join_window_hours")
+
+
 QUERIES = {
     "normalize_json": q_normalize_json,
     "latest_wins": q_latest_wins,
@@ -320,6 +419,11 @@ QUERIES = {
     "audit_close": q_audit_close,
     "run_outcome": q_run_outcome,
     "constraint_violations": q_constraint_violations,
+    "silver_pollution": q_silver_pollution,
+    "silver_weather": q_silver_weather,
+    "gold_daily_metrics": q_gold_daily_metrics,
+    "gold_category_days": q_gold_category_days,
+    "gold_weather_correlation": q_gold_weather_correlation,
 }
 
 # ---------------------------------------------------------------- DuckDB oracle
@@ -567,3 +671,93 @@ ORACLE_SQL.update({
                    for i, (r, _) in enumerate(_CV_RULES))
         + ") WHERE violations > 0",
 })
+
+_OK_SNAPSHOTS = """
+  SELECT *, date_trunc('hour', ts) AS hts,
+         CAST(((user_id * 7) % 360 - 180) AS DOUBLE) + 0.5 AS longitude,
+         CAST(((user_id * 3) % 120 - 60) AS DOUBLE) + 0.25 AS latitude
+  FROM events WHERE value >= 1 AND event_type <> 'signup'"""
+
+_SILVER_P = f"""
+  SELECT user_id, latitude, longitude, pollution_ts, aqi_us, aqi_cn, main_pollutant_us, main_pollutant_cn,
+         pollution_date FROM (
+    SELECT user_id, latitude, longitude, hts AS pollution_ts, CAST(trunc(value) AS INTEGER) AS aqi_us,
+           CAST(event_id % 300 AS INTEGER) AS aqi_cn, 'p2' AS main_pollutant_us, event_type AS main_pollutant_cn,
+           CAST(hts AS DATE) AS pollution_date,
+           row_number() OVER (PARTITION BY user_id, hts ORDER BY ts DESC, event_id DESC) AS rn
+    FROM ({_OK_SNAPSHOTS}) WHERE event_type <> 'error') WHERE rn = 1"""
+
+_SILVER_W = f"""
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT user_id, latitude, longitude, hts + INTERVAL 20 MINUTES AS weather_ts, value / 10 AS temperature,
+           CAST(event_id % 100 AS INTEGER) AS humidity, CAST(user_id % 30 + 1000 AS INTEGER) AS pressure,
+           value / 100 AS wind_speed, CAST((event_id * 7) % 360 AS INTEGER) AS wind_direction,
+           '04d' AS weather_icon_code, value / 10 - 1 AS heat_index,
+           CAST(hts + INTERVAL 20 MINUTES AS DATE) AS weather_date,
+           row_number() OVER (PARTITION BY user_id, hts ORDER BY ts DESC, event_id DESC) AS rn
+    FROM ({_OK_SNAPSHOTS})) WHERE rn = 1"""
+
+_GOLD_DAILY = f"""
+  SELECT user_id, pollution_date AS date, avg(aqi_us) AS avg_aqi_us, max(aqi_us) AS max_aqi_us,
+         count(*) AS observations_cnt
+  FROM ({_SILVER_P}) WHERE aqi_us IS NOT NULL AND pollution_date IS NOT NULL GROUP BY 1, 2"""
+
+
+def _nan6(e):
+    return f"CASE WHEN isnan({e}) THEN NULL ELSE round({e}, 6) END"
+
+
+ORACLE_SQL.update({
+    "silver_pollution": f"""
+  SELECT user_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, pollution_ts, aqi_us, aqi_cn,
+         main_pollutant_us, main_pollutant_cn, pollution_date FROM ({_SILVER_P})""",
+    "silver_weather": f"""
+  SELECT user_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, weather_ts,
+         round(temperature, 6) AS temperature, humidity, pressure, round(wind_speed, 6) AS wind_speed,
+         wind_direction, weather_icon_code, round(heat_index, 6) AS heat_index, weather_date FROM ({_SILVER_W})""",
+    "gold_daily_metrics": f"""
+  WITH r AS (
+    SELECT *, avg(avg_aqi_us) OVER w AS avg_aqi_us_7d, max(max_aqi_us) OVER w AS max_aqi_us_7d,
+           count(*) OVER w AS days_in_window
+    FROM ({_GOLD_DAILY})
+    WINDOW w AS (PARTITION BY user_id ORDER BY date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW))
+  SELECT user_id, date, round(avg_aqi_us, 6) AS avg_aqi_us, max_aqi_us, observations_cnt,
+         round(avg_aqi_us_7d, 6) AS avg_aqi_us_7d, max_aqi_us_7d, days_in_window,
+         CAST(dense_rank() OVER (PARTITION BY date ORDER BY round(avg_aqi_us_7d, 6) DESC NULLS LAST) AS INTEGER)
+           AS rank_avg_aqi_us_7d,
+         dense_rank() OVER (PARTITION BY date ORDER BY round(avg_aqi_us_7d, 6) DESC NULLS LAST) = 1
+           AS is_worst_city_7d
+  FROM r""",
+    "gold_category_days": f"""
+  WITH t AS (
+    SELECT user_id, CAST(date_trunc('month', date) AS TIMESTAMP) AS month_start,
+      CASE WHEN max_aqi_us BETWEEN 0 AND 50 THEN 'GOOD' WHEN max_aqi_us BETWEEN 51 AND 100 THEN 'MODERATE'
+           WHEN max_aqi_us BETWEEN 101 AND 150 THEN 'UNHEALTHY_SENSITIVE'
+           WHEN max_aqi_us BETWEEN 151 AND 200 THEN 'UNHEALTHY'
+           WHEN max_aqi_us BETWEEN 201 AND 300 THEN 'VERY_UNHEALTHY' WHEN max_aqi_us >= 301 THEN 'HAZARDOUS' END
+        AS cat
+    FROM ({_GOLD_DAILY}))
+  SELECT user_id, month_start,
+    count(*) FILTER (WHERE cat = 'GOOD') AS GOOD, count(*) FILTER (WHERE cat = 'MODERATE') AS MODERATE,
+    count(*) FILTER (WHERE cat = 'UNHEALTHY_SENSITIVE') AS UNHEALTHY_SENSITIVE,
+    count(*) FILTER (WHERE cat = 'UNHEALTHY') AS UNHEALTHY,
+    count(*) FILTER (WHERE cat = 'VERY_UNHEALTHY') AS VERY_UNHEALTHY,
+    count(*) FILTER (WHERE cat = 'HAZARDOUS') AS HAZARDOUS, count(*) AS days_with_data
+  FROM t WHERE cat IS NOT NULL GROUP BY 1, 2""",
+    "gold_weather_correlation": f"""
+  WITH p AS (SELECT user_id, pollution_ts, aqi_us FROM ({_SILVER_P}) WHERE aqi_us IS NOT NULL),
+  w AS (SELECT user_id, weather_ts, temperature, humidity, pressure, wind_speed FROM ({_SILVER_W})),
+  c AS (SELECT p.*, w.weather_ts, w.temperature, w.humidity, w.pressure, w.wind_speed,
+               abs(epoch_us(p.pollution_ts) // 1000000 - epoch_us(w.weather_ts) // 1000000) AS diff_s
+        FROM p JOIN w ON p.user_id = w.user_id
+         AND w.weather_ts BETWEEN p.pollution_ts - INTERVAL 3 HOURS AND p.pollution_ts + INTERVAL 3 HOURS),
+  n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, pollution_ts
+                                   ORDER BY diff_s, weather_ts) AS rn FROM c) WHERE rn = 1)
+  SELECT user_id, date_trunc('month', pollution_ts) AS month_start, count(*) AS pairs_cnt,
+         {_nan6('corr(aqi_us, temperature)')} AS aqi_temp_corr,
+         {_nan6('corr(aqi_us, humidity)')} AS aqi_humidity_corr,
+         {_nan6('corr(aqi_us, pressure)')} AS aqi_pressure_corr,
+         {_nan6('corr(aqi_us, wind_speed)')} AS aqi_wind_speed_corr,
+         CAST(3 AS INTEGER) AS join_window_hours
+  FROM n GROUP BY 1, 2""",
+})
