@@ -45,7 +45,15 @@ from snaplake.operators.joins import interval_join, nearest_join
 from snaplake.operators.silver import latest_wins, normalize_json
 from snaplake.plans import lake
 from snaplake.schemas import AQI_BANDS, JOIN_WINDOW_HOURS
-from snaplake.sources.io import read_testdata
+from snaplake.session import scratch_path
+from snaplake.sources.io import append_table, read_table, read_testdata, refresh_table
+from snaplake.streaming.stream import (
+    BATCH_COL,
+    append_landing,
+    bronze_stream_schema,
+    stream_bronze,
+    stream_silver,
+)
 
 TOLERANCE = dt.timedelta(hours=JOIN_WINDOW_HOURS)
 BAND_NAMES = [b[0] for b in AQI_BANDS]
@@ -398,6 +406,57 @@ def q_gold_weather_correlation(spark, d):
                     _r6("aqi_wind_speed_corr"), "join_window_hours")
 
 
+# ---------------------------------------------------------------- sinks and streams
+def q_refresh_table(spark, d):
+    """Gold daily chain written partitioned by date, then a date slice
+    recomputed and overwritten in place (dynamic partition overwrite); the
+    table read back must equal the batch result."""
+    path = scratch_path(spark, "refresh_table")
+    full = q_rank_worst(spark, d)
+    refresh_table(full, path, partition_by=["date"])
+    stored = read_table(spark, path)
+    late = stored.filter(F.col("date") >= F.lit("2024-01-15").cast("date"))
+    refresh_table(late.select(*full.columns), path, partition_by=["date"])
+    return read_table(spark, path).select(*full.columns)
+
+
+def q_append_table(spark, d):
+    """Classified snapshots appended twice to the same table: both copies stay."""
+    path = scratch_path(spark, "append_table")
+    rows = q_classify_responses(spark, d)
+    append_table(rows, path)
+    append_table(rows, path)
+    return read_table(spark, path)
+
+
+def q_stream_bronze(spark, d):
+    """Landed responses (one file per execution) streamed into Bronze, one
+    file per micro-batch; Bronze read back without stamp/batch columns."""
+    base = scratch_path(spark, "stream_bronze")
+    landing = _landing(spark, d)
+    append_landing(landing, f"{base}/landing")
+    stream_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/_ckpt", keys=["user_id"],
+                  schema=landing.schema, order_cols=("api_call_ts", "event_id"), max_files_per_trigger=1)
+    return read_table(spark, f"{base}/bronze").drop("ingestion_ts", BATCH_COL) \
+        .withColumn("api_call_ts", F.col("api_call_ts").cast("timestamp_ntz"))
+
+
+def q_stream_silver(spark, d):
+    """Bronze snapshots split over several files, streamed two files per
+    micro-batch into the pollution Silver table; read back it must equal the
+    batch latest-wins result."""
+    base = scratch_path(spark, "stream_silver")
+    bronze = classify_responses(lake_landing(spark, d))
+    append_table(bronze.repartition(6), f"{base}/bronze")
+    schema = read_table(spark, f"{base}/bronze").schema
+    stream_silver(spark, f"{base}/bronze", f"{base}/silver", f"{base}/_ckpt", schema, kind="pollution",
+                  keys=_LAKE_KEYS, version_cols=_LAKE_VERSION, extra=_LAKE_EXTRA, max_files_per_trigger=2)
+    pol = read_table(spark, f"{base}/silver")
+    return pol.select("user_id", _r6("latitude"), _r6("longitude"),
+                      F.col("pollution_ts").cast("timestamp_ntz").alias("pollution_ts"),
+                      "aqi_us", "aqi_cn", "main_pollutant_us", "main_pollutant_cn", "pollution_date")
+
+
 QUERIES = {
     "normalize_json": q_normalize_json,
     "latest_wins": q_latest_wins,
@@ -424,6 +483,10 @@ QUERIES = {
     "gold_daily_metrics": q_gold_daily_metrics,
     "gold_category_days": q_gold_category_days,
     "gold_weather_correlation": q_gold_weather_correlation,
+    "refresh_table": q_refresh_table,
+    "append_table": q_append_table,
+    "stream_bronze": q_stream_bronze,
+    "stream_silver": q_stream_silver,
 }
 
 # ---------------------------------------------------------------- DuckDB oracle
@@ -761,3 +824,15 @@ ORACLE_SQL.update({
          CAST(3 AS INTEGER) AS join_window_hours
   FROM n GROUP BY 1, 2""",
 })
+
+ORACLE_SQL.update({
+    "refresh_table": ORACLE_SQL["rank_worst"],
+    "append_table": f"SELECT * FROM ({_CLASSIFIED_SQL}) UNION ALL SELECT * FROM ({_CLASSIFIED_SQL})",
+    "stream_bronze": f"""
+  WITH c AS ({_CLASSIFIED_SQL}),
+  f AS (SELECT *, max(CASE WHEN api_result = 'SUCCESS' THEN 1 ELSE 0 END) OVER (
+          PARTITION BY execution_id, user_id ORDER BY api_call_ts, event_id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_ok FROM c)
+  SELECT * EXCLUDE (prior_ok) FROM f WHERE coalesce(prior_ok, 0) = 0""",
+    "stream_silver": ORACLE_SQL["silver_pollution"],
+})
