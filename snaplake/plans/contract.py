@@ -215,6 +215,9 @@ def q_skip_ingested(spark, d):
 # ---------------------------------------------------------------- control plane
 AS_OF = dt.datetime(2024, 1, 15, 12, 0, 0)
 LIMITS = [("max_calls_per_minute", "5"), ("max_calls_per_day", "500"), ("max_calls_per_month", "10000")]
+# limits of the refresh-run query: large enough for every landed entity
+RUN_LIMITS = [("max_calls_per_minute", "1000000"), ("max_calls_per_day", "1000000000"),
+              ("max_calls_per_month", "1000000000")]
 
 
 def _limits(spark):
@@ -457,6 +460,21 @@ def q_stream_silver(spark, d):
                       "aqi_us", "aqi_cn", "main_pollutant_us", "main_pollutant_cn", "pollution_date")
 
 
+def q_run_refresh(spark, d):
+    """A whole refresh run (control checks, Bronze, Silver, Gold, audit)
+    into a fresh lake folder; the Gold daily table is read back."""
+    from snaplake.plans.refresh import LakeConfig, run_refresh
+
+    cfg = LakeConfig(root=scratch_path(spark, "lake"), keys=["user_id"], extra=["event_id"],
+                     version_cols=("bronze_ingestion_ts", "api_call_ts", "event_id"))
+    limits = spark.createDataFrame(RUN_LIMITS, "config_key string, config_value string")
+    run_refresh(spark, cfg, lake_landing(spark, d), limits, as_of=AS_OF, pipeline_run_id="run_contract")
+    g = read_table(spark, cfg.path("gold_daily_metrics"))
+    return g.select("user_id", "date", _r6("avg_aqi_us"), "max_aqi_us", "observations_cnt",
+                    _r6("avg_aqi_us_7d"), "max_aqi_us_7d", "days_in_window", "rank_avg_aqi_us_7d",
+                    "is_worst_city_7d")
+
+
 QUERIES = {
     "normalize_json": q_normalize_json,
     "latest_wins": q_latest_wins,
@@ -487,6 +505,7 @@ QUERIES = {
     "append_table": q_append_table,
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
+    "run_refresh": q_run_refresh,
 }
 
 # ---------------------------------------------------------------- DuckDB oracle
@@ -741,16 +760,21 @@ _OK_SNAPSHOTS = """
          CAST(((user_id * 3) % 120 - 60) AS DOUBLE) + 0.25 AS latitude
   FROM events WHERE value >= 1 AND event_type <> 'signup'"""
 
-_SILVER_P = f"""
+
+
+def _silver_p_sql(src: str) -> str:
+    return f"""
   SELECT user_id, latitude, longitude, pollution_ts, aqi_us, aqi_cn, main_pollutant_us, main_pollutant_cn,
          pollution_date FROM (
     SELECT user_id, latitude, longitude, hts AS pollution_ts, CAST(trunc(value) AS INTEGER) AS aqi_us,
            CAST(event_id % 300 AS INTEGER) AS aqi_cn, 'p2' AS main_pollutant_us, event_type AS main_pollutant_cn,
            CAST(hts AS DATE) AS pollution_date,
            row_number() OVER (PARTITION BY user_id, hts ORDER BY ts DESC, event_id DESC) AS rn
-    FROM ({_OK_SNAPSHOTS}) WHERE event_type <> 'error') WHERE rn = 1"""
+    FROM ({src}) WHERE event_type <> 'error') WHERE rn = 1"""
 
-_SILVER_W = f"""
+
+def _silver_w_sql(src: str) -> str:
+    return f"""
   SELECT * EXCLUDE (rn) FROM (
     SELECT user_id, latitude, longitude, hts + INTERVAL 20 MINUTES AS weather_ts, value / 10 AS temperature,
            CAST(event_id % 100 AS INTEGER) AS humidity, CAST(user_id % 30 + 1000 AS INTEGER) AS pressure,
@@ -758,12 +782,42 @@ _SILVER_W = f"""
            '04d' AS weather_icon_code, value / 10 - 1 AS heat_index,
            CAST(hts + INTERVAL 20 MINUTES AS DATE) AS weather_date,
            row_number() OVER (PARTITION BY user_id, hts ORDER BY ts DESC, event_id DESC) AS rn
-    FROM ({_OK_SNAPSHOTS})) WHERE rn = 1"""
+    FROM ({src})) WHERE rn = 1"""
+
 
-_GOLD_DAILY = f"""
+def _gold_daily_sql(silver_p: str) -> str:
+    return f"""
   SELECT user_id, pollution_date AS date, avg(aqi_us) AS avg_aqi_us, max(aqi_us) AS max_aqi_us,
          count(*) AS observations_cnt
-  FROM ({_SILVER_P}) WHERE aqi_us IS NOT NULL AND pollution_date IS NOT NULL GROUP BY 1, 2"""
+  FROM ({silver_p}) WHERE aqi_us IS NOT NULL AND pollution_date IS NOT NULL GROUP BY 1, 2"""
+
+
+def _gold_metrics_sql(daily: str) -> str:
+    return f"""
+  WITH r AS (
+    SELECT *, avg(avg_aqi_us) OVER w AS avg_aqi_us_7d, max(max_aqi_us) OVER w AS max_aqi_us_7d,
+           count(*) OVER w AS days_in_window
+    FROM ({daily})
+    WINDOW w AS (PARTITION BY user_id ORDER BY date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW))
+  SELECT user_id, date, round(avg_aqi_us, 6) AS avg_aqi_us, max_aqi_us, observations_cnt,
+         round(avg_aqi_us_7d, 6) AS avg_aqi_us_7d, max_aqi_us_7d, days_in_window,
+         CAST(dense_rank() OVER (PARTITION BY date ORDER BY round(avg_aqi_us_7d, 6) DESC NULLS LAST) AS INTEGER)
+           AS rank_avg_aqi_us_7d,
+         dense_rank() OVER (PARTITION BY date ORDER BY round(avg_aqi_us_7d, 6) DESC NULLS LAST) = 1
+           AS is_worst_city_7d
+  FROM r"""
+
+
+# In a refresh run Bronze keeps, per (execution = UTC day, entity), the
+# attempts up to the first success: Silver sees that first success only.
+_RUN_OK_SNAPSHOTS = f"""
+  SELECT * EXCLUDE (rk) FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rk
+    FROM ({_OK_SNAPSHOTS})) WHERE rk = 1"""
+
+_SILVER_P = _silver_p_sql(_OK_SNAPSHOTS)
+_SILVER_W = _silver_w_sql(_OK_SNAPSHOTS)
+_GOLD_DAILY = _gold_daily_sql(_SILVER_P)
 
 
 def _nan6(e):
@@ -778,19 +832,7 @@ ORACLE_SQL.update({
   SELECT user_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, weather_ts,
          round(temperature, 6) AS temperature, humidity, pressure, round(wind_speed, 6) AS wind_speed,
          wind_direction, weather_icon_code, round(heat_index, 6) AS heat_index, weather_date FROM ({_SILVER_W})""",
-    "gold_daily_metrics": f"""
-  WITH r AS (
-    SELECT *, avg(avg_aqi_us) OVER w AS avg_aqi_us_7d, max(max_aqi_us) OVER w AS max_aqi_us_7d,
-           count(*) OVER w AS days_in_window
-    FROM ({_GOLD_DAILY})
-    WINDOW w AS (PARTITION BY user_id ORDER BY date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW))
-  SELECT user_id, date, round(avg_aqi_us, 6) AS avg_aqi_us, max_aqi_us, observations_cnt,
-         round(avg_aqi_us_7d, 6) AS avg_aqi_us_7d, max_aqi_us_7d, days_in_window,
-         CAST(dense_rank() OVER (PARTITION BY date ORDER BY round(avg_aqi_us_7d, 6) DESC NULLS LAST) AS INTEGER)
-           AS rank_avg_aqi_us_7d,
-         dense_rank() OVER (PARTITION BY date ORDER BY round(avg_aqi_us_7d, 6) DESC NULLS LAST) = 1
-           AS is_worst_city_7d
-  FROM r""",
+    "gold_daily_metrics": _gold_metrics_sql(_GOLD_DAILY),
     "gold_category_days": f"""
   WITH t AS (
     SELECT user_id, CAST(date_trunc('month', date) AS TIMESTAMP) AS month_start,
@@ -836,3 +878,5 @@ ORACLE_SQL.update({
   SELECT * EXCLUDE (prior_ok) FROM f WHERE coalesce(prior_ok, 0) = 0""",
     "stream_silver": ORACLE_SQL["silver_pollution"],
 })
+
+ORACLE_SQL["run_refresh"] = _gold_metrics_sql(_gold_daily_sql(_silver_p_sql(_RUN_OK_SNAPSHOTS)))

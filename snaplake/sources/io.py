@@ -9,6 +9,7 @@ input with a reliable ``checkpoint()`` in the shared checkpoint folder.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,8 +88,13 @@ def _reads_from(df: DataFrame, target: str) -> bool:
                 root = None
         if not root:
             return False
-    root = root.replace("file:", "").rstrip("/")
-    return any(f.replace("file:", "").startswith(root + "/") for f in files)
+    root = _local(root)
+    return any(_local(f).startswith(root + "/") for f in files)
+
+
+def _local(p: str) -> str:
+    """'file:///a/b/' -> '/a/b' (other schemes kept) for prefix tests."""
+    return re.sub(r"^file:/*", "/", p).rstrip("/")
 
 
 def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
