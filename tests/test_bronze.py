@@ -1,0 +1,63 @@
+import datetime as dt
+
+from conftest import rows
+from snaplake.operators.bronze import classify_responses, skip_ingested, to_call_registry
+
+T = dt.datetime(2024, 1, 1, 10)
+LANDING_COLS = ("execution_id string, pipeline_run_id string, city string, state string, country string, "
+                "http_status_code int, body string, transport_error string, api_call_ts timestamp")
+
+
+def _landing(spark, cases):
+    data = [("e1", "r1", city, "S", "C", code, body, err, T) for city, code, body, err in cases]
+    return spark.createDataFrame(data, LANDING_COLS)
+
+
+def test_classify_edges(spark):
+    cases = [
+        ("ok", 200, '{"status": "success", "data": {}}', None),
+        ("fail", 200, '{"status": "fail", "data": "call_limit_reached"}', None),
+        ("http500", 500, '{"status": "success"}', None),
+        ("badjson", 200, "{not json", None),
+        ("array", 200, '[{"status": "success"}]', None),
+        ("empty_obj", 200, "{}", None),
+        ("transport", None, None, "ConnectTimeout: 10s"),
+        ("unicode", 200, '{"status": "success", "city": "São Paulo 東京"}', None),
+    ]
+    out = {r["city"]: r for r in classify_responses(_landing(spark, cases)).collect()}
+    assert out["ok"]["api_result"] == "SUCCESS" and out["ok"]["error_message"] is None
+    assert out["fail"]["api_result"] == "FAILED" and out["fail"]["api_status"] == "fail"
+    assert out["fail"]["error_message"] == cases[1][2]
+    assert out["http500"]["api_result"] == "FAILED" and out["http500"]["api_status"] == "success"
+    assert out["badjson"]["api_status"] == "invalid_json" and out["badjson"]["raw_payload"] == "{not json"
+    assert out["array"]["api_status"] == "invalid_json" and out["array"]["api_result"] == "FAILED"
+    assert out["empty_obj"]["api_status"] is None and out["empty_obj"]["api_result"] == "FAILED"
+    t = out["transport"]
+    assert (t["api_status"], t["raw_payload"], t["error_message"], t["http_status_code"]) == \
+        ("request_failed", None, "ConnectTimeout: 10s", None)
+    assert out["unicode"]["api_result"] == "SUCCESS" and "東京" in out["unicode"]["raw_payload"]
+    cols = classify_responses(_landing(spark, cases)).columns
+    assert cols == ["execution_id", "pipeline_run_id", "city", "state", "country", "api_result",
+                    "http_status_code", "api_status", "api_call_ts", "raw_payload", "error_message", "ingestion_ts"]
+
+
+def test_skip_ingested(spark):
+    bronze = spark.createDataFrame([
+        ("e1", "done", "SUCCESS"), ("e1", "onlyfail", "FAILED"), ("e0", "other_exec", "SUCCESS")],
+        "execution_id string, city string, api_result string")
+    m = dt.timedelta(minutes=1)
+    incoming = spark.createDataFrame([
+        ("e1", "done", "FAILED", T, 1), ("e1", "onlyfail", "SUCCESS", T, 2), ("e1", "other_exec", "FAILED", T, 3),
+        ("e1", "batch", "FAILED", T, 4), ("e1", "batch", "SUCCESS", T + m, 5), ("e1", "batch", "SUCCESS", T + 2 * m, 6),
+        ("e1", "batch", "FAILED", T + 3 * m, 7)],
+        "execution_id string, city string, api_result string, api_call_ts timestamp, id int")
+    out = skip_ingested(incoming, bronze, ["city"])
+    assert sorted(r["id"] for r in out.collect()) == [2, 3, 4, 5]
+    again = skip_ingested(incoming, bronze.unionByName(out.select(*bronze.columns)), ["city"])
+    assert sorted(r["id"] for r in again.filter("api_result = 'SUCCESS'").collect()) == []
+
+
+def test_registry_counts_every_attempt(spark):
+    cases = [("ok", 200, '{"status": "success"}', None), ("t", None, None, "timeout")]
+    reg = to_call_registry(classify_responses(_landing(spark, cases)), "dev")
+    assert rows(reg, "city", "environment") == [("ok", "dev"), ("t", "dev")]

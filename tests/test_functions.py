@@ -1,0 +1,59 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from snaplake.functions.bands import band_of
+from snaplake.functions.casts import lenient_int, parse_timestamp
+from snaplake.functions.json import parse_path, schema_for_paths
+from snaplake.functions.stats import safe_corr
+from snaplake.schemas import AQI_BANDS
+
+
+def test_parse_path():
+    assert parse_path("$.data.location.coordinates[1]") == [
+        ("field", "data"), ("field", "location"), ("field", "coordinates"), ("index", 1)]
+    with pytest.raises(ValueError):
+        parse_path("data.x")
+
+
+def test_schema_merges_paths():
+    s = schema_for_paths(["$.a.b", "$.a.c[0]", "$.d"])
+    assert s.simpleString() == "struct<a:struct<b:string,c:array<string>>,d:string>"
+    with pytest.raises(ValueError):
+        schema_for_paths(["$.a.b", "$.a[0]"])
+
+
+def test_lenient_int_matches_non_ansi_cast(spark):
+    df = spark.createDataFrame([("55",), ("55.0",), ("55.7",), ("-3.9",), ("abc",), (None,),
+                                ("3000000000",), (" 7 ",)], "s string")
+    got = [r[0] for r in df.select(lenient_int(F.col("s"))).collect()]
+    assert got == [55, 55, 55, -3, None, None, None, 7]
+
+
+def test_timestamp_format_is_strict(spark):
+    df = spark.createDataFrame([("2024-01-01T10:00:00.000Z",), ("2024-01-01T10:00:00Z",),
+                                ("2024-01-01T23:30:00.000+02",), ("garbage",)], "s string")
+    got = [r[0] for r in df.select(parse_timestamp(F.col("s")).cast("string")).collect()]
+    assert got == ["2024-01-01 10:00:00", None, "2024-01-01 21:30:00", None]
+    both = df.select(parse_timestamp(F.col("s"), ["yyyy-MM-dd'T'HH:mm:ss.SSSX", "yyyy-MM-dd'T'HH:mm:ssX"])
+                     .cast("string")).collect()
+    assert both[1][0] == "2024-01-01 10:00:00"
+
+
+def test_safe_corr_never_raises(spark):
+    df = spark.createDataFrame(
+        [("one", 1.0, 2.0), ("const", 1.0, 5.0), ("const", 2.0, 5.0), ("const", 3.0, 5.0),
+         ("ok", 1.0, 2.0), ("ok", 2.0, 4.1), ("ok", 3.0, 5.9), ("ok", None, 100.0)], "g string, x double, y double")
+    got = {r["g"]: r["c"] for r in df.groupBy("g").agg(safe_corr(F.col("x"), F.col("y")).alias("c")).collect()}
+    ref = {r["g"]: r["c"] for r in df.filter("g = 'ok'").groupBy("g").agg(F.corr("x", "y").alias("c")).collect()}
+    assert got["one"] is None and got["const"] is None
+    assert got["ok"] == pytest.approx(ref["ok"], abs=1e-12)
+
+
+def test_bands_edges(spark):
+    vals = [0, 50, 51, 100, 101, 150, 151, 200, 201, 300, 301, 1000, -1]
+    df = spark.createDataFrame([(v,) for v in vals], "v int")
+    got = [r[0] for r in df.select(band_of(F.col("v"), AQI_BANDS)).collect()]
+    assert got == ["GOOD", "GOOD", "MODERATE", "MODERATE", "UNHEALTHY_SENSITIVE", "UNHEALTHY_SENSITIVE",
+                   "UNHEALTHY", "UNHEALTHY", "VERY_UNHEALTHY", "VERY_UNHEALTHY", "HAZARDOUS", "HAZARDOUS", None]
