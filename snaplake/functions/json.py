@@ -104,13 +104,20 @@ def extract_leaves(json_col: Column, spec: dict[str, tuple[str, str]],
     }
 
 
-def is_json_object(text: Column) -> Column:
+def is_json_object(text: Column, parsed: Column | None = None) -> Column:
     """TRUE when ``text`` parses as a JSON object, FALSE otherwise (never NULL
-    for non-NULL input).  Arrays, scalars and malformed text are FALSE."""
-    v = F.try_parse_json(text)
-    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    for non-NULL input).  Arrays, scalars and malformed text are FALSE.
+
+    Valid JSON whose first non-blank character is '{' is an object, so the
+    test is one parse plus a prefix check (no schema inference).  Pass
+    ``parsed`` (``try_parse_json(text)``) to share one parse with other uses.
+    """
+    v = F.try_parse_json(text) if parsed is None else parsed
+    starts = F.startswith(F.ltrim(text, F.lit(" \t\n\r")), F.lit("{"))
+    return F.coalesce(v.isNotNull() & starts, F.lit(False))
 
 
-def json_string_field(text: Column, field: str) -> Column:
+def json_string_field(text: Column, field: str, parsed: Column | None = None) -> Column:
     """Top-level field of a JSON text as STRING (NULL if absent / not JSON)."""
-    return F.try_variant_get(F.try_parse_json(text), f"$.{field}", "string")
+    v = F.try_parse_json(text) if parsed is None else parsed
+    return F.try_variant_get(v, f"$.{field}", "string")

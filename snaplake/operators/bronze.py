@@ -38,14 +38,16 @@ def classify_responses(landing: DataFrame, status_field: str = "status", ok: str
     """
     body, err = F.col(body_col), F.col(error_col)
     failed_transport = err.isNotNull()
+    v = F.col("__sl_variant")  # the body parsed once, shared by both tests
     status = (F.when(failed_transport, F.lit(STATUS_REQUEST_FAILED))
-               .when(is_json_object(body), json_string_field(body, status_field))
+               .when(is_json_object(body, v), json_string_field(body, status_field, v))
                .otherwise(F.lit(STATUS_INVALID_JSON)))
     success = (~failed_transport) & F.coalesce(F.col(http_col) == F.lit(http_ok), F.lit(False)) \
         & F.coalesce(F.col("api_status") == F.lit(ok), F.lit(False))
     passthrough = [c for c in landing.columns if c not in (body_col, error_col, http_col, "api_call_ts")]
     stamped = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    staged = landing.withColumn("api_status", status)
+    staged = landing.withColumn("__sl_variant", F.try_parse_json(body)) \
+        .withColumn("api_status", status).drop("__sl_variant")
     return staged.select(
         *passthrough,
         F.when(success, F.lit(RESULT_SUCCESS)).otherwise(F.lit(RESULT_FAILED)).alias("api_result"),

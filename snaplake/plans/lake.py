@@ -22,6 +22,7 @@ from snaplake.operators.gold import (
 )
 from snaplake.operators.joins import nearest_join
 from snaplake.operators.silver import latest_wins, normalize_json, stamp_lineage, trusted_snapshots
+from snaplake.session import spread
 from snaplake.schemas import (
     AQI_BANDS,
     ENTITY_KEYS,
@@ -43,7 +44,7 @@ def parsed_snapshots(bronze: DataFrame, keys: Sequence[str] = ENTITY_KEYS,
     from one ``from_json`` per row; both Silver tables are projections of
     this frame (persist it when both are written in one run)."""
     spec = {**POLLUTION_SPEC, **WEATHER_SPEC}
-    trusted = trusted_snapshots(bronze).select(
+    trusted = spread(trusted_snapshots(bronze)).select(
         *keys, *extra, F.col("ingestion_ts").alias("bronze_ingestion_ts"), "raw_payload")
     return normalize_json(trusted, "raw_payload", spec, ts_formats=list(ts_formats))
 

@@ -73,3 +73,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/snaplake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Spread a small, few-partition input over the cluster's cores before
+    CPU-heavy per-row work (JSON parsing).
+
+    A single small file is scanned as one partition and AQE cannot split a
+    scan, so the parse would run in one task.  When the input already has
+    at least ``min_partitions`` (default: the default parallelism) partitions
+    - any real, multi-file table - this is a no-op: no shuffle is added.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
