@@ -93,7 +93,7 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
 def nearest_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,
                  right_ts: str, tolerance, left_id: Sequence[str] | None = None,
                  tiebreak: Sequence[str] = (), unit: str = "microsecond", how: str = "inner",
-                 diff_col: str | None = None, strategy: str = "bucket") -> DataFrame:
+                 diff_col: str | None = None, strategy: str = "auto") -> DataFrame:
     """For each left row, the right row of the same keys nearest in time
     within ``tolerance`` (inclusive on both sides).
 
@@ -104,11 +104,30 @@ def nearest_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts
     collapses left rows sharing key and timestamp).  ``how='left'`` keeps
     left rows without a match (right columns NULL).
 
-    Plan: bucketed band join (see module doc), then ``row_number() = 1`` per
-    left row, partitioned by (keys, bucket, id) so the join's hash
-    partitioning is reused - no second shuffle - and the WindowGroupLimit
-    keeps one candidate per left row early.
+    Strategies (all exact, same result):
+
+    * ``sweep`` (default for microseconds): no candidate pairs at all.  Both
+      sides are unioned and partitioned by (keys, time bucket of width
+      ``tolerance``), the right side copied into the neighbouring buckets;
+      two running ``last(ignorenulls)`` windows (ascending and descending
+      time) give every left row its nearest right row before and after.
+      O(n log n) per bucket however dense the right side is.
+    * ``bucket`` (default for whole seconds): bucketed band join, then
+      ``row_number() = 1`` per left row, partitioned by (keys, bucket, id) so
+      the join's hash partitioning is reused.  Work grows with the number of
+      right rows within the tolerance of each left row.
+    * ``naive``: plain keys + range join, the baseline for tests.
+
+    The sweep answers every left row on its own (as if ``left_id`` were
+    unique); the join strategies collapse left rows sharing an id.
     """
+    if strategy == "auto":
+        strategy = "sweep" if unit == "microsecond" else "bucket"
+    if strategy == "sweep":
+        if unit != "microsecond":
+            raise ValueError("the sweep strategy measures microseconds; use strategy='bucket' for seconds")
+        return _nearest_sweep(left, right, keys, left_ts, right_ts, to_micros(tolerance), tiebreak, how,
+                              diff_col)
     cand = interval_join(left, right, keys, left_ts, right_ts, tolerance, tolerance,
                          how=how, strategy=strategy, keep_bucket=True)
     if unit == "microsecond":
@@ -136,3 +155,65 @@ def nearest_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts
     if diff_col is None:
         drop.append(dcol)
     return out.drop(*drop)
+
+
+def _nearest_sweep(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
+                   tol_us: int, tiebreak: Sequence[str], how: str, diff_col: str | None) -> DataFrame:
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    right_r, rk = _rename_right(left, right, keys)
+    width = max(tol_us, 1)
+    rcols = [c for c in right_r.columns if c not in rk.values()]
+    lstruct = F.struct(*[F.col(c) for c in left.columns])
+    rstruct = F.struct(F.col(_RUS).alias(_RUS), *[F.col(c) for c in rcols])
+    kcols = [f"__sl_k{i}" for i in range(len(keys))]
+
+    lq = (left.withColumn(_LUS, epoch_micros(F.col(left_ts)))
+              .withColumn(_BUCKET, _floor_div(_LUS, width))
+              .select(*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)], F.col(_BUCKET),
+                      F.col(_LUS).alias("__sl_t"), F.lit(1).alias("__sl_side"),
+                      lstruct.alias("__sl_l")))
+    rq = (right_r.withColumn(_RUS, epoch_micros(F.col(right_ts)))
+                 .withColumn("__sl_rb", _floor_div(_RUS, width))
+                 .select(*[F.col(rk[k]).alias(kc) for k, kc in zip(keys, kcols)],
+                         # a right row serves the left rows of its own bucket and, as the
+                         # nearest-before / nearest-after candidate, of the two neighbours
+                         F.explode(F.sequence(F.col("__sl_rb") - 1, F.col("__sl_rb") + 1)).alias(_BUCKET),
+                         F.col(_RUS).alias("__sl_t"), F.lit(0).alias("__sl_side"),
+                         rstruct.alias("__sl_r"),
+                         *[F.col(t).alias(f"__sl_tb{i}") for i, t in enumerate(tiebreak)]))
+    lq = lq.withColumn("__sl_r", F.lit(None).cast(rq.schema["__sl_r"].dataType))
+    for i in range(len(tiebreak)):
+        lq = lq.withColumn(f"__sl_tb{i}", F.lit(None).cast(rq.schema[f"__sl_tb{i}"].dataType))
+    rq = rq.withColumn("__sl_l", F.lit(None).cast(lq.schema["__sl_l"].dataType))
+    both = lq.unionByName(rq)
+
+    # right rows sort before a left row at the same instant (distance 0 counts),
+    # and among equal instants the lowest tiebreak is the last one seen
+    tb_desc = [F.col(f"__sl_tb{i}").desc_nulls_first() for i in range(len(tiebreak))]
+    part = [F.col(kc) for kc in kcols] + [F.col(_BUCKET)]
+    w_before = (Window.partitionBy(*part)
+                .orderBy(F.col("__sl_t").asc(), F.col("__sl_side").asc(), *tb_desc)
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    w_after = (Window.partitionBy(*part)
+               .orderBy(F.col("__sl_t").desc(), F.col("__sl_side").asc(), *tb_desc)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    swept = (both.withColumn("__sl_b", F.last("__sl_r", ignorenulls=True).over(w_before))
+                 .withColumn("__sl_a", F.last("__sl_r", ignorenulls=True).over(w_after))
+                 .filter(F.col("__sl_side") == 1))
+    t = F.col("__sl_t")
+    db = t - F.col(f"__sl_b.{_RUS}")
+    da = F.col(f"__sl_a.{_RUS}") - t
+    b_ok = F.coalesce(db <= F.lit(tol_us), F.lit(False))
+    a_ok = F.coalesce(da <= F.lit(tol_us), F.lit(False))
+    pick_b = b_ok & (~a_ok | (db <= da))   # equidistant: the earlier row
+    chosen = F.when(pick_b, F.col("__sl_b")).when(a_ok, F.col("__sl_a"))
+    dist = F.when(pick_b, db).when(a_ok, da)
+    out = swept.select(F.col("__sl_l"), chosen.alias("__sl_c"), dist.alias("__sl_d"))
+    if how == "inner":
+        out = out.filter(F.col("__sl_c").isNotNull())
+    cols = [F.col(f"__sl_l.{c}").alias(c) for c in left.columns] + \
+           [F.col(f"__sl_c.{c}").alias(c) for c in rcols]
+    if diff_col:
+        cols.append(F.col("__sl_d").alias(diff_col))
+    return out.select(*cols)

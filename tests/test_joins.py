@@ -32,6 +32,10 @@ def test_nearest_edges(spark):
     got = {row["lid"]: row["rid"] for row in
            nearest_join(l, r, ["k"], "lts", "rts", H3, left_id=["lid"], tiebreak=["rid"]).collect()}
     assert got == {1: 10, 2: 20, 4: 40, 5: 50, 6: 60, 7: 71}
+    for strategy in ("bucket", "naive"):
+        other = {row["lid"]: row["rid"] for row in nearest_join(
+            l, r, ["k"], "lts", "rts", H3, left_id=["lid"], tiebreak=["rid"], strategy=strategy).collect()}
+        assert other == got
     left_kept = nearest_join(l, r, ["k"], "lts", "rts", H3, left_id=["lid"], tiebreak=["rid"], how="left")
     assert left_kept.count() == 7
     # whole seconds of each timestamp: +900 ms is 0 s away, -200 ms is 1 s away
@@ -54,7 +58,12 @@ def test_bucketed_equals_brute_force(spark):
         assert rows(a) == rows(b)
         c = nearest_join(l, r, ["k"], "lts", "rts", tol, left_id=["lid"], tiebreak=["rid"])
         d = nearest_join(l, r, ["k"], "lts", "rts", tol, left_id=["lid"], tiebreak=["rid"], strategy="naive")
-        assert rows(c) == rows(d)
+        e = nearest_join(l, r, ["k"], "lts", "rts", tol, left_id=["lid"], tiebreak=["rid"], strategy="bucket")
+        assert rows(c) == rows(d) == rows(e)
+        f = nearest_join(l, r, ["k"], "lts", "rts", tol, left_id=["lid"], tiebreak=["rid"], how="left")
+        g = nearest_join(l, r, ["k"], "lts", "rts", tol, left_id=["lid"], tiebreak=["rid"], how="left",
+                         strategy="bucket")
+        assert rows(f) == rows(g) and f.count() == 300
     # python brute force for the nearest pick
     exp = {}
     for lid, k, lt in left:
