@@ -80,22 +80,69 @@ def rolling_calendar(daily: DataFrame, keys: Sequence[str], date: str,
 
 def rank_worst(df: DataFrame, date: str, metric: str, rank_col: str = "rank",
                flag_col: str | None = "is_worst", ndigits: int | None = 6,
-               partition: Sequence[str] = ()) -> DataFrame:
+               partition: Sequence[str] = (), strategy: str = "window",
+               range_partitions: int | None = None) -> DataFrame:
     """Dense rank per date by ``metric`` descending, NULLs last; ties share.
 
     Every row of a date is ranked (no completeness gate).  ``ndigits``
     rounds the metric for ranking only, so float noise from a different
     partial-sum order does not split a tie; ``None`` ranks the raw value.
+
+    ``strategy='window'`` ranks each date in one window partition (one task
+    per date; a spillable sort).  ``strategy='range'`` never puts a whole
+    date in one task: see :func:`dense_rank_desc`.
     """
     m = F.col(metric)
     key = F.round(m, ndigits) if ndigits is not None else m
-    w = Window.partitionBy(F.col(date), *[F.col(p) for p in partition]).orderBy(key.desc_nulls_last())
-    out = df.withColumn(rank_col, F.dense_rank().over(w))
+    groups = [date, *partition]
+    if strategy == "window":
+        w = Window.partitionBy(*[F.col(g) for g in groups]).orderBy(key.desc_nulls_last())
+        out = df.withColumn(rank_col, F.dense_rank().over(w))
+    elif strategy == "range":
+        out = dense_rank_desc(df, groups, key, rank_col, range_partitions)
+    else:
+        raise ValueError("strategy must be 'window' or 'range'")
     if flag_col:
         out = out.withColumn(flag_col, F.col(rank_col) == F.lit(1))
     return out
 
 
+def dense_rank_desc(df: DataFrame, groups: Sequence[str], value: Column, rank_col: str,
+                    num_partitions: int | None = None) -> DataFrame:
+    """``dense_rank() OVER (PARTITION BY groups ORDER BY value DESC NULLS LAST)``
+    without holding any group in one task.
+
+    1. distinct (groups, value) - a partial aggregate, so duplicates of a hot
+       value are merged map-side;
+    2. range-partition those by (groups, value desc): a wide group spans
+       several partitions; number the values inside each (partition, group);
+    3. per (partition, group) counts - at most partitions + groups rows -
+       give each partition the number of values of its group that sort
+       before it (running sum over partition ids);
+    4. rank = offset + local number, joined back on (groups, value) with a
+       null-safe key.  The rank side has one row per key, so AQE can split
+       a skewed key on the big side.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    gcols = [f"__sl_g{i}" for i in range(len(groups))]
+    dv = df.select(*[F.col(g).alias(c) for g, c in zip(groups, gcols)], value.alias("__sl_v")) \
+        .dropDuplicates([*gcols, "__sl_v"])
+    ranged = dv.repartitionByRange(n, *[F.col(c) for c in gcols], F.col("__sl_v").desc_nulls_last()) \
+        .withColumn("__sl_p", F.spark_partition_id())
+    local = ranged.withColumn("__sl_lr", F.row_number().over(
+        Window.partitionBy("__sl_p", *gcols).orderBy(F.col("__sl_v").desc_nulls_last())))
+    counts = local.groupBy("__sl_p", *gcols).agg(F.max("__sl_lr").alias("__sl_n"))
+    offsets = counts.withColumn("__sl_off", F.coalesce(F.sum("__sl_n").over(
+        Window.partitionBy(*gcols).orderBy("__sl_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ranks = local.join(offsets.select("__sl_p", *gcols, "__sl_off"), on=["__sl_p", *gcols]) \
+        .select(*gcols, "__sl_v", (F.col("__sl_off") + F.col("__sl_lr")).cast("int").alias(rank_col))
+    tagged = df.withColumn("__sl_val", value)
+    cond = [tagged[g].eqNullSafe(ranks[c]) for g, c in zip(groups, gcols)] + \
+        [tagged["__sl_val"].eqNullSafe(ranks["__sl_v"])]
+    return tagged.join(ranks, on=cond, how="left").drop(*gcols, "__sl_v", "__sl_val")
+
+
 def classify_bands(df: DataFrame, value: str, bands: Sequence[Band],
                    out: str = "category", drop_unmatched: bool = True) -> DataFrame:
     """Category of ``value`` by inclusive ranges; unmatched -> NULL (dropped)."""

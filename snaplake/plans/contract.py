@@ -102,14 +102,19 @@ def q_rolling_calendar(spark, d):
                                      _r6("avg_value_7d"), "max_value_7d", "days_in_window")
 
 
-def q_rank_worst(spark, d):
+def q_rank_worst(spark, d, strategy="window"):
     ranked = rank_worst(_rolling(spark, d), "date", "avg_value_7d",
-                        rank_col="rank_avg_value_7d", flag_col="is_worst_7d", ndigits=6)
+                        rank_col="rank_avg_value_7d", flag_col="is_worst_7d", ndigits=6, strategy=strategy)
     return ranked.select("user_id", "date", _r6("avg_value"), "max_value", "observations_cnt",
                          _r6("avg_value_7d"), "max_value_7d", "days_in_window",
                          "rank_avg_value_7d", "is_worst_7d")
 
 
+def q_rank_worst_range(spark, d):
+    """The same ranking with the distributed dense rank (no date held in one task)."""
+    return q_rank_worst(spark, d, strategy="range")
+
+
 def q_band_days_by_month(spark, d):
     ev = _events(spark, d).withColumn("event_date", F.to_date("ts"))
     daily = daily_metrics(ev, ["user_id"], "event_date", "value", aggs=("max",),
@@ -496,6 +501,7 @@ QUERIES = {
     "daily_metrics": q_daily_metrics,
     "rolling_calendar": q_rolling_calendar,
     "rank_worst": q_rank_worst,
+    "rank_worst_range": q_rank_worst_range,
     "band_days_by_month": q_band_days_by_month,
     "interval_join": q_interval_join,
     "nearest_join": q_nearest_join,
@@ -895,3 +901,5 @@ ORACLE_SQL.update({
 })
 
 ORACLE_SQL["run_refresh"] = _gold_metrics_sql(_gold_daily_sql(_silver_p_sql(_RUN_OK_SNAPSHOTS)))
+
+ORACLE_SQL["rank_worst_range"] = ORACLE_SQL["rank_worst"]

@@ -80,14 +80,18 @@ def daily_aqi(pollution: DataFrame, keys: Sequence[str] = ENTITY_KEYS) -> DataFr
 
 
 def gold_daily_metrics(daily: DataFrame, keys: Sequence[str] = ENTITY_KEYS,
-                       days: int = ROLLING_DAYS, ndigits: int | None = 6) -> DataFrame:
-    """Daily metrics + rolling calendar window + worst rank per date."""
+                       days: int = ROLLING_DAYS, ndigits: int | None = 6,
+                       rank_strategy: str = "range") -> DataFrame:
+    """Daily metrics + rolling calendar window + worst rank per date.
+
+    The rank uses the distributed dense rank by default: a date holds every
+    entity, so a one-task-per-date window would not scale with entities."""
     rolled = rolling_calendar(daily, keys, "date",
                               {"avg_aqi_us_7d": ("avg", "avg_aqi_us"), "max_aqi_us_7d": ("max", "max_aqi_us")},
                               days=days)
     rolled = rolled.withColumn("max_aqi_us_7d", F.col("max_aqi_us_7d").cast("int"))
     return rank_worst(rolled, "date", "avg_aqi_us_7d", rank_col="rank_avg_aqi_us_7d",
-                      flag_col="is_worst_city_7d", ndigits=ndigits)
+                      flag_col="is_worst_city_7d", ndigits=ndigits, strategy=rank_strategy)
 
 
 def gold_category_days(daily: DataFrame, keys: Sequence[str] = ENTITY_KEYS) -> DataFrame:

@@ -77,3 +77,16 @@ def test_monthly_correlation(spark):
     expected = float(np.corrcoef([1.0, 2.0, 4.0], [1.0, 2.5, 3.5])[0, 1])  # NULL pair left out
     assert out[("nullm", 1)]["pairs_cnt"] == 4 and out[("nullm", 1)]["c"] == pytest.approx(expected)
     assert out[("straddle", 1)]["pairs_cnt"] == 1 and out[("straddle", 2)]["pairs_cnt"] == 1
+
+
+def test_distributed_dense_rank_equals_window(spark):
+    import random
+    rnd = random.Random(5)
+    # one very wide date, many ties and NULLs
+    data = [(f"e{i}", dt.date(2024, 1, 1 if i % 3 else 2),
+             None if i % 17 == 0 else float(rnd.randint(0, 40)) + rnd.choice([0.0, 1e-9])) for i in range(600)]
+    df = spark.createDataFrame(data, "e string, d date, m double")
+    a = rank_worst(df, "d", "m", strategy="window")
+    b = rank_worst(df, "d", "m", strategy="range", range_partitions=7)
+    assert rows(a) == rows(b)
+    assert b.count() == 600
