@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from snaplake.functions.bands import Band, band_of
 from snaplake.functions.stats import safe_corr
 from snaplake.functions.time import trunc_like
+from snaplake.session import ensure_checkpoint_dir
 
 _AGG_FNS = ("avg", "max", "min", "sum", "count")
 
@@ -122,6 +123,9 @@ def dense_rank_desc(df: DataFrame, groups: Sequence[str], value: Column, rank_co
     4. rank = offset + local number, joined back on (groups, value) with a
        null-safe key.  The rank side has one row per key, so AQE can split
        a skewed key on the big side.
+
+    Step 2 is materialised with a reliable ``checkpoint()`` (an action): the
+    distinct (group, value) pairs, not the input rows.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -130,6 +134,13 @@ def dense_rank_desc(df: DataFrame, groups: Sequence[str], value: Column, rank_co
         .dropDuplicates([*gcols, "__sl_v"])
     ranged = dv.repartitionByRange(n, *[F.col(c) for c in gcols], F.col("__sl_v").desc_nulls_last()) \
         .withColumn("__sl_p", F.spark_partition_id())
+    # The range bounds come from a sample whose rows arrive in shuffle-fetch
+    # order, so a second evaluation could draw other bounds; the counts and
+    # the numbers below must see the same partitioning.  A reliable
+    # checkpoint (shared checkpoint folder) fixes it once and survives
+    # executor loss.
+    ensure_checkpoint_dir(spark)
+    ranged = ranged.checkpoint(eager=True)
     local = ranged.withColumn("__sl_lr", F.row_number().over(
         Window.partitionBy("__sl_p", *gcols).orderBy(F.col("__sl_v").desc_nulls_last())))
     counts = local.groupBy("__sl_p", *gcols).agg(F.max("__sl_lr").alias("__sl_n"))
