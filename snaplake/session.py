@@ -23,6 +23,20 @@ CORE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Starting points for a large cluster (~100 TB input, ~1000 executors).
+# Shuffle partitions are an upper bound that AQE coalesces down to the
+# advisory size; file splits of 256 MB keep scan tasks in the thousands;
+# the skew-join thresholds let AQE split a partition 5x the median.
+CLUSTER_CONF = {
+    **CORE_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "snaplake") -> SparkSession:
