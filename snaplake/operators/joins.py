@@ -106,28 +106,37 @@ def nearest_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts
 
     Strategies (all exact, same result):
 
-    * ``sweep`` (default for microseconds): no candidate pairs at all.  Both
+    * ``sweep`` (default): no candidate pairs at all.  Both
       sides are unioned and partitioned by (keys, time bucket of width
       ``tolerance``), the right side copied into the neighbouring buckets;
       two running ``last(ignorenulls)`` windows (ascending and descending
       time) give every left row its nearest right row before and after.
-      O(n log n) per bucket however dense the right side is.
-    * ``bucket`` (default for whole seconds): bucketed band join, then
+      O(n log n) per bucket however dense the right side is.  For whole
+      seconds the sweep also finds the first right row inside the
+      tolerance, and a (keys, second) -> earliest-row table resolves ties
+      inside a second (two equi-lookups, one row per key on the small side).
+    * ``bucket``: bucketed band join, then
       ``row_number() = 1`` per left row, partitioned by (keys, bucket, id) so
       the join's hash partitioning is reused.  Work grows with the number of
       right rows within the tolerance of each left row.
     * ``naive``: plain keys + range join, the baseline for tests.
 
-    The sweep answers every left row on its own (as if ``left_id`` were
-    unique); the join strategies collapse left rows sharing an id.
+    The microsecond sweep answers every left row on its own (as if
+    ``left_id`` were unique); the other strategies collapse left rows
+    sharing an id.
     """
+    tol_us = to_micros(tolerance)
     if strategy == "auto":
-        strategy = "sweep" if unit == "microsecond" else "bucket"
+        strategy = "sweep" if unit == "microsecond" or tol_us >= 1_000_000 else "bucket"
     if strategy == "sweep":
-        if unit != "microsecond":
-            raise ValueError("the sweep strategy measures microseconds; use strategy='bucket' for seconds")
-        return _nearest_sweep(left, right, keys, left_ts, right_ts, to_micros(tolerance), tiebreak, how,
-                              diff_col)
+        if unit == "microsecond":
+            return _nearest_sweep(left, right, keys, left_ts, right_ts, tol_us, tiebreak, how, diff_col)
+        if unit == "second":
+            if tol_us < 1_000_000:
+                raise ValueError("whole-second sweep needs a tolerance of at least one second")
+            return _nearest_sweep_seconds(left, right, keys, left_ts, right_ts, tol_us, left_id, tiebreak,
+                                          how, diff_col)
+        raise ValueError("unit must be 'microsecond' or 'second'")
     cand = interval_join(left, right, keys, left_ts, right_ts, tolerance, tolerance,
                          how=how, strategy=strategy, keep_bucket=True)
     if unit == "microsecond":
@@ -217,3 +226,111 @@ def _nearest_sweep(left: DataFrame, right: DataFrame, keys: Sequence[str], left_
     if diff_col:
         cols.append(F.col("__sl_d").alias(diff_col))
     return out.select(*cols)
+
+
+def _nearest_sweep_seconds(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,
+                           right_ts: str, tol_us: int, left_id: Sequence[str] | None,
+                           tiebreak: Sequence[str], how: str, diff_col: str | None) -> DataFrame:
+    """Whole-second distance, exact, without candidate pairs, one shuffle.
+
+    For a left row at l (second ls) the best right row is, among rows within
+    the tolerance, the one minimising (|ls - rs|, r, tiebreak):
+
+    * before side: the second gB of the latest right row <= l, and in it the
+      earliest row - except when gB is the second of l - tolerance, where
+      only rows from l - tolerance on count: then it is the first right row
+      >= l - tolerance, found by a probe row at l - tolerance;
+    * after side: the earliest row of the second gA of the first right row
+      >= l (with a tolerance >= 1 s every row of that second is in range).
+
+    Everything happens inside the (keys, bucket) partitions of the sweep: the
+    earliest row of each second is a window per (keys, bucket, second) -
+    every second used this way lies wholly inside the bucket and its two
+    neighbours, whose right rows the partition holds - and the probe sits in
+    the left row's bucket and is joined to it by a window per left row.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
+    right_r, rk = _rename_right(left, right, keys)
+    width = max(tol_us, 1)
+    sec = 1_000_000
+    rcols = [c for c in right_r.columns if c not in rk.values()]
+    kcols = [f"__sl_k{i}" for i in range(len(keys))]
+    ids = list(left_id) if left_id else [left_ts]
+
+    def fsec(c: Column) -> Column:  # floor seconds of microseconds (exact)
+        return ((c - F.pmod(c, F.lit(sec))) / F.lit(sec)).cast("long")
+
+    lstruct = F.struct(*[F.col(c) for c in left.columns])
+    lus = left.withColumn(_LUS, epoch_micros(F.col(left_ts))) \
+        .withColumn(_BUCKET, _floor_div(_LUS, width))
+    lsel = [*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)], F.col(_BUCKET),
+            *[F.col(c).alias(f"__sl_id{i}") for i, c in enumerate(ids)], lstruct.alias("__sl_l")]
+    lq = (lus.select(*lsel, F.col(_LUS).alias("__sl_t"), F.lit(1).alias("__sl_side"))
+             .unionByName(lus.select(*lsel, (F.col(_LUS) - F.lit(tol_us)).alias("__sl_t"),
+                                     F.lit(2).alias("__sl_side"))))
+    rq = (right_r.withColumn(_RUS, epoch_micros(F.col(right_ts)))
+                 .withColumn("__sl_rb", _floor_div(_RUS, width))
+                 .select(*[F.col(rk[k]).alias(kc) for k, kc in zip(keys, kcols)],
+                         F.explode(F.sequence(F.col("__sl_rb") - 1, F.col("__sl_rb") + 1)).alias(_BUCKET),
+                         F.col(_RUS).alias("__sl_t"), F.lit(0).alias("__sl_side"),
+                         F.struct(F.col(_RUS).alias(_RUS), *[F.col(c) for c in rcols]).alias("__sl_row"),
+                         *[F.col(t).alias(f"__sl_tb{i}") for i, t in enumerate(tiebreak)]))
+    for c in rq.columns:
+        if c not in lq.columns:
+            lq = lq.withColumn(c, F.lit(None).cast(rq.schema[c].dataType))
+    for c in lq.columns:
+        if c not in rq.columns:
+            rq = rq.withColumn(c, F.lit(None).cast(lq.schema[c].dataType))
+    both = lq.unionByName(rq)
+
+    part = [F.col(kc) for kc in kcols] + [F.col(_BUCKET)]
+    tb_asc = [F.col(f"__sl_tb{i}").asc_nulls_last() for i in range(len(tiebreak))]
+    tb_desc = [F.col(f"__sl_tb{i}").desc_nulls_first() for i in range(len(tiebreak))]
+    is_right = F.col("__sl_side") == 0
+    # earliest right row of each second (right rows only; left rows form their own group)
+    rsec = F.when(is_right, fsec(F.col("__sl_t")))
+    w_sec = Window.partitionBy(*part, rsec.alias("__sl_rs")).orderBy(F.col("__sl_t").asc(), *tb_asc)
+    both = both.withColumn("__sl_r", F.when(is_right, F.struct(
+        F.col("__sl_row").alias("row"), F.first("__sl_row").over(w_sec).alias("first_of_second"))))
+    side_order = F.when(is_right, F.lit(0)).otherwise(F.lit(1))
+    w_before = (Window.partitionBy(*part).orderBy(F.col("__sl_t").asc(), side_order.asc(), *tb_desc)
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    w_after = (Window.partitionBy(*part).orderBy(F.col("__sl_t").desc(), side_order.asc(), *tb_desc)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    swept = (both.withColumn("__sl_b", F.last("__sl_r", ignorenulls=True).over(w_before))
+                 .withColumn("__sl_a", F.last("__sl_r", ignorenulls=True).over(w_after))
+                 .filter(~is_right))
+    # bring the probe's answer (first right row >= l - tolerance) to its left row
+    id_cols = [f"__sl_id{i}" for i in range(len(ids))]
+    w_id = Window.partitionBy(*part, *[F.col(c) for c in id_cols])
+    probe = F.col("__sl_side") == 2
+    swept = swept.withColumn("__sl_lo", F.max(F.when(probe, F.col("__sl_a.row"))).over(w_id)) \
+        .filter(~probe)
+    # one row per left identity (duplicates of an id collapse, as in the joins)
+    w_one = w_id.orderBy(F.col("__sl_l").asc())
+    swept = swept.withColumn("__sl_n", F.row_number().over(w_one)).filter(F.col("__sl_n") == 1)
+
+    lu = F.col("__sl_t")
+    ls = fsec(lu)
+    s_lo = fsec(lu - F.lit(tol_us))
+    b_us = F.col(f"__sl_b.row.{_RUS}")
+    a_us = F.col(f"__sl_a.row.{_RUS}")
+    gb = F.when(lu - b_us <= F.lit(tol_us), fsec(b_us))
+    ga = F.when(a_us - lu <= F.lit(tol_us), fsec(a_us))
+    win_b = F.when(gb.isNull(), F.lit(None)).when(gb == s_lo, F.col("__sl_lo")) \
+        .otherwise(F.col("__sl_b.first_of_second"))
+    win_a = F.when(ga.isNotNull(), F.col("__sl_a.first_of_second"))
+    db, da = ls - gb, ga - ls
+    # equal whole-second distance: the earlier row (the before side is never later)
+    pick_b = win_b.isNotNull() & (win_a.isNull() | (db <= da))
+    chosen = F.when(pick_b, win_b).otherwise(win_a)
+    dist = F.when(pick_b, db).when(win_a.isNotNull(), da)
+    out = swept.select(F.col("__sl_l"), chosen.alias("__sl_c"), dist.alias("__sl_d"))
+    if how == "inner":
+        out = out.filter(F.col("__sl_c").isNotNull())
+    cols = [F.col(f"__sl_l.{c}").alias(c) for c in left.columns] + \
+           [F.col(f"__sl_c.{c}").alias(c) for c in rcols]
+    if diff_col:
+        cols.append(F.col("__sl_d").alias(diff_col))
+    return out.select(*cols)
