@@ -66,14 +66,30 @@ def append_table(df: DataFrame, target: str, fmt: str = "parquet",
         w.saveAsTable(target)
 
 
+def _scan_roots(df: DataFrame) -> list[str] | None:
+    """Root folders of every file scan in the plan (a handful of paths, not
+    the file list), or None when they cannot be read from the plan."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        roots = []
+        it = leaves.iterator()
+        while it.hasNext():
+            leaf = it.next()
+            if leaf.nodeName() not in ("Relation", "LogicalRelation"):
+                if leaf.nodeName() in ("LocalRelation", "Range", "OneRowRelation", "LogicalRDD"):
+                    continue
+                return None
+            paths = leaf.relation().location().rootPaths()
+            pit = paths.iterator()
+            while pit.hasNext():
+                roots.append(pit.next().toString())
+        return roots
+    except Exception:
+        return None
+
+
 def _reads_from(df: DataFrame, target: str) -> bool:
     spark = df.sparkSession
-    try:
-        files = df.inputFiles()
-    except Exception:  # pragma: no cover - sources without files
-        return False
-    if not files:
-        return False
     if _is_path(target):
         root = target.rstrip("/")
     else:
@@ -89,7 +105,14 @@ def _reads_from(df: DataFrame, target: str) -> bool:
         if not root:
             return False
     root = _local(root)
-    return any(_local(f).startswith(root + "/") for f in files)
+    scans = _scan_roots(df)
+    if scans is None:  # unusual plan: fall back to the file list
+        try:
+            scans = list(df.inputFiles())
+        except Exception:  # pragma: no cover - sources without files
+            return False
+    return any(_local(f) == root or _local(f).startswith(root + "/") or root.startswith(_local(f) + "/")
+               for f in scans)
 
 
 def _local(p: str) -> str:
