@@ -3,8 +3,9 @@
 * ``stream_bronze``: a landing directory of API responses -> the append-only
   snapshot table.  Each micro-batch is classified, checked against what is
   already in Bronze (and against itself) and appended.  The batch is written
-  into its own ``stream_batch=<id>`` partition with dynamic partition
-  overwrite, and the idempotency check ignores that partition, so a batch
+  into its own ``execution_id=<e>/stream_batch=<id>`` partitions with dynamic
+  partition overwrite, and the idempotency check (which reads only the
+  partitions of the batch's executions) ignores that batch id, so a batch
   that is replayed after a failure rewrites itself instead of appending
   twice: the sink is exactly-once.
 * ``stream_silver``: the snapshot table -> a latest-wins observation table.
@@ -34,6 +35,9 @@ from snaplake.schemas import ENTITY_KEYS, LANDING
 from snaplake.sources.io import refresh_table
 
 BATCH_COL = "stream_batch"
+# streamed Bronze layout: the idempotency check of a batch reads only the
+# partitions of its own executions; a replayed batch rewrites its partitions
+BRONZE_PARTITIONS = ["execution_id", BATCH_COL]
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 JSON_TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -80,13 +84,18 @@ def stream_bronze(spark: SparkSession, landing_path: str, bronze_path: str, chec
         s.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         classified = classify_responses(batch)
         if _exists(s, bronze_path):
-            stored = (s.read.parquet(bronze_path)
-                       .filter(F.col(BATCH_COL) != F.lit(batch_id)))
+            # explicit schema: partition values are never type-inferred
+            schema = StructType(list(classified.schema.fields) + [StructField(BATCH_COL, LongType(), True)])
+            execs = classified.select("execution_id").dropDuplicates()
+            stored = (s.read.schema(schema).parquet(bronze_path)
+                       .filter(F.col(BATCH_COL) != F.lit(batch_id))
+                       # only this batch's executions: partition pruning at the scan
+                       .join(execs, on="execution_id", how="left_semi"))
         else:
             stored = classified.limit(0)
         todo = skip_ingested(classified, stored, keys, order_cols=order_cols) \
             .withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-        refresh_table(todo, bronze_path, partition_by=[BATCH_COL])
+        refresh_table(todo, bronze_path, partition_by=BRONZE_PARTITIONS)
         if registry_path:
             reg = to_call_registry(todo, environment, keys).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
             refresh_table(reg, registry_path, partition_by=[BATCH_COL])
