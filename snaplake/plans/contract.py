@@ -46,7 +46,7 @@ from snaplake.operators.silver import latest_wins, normalize_json
 from snaplake.plans import lake
 from snaplake.schemas import AQI_BANDS, JOIN_WINDOW_HOURS
 from snaplake.session import scratch_path, spread
-from snaplake.sources.io import append_table, read_table, read_testdata, refresh_table
+from snaplake.sources.io import append_table, ensure_tables, read_table, read_testdata, refresh_table
 from snaplake.streaming.stream import (
     BATCH_COL,
     append_landing,
@@ -444,6 +444,18 @@ def q_refresh_table(spark, d):
     return read_table(spark, path).select(*full.columns)
 
 
+def q_ensure_tables(spark, d):
+    """Bootstrap a database and a date-partitioned table (twice: idempotent),
+    write the daily aggregate through the catalog name, read it back."""
+    daily = q_daily_metrics(spark, d)
+    loc = scratch_path(spark, "catalog")
+    db = "snaplake_contract_" + loc.rsplit("-", 1)[-1]
+    for _ in range(2):
+        ensure_tables(spark, db, location=loc, tables={"daily_metrics": daily.schema})
+    refresh_table(daily, f"{db}.daily_metrics")
+    return read_table(spark, f"{db}.daily_metrics")
+
+
 def q_append_table(spark, d):
     """Classified snapshots appended twice to the same table: both copies stay."""
     path = scratch_path(spark, "append_table")
@@ -524,6 +536,7 @@ QUERIES = {
     "gold_weather_correlation": q_gold_weather_correlation,
     "refresh_table": q_refresh_table,
     "append_table": q_append_table,
+    "ensure_tables": q_ensure_tables,
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
     "run_refresh": q_run_refresh,
@@ -903,3 +916,5 @@ ORACLE_SQL.update({
 ORACLE_SQL["run_refresh"] = _gold_metrics_sql(_gold_daily_sql(_silver_p_sql(_RUN_OK_SNAPSHOTS)))
 
 ORACLE_SQL["rank_worst_range"] = ORACLE_SQL["rank_worst"]
+
+ORACLE_SQL["ensure_tables"] = ORACLE_SQL["daily_metrics"]
