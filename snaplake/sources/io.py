@@ -93,15 +93,13 @@ def _reads_from(df: DataFrame, target: str) -> bool:
     if _is_path(target):
         root = target.rstrip("/")
     else:
-        try:
-            root = spark.sql(f"DESCRIBE DETAIL {target}").first()["location"]
-        except Exception:
-            try:
-                loc = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()
-                       if r["col_name"] == "Location"]
-                root = loc[0]["data_type"] if loc else None
-            except Exception:
-                root = None
+        # DESCRIBE TABLE EXTENDED names the location of parquet and Delta
+        # catalog tables alike (a few dozen metadata rows)
+        if not spark.catalog.tableExists(target):
+            return False
+        loc = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()
+               if r["col_name"] == "Location"]
+        root = loc[0]["data_type"] if loc else None
         if not root:
             return False
     root = _local(root)
