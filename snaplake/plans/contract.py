@@ -507,6 +507,32 @@ def q_run_refresh(spark, d):
                     "is_worst_city_7d")
 
 
+# the incremental run's two landed batches: days before SPLIT_END, days from
+# SPLIT_START on - together the whole landing, two days landed twice
+SPLIT_START, SPLIT_END = dt.date(2024, 1, 16), dt.date(2024, 1, 18)
+
+
+def q_run_refresh_incremental(spark, d):
+    """Two refresh runs in incremental mode over two overlapping batches of
+    the landing: the second run re-merges only the Silver dates it touches
+    and rewrites only the Gold slices they reach.  The Gold daily table read
+    back must equal a full refresh of everything."""
+    from snaplake.plans.refresh import LakeConfig, run_refresh
+
+    cfg = LakeConfig(root=scratch_path(spark, "lake_inc"), keys=["user_id"], extra=["event_id"],
+                     version_cols=("bronze_ingestion_ts", "api_call_ts", "event_id"), incremental=True)
+    limits = spark.createDataFrame(RUN_LIMITS, "config_key string, config_value string")
+    landing = lake_landing(spark, d)
+    day = F.to_date("api_call_ts")
+    run_refresh(spark, cfg, landing.filter(day < F.lit(SPLIT_END)), limits, as_of=AS_OF,
+                pipeline_run_id="run_inc_1")
+    run_refresh(spark, cfg, landing.filter(day >= F.lit(SPLIT_START)), limits,
+                as_of=AS_OF + dt.timedelta(hours=7), pipeline_run_id="run_inc_2")
+    g = read_table(spark, cfg.path("gold_daily_metrics"))
+    return g.select("user_id", "date", _r6("avg_aqi_us"), "max_aqi_us", "observations_cnt",
+                    _r6("avg_aqi_us_7d"), "max_aqi_us_7d", "days_in_window", "rank_avg_aqi_us_7d",
+                    "is_worst_city_7d")
+
 QUERIES = {
     "normalize_json": q_normalize_json,
     "latest_wins": q_latest_wins,
@@ -540,6 +566,7 @@ QUERIES = {
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
     "run_refresh": q_run_refresh,
+    "run_refresh_incremental": q_run_refresh_incremental,
 }
 
 # ---------------------------------------------------------------- DuckDB oracle
@@ -914,6 +941,7 @@ ORACLE_SQL.update({
 })
 
 ORACLE_SQL["run_refresh"] = _gold_metrics_sql(_gold_daily_sql(_silver_p_sql(_RUN_OK_SNAPSHOTS)))
+ORACLE_SQL["run_refresh_incremental"] = ORACLE_SQL["run_refresh"]
 
 ORACLE_SQL["rank_worst_range"] = ORACLE_SQL["rank_worst"]
 

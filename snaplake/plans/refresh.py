@@ -11,11 +11,13 @@ assumed (as the original does) - two concurrent runs could both append.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake.operators.bronze import classify_responses, skip_ingested, to_call_registry
@@ -28,13 +30,18 @@ from snaplake.operators.control import (
     run_outcome,
 )
 from snaplake.plans import lake
+from snaplake.operators.silver import latest_wins
 from snaplake.schemas import (
     ENTITY_KEYS,
     INGESTION_ENTITIES,
+    JOIN_WINDOW_HOURS,
     PARTITION_COLUMNS,
     PIPELINE_AUDIT,
+    ROLLING_DAYS,
 )
+from snaplake.session import ensure_checkpoint_dir
 from snaplake.sources.io import append_table, read_table, refresh_table
+from snaplake.streaming.stream import _exists
 
 
 @dataclass
@@ -49,24 +56,61 @@ class LakeConfig:
     silver_enabled: bool = True
     gold_enabled: bool = True
     partitioned: bool = True                    # Silver/Gold partitioned by date
+    # Silver/Gold: recompute only the date slices this run's snapshots touch
+    # (needs partitioned tables, and every earlier run refreshed both layers)
+    incremental: bool = False
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
 
 def _read_or_empty(spark: SparkSession, cfg: LakeConfig, table: str, schema) -> DataFrame:
-    from snaplake.streaming.stream import _exists
-
     if _exists(spark, cfg.path(table)):
         return read_table(spark, cfg.path(table), cfg.fmt)
     return spark.createDataFrame([], schema)
 
 
-def _write(df: DataFrame, cfg: LakeConfig, table: str) -> None:
+def _write(df: DataFrame, cfg: LakeConfig, table: str, replace: str = "all") -> None:
     part = [PARTITION_COLUMNS[table]] if cfg.partitioned and table in PARTITION_COLUMNS else None
     if part:
         df = df.select(*[c for c in df.columns if c not in part], *part)
-    refresh_table(df, cfg.path(table), cfg.fmt, partition_by=part)
+    refresh_table(df, cfg.path(table), cfg.fmt, partition_by=part, replace=replace)
+
+
+def _write_slices(df: DataFrame, cfg: LakeConfig, table: str, in_slice: Column,
+                  full: Callable[[], DataFrame]) -> str:
+    """Overwrite the partitions of ``df``; ``in_slice`` selects the
+    partitions this run is responsible for.  If one of those holds rows in
+    the stored table but none in ``df`` (every value of a day turned NULL),
+    dynamic overwrite would leave it stale: the table is rebuilt in full."""
+    spark = df.sparkSession
+    path, part = cfg.path(table), PARTITION_COLUMNS[table]
+    if not _exists(spark, path):
+        _write(full(), cfg, table)
+        return "full"
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    stale = (read_table(spark, path, cfg.fmt).filter(in_slice).select(part).distinct()
+             .join(df.select(part).distinct(), on=part, how="left_anti")
+             .limit(1).count()) > 0
+    if stale:
+        df.unpersist()
+        _write(full(), cfg, table)
+        return "full"
+    _write(df, cfg, table, replace="slices")
+    df.unpersist()
+    return "slices"
+
+
+def _days_around(days: Sequence[_dt.date], before: int, after: int) -> list[_dt.date]:
+    return sorted({d + _dt.timedelta(days=i) for d in days for i in range(-before, after + 1)})
+
+
+def _months(days: Sequence[_dt.date]) -> list[_dt.date]:
+    return sorted({d.replace(day=1) for d in days})
+
+
+def _month_of(c: Column) -> Column:
+    return F.trunc(F.to_date(c), "month")
 
 
 def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits: DataFrame,
@@ -83,8 +127,6 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
     run_id = pipeline_run_id or uuid.uuid4().hex
     keys = cfg.keys
     audit = _read_or_empty(spark, cfg, "pipeline_audit", PIPELINE_AUDIT)
-    from snaplake.streaming.stream import _exists
-
     if _exists(spark, cfg.path("api_call_registry")):
         registry = read_table(spark, cfg.path("api_call_registry"), cfg.fmt)
     else:  # first run: an empty registry shaped like this lake's keys
@@ -111,6 +153,7 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
 
     # 2. Bronze: quota verdict, pending work, classify, idempotency, append
     bronze_ok = True
+    new_rows = None  # this run's Bronze rows (lineage cut), for incremental Silver
     if cfg.bronze_enabled:
         pending = pending_entities(entities, registry, cfg.environment, execution_id, keys)
         requested = pending.count()
@@ -121,17 +164,19 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
             bronze_ok = False
         else:
             bronze_path = cfg.path("bronze_snapshot")
-            from snaplake.streaming.stream import _exists
-
             stored = read_table(spark, bronze_path, cfg.fmt) if _exists(spark, bronze_path) else None
             batch = classify_responses(landing)
             todo = skip_ingested(batch, stored if stored is not None else batch.limit(0), keys,
                                  order_cols=("api_call_ts", *cfg.extra))
-            todo = todo.persist(StorageLevel.MEMORY_AND_DISK)
+            # Reliable checkpoint, not a cache: once Bronze holds these rows, a
+            # recomputation (lost cache block, lost executor) would run the
+            # idempotency check against them and drop them all.
+            ensure_checkpoint_dir(spark)
+            todo = todo.checkpoint(eager=True)
             append_table(todo, bronze_path, cfg.fmt)
             append_table(to_call_registry(todo, cfg.environment, keys), cfg.path("api_call_registry"), cfg.fmt)
             failed = todo.filter(F.col("api_result") != "SUCCESS").count()
-            todo.unpersist()
+            new_rows = todo
             activity("bronze", "FAILED" if failed else "SUCCESS",
                      f"{failed} entity call(s) failed" if failed else None)
     else:
@@ -139,14 +184,21 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
 
     # 3. Silver (after Bronze completed, whatever its outcome)
     silver_ok = False
-    from snaplake.streaming.stream import _exists
-
-    if cfg.silver_enabled and _exists(spark, cfg.path("bronze_snapshot")):
+    touched = None  # observation dates per Silver table (None: full refresh)
+    extra = ["api_call_ts", *cfg.extra]
+    silver_tables = ("silver_pollution", "silver_weather")
+    incremental = (cfg.incremental and cfg.partitioned
+                   and all(_exists(spark, cfg.path(t)) for t in silver_tables))
+    if cfg.silver_enabled and incremental:
+        touched = _silver_slices(spark, cfg, new_rows, keys, extra, execution_id, run_id, as_of)
+        result["silver_dates"] = {t: len(v) for t, v in touched.items()}
+        silver_ok = True
+        activity("silver", "SUCCESS")
+    elif cfg.silver_enabled and _exists(spark, cfg.path("bronze_snapshot")):
         bronze = read_table(spark, cfg.path("bronze_snapshot"), cfg.fmt)
-        parsed = lake.parsed_snapshots(bronze, keys, extra=["api_call_ts", *cfg.extra]) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        pol = lake.silver_pollution(parsed, keys, cfg.version_cols, extra=["api_call_ts", *cfg.extra])
-        wea = lake.silver_weather(parsed, keys, cfg.version_cols, extra=["api_call_ts", *cfg.extra])
+        parsed = lake.parsed_snapshots(bronze, keys, extra=extra).persist(StorageLevel.MEMORY_AND_DISK)
+        pol = lake.silver_pollution(parsed, keys, cfg.version_cols, extra=extra)
+        wea = lake.silver_weather(parsed, keys, cfg.version_cols, extra=extra)
         _write(lake.stamp(pol, "silver", execution_id, run_id, as_of), cfg, "silver_pollution")
         _write(lake.stamp(wea, "silver", execution_id, run_id, as_of), cfg, "silver_weather")
         parsed.unpersist()
@@ -156,7 +208,10 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
         activity("silver", "SKIPPED")
 
     # 4. Gold (only if Silver succeeded); the daily aggregate is computed once
-    if cfg.gold_enabled and silver_ok:
+    if cfg.gold_enabled and silver_ok and touched is not None:
+        result["gold_writes"] = _gold_slices(spark, cfg, touched, keys, execution_id, run_id, as_of)
+        activity("gold", "SUCCESS")
+    elif cfg.gold_enabled and silver_ok:
         pol = read_table(spark, cfg.path("silver_pollution"), cfg.fmt)
         wea = read_table(spark, cfg.path("silver_weather"), cfg.fmt)
         daily = lake.daily_aqi(pol, keys).persist(StorageLevel.MEMORY_AND_DISK)
@@ -198,5 +253,87 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
     return result
 
 
+_SILVER = {  # table -> (builder, observation time, date partition)
+    "silver_pollution": (lake.silver_pollution, "pollution_ts", "pollution_date"),
+    "silver_weather": (lake.silver_weather, "weather_ts", "weather_date"),
+}
+
+
+def _silver_slices(spark: SparkSession, cfg: LakeConfig, new_rows: DataFrame | None, keys, extra,
+                   execution_id, run_id, as_of) -> dict[str, list[_dt.date]]:
+    """Incremental Silver: only the observation dates this run's snapshots
+    reach are recomputed - latest-wins over (stored rows of those dates) +
+    (new rows) - and overwritten in place.  Latest-wins is associative, so
+    the result equals a full recompute from all of Bronze.  Returns the
+    touched dates per table (a bounded list: one entry per calendar day)."""
+    touched: dict[str, list[_dt.date]] = {t: [] for t in _SILVER}
+    if new_rows is None:
+        return touched
+    # new_rows is checkpointed: the parse below is recomputable and exact
+    parsed = lake.parsed_snapshots(new_rows, keys, extra=extra).persist(StorageLevel.MEMORY_AND_DISK)
+    for table, (build, ts_col, date_col) in _SILVER.items():
+        new = build(parsed, keys, cfg.version_cols, extra=extra)
+        dates = sorted(r[0] for r in new.select(date_col).distinct().collect())
+        touched[table] = dates
+        if not dates:
+            continue
+        # partition pruning: only the touched date folders are read
+        stored = read_table(spark, cfg.path(table), cfg.fmt).filter(F.col(date_col).isin(dates)) \
+            .select(*new.columns)
+        merged = latest_wins(stored.unionByName(new), keys, ts_col, cfg.version_cols)
+        _write(lake.stamp(merged, "silver", execution_id, run_id, as_of), cfg, table, replace="slices")
+    parsed.unpersist()
+    return touched
+
+
+def _gold_slices(spark: SparkSession, cfg: LakeConfig, touched: dict[str, list[_dt.date]], keys,
+                 execution_id, run_id, as_of) -> dict[str, str]:
+    """Incremental Gold from the Silver dates this run touched.
+
+    * daily metrics: a day d changes the 7-day window of d .. d+6; those
+      dates are recomputed from Silver days d-6 .. d+6 (each output date sees
+      every entity of that date, so the per-date rank is complete);
+    * category days: the months of the touched days;
+    * weather correlation: the months of touched pollution days, and of
+      weather days within the join tolerance of a month.
+    Each table falls back to a full rebuild when a slice would vanish."""
+    tp, tw = touched["silver_pollution"], touched["silver_weather"]
+    pol_all = read_table(spark, cfg.path("silver_pollution"), cfg.fmt)
+    wea_all = read_table(spark, cfg.path("silver_weather"), cfg.fmt)
+
+    def stamp(df):
+        return lake.stamp(df, "gold", execution_id, run_id, as_of)
+
+    writes: dict[str, str] = {}
+    if tp:
+        span = ROLLING_DAYS - 1
+        out_days = _days_around(tp, 0, span)
+        pol = pol_all.filter(F.col("pollution_date").isin(_days_around(tp, span, span)))
+        g = lake.gold_daily_metrics(lake.daily_aqi(pol, keys), keys).filter(F.col("date").isin(out_days))
+        writes["gold_daily_metrics"] = _write_slices(
+            stamp(g), cfg, "gold_daily_metrics", F.col("date").isin(out_days),
+            lambda: stamp(lake.gold_daily_metrics(lake.daily_aqi(pol_all, keys), keys)))
+
+        months = _months(tp)
+        pol_m = pol_all.filter(_month_of(F.col("pollution_date")).isin(months))
+        writes["gold_category_days_by_month"] = _write_slices(
+            stamp(lake.gold_category_days(lake.daily_aqi(pol_m, keys), keys)), cfg,
+            "gold_category_days_by_month", _month_of(F.col("month_start")).isin(months),
+            lambda: stamp(lake.gold_category_days(lake.daily_aqi(pol_all, keys), keys)))
+
+    reach = math.ceil(JOIN_WINDOW_HOURS / 24)  # days a weather row can reach
+    months = _months([*tp, *_days_around(tw, reach, reach)])
+    if months:
+        pol_c = pol_all.filter(_month_of(F.col("pollution_date")).isin(months))
+        wday = F.col("weather_date")
+        wea_c = wea_all.filter(_month_of(F.date_add(wday, reach)).isin(months)
+                               | _month_of(F.date_sub(wday, reach)).isin(months))
+        writes["gold_weather_correlation_by_month"] = _write_slices(
+            stamp(lake.gold_weather_correlation(pol_c, wea_c, keys)), cfg,
+            "gold_weather_correlation_by_month", _month_of(F.col("month_start")).isin(months),
+            lambda: stamp(lake.gold_weather_correlation(pol_all, wea_all, keys)))
+    return writes
+
+
 def empty_entities(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], INGESTION_ENTITIES)

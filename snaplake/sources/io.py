@@ -119,26 +119,29 @@ def _local(p: str) -> str:
 
 
 def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
-                  partition_by: Sequence[str] | None = None) -> None:
+                  partition_by: Sequence[str] | None = None, replace: str = "slices") -> None:
     """Full-refresh sink.
 
-    With ``partition_by`` and dynamic partition overwrite, only the date
-    slices present in ``df`` are replaced (the ``replaceWhere`` pattern);
-    without it the whole table is replaced.  When ``df`` reads the target
-    itself it is checkpointed first (lineage cut, data in the shared
+    With ``partition_by`` and ``replace='slices'`` only the partitions
+    (date slices) present in ``df`` are replaced - dynamic partition
+    overwrite, the ``replaceWhere`` pattern; ``replace='all'`` replaces the
+    whole table, so a partition missing from ``df`` disappears.  Without
+    ``partition_by`` the whole table is replaced.  When ``df`` reads the
+    target itself it is checkpointed first (lineage cut, data in the shared
     checkpoint folder), so the overwrite cannot delete its own input.
     """
+    if replace not in ("slices", "all"):
+        raise ValueError("replace must be 'slices' or 'all'")
     spark = df.sparkSession
     if _reads_from(df, target):
         ensure_checkpoint_dir(spark)
         df = df.checkpoint(eager=True)
-    if partition_by:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    w = _writer(df, "overwrite", fmt, partition_by)
+    mode = "dynamic" if partition_by and replace == "slices" else "static"
+    w = _writer(df, "overwrite", fmt, partition_by).option("partitionOverwriteMode", mode)
     if _is_path(target):
         w.save(target)
     elif partition_by and spark.catalog.tableExists(target):
-        df.write.mode("overwrite").insertInto(target)
+        df.write.mode("overwrite").option("partitionOverwriteMode", mode).insertInto(target)
     else:
         w.saveAsTable(target)
 
