@@ -70,6 +70,17 @@ def _read_or_empty(spark: SparkSession, cfg: LakeConfig, table: str, schema) ->
     return spark.createDataFrame([], schema)
 
 
+# Bronze is partitioned by execution: the idempotency check of a run reads
+# only its own executions' folders, not the whole snapshot history
+BRONZE_PARTITION = "execution_id"
+
+
+def _read_bronze(spark: SparkSession, cfg: LakeConfig, schema) -> DataFrame:
+    """Bronze with its own schema, so the execution folders are never
+    type-inferred (an id such as '20240101' would turn into a number)."""
+    return read_table(spark, cfg.path("bronze_snapshot"), cfg.fmt, schema=schema)
+
+
 def _write(df: DataFrame, cfg: LakeConfig, table: str, replace: str = "all") -> None:
     part = [PARTITION_COLUMNS[table]] if cfg.partitioned and table in PARTITION_COLUMNS else None
     if part:
@@ -126,6 +137,7 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     run_id = pipeline_run_id or uuid.uuid4().hex
     keys = cfg.keys
+    bronze_schema = classify_responses(landing).schema  # the Bronze row layout (no job)
     audit = _read_or_empty(spark, cfg, "pipeline_audit", PIPELINE_AUDIT)
     if _exists(spark, cfg.path("api_call_registry")):
         registry = read_table(spark, cfg.path("api_call_registry"), cfg.fmt)
@@ -164,8 +176,15 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
             bronze_ok = False
         else:
             bronze_path = cfg.path("bronze_snapshot")
-            stored = read_table(spark, bronze_path, cfg.fmt) if _exists(spark, bronze_path) else None
             batch = classify_responses(landing)
+            stored = None
+            if _exists(spark, bronze_path):
+                stored = _read_bronze(spark, cfg, bronze_schema)
+                if cfg.partitioned:
+                    # the check reads only the folders of the batch's executions
+                    # (one per run in practice; a bounded list of ids)
+                    execs = [r[0] for r in batch.select("execution_id").distinct().collect()]
+                    stored = stored.filter(F.col("execution_id").isin(execs))
             todo = skip_ingested(batch, stored if stored is not None else batch.limit(0), keys,
                                  order_cols=("api_call_ts", *cfg.extra))
             # Reliable checkpoint, not a cache: once Bronze holds these rows, a
@@ -173,7 +192,8 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
             # idempotency check against them and drop them all.
             ensure_checkpoint_dir(spark)
             todo = todo.checkpoint(eager=True)
-            append_table(todo, bronze_path, cfg.fmt)
+            append_table(todo, bronze_path, cfg.fmt,
+                         partition_by=[BRONZE_PARTITION] if cfg.partitioned else None)
             append_table(to_call_registry(todo, cfg.environment, keys), cfg.path("api_call_registry"), cfg.fmt)
             failed = todo.filter(F.col("api_result") != "SUCCESS").count()
             new_rows = todo
@@ -195,7 +215,7 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
         silver_ok = True
         activity("silver", "SUCCESS")
     elif cfg.silver_enabled and _exists(spark, cfg.path("bronze_snapshot")):
-        bronze = read_table(spark, cfg.path("bronze_snapshot"), cfg.fmt)
+        bronze = _read_bronze(spark, cfg, bronze_schema)
         parsed = lake.parsed_snapshots(bronze, keys, extra=extra).persist(StorageLevel.MEMORY_AND_DISK)
         pol = lake.silver_pollution(parsed, keys, cfg.version_cols, extra=extra)
         wea = lake.silver_weather(parsed, keys, cfg.version_cols, extra=extra)
