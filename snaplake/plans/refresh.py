@@ -70,8 +70,9 @@ def _read_or_empty(spark: SparkSession, cfg: LakeConfig, table: str, schema) ->
     return spark.createDataFrame([], schema)
 
 
-# Bronze is partitioned by execution: the idempotency check of a run reads
-# only its own executions' folders, not the whole snapshot history
+# Bronze and the call registry are partitioned by execution: the
+# idempotency and pending-entity checks of a run read only its own
+# executions' folders, not the whole history
 BRONZE_PARTITION = "execution_id"
 
 
@@ -139,10 +140,11 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
     keys = cfg.keys
     bronze_schema = classify_responses(landing).schema  # the Bronze row layout (no job)
     audit = _read_or_empty(spark, cfg, "pipeline_audit", PIPELINE_AUDIT)
+    registry_schema = to_call_registry(classify_responses(landing), cfg.environment, keys).schema
     if _exists(spark, cfg.path("api_call_registry")):
-        registry = read_table(spark, cfg.path("api_call_registry"), cfg.fmt)
+        registry = read_table(spark, cfg.path("api_call_registry"), cfg.fmt, schema=registry_schema)
     else:  # first run: an empty registry shaped like this lake's keys
-        registry = to_call_registry(classify_responses(landing), cfg.environment, keys).limit(0)
+        registry = spark.createDataFrame([], registry_schema)
     if entities is None:
         entities = landing.select(*keys).dropDuplicates(keys).select(
             F.lit(None).cast("int").alias("entity_id"), *keys,
@@ -194,7 +196,10 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
             todo = todo.checkpoint(eager=True)
             append_table(todo, bronze_path, cfg.fmt,
                          partition_by=[BRONZE_PARTITION] if cfg.partitioned else None)
-            append_table(to_call_registry(todo, cfg.environment, keys), cfg.path("api_call_registry"), cfg.fmt)
+            # registry by execution too: the pending-entity check of a run
+            # reads one folder; the quota's time ranges skip row groups
+            append_table(to_call_registry(todo, cfg.environment, keys), cfg.path("api_call_registry"), cfg.fmt,
+                         partition_by=[BRONZE_PARTITION] if cfg.partitioned else None)
             failed = todo.filter(F.col("api_result") != "SUCCESS").count()
             new_rows = todo
             activity("bronze", "FAILED" if failed else "SUCCESS",
