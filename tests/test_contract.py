@@ -110,3 +110,38 @@ def test_incremental_refresh_equals_full(spark):
         a, b = a.select(*cols), b.select(*cols)
         assert a.count() == b.count() > 0, table
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, table
+
+
+def test_incremental_refresh_drops_a_vanished_day(spark):
+    """A late batch turns every AQI of one day NULL: that day's Gold daily
+    partition must disappear (dynamic overwrite alone would keep it), so
+    the incremental run rebuilds that table; the result equals a full
+    refresh of the same two batches."""
+    from snaplake.plans.contract import RUN_LIMITS, lake_landing
+    from snaplake.plans.refresh import LakeConfig, run_refresh
+    from snaplake.session import scratch_path
+    from snaplake.sources.io import read_table
+
+    limits = spark.createDataFrame(RUN_LIMITS, "config_key string, config_value string")
+    landing = lake_landing(spark, SF)
+    gone = dt.date(2024, 1, 10)
+    late = (landing.filter(F.to_date("api_call_ts") == F.lit(gone))
+                   .withColumn("execution_id", F.lit("execution_late"))
+                   .withColumn("body", F.regexp_replace("body", r'"aqius": "?[0-9.]+"?', '"aqius": null')))
+    t = dt.datetime(2024, 2, 1, 6)
+
+    def lake(name, incremental):
+        cfg = LakeConfig(root=scratch_path(spark, name), keys=["user_id"], extra=["event_id"],
+                         version_cols=("bronze_ingestion_ts", "api_call_ts", "event_id"),
+                         incremental=incremental)
+        run_refresh(spark, cfg, landing, limits, as_of=t, pipeline_run_id="a")
+        return cfg, run_refresh(spark, cfg, late, limits, as_of=t + dt.timedelta(hours=7), pipeline_run_id="b")
+
+    (inc, r2), (full, _) = lake("vanish_inc", True), lake("vanish_full", False)
+    assert r2["gold_writes"]["gold_daily_metrics"] == "full"
+    assert r2["gold_writes"]["gold_category_days_by_month"] == "slices"
+    drop = ["gold_ingestion_ts", "execution_id", "pipeline_run_id"]
+    a = read_table(spark, inc.path("gold_daily_metrics")).drop(*drop)
+    b = read_table(spark, full.path("gold_daily_metrics")).drop(*drop).select(*a.columns)
+    assert a.filter(F.col("date") == F.lit(gone)).count() == 0
+    assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
