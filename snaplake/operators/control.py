@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from snaplake.functions.time import period_bounds, ts_lit
 from snaplake.schemas import (
@@ -32,18 +33,36 @@ from snaplake.schemas import (
 
 
 # ---------------------------------------------------------------- pending work
+def _keyed(c: Column, collation: str | None) -> Column:
+    """A key as compared: as is, or under a collation (e.g. ``UTF8_LCASE_RTRIM``
+    for a SQL Server-style case-insensitive, trailing-space-blind match)."""
+    return F.collate(c, collation) if collation else c
+
+
 def pending_entities(entities: DataFrame, registry: DataFrame, environment: str,
                      execution_id: str, keys: Sequence[str], env_col: str = "environment",
                      active_col: str | None = "is_active",
-                     exec_col: str = "execution_id") -> DataFrame:
+                     exec_col: str = "execution_id", collation: str | None = None) -> DataFrame:
     """Active entities of ``environment`` with no registry row for this
     execution - whatever the result of that call (a spent call is not
-    retried by the same execution)."""
-    ents = entities.filter(F.col(env_col) == F.lit(environment))
+    retried by the same execution).
+
+    ``collation`` compares the string keys under that collation (the
+    control tables of the original live in a database whose collation
+    decides equality); the output keeps the entities' own values."""
+    ents = entities.filter(_keyed(F.col(env_col), collation) == F.lit(environment))
     if active_col:
         ents = ents.filter(F.col(active_col))
-    spent = registry.filter(F.col(exec_col) == F.lit(execution_id)).select(*keys).dropDuplicates(list(keys))
-    return ents.join(spent, on=list(keys), how="left_anti")
+    spent = registry.filter(_keyed(F.col(exec_col), collation) == F.lit(execution_id))
+    if collation is None:
+        spent = spent.select(*keys).dropDuplicates(list(keys))
+        return ents.join(spent, on=list(keys), how="left_anti")
+    str_keys = {f.name for f in registry.schema.fields if f.name in keys and isinstance(f.dataType, StringType)}
+    ks = [f"__sl_pk{i}" for i in range(len(keys))]
+    spent = spent.select(*[(_keyed(F.col(k), collation) if k in str_keys else F.col(k)).alias(n)
+                           for k, n in zip(keys, ks)]).dropDuplicates(ks)
+    cond = [(_keyed(ents[k], collation) if k in str_keys else ents[k]) == spent[n] for k, n in zip(keys, ks)]
+    return ents.join(spent, on=cond, how="left_anti")
 
 
 # ---------------------------------------------------------------- quotas
@@ -183,11 +202,11 @@ _MATCH = ["record_type", "execution_id", "pipeline_run_id"]
 _NULLABLE_MATCH = ["activity_name", "entity", "state", "country"]
 
 
-def _match_cols(df: DataFrame) -> list[Column]:
+def _match_cols(df: DataFrame, collation: str | None = None) -> list[Column]:
     # NULL and '' are the same value here (ISNULL(x, '') equality)
-    return [F.col(c) for c in _MATCH] + [
-        F.coalesce(F.col(c), F.lit("")).alias(f"__m_{c}") if c in df.columns
-        else F.lit("").alias(f"__m_{c}") for c in _NULLABLE_MATCH]
+    return [_keyed(F.col(c), collation).alias(f"__m_{c}") for c in _MATCH] + [
+        _keyed(F.coalesce(F.col(c), F.lit("")), collation).alias(f"__m_{c}") if c in df.columns
+        else _keyed(F.lit(""), collation).alias(f"__m_{c}") for c in _NULLABLE_MATCH]
 
 
 def invalid_final_status(ends: DataFrame) -> DataFrame:
@@ -196,7 +215,7 @@ def invalid_final_status(ends: DataFrame) -> DataFrame:
         .withColumn("error_code", F.lit(CODE_INVALID_FINAL_STATUS))
 
 
-def audit_close(audit: DataFrame, ends: DataFrame) -> DataFrame:
+def audit_close(audit: DataFrame, ends: DataFrame, collation: str | None = None) -> DataFrame:
     """The audit table after applying END events.
 
     An event closes every *open* row (``end_ts IS NULL``) with the same
@@ -205,17 +224,18 @@ def audit_close(audit: DataFrame, ends: DataFrame) -> DataFrame:
     Closed rows are never touched; events with an invalid final status are
     ignored (see :func:`invalid_final_status`).  When several events match
     one row the earliest (end_ts, final_status, error_message) wins, as if
-    they had been applied one by one.
+    they had been applied one by one.  ``collation`` compares the match
+    columns under that collation (as the original's database does).
     """
     valid = ends.filter(F.col("final_status").isin(FINAL_STATUSES))
-    first = (valid.select(*_match_cols(valid),
+    keys = [f"__m_{c}" for c in (*_MATCH, *_NULLABLE_MATCH)]
+    first = (valid.select(*_match_cols(valid, collation),
                           F.struct(F.col("end_ts").alias("end_ts"),
                                    F.col("final_status").alias("status"),
                                    F.col("error_message").alias("error_message")).alias("__ev"))
-                  .groupBy(*_MATCH, *[f"__m_{c}" for c in _NULLABLE_MATCH])
+                  .groupBy(*keys)
                   .agg(F.min("__ev").alias("__ev")))
-    keys = [*_MATCH, *[f"__m_{c}" for c in _NULLABLE_MATCH]]
-    open_rows = audit.filter(F.col("end_ts").isNull()).select("*", *_match_cols(audit)[len(_MATCH):])
+    open_rows = audit.filter(F.col("end_ts").isNull()).select("*", *_match_cols(audit, collation))
     closed_now = open_rows.join(first, on=keys, how="left")
     hit = F.col("__ev").isNotNull()
     updated = closed_now.select(*[

@@ -137,3 +137,32 @@ def test_constraint_violations(spark):
     assert cv.count() == 0  # unknown passes a CHECK
     d = with_defaults(spark.createDataFrame([("x", None)], "c string, environment string"), {"environment": "dev"})
     assert d.first()["environment"] == "dev"
+
+
+def test_keys_under_a_collation(spark):
+    """With a case-insensitive, trailing-space-blind collation (as a SQL
+    Server database usually has) 'austin ' and 'Austin' are one entity; by
+    default the comparison is binary.  Outputs keep their own values."""
+    ents = spark.createDataFrame([("Austin", "TX", "dev", True), ("Paris", "IDF", "dev", True)],
+                                 "city string, state string, environment string, is_active boolean")
+    reg = spark.createDataFrame([("E1", "austin ", "tx")], "execution_id string, city string, state string")
+    binary = pending_entities(ents, reg, "dev", "e1", ["city", "state"])
+    assert rows(binary, "city", "state") == [("Austin", "TX"), ("Paris", "IDF")]
+    ci = pending_entities(ents, reg, "dev", "e1", ["city", "state"], collation="UTF8_LCASE_RTRIM")
+    assert rows(ci, "city", "state") == [("Paris", "IDF")]
+    assert ci.schema == ents.schema
+
+    t = dt.datetime(2024, 1, 1)
+    base = dict.fromkeys(PIPELINE_AUDIT.fieldNames())
+    audit = spark.createDataFrame([tuple(dict(base, audit_id=1, record_type="ACTIVITY", execution_id="e",
+                                              pipeline_run_id="r", environment="dev", activity_name="Bronze",
+                                              entity="LA", status="STARTED", start_ts=t)[c]
+                                         for c in PIPELINE_AUDIT.fieldNames())], PIPELINE_AUDIT)
+    ends = spark.createDataFrame([("ACTIVITY", "E", "r", "bronze ", "la", "SUCCESS", None, t)],
+                                 "record_type string, execution_id string, pipeline_run_id string, "
+                                 "activity_name string, entity string, final_status string, "
+                                 "error_message string, end_ts timestamp")
+    assert audit_close(audit, ends).first()["status"] == "STARTED"
+    closed = audit_close(audit, ends, collation="UTF8_LCASE_RTRIM")
+    assert closed.first()["status"] == "SUCCESS" and closed.first()["entity"] == "LA"
+    assert closed.schema.simpleString() == audit.schema.simpleString()  # no collated type leaks out
