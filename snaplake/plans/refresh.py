@@ -74,6 +74,7 @@ def _read_or_empty(spark: SparkSession, cfg: LakeConfig, table: str, schema) ->
 # idempotency and pending-entity checks of a run read only its own
 # executions' folders, not the whole history
 BRONZE_PARTITION = "execution_id"
+MAX_LISTED_EXECUTIONS = 1000
 
 
 def _read_bronze(spark: SparkSession, cfg: LakeConfig, schema) -> DataFrame:
@@ -183,10 +184,16 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
             if _exists(spark, bronze_path):
                 stored = _read_bronze(spark, cfg, bronze_schema)
                 if cfg.partitioned:
-                    # the check reads only the folders of the batch's executions
-                    # (one per run in practice; a bounded list of ids)
-                    execs = [r[0] for r in batch.select("execution_id").distinct().collect()]
-                    stored = stored.filter(F.col("execution_id").isin(execs))
+                    # the check reads only the folders of the batch's executions:
+                    # one per run in practice, listed as literals (static pruning);
+                    # a backfill with very many goes through a semi join
+                    # (dynamic partition pruning) instead of a long literal list
+                    ids = batch.select("execution_id").distinct()
+                    execs = [r[0] for r in ids.limit(MAX_LISTED_EXECUTIONS + 1).collect()]
+                    if len(execs) <= MAX_LISTED_EXECUTIONS:
+                        stored = stored.filter(F.col("execution_id").isin(execs))
+                    else:
+                        stored = stored.join(ids, on="execution_id", how="left_semi")
             todo = skip_ingested(batch, stored if stored is not None else batch.limit(0), keys,
                                  order_cols=("api_call_ts", *cfg.extra))
             # Reliable checkpoint, not a cache: once Bronze holds these rows, a

@@ -38,9 +38,16 @@ def test_entry_smoke(spark):
     assert "rank_avg_value_7d" in df.columns
 
 
-def test_refresh_run_replay(spark):
+@pytest.mark.parametrize("listed", [None, 1], ids=["listed-executions", "semi-join-executions"])
+def test_refresh_run_replay(spark, monkeypatch, listed):
     """Same landing twice: Bronze successes unchanged, Silver/Gold equal
-    (minus stamp columns), the second run reuses nothing it should not."""
+    (minus stamp columns), the second run reuses nothing it should not.
+    With ``listed=1`` the idempotency check finds the batch's executions by
+    a semi join instead of a literal list."""
+    import snaplake.plans.refresh as refresh_mod
+
+    if listed is not None:
+        monkeypatch.setattr(refresh_mod, "MAX_LISTED_EXECUTIONS", listed)
     from snaplake.plans.contract import RUN_LIMITS, lake_landing
     from snaplake.plans.refresh import LakeConfig, run_refresh
     from snaplake.session import scratch_path
