@@ -492,6 +492,23 @@ def q_stream_silver(spark, d):
                       "aqi_us", "aqi_cn", "main_pollutant_us", "main_pollutant_cn", "pollution_date")
 
 
+def q_stream_silver_weather(spark, d):
+    """One stream maintaining both Silver tables from a single parse of each
+    micro-batch (three files per batch); the weather table read back must
+    equal the batch latest-wins result (the pollution one is checked in
+    the tests)."""
+    base = scratch_path(spark, "stream_silver2")
+    append_table(lake_bronze(spark, d).repartition(6), f"{base}/bronze")
+    schema = read_table(spark, f"{base}/bronze").schema
+    stream_silver(spark, f"{base}/bronze", {"pollution": f"{base}/pollution", "weather": f"{base}/weather"},
+                  f"{base}/_ckpt", schema, keys=_LAKE_KEYS, version_cols=_LAKE_VERSION, extra=_LAKE_EXTRA,
+                  max_files_per_trigger=3)
+    wea = read_table(spark, f"{base}/weather")
+    return wea.select("user_id", _r6("latitude"), _r6("longitude"),
+                      F.col("weather_ts").cast("timestamp_ntz").alias("weather_ts"),
+                      _r6("temperature"), "humidity", "pressure", _r6("wind_speed"), "wind_direction",
+                      "weather_icon_code", _r6("heat_index"), "weather_date")
+
 def q_run_refresh(spark, d):
     """A whole refresh run (control checks, Bronze, Silver, Gold, audit)
     into a fresh lake folder; the Gold daily table is read back."""
@@ -565,6 +582,7 @@ QUERIES = {
     "ensure_tables": q_ensure_tables,
     "stream_bronze": q_stream_bronze,
     "stream_silver": q_stream_silver,
+    "stream_silver_weather": q_stream_silver_weather,
     "run_refresh": q_run_refresh,
     "run_refresh_incremental": q_run_refresh_incremental,
 }
@@ -938,6 +956,7 @@ ORACLE_SQL.update({
           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_ok FROM c)
   SELECT * EXCLUDE (prior_ok) FROM f WHERE coalesce(prior_ok, 0) = 0""",
     "stream_silver": ORACLE_SQL["silver_pollution"],
+    "stream_silver_weather": ORACLE_SQL["silver_weather"],
 })
 
 ORACLE_SQL["run_refresh"] = _gold_metrics_sql(_gold_daily_sql(_silver_p_sql(_RUN_OK_SNAPSHOTS)))

@@ -8,7 +8,8 @@
   partitions of the batch's executions) ignores that batch id, so a batch
   that is replayed after a failure rewrites itself instead of appending
   twice: the sink is exactly-once.
-* ``stream_silver``: the snapshot table -> a latest-wins observation table.
+* ``stream_silver``: the snapshot table -> latest-wins observation tables
+  (one, or several from one parse per micro-batch).
   A later snapshot can change an older date, so each micro-batch recomputes
   only the *touched* date partitions: latest-wins over (stored rows of those
   dates) + (new rows), written with dynamic partition overwrite.  Latest-wins
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -113,19 +115,28 @@ def bronze_stream_schema(bronze_schema: StructType) -> StructType:
     return StructType(list(bronze_schema.fields) + [StructField(BATCH_COL, LongType(), True)])
 
 
-def stream_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint_location: str,
-                  bronze_schema: StructType, kind: str = "pollution", keys: Sequence[str] = ENTITY_KEYS,
-                  version_cols: Sequence[str] = ("bronze_ingestion_ts",), extra: Sequence[str] = (),
-                  max_files_per_trigger: int | None = None, available_now: bool = True,
-                  processing_time: str | None = None, wait: bool = True, name: str | None = None):
-    """Bronze -> latest-wins Silver table (``kind`` pollution or weather),
-    incrementally, partitioned by the observation date."""
-    if kind == "pollution":
-        build, ts_col, date_col = lake.silver_pollution, "pollution_ts", "pollution_date"
-    elif kind == "weather":
-        build, ts_col, date_col = lake.silver_weather, "weather_ts", "weather_date"
-    else:
-        raise ValueError("kind must be 'pollution' or 'weather'")
+_SILVER_KINDS = {  # kind -> (builder, observation time, date partition)
+    "pollution": (lake.silver_pollution, "pollution_ts", "pollution_date"),
+    "weather": (lake.silver_weather, "weather_ts", "weather_date"),
+}
+
+
+def stream_silver(spark: SparkSession, bronze_path: str, silver_path: str | dict[str, str],
+                  checkpoint_location: str, bronze_schema: StructType, kind: str = "pollution",
+                  keys: Sequence[str] = ENTITY_KEYS, version_cols: Sequence[str] = ("bronze_ingestion_ts",),
+                  extra: Sequence[str] = (), max_files_per_trigger: int | None = None,
+                  available_now: bool = True, processing_time: str | None = None,
+                  wait: bool = True, name: str | None = None):
+    """Bronze -> latest-wins Silver table(s), incrementally, partitioned by
+    the observation date.
+
+    ``silver_path`` is the table of ``kind`` (pollution or weather), or a
+    dict ``{kind: path}``: then every micro-batch is parsed once and all
+    the listed tables are maintained from that one parse."""
+    targets = dict(silver_path) if isinstance(silver_path, dict) else {kind: silver_path}
+    unknown = set(targets) - set(_SILVER_KINDS)
+    if unknown or not targets:
+        raise ValueError(f"kind must be one of {sorted(_SILVER_KINDS)}, got {sorted(unknown) or 'none'}")
     reader = spark.readStream.schema(bronze_schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -134,17 +145,24 @@ def stream_silver(spark: SparkSession, bronze_path: str, silver_path: str, check
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
         s.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        new = build(lake.parsed_snapshots(batch, keys, extra=extra), keys, version_cols, extra=extra)
-        if _exists(s, silver_path):
-            stored = s.read.parquet(silver_path)
-            touched = new.select(date_col).dropDuplicates()
-            old = stored.join(touched, on=date_col, how="left_semi").select(*new.columns)
-            merged = latest_wins(old.unionByName(new), keys, ts_col, version_cols)
-        else:
-            merged = new
-        # the partition column goes last, as the file layout stores it
-        cols = [c for c in merged.columns if c != date_col] + [date_col]
-        refresh_table(merged.select(*cols), silver_path, partition_by=[date_col])
+        parsed = lake.parsed_snapshots(batch, keys, extra=extra)
+        if len(targets) > 1:  # one parse feeds every table (a lost block re-reads the batch)
+            parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        for k, path in targets.items():
+            build, ts_col, date_col = _SILVER_KINDS[k]
+            new = build(parsed, keys, version_cols, extra=extra)
+            if _exists(s, path):
+                stored = s.read.parquet(path)
+                touched = new.select(date_col).dropDuplicates()
+                old = stored.join(touched, on=date_col, how="left_semi").select(*new.columns)
+                merged = latest_wins(old.unionByName(new), keys, ts_col, version_cols)
+            else:
+                merged = new
+            # the partition column goes last, as the file layout stores it
+            cols = [c for c in merged.columns if c != date_col] + [date_col]
+            refresh_table(merged.select(*cols), path, partition_by=[date_col])
+        if len(targets) > 1:
+            parsed.unpersist()
 
     q = _start(stream, write_batch, checkpoint_location, available_now, processing_time, name)
     if wait and available_now:

@@ -36,3 +36,24 @@ def test_stream_bronze_replay_is_idempotent(spark):
     ok = after.filter("api_result = 'SUCCESS'")
     assert ok.count() == ok.select("execution_id", "user_id").distinct().count()
     assert after.count() >= len(first)
+
+
+def test_stream_silver_both_tables_from_one_parse(spark):
+    """One stream, both observation tables: each equals its batch build."""
+    from snaplake.plans import contract as c
+    from snaplake.sources.io import append_table
+    from snaplake.streaming.stream import stream_silver
+
+    base = scratch_path(spark, "stream_both")
+    append_table(c.lake_bronze(spark, SF).repartition(5), f"{base}/bronze")
+    schema = read_table(spark, f"{base}/bronze").schema
+    targets = {"pollution": f"{base}/p", "weather": f"{base}/w"}
+    stream_silver(spark, f"{base}/bronze", targets, f"{base}/ckpt", schema, keys=c._LAKE_KEYS,
+                  version_cols=c._LAKE_VERSION, extra=c._LAKE_EXTRA, max_files_per_trigger=2)
+    pol_b, wea_b = c._lake_silver(spark, SF)
+    for path, batch in ((targets["pollution"], pol_b), (targets["weather"], wea_b)):
+        streamed = read_table(spark, path).select(*batch.columns)
+        assert streamed.count() == batch.count() > 0
+        assert streamed.exceptAll(batch).count() == 0
+    with pytest.raises(ValueError):
+        stream_silver(spark, f"{base}/bronze", {"ozone": f"{base}/o"}, f"{base}/ckpt2", schema)
