@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 import math
 import uuid
+from concurrent.futures import ThreadPoolExecutor, wait
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -114,6 +115,18 @@ def _write_slices(df: DataFrame, cfg: LakeConfig, table: str, in_slice: Column,
     return "slices"
 
 
+def _concurrently(jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """Run independent writes as concurrent Spark jobs (one driver thread
+    each; the scheduler shares the executors between them) and return their
+    results; the first failure is raised after all have finished."""
+    if len(jobs) <= 1:
+        return {k: f() for k, f in jobs.items()}
+    with ThreadPoolExecutor(max_workers=len(jobs), thread_name_prefix="snaplake-write") as pool:
+        futures = {k: pool.submit(f) for k, f in jobs.items()}
+        wait(list(futures.values()))
+    return {k: f.result() for k, f in futures.items()}
+
+
 def _days_around(days: Sequence[_dt.date], before: int, after: int) -> list[_dt.date]:
     return sorted({d + _dt.timedelta(days=i) for d in days for i in range(-before, after + 1)})
 
@@ -231,8 +244,12 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
         parsed = lake.parsed_snapshots(bronze, keys, extra=extra).persist(StorageLevel.MEMORY_AND_DISK)
         pol = lake.silver_pollution(parsed, keys, cfg.version_cols, extra=extra)
         wea = lake.silver_weather(parsed, keys, cfg.version_cols, extra=extra)
-        _write(lake.stamp(pol, "silver", execution_id, run_id, as_of), cfg, "silver_pollution")
-        _write(lake.stamp(wea, "silver", execution_id, run_id, as_of), cfg, "silver_weather")
+        _concurrently({
+            "silver_pollution": lambda: _write(lake.stamp(pol, "silver", execution_id, run_id, as_of), cfg,
+                                               "silver_pollution"),
+            "silver_weather": lambda: _write(lake.stamp(wea, "silver", execution_id, run_id, as_of), cfg,
+                                             "silver_weather"),
+        })
         parsed.unpersist()
         silver_ok = True
         activity("silver", "SUCCESS")
@@ -247,12 +264,17 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
         pol = read_table(spark, cfg.path("silver_pollution"), cfg.fmt)
         wea = read_table(spark, cfg.path("silver_weather"), cfg.fmt)
         daily = lake.daily_aqi(pol, keys).persist(StorageLevel.MEMORY_AND_DISK)
-        _write(lake.stamp(lake.gold_daily_metrics(daily, keys), "gold", execution_id, run_id, as_of),
-               cfg, "gold_daily_metrics")
-        _write(lake.stamp(lake.gold_category_days(daily, keys), "gold", execution_id, run_id, as_of),
-               cfg, "gold_category_days_by_month")
-        _write(lake.stamp(lake.gold_weather_correlation(pol, wea, keys), "gold", execution_id, run_id, as_of),
-               cfg, "gold_weather_correlation_by_month")
+        def gold(table: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
+            return lambda: _write(lake.stamp(build(), "gold", execution_id, run_id, as_of), cfg, table)
+
+        # three independent tables: concurrent jobs
+        _concurrently({
+            "gold_daily_metrics": gold("gold_daily_metrics", lambda: lake.gold_daily_metrics(daily, keys)),
+            "gold_category_days_by_month": gold("gold_category_days_by_month",
+                                                lambda: lake.gold_category_days(daily, keys)),
+            "gold_weather_correlation_by_month": gold("gold_weather_correlation_by_month",
+                                                      lambda: lake.gold_weather_correlation(pol, wea, keys)),
+        })
         daily.unpersist()
         activity("gold", "SUCCESS")
     else:
@@ -298,22 +320,23 @@ def _silver_slices(spark: SparkSession, cfg: LakeConfig, new_rows: DataFrame | N
     (new rows) - and overwritten in place.  Latest-wins is associative, so
     the result equals a full recompute from all of Bronze.  Returns the
     touched dates per table (a bounded list: one entry per calendar day)."""
-    touched: dict[str, list[_dt.date]] = {t: [] for t in _SILVER}
     if new_rows is None:
-        return touched
+        return {t: [] for t in _SILVER}
     # new_rows is checkpointed: the parse below is recomputable and exact
     parsed = lake.parsed_snapshots(new_rows, keys, extra=extra).persist(StorageLevel.MEMORY_AND_DISK)
-    for table, (build, ts_col, date_col) in _SILVER.items():
+    def refresh_one(table: str) -> list[_dt.date]:
+        build, ts_col, date_col = _SILVER[table]
         new = build(parsed, keys, cfg.version_cols, extra=extra)
         dates = sorted(r[0] for r in new.select(date_col).distinct().collect())
-        touched[table] = dates
-        if not dates:
-            continue
-        # partition pruning: only the touched date folders are read
-        stored = read_table(spark, cfg.path(table), cfg.fmt).filter(F.col(date_col).isin(dates)) \
-            .select(*new.columns)
-        merged = latest_wins(stored.unionByName(new), keys, ts_col, cfg.version_cols)
-        _write(lake.stamp(merged, "silver", execution_id, run_id, as_of), cfg, table, replace="slices")
+        if dates:
+            # partition pruning: only the touched date folders are read
+            stored = read_table(spark, cfg.path(table), cfg.fmt).filter(F.col(date_col).isin(dates)) \
+                .select(*new.columns)
+            merged = latest_wins(stored.unionByName(new), keys, ts_col, cfg.version_cols)
+            _write(lake.stamp(merged, "silver", execution_id, run_id, as_of), cfg, table, replace="slices")
+        return dates
+
+    touched = _concurrently({t: (lambda t=t: refresh_one(t)) for t in _SILVER})
     parsed.unpersist()
     return touched
 
@@ -336,21 +359,21 @@ def _gold_slices(spark: SparkSession, cfg: LakeConfig, touched: dict[str, list[_
     def stamp(df):
         return lake.stamp(df, "gold", execution_id, run_id, as_of)
 
-    writes: dict[str, str] = {}
+    jobs: dict[str, Callable[[], str]] = {}
     if tp:
         span = ROLLING_DAYS - 1
         out_days = _days_around(tp, 0, span)
         pol = pol_all.filter(F.col("pollution_date").isin(_days_around(tp, span, span)))
         g = lake.gold_daily_metrics(lake.daily_aqi(pol, keys), keys).filter(F.col("date").isin(out_days))
-        writes["gold_daily_metrics"] = _write_slices(
+        jobs["gold_daily_metrics"] = lambda: _write_slices(
             stamp(g), cfg, "gold_daily_metrics", F.col("date").isin(out_days),
             lambda: stamp(lake.gold_daily_metrics(lake.daily_aqi(pol_all, keys), keys)))
 
-        months = _months(tp)
-        pol_m = pol_all.filter(_month_of(F.col("pollution_date")).isin(months))
-        writes["gold_category_days_by_month"] = _write_slices(
+        months_p = _months(tp)
+        pol_m = pol_all.filter(_month_of(F.col("pollution_date")).isin(months_p))
+        jobs["gold_category_days_by_month"] = lambda: _write_slices(
             stamp(lake.gold_category_days(lake.daily_aqi(pol_m, keys), keys)), cfg,
-            "gold_category_days_by_month", _month_of(F.col("month_start")).isin(months),
+            "gold_category_days_by_month", _month_of(F.col("month_start")).isin(months_p),
             lambda: stamp(lake.gold_category_days(lake.daily_aqi(pol_all, keys), keys)))
 
     reach = math.ceil(JOIN_WINDOW_HOURS / 24)  # days a weather row can reach
@@ -360,11 +383,12 @@ def _gold_slices(spark: SparkSession, cfg: LakeConfig, touched: dict[str, list[_
         wday = F.col("weather_date")
         wea_c = wea_all.filter(_month_of(F.date_add(wday, reach)).isin(months)
                                | _month_of(F.date_sub(wday, reach)).isin(months))
-        writes["gold_weather_correlation_by_month"] = _write_slices(
+        jobs["gold_weather_correlation_by_month"] = lambda: _write_slices(
             stamp(lake.gold_weather_correlation(pol_c, wea_c, keys)), cfg,
             "gold_weather_correlation_by_month", _month_of(F.col("month_start")).isin(months),
             lambda: stamp(lake.gold_weather_correlation(pol_all, wea_all, keys)))
-    return writes
+    # the three tables are independent: concurrent jobs
+    return _concurrently(jobs)
 
 
 def empty_entities(spark: SparkSession) -> DataFrame:
