@@ -48,6 +48,48 @@ def _rename_right(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     return right, rk
 
 
+def _running_last(df: DataFrame, part: Sequence[str], order: Sequence[Column], value: str, out: str,
+                  chunk: str | None = None, ascending: bool = True) -> DataFrame:
+    """``out`` = ``last(value, ignorenulls)`` over the rows up to the current
+    one in ``order`` within ``part`` (a running "latest non-null").
+
+    With ``chunk`` (the name of a column that grows along ``order`` when
+    ``ascending``, shrinks otherwise) the scan runs in two levels, exactly:
+    inside each (part, chunk), then the last non-null of the earlier chunks -
+    a small table with one row per chunk - is carried in for rows that saw
+    none in their own chunk.  One dense ``part`` is then spread over its
+    chunks' tasks instead of being scanned in one.  Pass ``part`` as a single
+    struct column (never NULL; struct equality matches NULL fields): then
+    the join back and a second scan reuse the (part, chunk) partitioning."""
+    pc = [F.col(c) for c in part]
+    if chunk is None:
+        w = Window.partitionBy(*pc).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
+    fin, carry = "__sl_ckfin", "__sl_ckcarry"
+    w_in = Window.partitionBy(*pc, F.col(chunk)).orderBy(*order)
+    df = (df.withColumn(out, F.last(value, ignorenulls=True).over(
+              w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+            .withColumn(fin, F.last(value, ignorenulls=True).over(
+              w_in.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    w_c = (Window.partitionBy(*pc).orderBy(F.col(chunk).asc() if ascending else F.col(chunk).desc())
+           .rowsBetween(Window.unboundedPreceding, -1))
+    summary = (df.groupBy(*part, chunk).agg(F.first(fin, ignorenulls=True).alias(fin))
+                 .select(*part, chunk, F.last(fin, ignorenulls=True).over(w_c).alias(carry)))
+    return (df.drop(fin).join(summary, on=[*part, chunk], how="left")
+              .withColumn(out, F.coalesce(F.col(out), F.col(carry)))
+              .drop(carry))
+
+
+def _chunked(both: DataFrame, kcols: Sequence[str], width: int, split: int):
+    """(frame, partition columns, chunk column) of a sweep: as is when
+    ``split`` <= 1; else one struct key for (keys, bucket) plus the chunk
+    of width ``width / split`` of the sweep time ``__sl_t``."""
+    if split <= 1:
+        return both, [*kcols, _BUCKET], None
+    both = (both.withColumn("__sl_pk", F.struct(*[F.col(c) for c in [*kcols, _BUCKET]]))
+                .withColumn("__sl_ck", _floor_div("__sl_t", max(-(-width // split), 1))))
+    return both, ["__sl_pk"], "__sl_ck"
+
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,
                   right_ts: str, before, after=None, how: str = "inner",
                   strategy: str = "bucket", keep_bucket: bool = False) -> DataFrame:
@@ -93,7 +135,7 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
 def nearest_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,
                  right_ts: str, tolerance, left_id: Sequence[str] | None = None,
                  tiebreak: Sequence[str] = (), unit: str = "microsecond", how: str = "inner",
-                 diff_col: str | None = None, strategy: str = "auto") -> DataFrame:
+                 diff_col: str | None = None, strategy: str = "auto", split: int = 1) -> DataFrame:
     """For each left row, the right row of the same keys nearest in time
     within ``tolerance`` (inclusive on both sides).
 
@@ -124,18 +166,25 @@ def nearest_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts
     The microsecond sweep answers every left row on its own (as if
     ``left_id`` were unique); the other strategies collapse left rows
     sharing an id.
+
+    ``split`` > 1 (sweep only) cuts every (keys, bucket) sweep into that many
+    time chunks: the running scans run per chunk and carry the last value of
+    earlier chunks in (see :func:`_running_last`).  An entity that is dense
+    inside one tolerance window then spreads over ``split`` tasks.  Same
+    result; one more shuffle and a join per direction.
     """
     tol_us = to_micros(tolerance)
     if strategy == "auto":
         strategy = "sweep" if unit == "microsecond" or tol_us >= 1_000_000 else "bucket"
     if strategy == "sweep":
         if unit == "microsecond":
-            return _nearest_sweep(left, right, keys, left_ts, right_ts, tol_us, tiebreak, how, diff_col)
+            return _nearest_sweep(left, right, keys, left_ts, right_ts, tol_us, tiebreak, how, diff_col,
+                                  split)
         if unit == "second":
             if tol_us < 1_000_000:
                 raise ValueError("whole-second sweep needs a tolerance of at least one second")
             return _nearest_sweep_seconds(left, right, keys, left_ts, right_ts, tol_us, left_id, tiebreak,
-                                          how, diff_col)
+                                          how, diff_col, split)
         raise ValueError("unit must be 'microsecond' or 'second'")
     cand = interval_join(left, right, keys, left_ts, right_ts, tolerance, tolerance,
                          how=how, strategy=strategy, keep_bucket=True)
@@ -167,7 +216,8 @@ def nearest_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts
 
 
 def _nearest_sweep(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
-                   tol_us: int, tiebreak: Sequence[str], how: str, diff_col: str | None) -> DataFrame:
+                   tol_us: int, tiebreak: Sequence[str], how: str, diff_col: str | None,
+                   split: int = 1) -> DataFrame:
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     right_r, rk = _rename_right(left, right, keys)
@@ -200,16 +250,12 @@ def _nearest_sweep(left: DataFrame, right: DataFrame, keys: Sequence[str], left_
     # right rows sort before a left row at the same instant (distance 0 counts),
     # and among equal instants the lowest tiebreak is the last one seen
     tb_desc = [F.col(f"__sl_tb{i}").desc_nulls_first() for i in range(len(tiebreak))]
-    part = [F.col(kc) for kc in kcols] + [F.col(_BUCKET)]
-    w_before = (Window.partitionBy(*part)
-                .orderBy(F.col("__sl_t").asc(), F.col("__sl_side").asc(), *tb_desc)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_after = (Window.partitionBy(*part)
-               .orderBy(F.col("__sl_t").desc(), F.col("__sl_side").asc(), *tb_desc)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    swept = (both.withColumn("__sl_b", F.last("__sl_r", ignorenulls=True).over(w_before))
-                 .withColumn("__sl_a", F.last("__sl_r", ignorenulls=True).over(w_after))
-                 .filter(F.col("__sl_side") == 1))
+    both, part, chunk = _chunked(both, kcols, width, split)
+    swept = _running_last(both, part, [F.col("__sl_t").asc(), F.col("__sl_side").asc(), *tb_desc],
+                          "__sl_r", "__sl_b", chunk, ascending=True)
+    swept = _running_last(swept, part, [F.col("__sl_t").desc(), F.col("__sl_side").asc(), *tb_desc],
+                          "__sl_r", "__sl_a", chunk, ascending=False)
+    swept = swept.filter(F.col("__sl_side") == 1)
     t = F.col("__sl_t")
     db = t - F.col(f"__sl_b.{_RUS}")
     da = F.col(f"__sl_a.{_RUS}") - t
@@ -230,7 +276,8 @@ def _nearest_sweep(left: DataFrame, right: DataFrame, keys: Sequence[str], left_
 
 def _nearest_sweep_seconds(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,
                            right_ts: str, tol_us: int, left_id: Sequence[str] | None,
-                           tiebreak: Sequence[str], how: str, diff_col: str | None) -> DataFrame:
+                           tiebreak: Sequence[str], how: str, diff_col: str | None,
+                           split: int = 1) -> DataFrame:
     """Whole-second distance, exact, without candidate pairs, one shuffle.
 
     For a left row at l (second ls) the best right row is, among rows within
@@ -294,13 +341,12 @@ def _nearest_sweep_seconds(left: DataFrame, right: DataFrame, keys: Sequence[str
     both = both.withColumn("__sl_r", F.when(is_right, F.struct(
         F.col("__sl_row").alias("row"), F.first("__sl_row").over(w_sec).alias("first_of_second"))))
     side_order = F.when(is_right, F.lit(0)).otherwise(F.lit(1))
-    w_before = (Window.partitionBy(*part).orderBy(F.col("__sl_t").asc(), side_order.asc(), *tb_desc)
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_after = (Window.partitionBy(*part).orderBy(F.col("__sl_t").desc(), side_order.asc(), *tb_desc)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    swept = (both.withColumn("__sl_b", F.last("__sl_r", ignorenulls=True).over(w_before))
-                 .withColumn("__sl_a", F.last("__sl_r", ignorenulls=True).over(w_after))
-                 .filter(~is_right))
+    both, pnames, chunk = _chunked(both, kcols, width, split)
+    swept = _running_last(both, pnames, [F.col("__sl_t").asc(), side_order.asc(), *tb_desc],
+                          "__sl_r", "__sl_b", chunk, ascending=True)
+    swept = _running_last(swept, pnames, [F.col("__sl_t").desc(), side_order.asc(), *tb_desc],
+                          "__sl_r", "__sl_a", chunk, ascending=False)
+    swept = swept.filter(~is_right)
     # bring the probe's answer (first right row >= l - tolerance) to its left row
     id_cols = [f"__sl_id{i}" for i in range(len(ids))]
     w_id = Window.partitionBy(*part, *[F.col(c) for c in id_cols])

@@ -152,6 +152,15 @@ def q_nearest_join(spark, d):
     return _pairs(spark, d).drop("purchase_k")
 
 
+def q_nearest_join_split(spark, d):
+    """The same nearest join with every (user, 3 h bucket) sweep cut into 8
+    time chunks - the layout for an entity dense inside one window."""
+    clicks, purchases = _clicks_purchases(spark, d)
+    return nearest_join(clicks, purchases, ["user_id"], "click_ts", "purchase_ts", TOLERANCE,
+                        left_id=["click_id"], tiebreak=["purchase_id"], diff_col="diff_us",
+                        split=8).drop("purchase_k")
+
+
 def _corr_q(pairs, keys):
     out = monthly_correlation(pairs, keys, "click_ts", "click_value",
                               {"value_corr": "purchase_value", "k_corr": "purchase_k"})
@@ -560,6 +569,7 @@ QUERIES = {
     "band_days_by_month": q_band_days_by_month,
     "interval_join": q_interval_join,
     "nearest_join": q_nearest_join,
+    "nearest_join_split": q_nearest_join_split,
     "monthly_correlation": q_monthly_correlation,
     "monthly_correlation_cohort": q_monthly_correlation_cohort,
     "classify_responses": q_classify_responses,
@@ -963,5 +973,6 @@ ORACLE_SQL["run_refresh"] = _gold_metrics_sql(_gold_daily_sql(_silver_p_sql(_RUN
 ORACLE_SQL["run_refresh_incremental"] = ORACLE_SQL["run_refresh"]
 
 ORACLE_SQL["rank_worst_range"] = ORACLE_SQL["rank_worst"]
+ORACLE_SQL["nearest_join_split"] = ORACLE_SQL["nearest_join"]
 
 ORACLE_SQL["ensure_tables"] = ORACLE_SQL["daily_metrics"]

@@ -101,15 +101,18 @@ def gold_category_days(daily: DataFrame, keys: Sequence[str] = ENTITY_KEYS) -> D
 
 def gold_weather_correlation(pollution: DataFrame, weather: DataFrame,
                              keys: Sequence[str] = ENTITY_KEYS, hours: int = JOIN_WINDOW_HOURS,
-                             unit: str = "second") -> DataFrame:
+                             unit: str = "second", split: int = 1) -> DataFrame:
     """Nearest weather observation within +-hours for every published AQI
     observation, then per entity-month Pearson correlations of AQI with
-    temperature, humidity, pressure and wind speed."""
+    temperature, humidity, pressure and wind speed.  ``split`` > 1 spreads
+    an entity that is dense inside one tolerance window over that many
+    tasks (see :func:`nearest_join`)."""
     p = pollution.filter(F.col("aqi_us").isNotNull() & F.col("pollution_ts").isNotNull()) \
         .select(*keys, "pollution_ts", "aqi_us")
     w = weather.filter(F.col("weather_ts").isNotNull()) \
         .select(*keys, "weather_ts", "temperature", "humidity", "pressure", "wind_speed")
-    pairs = nearest_join(p, w, keys, "pollution_ts", "weather_ts", _dt.timedelta(hours=hours), unit=unit)
+    pairs = nearest_join(p, w, keys, "pollution_ts", "weather_ts", _dt.timedelta(hours=hours), unit=unit,
+                         split=split)
     out = monthly_correlation(pairs, keys, "pollution_ts", "aqi_us", {
         "aqi_temp_corr": "temperature", "aqi_humidity_corr": "humidity",
         "aqi_pressure_corr": "pressure", "aqi_wind_speed_corr": "wind_speed"})

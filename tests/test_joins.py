@@ -100,3 +100,30 @@ def test_whole_second_sweep_equals_join(spark):
                 cols = [x for x in a.columns if lid or x != "lid"]
                 ra, rb, rc = rows(a, *cols), rows(b, *cols), rows(c, *cols)
                 assert ra == rb == rc, (tol, lid, how)
+
+
+def test_split_sweep_equals_unsplit(spark):
+    """Cutting each (key, bucket) sweep into time chunks gives the same
+    result - microsecond and whole-second distance, inner and left - on data
+    where one key holds most rows and many share a second or an instant."""
+    rnd = random.Random(5)
+    base = dt.datetime(1969, 12, 31, 22, 0)
+
+    def ts():
+        return base + dt.timedelta(seconds=rnd.randint(0, 4 * 3600),
+                                   microseconds=rnd.choice([0, 500000, rnd.randint(0, 999999)]))
+
+    def key():
+        return "hot" if rnd.random() < 0.7 else f"k{rnd.randint(0, 3)}"
+    left = [(i, key(), ts()) for i in range(300)]
+    right = [(i, key(), ts()) for i in range(500)]
+    l, r = _sides(spark, left, right)
+    for tol in (dt.timedelta(hours=1), dt.timedelta(seconds=20)):
+        for unit in ("microsecond", "second"):
+            for how in ("inner", "left"):
+                kw = dict(left_id=["lid"], tiebreak=["rid"], unit=unit, how=how, diff_col="d")
+                one = rows(nearest_join(l, r, ["k"], "lts", "rts", tol, strategy="sweep", **kw))
+                assert one == rows(nearest_join(l, r, ["k"], "lts", "rts", tol, strategy="bucket", **kw))
+                for split in (3, 16):
+                    got = rows(nearest_join(l, r, ["k"], "lts", "rts", tol, strategy="sweep", split=split, **kw))
+                    assert got == one, (tol, unit, how, split)
