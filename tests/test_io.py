@@ -23,3 +23,23 @@ def test_refresh_table_overwrites_its_own_input(spark):
     assert rows(read_table(spark, path), "v", "d") == [(1, dt.date(2024, 1, 1)), (20, dt.date(2024, 1, 2))]
     append_table(spark.createDataFrame([(3, dt.date(2024, 1, 3))], "v int, d date"), path, partition_by=["d"])
     assert read_table(spark, path).count() == 3
+
+
+def test_refresh_table_slices_or_whole_table(spark):
+    """replace='slices' keeps partitions absent from the new data;
+    replace='all' drops them - also when the session default is dynamic,
+    and when the new data reads the table itself."""
+    import pytest
+
+    path = scratch_path(spark, "replace_modes")
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    refresh_table(spark.createDataFrame([(i, d) for i, d in enumerate(days)], "v int, d date"), path,
+                  partition_by=["d"])
+    one = spark.createDataFrame([(9, days[0])], "v int, d date")
+    refresh_table(one, path, partition_by=["d"], replace="slices")
+    assert rows(read_table(spark, path), "v", "d") == [(1, days[1]), (2, days[2]), (9, days[0])]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
+    refresh_table(read_table(spark, path).filter("v >= 2"), path, partition_by=["d"], replace="all")
+    assert rows(read_table(spark, path), "v", "d") == [(2, days[2]), (9, days[0])]
+    with pytest.raises(ValueError):
+        refresh_table(one, path, partition_by=["d"], replace="some")
