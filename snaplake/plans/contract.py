@@ -50,7 +50,6 @@ from snaplake.sources.io import append_table, ensure_tables, read_table, read_te
 from snaplake.streaming.stream import (
     BATCH_COL,
     append_landing,
-    bronze_stream_schema,
     stream_bronze,
     stream_silver,
 )
