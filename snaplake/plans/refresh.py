@@ -74,7 +74,7 @@ def _read_or_empty(spark: SparkSession, cfg: LakeConfig, table: str, schema) ->
 # Bronze and the call registry are partitioned by execution: the
 # idempotency and pending-entity checks of a run read only its own
 # executions' folders, not the whole history
-BRONZE_PARTITION = "execution_id"
+BRONZE_PARTITION = PARTITION_COLUMNS["bronze_snapshot"]
 MAX_LISTED_EXECUTIONS = 1000
 
 

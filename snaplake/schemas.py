@@ -195,6 +195,9 @@ CONTROL_TABLES = {
 }
 # Natural partition column of each lake table (date-slice refresh).
 PARTITION_COLUMNS = {
+    # raw log and call registry by run context: a run's probes read one folder
+    "bronze_snapshot": "execution_id",
+    "api_call_registry": "execution_id",
     "silver_pollution": "pollution_date",
     "silver_weather": "weather_date",
     "gold_daily_metrics": "date",
