@@ -80,14 +80,16 @@ def _running_last(df: DataFrame, part: Sequence[str], order: Sequence[Column], v
               .drop(carry))
 
 
-def _chunked(both: DataFrame, kcols: Sequence[str], width: int, split: int):
+def _chunked(both: DataFrame, kcols: Sequence[str], width: int, split: int, align: int = 1):
     """(frame, partition columns, chunk column) of a sweep: as is when
     ``split`` <= 1; else one struct key for (keys, bucket) plus the chunk
-    of width ``width / split`` of the sweep time ``__sl_t``."""
+    of width ``width / split`` (rounded up to a multiple of ``align``
+    microseconds) of the sweep time ``__sl_t``."""
     if split <= 1:
         return both, [*kcols, _BUCKET], None
+    cw = -(-max(-(-width // split), 1) // align) * align
     both = (both.withColumn("__sl_pk", F.struct(*[F.col(c) for c in [*kcols, _BUCKET]]))
-                .withColumn("__sl_ck", _floor_div("__sl_t", max(-(-width // split), 1))))
+                .withColumn("__sl_ck", _floor_div("__sl_t", cw)))
     return both, ["__sl_pk"], "__sl_ck"
 
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,
@@ -332,16 +334,22 @@ def _nearest_sweep_seconds(left: DataFrame, right: DataFrame, keys: Sequence[str
     both = lq.unionByName(rq)
 
     part = [F.col(kc) for kc in kcols] + [F.col(_BUCKET)]
+    # split: chunks of whole seconds, so a second never straddles two chunks and
+    # one (bucket, chunk) partitioning serves the per-second window and both scans
+    both, pnames, chunk = _chunked(both, kcols, width, split, align=sec)
+    sweep_part = [F.col(c) for c in pnames]
+    if chunk is not None:
+        sweep_part.append(F.col(chunk))
+        both = both.repartition(*sweep_part)
     tb_asc = [F.col(f"__sl_tb{i}").asc_nulls_last() for i in range(len(tiebreak))]
     tb_desc = [F.col(f"__sl_tb{i}").desc_nulls_first() for i in range(len(tiebreak))]
     is_right = F.col("__sl_side") == 0
     # earliest right row of each second (right rows only; left rows form their own group)
     rsec = F.when(is_right, fsec(F.col("__sl_t")))
-    w_sec = Window.partitionBy(*part, rsec.alias("__sl_rs")).orderBy(F.col("__sl_t").asc(), *tb_asc)
+    w_sec = Window.partitionBy(*sweep_part, rsec.alias("__sl_rs")).orderBy(F.col("__sl_t").asc(), *tb_asc)
     both = both.withColumn("__sl_r", F.when(is_right, F.struct(
         F.col("__sl_row").alias("row"), F.first("__sl_row").over(w_sec).alias("first_of_second"))))
     side_order = F.when(is_right, F.lit(0)).otherwise(F.lit(1))
-    both, pnames, chunk = _chunked(both, kcols, width, split)
     swept = _running_last(both, pnames, [F.col("__sl_t").asc(), side_order.asc(), *tb_desc],
                           "__sl_r", "__sl_b", chunk, ascending=True)
     swept = _running_last(swept, pnames, [F.col("__sl_t").desc(), side_order.asc(), *tb_desc],
