@@ -192,7 +192,11 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
             bronze_ok = False
         else:
             bronze_path = cfg.path("bronze_snapshot")
-            batch = classify_responses(landing)
+            ensure_checkpoint_dir(spark)
+            # classified once: the idempotency check reads the batch twice (anti
+            # join, first-success aggregate) and would otherwise re-read the
+            # landing and re-parse every body
+            batch = classify_responses(landing).checkpoint(eager=True)
             stored = None
             if _exists(spark, bronze_path):
                 stored = _read_bronze(spark, cfg, bronze_schema)
@@ -212,7 +216,6 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
             # Reliable checkpoint, not a cache: once Bronze holds these rows, a
             # recomputation (lost cache block, lost executor) would run the
             # idempotency check against them and drop them all.
-            ensure_checkpoint_dir(spark)
             todo = todo.checkpoint(eager=True)
             append_table(todo, bronze_path, cfg.fmt,
                          partition_by=[BRONZE_PARTITION] if cfg.partitioned else None)
