@@ -11,15 +11,37 @@ from pyspark.sql import functions as F
 
 from snaplake.llm.common import col, unused
 from snaplake.llm.mixing import mixed_documents
+from snaplake.llm.packing import pack
+from snaplake.llm.pu_classifier import quality_classifier
+from snaplake.llm.quality_rules import quality_rules
+from snaplake.llm.queries import TOKENIZER
 from snaplake.llm.simhash import simhash_dedup
 from snaplake.session import scratch_path
+from snaplake.sources.io import read_testdata
+
+
+def clean_hosts_and_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules, their host's verdict included."""
+    return quality_rules(docs, carry=docs.columns).filter("kept").select("held.*")
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for good ones."""
+    found = quality_classifier(docs, read_testdata(spark, sf_dir, "labels"), carry=docs.columns)
+    return found.filter("predicted = 1").select("held.*")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of each near-duplicate group whose id is the group's smallest (one row of it)."""
-    first = simhash_dedup(docs).filter("doc_id = component_id").select(F.col("doc_id").alias(unused(docs, "first"))).distinct()
-    kept = docs.dropDuplicates(["doc_id"])
-    return kept.join(first, col("doc_id") == first[0], "left_semi")
+    """The document of each near-duplicate group whose id is the group's smallest.
+
+    Rows that repeat that id with the same text are one document; a NULL id
+    is in no group and stays.
+    """
+    later, key = unused(docs, "later"), "doc_id"
+    found = simhash_dedup(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias(later)).distinct()
+    kept = docs.join(found, col(key) == found[later], "left_anti")
+    named = kept.filter(col(key).isNotNull()).dropDuplicates([key])
+    return named.unionByName(kept.filter(col(key).isNull()))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,17 +49,26 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs)
 
 
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences: (doc_id, start, length, doc_tokens, ids, sequence_id, offset)."""
+    return pack(docs, TOKENIZER)
+
+
 STAGES = [
+    ("quality rules", clean_hosts_and_documents),
+    ("quality classifier", good_documents),
     ("simhash near-dedup", one_of_each_group),
     ("mixing", mix_sources),
+    ("packing", packed_sequences),
 ]
 
-#: Fingerprints, a trained model and a packing plan have no SQL form.
+#: Fingerprints, a trained model and a packing plan have no SQL form; tests/llm compares run() with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    """All stages over ``documents``, each written to the shared folder and read again."""
+    docs = read_testdata(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
