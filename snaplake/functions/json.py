@@ -15,8 +15,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
-from snaplake.functions.casts import lenient_cast
-
 _TOKEN = re.compile(r"\.([A-Za-z_][A-Za-z0-9_]*)|\['([^']+)'\]|\[(\d+)\]")
 
 
@@ -89,32 +87,22 @@ def path_column(parsed: Column, path: str) -> Column:
     return c
 
 
-def extract_leaves(json_col: Column, spec: dict[str, tuple[str, str]],
-                   ts_formats: list[str] | None = None) -> dict[str, Column]:
-    """Parse ``json_col`` once and return {out_name: typed column} for a spec.
-
-    spec maps an output column to ``(json_path, type)``; the type is one of
-    the names accepted by :func:`snaplake.functions.casts.lenient_cast`.
-    """
-    schema = schema_for_paths([p for p, _ in spec.values()])
-    parsed = F.from_json(json_col, schema, {"mode": "PERMISSIVE"})
-    return {
-        out: lenient_cast(path_column(parsed, path), typ, ts_formats)
-        for out, (path, typ) in spec.items()
-    }
+#: What counts as JSON: NaN and Infinity do, single quotes do not.
+_STRICT = {"mode": "PERMISSIVE", "allowNonNumericNumbers": "true", "allowSingleQuotes": "false"}
 
 
-def is_json_object(text: Column, parsed: Column | None = None) -> Column:
-    """TRUE when ``text`` parses as a JSON object, FALSE otherwise (never NULL
-    for non-NULL input).  Arrays, scalars and malformed text are FALSE.
+def parse_object(text: Column, field: str) -> Column:
+    """``struct<field string>`` of a text that is exactly one JSON object, else NULL.
 
-    Valid JSON whose first non-blank character is '{' is an object, so the
-    test is one parse plus a prefix check (no schema inference).  Pass
-    ``parsed`` (``try_parse_json(text)``) to share one parse with other uses.
-    """
-    v = F.try_parse_json(text) if parsed is None else parsed
+    The parser stops at the end of the first value, so the text is parsed as
+    the only element of an array and, if that holds, as the only field of an
+    object: what follows the text's object would have to begin with ``]`` to
+    get past the one and with ``}`` or ``,`` to get past the other."""
+    entry = StructType([StructField(field, StringType(), True)])
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), ArrayType(entry, True), _STRICT)
+    boxed = F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), StructType([StructField("x", entry, True)]), _STRICT)
     starts = F.startswith(F.ltrim(text, F.lit(" \t\n\r")), F.lit("{"))
-    return F.coalesce(v.isNotNull() & starts, F.lit(False))
+    return F.when(starts & (F.size(parsed) == 1), F.when(boxed.getField("x").isNotNull(), F.get(parsed, F.lit(0))))
 
 
 def json_string_field(text: Column, field: str, parsed: Column | None = None) -> Column:

@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.functions.json import is_json_object, json_string_field
+from snaplake.functions.json import parse_object
+from snaplake.functions.time import ts_lit
 from snaplake.schemas import (
     HTTP_OK,
     PAYLOAD_OK,
@@ -27,9 +28,10 @@ def classify_responses(landing: DataFrame, status_field: str = "status", ok: str
 
     * transport error -> ``api_status='request_failed'``, payload NULL,
       ``error_message`` = the error text;
-    * body that is a JSON object -> ``api_status`` = its top-level status
-      field (NULL if absent); anything else (array, scalar, malformed,
-      missing body) -> ``invalid_json``, body kept as payload;
+    * body that is one JSON object -> ``api_status`` = its top-level status
+      field (NULL if absent; of a repeated field the last; ``NaN`` and
+      ``Infinity`` are numbers); anything else (array, scalar, malformed, text
+      after the object, missing body) -> ``invalid_json``, body kept as payload;
     * ``api_result`` = SUCCESS iff HTTP ``http_ok`` and status ``ok``;
       otherwise FAILED and ``error_message`` = the body.
 
@@ -38,16 +40,16 @@ def classify_responses(landing: DataFrame, status_field: str = "status", ok: str
     """
     body, err = F.col(body_col), F.col(error_col)
     failed_transport = err.isNotNull()
-    v = F.col("__sl_variant")  # the body parsed once, shared by both tests
+    v = F.col("__sl_object")  # the body parsed once, NULL unless it is one object
     status = (F.when(failed_transport, F.lit(STATUS_REQUEST_FAILED))
-               .when(is_json_object(body, v), json_string_field(body, status_field, v))
+               .when(v.isNotNull(), v.getField(status_field))
                .otherwise(F.lit(STATUS_INVALID_JSON)))
     success = (~failed_transport) & F.coalesce(F.col(http_col) == F.lit(http_ok), F.lit(False)) \
         & F.coalesce(F.col("api_status") == F.lit(ok), F.lit(False))
     passthrough = [c for c in landing.columns if c not in (body_col, error_col, http_col, "api_call_ts")]
-    stamped = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
-    staged = landing.withColumn("__sl_variant", F.try_parse_json(body)) \
-        .withColumn("api_status", status).drop("__sl_variant")
+    stamped = F.current_timestamp() if now is None else ts_lit(now)
+    staged = landing.withColumn("__sl_object", parse_object(body, status_field)) \
+        .withColumn("api_status", status).drop("__sl_object")
     return staged.select(
         *passthrough,
         F.when(success, F.lit(RESULT_SUCCESS)).otherwise(F.lit(RESULT_FAILED)).alias("api_result"),
@@ -74,22 +76,37 @@ def skip_ingested(incoming: DataFrame, bronze: DataFrame, keys: Sequence[str],
     2. Inside the batch, keep attempts up to and including the first
        success of each (execution, keys) in ``order_cols`` order; failures
        before it are kept, later attempts are dropped - what a serial run
-       would have done.  Done as an aggregate + join on the same keys as
-       step 1, so the three steps share one hash partitioning; AQE can split
-       a skewed key on the big side.
+       would have done.  Equal orders are told apart by the row's content,
+       equal rows by their place in ``incoming`` (hand in a table or a
+       checkpoint, whose places are fixed), so exactly one success is first.
+       Done as an aggregate + join on the same keys as step 1, so the three
+       steps share one hash partitioning; AQE can split a skewed key on the
+       big side.
     """
     k = [execution_col, *keys]
+    order = F.struct(*[F.col(c) for c in order_cols], F.col("__sl_content"), F.col("__sl_place"))
+    numbered = incoming.withColumn("__sl_content", F.xxhash64(*[F.col(c) for c in incoming.columns])) \
+        .withColumn("__sl_place", F.monotonically_increasing_id())
     done = bronze.filter(F.col(result_col) == F.lit(ok)).select(*k).dropDuplicates(k)
-    fresh = incoming.join(done, on=k, how="left_anti")
-    order = F.struct(*[F.col(c) for c in order_cols])
+    fresh = numbered.join(done, on=k, how="left_anti")
     firsts = (fresh.filter(F.col(result_col) == F.lit(ok))
                    .groupBy(*k).agg(F.min(order).alias("__sl_first_ok")))
     return (fresh.join(firsts, on=k, how="left")
                  .filter(F.col("__sl_first_ok").isNull() | (order <= F.col("__sl_first_ok")))
-                 .drop("__sl_first_ok")
                  .select(*incoming.columns))
 
 
+def same_executions(stored: DataFrame, batch: DataFrame, execution_col: str = "execution_id") -> DataFrame:
+    """The rows of ``stored`` whose execution occurs in ``batch``.
+
+    One plan at any size: the batch's smallest and largest execution (two
+    scalars) are a static range, which prunes partitions at the scan, and a
+    semi join picks the executions in it."""
+    low, high = batch.agg(F.min(execution_col), F.max(execution_col)).first()
+    ranged = stored.filter(F.col(execution_col).between(F.lit(low), F.lit(high)))
+    return ranged.join(batch.select(execution_col).distinct(), on=execution_col, how="left_semi")
+
+
 def to_call_registry(snapshots: DataFrame, environment: str | None = None,
                      keys: Sequence[str] = ("city", "state", "country"),
                      ts_col: str = "api_call_ts") -> DataFrame:

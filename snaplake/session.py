@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every snaplake job relies on.  UTC is part of the semantics (all
 # timestamps in the lake are UTC); AQE re-plans joins/aggregates at runtime
@@ -68,11 +68,11 @@ def apply_core_conf(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory of the session.
+    """The shared checkpoint folder of the session.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system).  Only when it is unset - local tests - a scratch folder is
-    created and registered.
+    file system); without it there is no folder that all executors see, and
+    this raises.  Only a local master gets a scratch folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -80,6 +80,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="snaplake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -93,16 +95,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/snaplake/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, min_partitions: int | None = None):
-    """Spread a small, few-partition input over the cluster's cores before
-    CPU-heavy per-row work (JSON parsing).
-
-    A single small file is scanned as one partition and AQE cannot split a
-    scan, so the parse would run in one task.  When the input already has
-    at least ``min_partitions`` (default: the default parallelism) partitions
-    - any real, multi-file table - this is a no-op: no shuffle is added.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: several readers
+    share one evaluation, and a lost executor never repeats what came before
+    (a cache would hold the rows on the executors' own disks)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

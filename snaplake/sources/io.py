@@ -2,37 +2,60 @@
 
 Tables are addressed either by catalog name (``db.table``) or by a path
 (anything containing ``/``).  ``fmt`` is ``parquet`` by default; ``delta``
-is used when the Delta package is on the classpath.  Full refreshes never
-overwrite a table they are reading from: such a plan is first cut from its
-input with a reliable ``checkpoint()`` in the shared checkpoint folder.
+is used when the Delta package is on the classpath; with reader and writer
+``options`` any other Spark format (``jdbc`` among them) is reachable.
+
+A refresh may read the table it replaces.  Nothing tries to find that out
+from the plan: new data is always complete, in a folder of its own, before
+anything old is touched.
 """
 
 from __future__ import annotations
 
-import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from snaplake.schemas import CONTROL_TABLES, LAKE_TABLES, LANDING, PARTITION_COLUMNS
-from snaplake.session import ensure_checkpoint_dir
+from snaplake.session import staged
+
+#: Formats whose tables are folders of files; others replace their data in a transaction of their own.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "text")
 
 
 def _is_path(target: str) -> bool:
     return "/" in target or target.startswith("file:")
 
 
-def read_table(spark: SparkSession, target: str, fmt: str = "parquet",
-               schema: StructType | None = None) -> DataFrame:
-    """Table scan by catalog name or path (filters/projections applied later
-    are pushed into the scan by Catalyst)."""
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a path, by the session's Hadoop settings."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def table_exists(spark: SparkSession, target: str) -> bool:
+    """True when the catalog table is there, or the path holds any visible entry."""
     if not _is_path(target):
+        return spark.catalog.tableExists(target)
+    fs, hpath = _hadoop(spark, target)
+    if not fs.exists(hpath):
+        return False
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(hpath))
+
+
+def read_table(spark: SparkSession, target: str, fmt: str = "parquet", schema: StructType | None = None,
+               options: dict[str, str] | None = None) -> DataFrame:
+    """Table scan by catalog name or path (filters/projections applied later
+    are pushed into the scan by Catalyst).  For a source without a path, such
+    as ``fmt='jdbc'``, ``target`` may be ``''`` and ``options`` say the rest."""
+    if target and not _is_path(target):
         return spark.table(target)
-    reader = spark.read.format(fmt)
+    reader = spark.read.format(fmt).options(**(options or {}))
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(target)
+    return reader.load(target) if target else reader.load()
 
 
 def read_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,73 +72,53 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "json",
     return reader.format(fmt).load(path)
 
 
-def _writer(df: DataFrame, mode: str, fmt: str, partition_by: Sequence[str] | None):
-    w = df.write.mode(mode).format(fmt)
+def _clustered(df: DataFrame, partition_by: Sequence[str] | None) -> DataFrame:
+    """Rows of a partition in few tasks, so a write makes few files per
+    partition instead of one per task and partition; AQE splits a large
+    partition and joins small ones at its advisory size."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
+def _writer(df: DataFrame, mode: str, fmt: str, partition_by: Sequence[str] | None, options: dict[str, str] | None = None):
+    w = _clustered(df, partition_by).write.mode(mode).format(fmt).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     return w
 
 
-def append_table(df: DataFrame, target: str, fmt: str = "parquet",
-                 partition_by: Sequence[str] | None = None) -> None:
+def append_table(df: DataFrame, target: str, fmt: str = "parquet", partition_by: Sequence[str] | None = None,
+                 options: dict[str, str] | None = None) -> None:
     """Append-only sink (the raw snapshot log, the call registry, audit)."""
-    w = _writer(df, "append", fmt, partition_by)
-    if _is_path(target):
+    w = _writer(df, "append", fmt, partition_by, options)
+    if not target:
+        w.save()
+    elif _is_path(target):
         w.save(target)
     else:
         w.saveAsTable(target)
 
 
-def _scan_roots(df: DataFrame) -> list[str] | None:
-    """Root folders of every file scan in the plan (a handful of paths, not
-    the file list), or None when they cannot be read from the plan."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        roots = []
-        it = leaves.iterator()
-        while it.hasNext():
-            leaf = it.next()
-            if leaf.nodeName() not in ("Relation", "LogicalRelation"):
-                if leaf.nodeName() in ("LocalRelation", "Range", "OneRowRelation", "LogicalRDD"):
-                    continue
-                return None
-            paths = leaf.relation().location().rootPaths()
-            pit = paths.iterator()
-            while pit.hasNext():
-                roots.append(pit.next().toString())
-        return roots
-    except Exception:
-        return None
-
-
-def _reads_from(df: DataFrame, target: str) -> bool:
+def _replace_folder(df: DataFrame, target: str, fmt: str, partition_by: Sequence[str] | None) -> None:
+    """Write a complete new folder beside ``target``, then put it in its place.
+
+    The old folder is moved aside before and removed after, so a failure at
+    any point leaves one complete copy; nothing of the input is gone while
+    the new data is computed."""
     spark = df.sparkSession
-    if _is_path(target):
-        root = target.rstrip("/")
-    else:
-        # DESCRIBE TABLE EXTENDED names the location of parquet and Delta
-        # catalog tables alike (a few dozen metadata rows)
-        if not spark.catalog.tableExists(target):
-            return False
-        loc = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()
-               if r["col_name"] == "Location"]
-        root = loc[0]["data_type"] if loc else None
-        if not root:
-            return False
-    root = _local(root)
-    scans = _scan_roots(df)
-    if scans is None:  # unusual plan: fall back to the file list
-        try:
-            scans = list(df.inputFiles())
-        except Exception:  # pragma: no cover - sources without files
-            return False
-    return any(_local(f) == root or _local(f).startswith(root + "/") or root.startswith(_local(f) + "/")
-               for f in scans)
-
-
-def _local(p: str) -> str:
-    """'file:///a/b/' -> '/a/b' (other schemes kept) for prefix tests."""
-    return re.sub(r"^file:/*", "/", p).rstrip("/")
+    base, mark = target.rstrip("/"), uuid.uuid4().hex[:12]
+    new, old = f"{base}._new-{mark}", f"{base}._old-{mark}"
+    _writer(df, "errorifexists", fmt, partition_by).save(new)
+    fs, at = _hadoop(spark, base)
+    _, new_path = _hadoop(spark, new)
+    _, old_path = _hadoop(spark, old)
+    had = fs.exists(at)
+    if had and not fs.rename(at, old_path):
+        raise OSError(f"could not move {base} aside; the new data is in {new}")
+    if not fs.rename(new_path, at):
+        raise OSError(f"could not put the new data of {base} in place; it is in {new}, the old in {old}")
+    if had:
+        fs.delete(old_path, True)
+    spark.catalog.refreshByPath(base)
 
 
 def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
@@ -126,24 +129,43 @@ def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
     (date slices) present in ``df`` are replaced - dynamic partition
     overwrite, the ``replaceWhere`` pattern; ``replace='all'`` replaces the
     whole table, so a partition missing from ``df`` disappears.  Without
-    ``partition_by`` the whole table is replaced.  When ``df`` reads the
-    target itself it is checkpointed first (lineage cut, data in the shared
-    checkpoint folder), so the overwrite cannot delete its own input.
+    ``partition_by`` the whole table is replaced.
+
+    ``df`` may read the target: slices are committed after the last task has
+    read its input, a whole folder is written beside the old one, and data for
+    a catalog table is staged first.  Into a catalog table columns go by name.
     """
     if replace not in ("slices", "all"):
         raise ValueError("replace must be 'slices' or 'all'")
     spark = df.sparkSession
-    if _reads_from(df, target):
-        ensure_checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
-    mode = "dynamic" if partition_by and replace == "slices" else "static"
-    w = _writer(df, "overwrite", fmt, partition_by).option("partitionOverwriteMode", mode)
+    slices = bool(partition_by) and replace == "slices"
+    mode = "dynamic" if slices else "static"
     if _is_path(target):
-        w.save(target)
-    elif partition_by and spark.catalog.tableExists(target):
-        df.write.mode("overwrite").option("partitionOverwriteMode", mode).insertInto(target)
+        if slices or fmt not in FILE_FORMATS:
+            _writer(df, "overwrite", fmt, partition_by, {"partitionOverwriteMode": mode}).save(target)
+        else:
+            _replace_folder(df, target, fmt, partition_by)
+    elif spark.catalog.tableExists(target):
+        ready = staged(df, "refresh").select(*spark.table(target).columns)
+        _clustered(ready, partition_by).write.mode("overwrite").option("partitionOverwriteMode", mode).insertInto(target)
     else:
-        w.saveAsTable(target)
+        _writer(df, "overwrite", fmt, partition_by).saveAsTable(target)
+
+
+def drop_partitions(spark: SparkSession, target: str, values: Sequence, partition: str) -> None:
+    """Remove whole partitions of a path or catalog table by their values."""
+    for value in values:
+        if _is_path(target):
+            fs, hpath = _hadoop(spark, f"{target.rstrip('/')}/{partition}={_partition_text(value)}")
+            fs.delete(hpath, True)
+        else:
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION (`{partition}` = '{value}')")
+    if _is_path(target):
+        spark.catalog.refreshByPath(target)
+
+
+def _partition_text(value) -> str:
+    return str(value).replace(":", "%3A")
 
 
 def _ddl(schema: StructType) -> str:

@@ -41,6 +41,33 @@ def test_classify_edges(spark):
                     "http_status_code", "api_status", "api_call_ts", "raw_payload", "error_message", "ingestion_ts"]
 
 
+def test_classify_wants_exactly_one_object(spark):
+    cases = [
+        ("trailing", '{"status": "success"} trailing', "invalid_json"), ("two", '{"status": "success"}, {"a": 1}', "invalid_json"),
+        ("lines", '{"status": "success"}\n{"status": "success"}', "invalid_json"), ("cut", '{"status": "success"', "invalid_json"),
+        ("brace", '{"status": "success"}}', "invalid_json"), ("bracket", '{"status": "success"}]', "invalid_json"),
+        ("comma", '{"status": "success"},', "invalid_json"), ("close", '{"status": "success"}], {}', "invalid_json"),
+        ("field", '{"status": "success"}, "y": {}', "invalid_json"), ("both", '{"status": "success"}}] {}', "invalid_json"), ("quotes", "{'status': 'success'}", "invalid_json"),
+        ("twice", '{"status": "fail", "status": "success"}', "success"), ("nan", '{"v": NaN, "status": "success", "i": -Infinity}', "success"),
+        ("blank", ' \n{"status": "success"}\t ', "success"), ("scalar", "1", "invalid_json"), ("text", '"success"', "invalid_json"),
+        ("nothing", "", "invalid_json"), ("null", None, "invalid_json"), ("nested", '{"a": {"status": "success"}}', None),
+        ("escape", '{"st\\u0061tus": "success"}', "success")]
+    out = {r["city"]: r for r in classify_responses(_landing(spark, [(n, 200, b, None) for n, b, _ in cases])).collect()}
+    assert {n: out[n]["api_status"] for n, _, _ in cases} == {n: s for n, _, s in cases}
+    assert {n for n in out if out[n]["api_result"] == "SUCCESS"} == {n for n, _, s in cases if s == "success"}
+
+
+def test_skip_ingested_keeps_one_of_equal_successes(spark):
+    incoming = spark.createDataFrame([("e", "a", "SUCCESS", T, 1), ("e", "a", "SUCCESS", T, 2), ("e", "b", "SUCCESS", T, 3),
+                                      ("e", "b", "SUCCESS", T, 3)],
+                                     "execution_id string, city string, api_result string, api_call_ts timestamp, id int")
+    first = None
+    for parts in (1, 4):
+        out = rows(skip_ingested(incoming.repartition(parts).checkpoint(), incoming.limit(0), ["city"]))
+        assert len(out) == 2 and first in (None, out)
+        first = out
+
+
 def test_skip_ingested(spark):
     bronze = spark.createDataFrame([
         ("e1", "done", "SUCCESS"), ("e1", "onlyfail", "FAILED"), ("e0", "other_exec", "SUCCESS")],
