@@ -173,6 +173,27 @@ def next_execution(audit: DataFrame, environments: DataFrame | None, as_of: _dt.
     )
 
 
+_IDENTITY = ["execution_id", "pipeline_run_id", "environment", "activity_name", "entity", "state", "country", "layer"]
+
+
+def audit_key(runs: DataFrame, record_type: str) -> Column:
+    """``audit_id`` of an audit row: a hash of what identifies it, the same
+    for all transitions of one run or activity and on every rerun."""
+    return F.xxhash64(F.lit(record_type), *[F.coalesce(F.col(c).cast("string"), F.lit("")) if c in runs.columns else F.lit("")
+                                            for c in _IDENTITY])
+
+
+def audit_state(audit: DataFrame) -> DataFrame:
+    """The latest state of every run and activity in an append-only audit log.
+
+    A run appends a STARTED row and later a closed one with the same
+    ``audit_id``; the closed row (the latest, should there be several) is the
+    state, the open one only until then."""
+    rank = F.struct(F.col("end_ts").isNotNull(), F.col("end_ts"), F.col("status"))
+    every = F.struct(*[F.col(c) for c in audit.columns])
+    return audit.groupBy(F.col("audit_id").alias("__id")).agg(F.max_by(every, rank).alias("__row")).select("__row.*")
+
+
 def audit_start(runs: DataFrame, record_type: str, now=None) -> DataFrame:
     """STARTED transition rows in the audit schema for every input row.
 
@@ -190,6 +211,8 @@ def audit_start(runs: DataFrame, record_type: str, now=None) -> DataFrame:
             c = F.lit("STARTED")
         elif f.name == "start_ts":
             c = ts
+        elif f.name == "audit_id" and "audit_id" not in runs.columns:
+            c = audit_key(runs, record_type)
         elif f.name in runs.columns and f.name not in ("end_ts", "error_message"):
             c = F.col(f.name)
         else:
@@ -296,16 +319,18 @@ def constraint_violations(df: DataFrame, pk: Sequence[str], not_null: Sequence[s
     for r in rules:
         if r != "pk_unique":
             entries.append(F.struct(F.lit(r).alias("rule"), F.col(named[r]).cast("bigint").alias("violations")))
-    return (g.select(*pk, F.explode(F.array(*entries)).alias("__v"))
-             .select(*pk, F.col("__v.rule").alias("rule"), F.col("__v.violations").alias("violations"))
-             .filter(F.col("violations") > 0))
+    # only violated rules are exploded: a clean key makes no row at all
+    broken = F.filter(F.array(*entries), lambda e: e["violations"] > 0)
+    return (g.select(*pk, F.explode(broken).alias("__v"))
+             .select(*pk, F.col("__v.rule").alias("rule"), F.col("__v.violations").alias("violations")))
 
 
 def audit_violations(audit: DataFrame) -> DataFrame:
-    """Constraint check of the audit table (record type, status, NOT NULLs)."""
+    """Constraint check of an audit table with one row per run or activity
+    (of an append-only log: its :func:`audit_state`)."""
     return constraint_violations(
         audit, ["audit_id"],
-        not_null=["record_type", "execution_id", "pipeline_run_id", "environment", "status", "start_ts"],
+        not_null=["audit_id", "record_type", "execution_id", "pipeline_run_id", "environment", "status", "start_ts"],
         domains={"record_type": RECORD_TYPES, "status": AUDIT_STATUSES})
 
 

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from snaplake.functions.bands import Band, band_of
 from snaplake.functions.stats import safe_corr
 from snaplake.functions.time import trunc_like
-from snaplake.session import ensure_checkpoint_dir
+from snaplake.session import staged
 
 _AGG_FNS = ("avg", "max", "min", "sum", "count")
 
@@ -81,7 +81,7 @@ def rolling_calendar(daily: DataFrame, keys: Sequence[str], date: str,
 
 def rank_worst(df: DataFrame, date: str, metric: str, rank_col: str = "rank",
                flag_col: str | None = "is_worst", ndigits: int | None = 6,
-               partition: Sequence[str] = (), strategy: str = "window",
+               partition: Sequence[str] = (), strategy: str = "range",
                range_partitions: int | None = None) -> DataFrame:
     """Dense rank per date by ``metric`` descending, NULLs last; ties share.
 
@@ -89,9 +89,9 @@ def rank_worst(df: DataFrame, date: str, metric: str, rank_col: str = "rank",
     rounds the metric for ranking only, so float noise from a different
     partial-sum order does not split a tie; ``None`` ranks the raw value.
 
-    ``strategy='window'`` ranks each date in one window partition (one task
-    per date; a spillable sort).  ``strategy='range'`` never puts a whole
-    date in one task: see :func:`dense_rank_desc`.
+    ``strategy='range'`` never puts a whole date in one task: see
+    :func:`dense_rank_desc`.  ``strategy='window'`` ranks each date in one
+    window partition (one task per date; a spillable sort) without an action.
     """
     m = F.col(metric)
     key = F.round(m, ndigits) if ndigits is not None else m
@@ -124,23 +124,21 @@ def dense_rank_desc(df: DataFrame, groups: Sequence[str], value: Column, rank_co
        null-safe key.  The rank side has one row per key, so AQE can split
        a skewed key on the big side.
 
-    Step 2 is materialised with a reliable ``checkpoint()`` (an action): the
-    distinct (group, value) pairs, not the input rows.
+    The frame itself and the values of step 2 are written to the shared
+    folder once (two actions): the ranks are joined back on the values, so
+    both sides must see the same evaluation - a double that comes out of a
+    different partial-sum order would find no rank.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     gcols = [f"__sl_g{i}" for i in range(len(groups))]
-    dv = df.select(*[F.col(g).alias(c) for g, c in zip(groups, gcols)], value.alias("__sl_v")) \
+    tagged = staged(df.withColumn("__sl_val", value), "ranked-rows")
+    dv = tagged.select(*[F.col(g).alias(c) for g, c in zip(groups, gcols)], F.col("__sl_val").alias("__sl_v")) \
         .dropDuplicates([*gcols, "__sl_v"])
-    ranged = dv.repartitionByRange(n, *[F.col(c) for c in gcols], F.col("__sl_v").desc_nulls_last()) \
-        .withColumn("__sl_p", F.spark_partition_id())
-    # The range bounds come from a sample whose rows arrive in shuffle-fetch
-    # order, so a second evaluation could draw other bounds; the counts and
-    # the numbers below must see the same partitioning.  A reliable
-    # checkpoint (shared checkpoint folder) fixes it once and survives
-    # executor loss.
-    ensure_checkpoint_dir(spark)
-    ranged = ranged.checkpoint(eager=True)
+    # the range bounds come from a sample whose rows arrive in shuffle-fetch
+    # order: counts and numbers below must see one and the same partitioning
+    ranged = staged(dv.repartitionByRange(n, *[F.col(c) for c in gcols], F.col("__sl_v").desc_nulls_last())
+                    .withColumn("__sl_p", F.spark_partition_id()), "ranked-values")
     local = ranged.withColumn("__sl_lr", F.row_number().over(
         Window.partitionBy("__sl_p", *gcols).orderBy(F.col("__sl_v").desc_nulls_last())))
     counts = local.groupBy("__sl_p", *gcols).agg(F.max("__sl_lr").alias("__sl_n"))
@@ -148,7 +146,6 @@ def dense_rank_desc(df: DataFrame, groups: Sequence[str], value: Column, rank_co
         Window.partitionBy(*gcols).orderBy("__sl_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     ranks = local.join(offsets.select("__sl_p", *gcols, "__sl_off"), on=["__sl_p", *gcols]) \
         .select(*gcols, "__sl_v", (F.col("__sl_off") + F.col("__sl_lr")).cast("int").alias(rank_col))
-    tagged = df.withColumn("__sl_val", value)
     cond = [tagged[g].eqNullSafe(ranks[c]) for g, c in zip(groups, gcols)] + \
         [tagged["__sl_val"].eqNullSafe(ranks["__sl_v"])]
     return tagged.join(ranks, on=cond, how="left").drop(*gcols, "__sl_v", "__sl_val")
@@ -174,7 +171,7 @@ def band_days_by_month(daily: DataFrame, keys: Sequence[str], date: str, value:
     """
     v = F.col(value).cast(value_cast) if value_cast else F.col(value)
     cat = "__snaplake_band"
-    tagged = daily.select(*keys, date, band_of(v, bands).alias(cat)).filter(F.col(cat).isNotNull())
+    tagged = classify_bands(daily.select(*keys, date, v.alias("__sl_v")), "__sl_v", bands, cat)
     tagged = tagged.withColumn(month_col, trunc_like(tagged, date, "month"))
     return tagged.groupBy(*keys, month_col).agg(
         *[F.count_if(F.col(cat) == F.lit(name)).alias(name) for name, _, _ in bands],

@@ -9,6 +9,9 @@ most two) buckets its band can reach, and the join is an equi-join on
 (keys, bucket) plus the exact range test.  Work is linear in the true
 candidates and a hot entity is spread over its buckets; every (left, right)
 pair meets in exactly one bucket, so nothing is duplicated or lost.
+
+The nearest join makes no candidate pairs at all: see :func:`nearest_join`.
+As in SQL, a NULL key or time matches nothing.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql.window import Window
 
 from snaplake.functions.time import epoch_micros
 
+_SECOND = 1_000_000
 _LUS, _RUS, _BUCKET, _RBUCKETS = "__sl_lus", "__sl_rus", "__sl_bucket", "__sl_rbuckets"
 
 
@@ -81,10 +85,10 @@ def _running_last(df: DataFrame, part: Sequence[str], order: Sequence[Column], v
 
 
 def _chunked(both: DataFrame, kcols: Sequence[str], width: int, split: int, align: int = 1):
-    """(frame, partition columns, chunk column) of a sweep: as is when
-    ``split`` <= 1; else one struct key for (keys, bucket) plus the chunk
-    of width ``width / split`` (rounded up to a multiple of ``align``
-    microseconds) of the sweep time ``__sl_t``."""
+    """(frame, partition columns, chunk column) of a sweep: one struct key for
+    (keys, bucket), plus - for ``split`` > 1 - the chunk of width ``width /
+    split`` (rounded up to a multiple of ``align`` microseconds) of the sweep
+    time ``__sl_t``."""
     if split <= 1:
         return both, [*kcols, _BUCKET], None
     cw = -(-max(-(-width // split), 1) // align) * align
@@ -92,15 +96,14 @@ def _chunked(both: DataFrame, kcols: Sequence[str], width: int, split: int, alig
                 .withColumn("__sl_ck", _floor_div("__sl_t", cw)))
     return both, ["__sl_pk"], "__sl_ck"
 
+
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,
-                  right_ts: str, before, after=None, how: str = "inner",
-                  strategy: str = "bucket", keep_bucket: bool = False) -> DataFrame:
+                  right_ts: str, before, after=None, how: str = "inner") -> DataFrame:
     """Pairs with equal keys and ``right_ts BETWEEN left_ts - before AND
     left_ts + after`` (both ends inclusive, full precision).
 
     Output: all left columns plus the right side's non-key columns.
-    ``how`` is ``inner`` or ``left``.  ``strategy='naive'`` plans the plain
-    keys + range join (kept as the baseline for tests).
+    ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -108,283 +111,155 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
     a_us = to_micros(before if after is None else after)
     right_r, rk = _rename_right(left, right, keys)
 
-    lq = left.withColumn(_LUS, epoch_micros(F.col(left_ts)))
-    rq = right_r.withColumn(_RUS, epoch_micros(F.col(right_ts)))
-    cond = [F.col(k) == F.col(rk[k]) for k in keys]
+    width = max(a_us + b_us, 1)
+    lq = left.withColumn(_LUS, epoch_micros(F.col(left_ts))).withColumn(_BUCKET, _floor_div(_LUS, width))
+    # left row at l meets right row at r iff r - a <= l <= r + b
+    rq = (right_r.withColumn(_RUS, epoch_micros(F.col(right_ts)))
+                 .withColumn("__sl_lo", F.col(_RUS) - F.lit(a_us))
+                 .withColumn("__sl_hi", F.col(_RUS) + F.lit(b_us))
+                 .withColumn(_RBUCKETS, F.sequence(_floor_div("__sl_lo", width), _floor_div("__sl_hi", width)))
+                 .drop("__sl_lo", "__sl_hi")
+                 .withColumn("__sl_rb", F.explode(F.col(_RBUCKETS)))
+                 .drop(_RBUCKETS))
+    cond = [F.col(k) == F.col(rk[k]) for k in keys] + [F.col(_BUCKET) == F.col("__sl_rb")]
     band = F.col(_RUS).between(F.col(_LUS) - F.lit(b_us), F.col(_LUS) + F.lit(a_us))
-
-    if strategy == "bucket":
-        width = max(a_us + b_us, 1)
-        lq = lq.withColumn(_BUCKET, _floor_div(_LUS, width))
-        # left row at l meets right row at r iff r - a <= l <= r + b
-        rq = (rq.withColumn("__sl_lo", F.col(_RUS) - F.lit(a_us))
-                .withColumn("__sl_hi", F.col(_RUS) + F.lit(b_us))
-                .withColumn(_RBUCKETS, F.sequence(_floor_div("__sl_lo", width), _floor_div("__sl_hi", width)))
-                .drop("__sl_lo", "__sl_hi")
-                .withColumn("__sl_rb", F.explode(F.col(_RBUCKETS)))
-                .drop(_RBUCKETS))
-        cond.append(F.col(_BUCKET) == F.col("__sl_rb"))
-    elif strategy != "naive":
-        raise ValueError(f"unknown strategy {strategy!r}")
-
-    out = lq.join(rq, on=[*cond, band], how=how)
-    drop = [_LUS, _RUS, "__sl_rb", *rk.values()]
-    if not keep_bucket:
-        drop.append(_BUCKET)
-    return out.drop(*[c for c in drop if c in out.columns])
+    return lq.join(rq, on=[*cond, band], how=how).drop(_LUS, _RUS, _BUCKET, "__sl_rb", *rk.values())
 
 
 def nearest_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,
                  right_ts: str, tolerance, left_id: Sequence[str] | None = None,
                  tiebreak: Sequence[str] = (), unit: str = "microsecond", how: str = "inner",
-                 diff_col: str | None = None, strategy: str = "auto", split: int = 1) -> DataFrame:
+                 diff_col: str | None = None, split: int = 8) -> DataFrame:
     """For each left row, the right row of the same keys nearest in time
     within ``tolerance`` (inclusive on both sides).
 
     Distance is ``|left_ts - right_ts|`` in microseconds (``unit='second'``:
     whole seconds of each timestamp, as ``unix_timestamp`` differences).
     Ties prefer the earlier right row, then ``tiebreak`` columns ascending.
-    A left row is identified by ``left_id`` (default: keys + left_ts, which
-    collapses left rows sharing key and timestamp).  ``how='left'`` keeps
+    Left rows that share keys, ``left_ts`` and ``left_id`` are one row (the
+    smallest of them stays); without ``left_id``, those that share keys and
+    ``left_ts``.  A NULL key or time matches nothing; ``how='left'`` keeps
     left rows without a match (right columns NULL).
 
-    Strategies (all exact, same result):
-
-    * ``sweep`` (default): no candidate pairs at all.  Both
-      sides are unioned and partitioned by (keys, time bucket of width
-      ``tolerance``), the right side copied into the neighbouring buckets;
-      two running ``last(ignorenulls)`` windows (ascending and descending
-      time) give every left row its nearest right row before and after.
-      O(n log n) per bucket however dense the right side is.  For whole
-      seconds the sweep also finds the first right row inside the
-      tolerance, and a (keys, second) -> earliest-row table resolves ties
-      inside a second (two equi-lookups, one row per key on the small side).
-    * ``bucket``: bucketed band join, then
-      ``row_number() = 1`` per left row, partitioned by (keys, bucket, id) so
-      the join's hash partitioning is reused.  Work grows with the number of
-      right rows within the tolerance of each left row.
-    * ``naive``: plain keys + range join, the baseline for tests.
-
-    The microsecond sweep answers every left row on its own (as if
-    ``left_id`` were unique); the other strategies collapse left rows
-    sharing an id.
-
-    ``split`` > 1 (sweep only) cuts every (keys, bucket) sweep into that many
-    time chunks: the running scans run per chunk and carry the last value of
-    earlier chunks in (see :func:`_running_last`).  An entity that is dense
-    inside one tolerance window then spreads over ``split`` tasks.  Same
-    result; one more shuffle and a join per direction.
+    One algorithm for every tolerance and unit, without candidate pairs.
+    Both sides are unioned and partitioned by (keys, time bucket of width
+    ``tolerance``), the right side copied into the neighbouring buckets; two
+    running ``last(ignorenulls)`` windows, up and down the time, give every
+    left row its nearest right row before and after.  For whole seconds see
+    :func:`_second_choice`.
+
+    ``split`` > 1 cuts every (keys, bucket) sweep into that many time chunks:
+    the running scans run per chunk and carry the last value of earlier
+    chunks in (see :func:`_running_last`), so an entity that is dense inside
+    one tolerance window spreads over ``split`` tasks.  The rows are shuffled
+    once, by (keys, bucket, chunk); only tables with one row per chunk move
+    besides.
     """
-    tol_us = to_micros(tolerance)
-    if strategy == "auto":
-        strategy = "sweep" if unit == "microsecond" or tol_us >= 1_000_000 else "bucket"
-    if strategy == "sweep":
-        if unit == "microsecond":
-            return _nearest_sweep(left, right, keys, left_ts, right_ts, tol_us, tiebreak, how, diff_col,
-                                  split)
-        if unit == "second":
-            if tol_us < 1_000_000:
-                raise ValueError("whole-second sweep needs a tolerance of at least one second")
-            return _nearest_sweep_seconds(left, right, keys, left_ts, right_ts, tol_us, left_id, tiebreak,
-                                          how, diff_col, split)
-        raise ValueError("unit must be 'microsecond' or 'second'")
-    cand = interval_join(left, right, keys, left_ts, right_ts, tolerance, tolerance,
-                         how=how, strategy=strategy, keep_bucket=True)
-    if unit == "microsecond":
-        diff = F.abs(epoch_micros(F.col(left_ts)) - epoch_micros(F.col(right_ts)))
-    elif unit == "second":
-        diff = F.abs(F.unix_seconds(F.col(left_ts).cast("timestamp"))
-                     - F.unix_seconds(F.col(right_ts).cast("timestamp")))
-    else:
-        raise ValueError("unit must be 'microsecond' or 'second'")
-    ident = list(left_id) if left_id else [*keys, left_ts]
-    part = [F.col(k) for k in keys]
-    if _BUCKET in cand.columns:
-        part.append(F.col(_BUCKET))
-    part += [F.col(c) for c in ident if c not in keys]
-    dcol = diff_col or "__sl_diff"
-    w = Window.partitionBy(*part).orderBy(
-        F.col(dcol).asc_nulls_last(), F.col(right_ts).asc_nulls_last(),
-        *[F.col(t).asc_nulls_last() for t in tiebreak])
-    rn = "__sl_rn"
-    out = (cand.withColumn(dcol, diff)
-               .withColumn(rn, F.row_number().over(w))
-               .filter(F.col(rn) == 1)
-               .drop(rn))
-    drop = [c for c in (_BUCKET,) if c in out.columns]
-    if diff_col is None:
-        drop.append(dcol)
-    return out.drop(*drop)
-
-
-def _nearest_sweep(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
-                   tol_us: int, tiebreak: Sequence[str], how: str, diff_col: str | None,
-                   split: int = 1) -> DataFrame:
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
+    if unit not in ("microsecond", "second"):
+        raise ValueError("unit must be 'microsecond' or 'second'")
+    seconds, tol_us = unit == "second", to_micros(tolerance)
     right_r, rk = _rename_right(left, right, keys)
-    width = max(tol_us, 1)
+    right_r = right_r.dropna(subset=[*rk.values(), right_ts])
+    if how == "inner":
+        left = left.dropna(subset=[*keys, left_ts])
+    # a shifted copy answers for left rows up to a second earlier, which must be in its bucket or the one before
+    width = max(tol_us, _SECOND if seconds else 1)
     rcols = [c for c in right_r.columns if c not in rk.values()]
-    lstruct = F.struct(*[F.col(c) for c in left.columns])
-    rstruct = F.struct(F.col(_RUS).alias(_RUS), *[F.col(c) for c in rcols])
     kcols = [f"__sl_k{i}" for i in range(len(keys))]
+    ids = [left_ts, *(left_id or [])]
 
-    lq = (left.withColumn(_LUS, epoch_micros(F.col(left_ts)))
-              .withColumn(_BUCKET, _floor_div(_LUS, width))
+    lq = (left.withColumn(_LUS, epoch_micros(F.col(left_ts))).withColumn(_BUCKET, _floor_div(_LUS, width))
               .select(*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)], F.col(_BUCKET),
                       F.col(_LUS).alias("__sl_t"), F.lit(1).alias("__sl_side"),
-                      lstruct.alias("__sl_l")))
-    rq = (right_r.withColumn(_RUS, epoch_micros(F.col(right_ts)))
-                 .withColumn("__sl_rb", _floor_div(_RUS, width))
-                 .select(*[F.col(rk[k]).alias(kc) for k, kc in zip(keys, kcols)],
-                         # a right row serves the left rows of its own bucket and, as the
-                         # nearest-before / nearest-after candidate, of the two neighbours
-                         F.explode(F.sequence(F.col("__sl_rb") - 1, F.col("__sl_rb") + 1)).alias(_BUCKET),
-                         F.col(_RUS).alias("__sl_t"), F.lit(0).alias("__sl_side"),
-                         rstruct.alias("__sl_r"),
-                         *[F.col(t).alias(f"__sl_tb{i}") for i, t in enumerate(tiebreak)]))
-    lq = lq.withColumn("__sl_r", F.lit(None).cast(rq.schema["__sl_r"].dataType))
-    for i in range(len(tiebreak)):
-        lq = lq.withColumn(f"__sl_tb{i}", F.lit(None).cast(rq.schema[f"__sl_tb{i}"].dataType))
-    rq = rq.withColumn("__sl_l", F.lit(None).cast(lq.schema["__sl_l"].dataType))
-    both = lq.unionByName(rq)
-
+                      *[F.col(c).alias(f"__sl_id{i}") for i, c in enumerate(ids)],
+                      F.struct(*[F.col(c) for c in left.columns]).alias("__sl_l")))
+    rus = right_r.withColumn(_RUS, epoch_micros(F.col(right_ts)))
+    rsel = [*[F.col(rk[k]).alias(kc) for k, kc in zip(keys, kcols)],
+            F.struct(F.col(_RUS).alias(_RUS), *[F.col(c) for c in rcols]).alias("__sl_row"),
+            *[F.col(t).alias(f"__sl_tb{i}") for i, t in enumerate(tiebreak)]]
+
+    def copies(shift: int, first: int, last: int, side: int) -> DataFrame:
+        at = rus.withColumn("__sl_at", F.col(_RUS) + F.lit(shift)).withColumn("__sl_b0", _floor_div("__sl_at", width))
+        return at.select(*rsel, F.col("__sl_at").alias("__sl_t"), F.lit(side).alias("__sl_side"),
+                         F.explode(F.sequence(F.col("__sl_b0") + first, F.col("__sl_b0") + last)).alias(_BUCKET))
+
+    # a right row serves the left rows of its own bucket and, as the nearest
+    # before or after, of the two neighbours
+    rq = copies(0, -1, 1, 0)
+    if seconds:
+        rq = rq.unionByName(copies(tol_us, -1, 0, 2))
+    both, pnames, chunk = _chunked(lq.unionByName(rq, allowMissingColumns=True), kcols, width, split,
+                                   align=_SECOND if seconds else 1)
+    spread = [F.col(c) for c in pnames] + ([F.col(chunk)] if chunk else [])
+    both = both.repartition(*spread)  # the only shuffle of the rows
+
+    is_right, t = F.col("__sl_side") == 0, F.col("__sl_t")
+    tb_asc = [F.col(f"__sl_tb{i}").asc_nulls_last() for i in range(len(tiebreak))]
     # right rows sort before a left row at the same instant (distance 0 counts),
     # and among equal instants the lowest tiebreak is the last one seen
     tb_desc = [F.col(f"__sl_tb{i}").desc_nulls_first() for i in range(len(tiebreak))]
-    both, part, chunk = _chunked(both, kcols, width, split)
-    swept = _running_last(both, part, [F.col("__sl_t").asc(), F.col("__sl_side").asc(), *tb_desc],
-                          "__sl_r", "__sl_b", chunk, ascending=True)
-    swept = _running_last(swept, part, [F.col("__sl_t").desc(), F.col("__sl_side").asc(), *tb_desc],
-                          "__sl_r", "__sl_a", chunk, ascending=False)
+    side = F.when(is_right, F.lit(0)).when(F.col("__sl_side") == 2, F.lit(1)).otherwise(F.lit(2)).asc()
+    found = F.struct(F.col("__sl_row").alias("row"))
+    if seconds:
+        w_sec = Window.partitionBy(*spread, F.when(is_right, _seconds(t))).orderBy(t.asc(), *tb_asc)
+        found = F.struct(F.col("__sl_row").alias("row"), F.first("__sl_row").over(w_sec).alias("first_of_second"))
+    both = both.withColumn("__sl_r", F.when(is_right, found))
+    swept = _running_last(both, pnames, [t.asc(), side, *tb_desc], "__sl_r", "__sl_b", chunk, ascending=True)
+    down = [t.desc(), side, *tb_desc]
+    swept = _running_last(swept, pnames, down, "__sl_r", "__sl_a", chunk, ascending=False)
+    if seconds:
+        swept = swept.withColumn("__sl_s", F.when(F.col("__sl_side") == 2, F.col("__sl_row")))
+        swept = _running_last(swept, pnames, down, "__sl_s", "__sl_lo", chunk, ascending=False)
     swept = swept.filter(F.col("__sl_side") == 1)
-    t = F.col("__sl_t")
-    db = t - F.col(f"__sl_b.{_RUS}")
-    da = F.col(f"__sl_a.{_RUS}") - t
-    b_ok = F.coalesce(db <= F.lit(tol_us), F.lit(False))
-    a_ok = F.coalesce(da <= F.lit(tol_us), F.lit(False))
-    pick_b = b_ok & (~a_ok | (db <= da))   # equidistant: the earlier row
-    chosen = F.when(pick_b, F.col("__sl_b")).when(a_ok, F.col("__sl_a"))
-    dist = F.when(pick_b, db).when(a_ok, da)
+    w_id = Window.partitionBy(*spread, *[F.col(f"__sl_id{i}") for i in range(len(ids))]).orderBy("__sl_l")
+    swept = swept.withColumn("__sl_n", F.row_number().over(w_id)).filter(F.col("__sl_n") == 1)
+
+    chosen, dist = _second_choice(t, tol_us) if seconds else _micros_choice(t, tol_us)
     out = swept.select(F.col("__sl_l"), chosen.alias("__sl_c"), dist.alias("__sl_d"))
     if how == "inner":
         out = out.filter(F.col("__sl_c").isNotNull())
-    cols = [F.col(f"__sl_l.{c}").alias(c) for c in left.columns] + \
-           [F.col(f"__sl_c.{c}").alias(c) for c in rcols]
+    cols = [F.col(f"__sl_l.{c}").alias(c) for c in left.columns] + [F.col(f"__sl_c.{c}").alias(c) for c in rcols]
     if diff_col:
         cols.append(F.col("__sl_d").alias(diff_col))
     return out.select(*cols)
 
 
-def _nearest_sweep_seconds(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,
-                           right_ts: str, tol_us: int, left_id: Sequence[str] | None,
-                           tiebreak: Sequence[str], how: str, diff_col: str | None,
-                           split: int = 1) -> DataFrame:
-    """Whole-second distance, exact, without candidate pairs, one shuffle.
+def _micros_choice(t: Column, tol_us: int) -> tuple[Column, Column]:
+    """(row, distance) of the nearer of the rows before and after; equidistant, the earlier."""
+    db = t - F.col(f"__sl_b.row.{_RUS}")
+    da = F.col(f"__sl_a.row.{_RUS}") - t
+    b_ok = F.coalesce(db <= F.lit(tol_us), F.lit(False))
+    a_ok = F.coalesce(da <= F.lit(tol_us), F.lit(False))
+    pick_b = b_ok & (~a_ok | (db <= da))
+    return (F.when(pick_b, F.col("__sl_b.row")).when(a_ok, F.col("__sl_a.row")),
+            F.when(pick_b, db).when(a_ok, da))
+
+
+def _seconds(c: Column) -> Column:
+    """Whole seconds of microseconds (floor, exact)."""
+    return ((c - F.pmod(c, F.lit(_SECOND))) / F.lit(_SECOND)).cast("long")
 
-    For a left row at l (second ls) the best right row is, among rows within
-    the tolerance, the one minimising (|ls - rs|, r, tiebreak):
 
-    * before side: the second gB of the latest right row <= l, and in it the
-      earliest row - except when gB is the second of l - tolerance, where
-      only rows from l - tolerance on count: then it is the first right row
-      >= l - tolerance, found by a probe row at l - tolerance;
-    * after side: the earliest row of the second gA of the first right row
-      >= l (with a tolerance >= 1 s every row of that second is in range).
+def _second_choice(t: Column, tol_us: int) -> tuple[Column, Column]:
+    """(row, distance) in whole seconds, exact for any tolerance.
 
-    Everything happens inside the (keys, bucket) partitions of the sweep: the
-    earliest row of each second is a window per (keys, bucket, second) -
-    every second used this way lies wholly inside the bucket and its two
-    neighbours, whose right rows the partition holds - and the probe sits in
-    the left row's bucket and is joined to it by a window per left row.
+    Of the rows within the tolerance of a left row at l (second ls), the best
+    one minimises (|ls - rs|, r, tiebreak).  The second gB of the latest right
+    row <= l and the second gA of the first one >= l are the two candidates,
+    and in a second the earliest row counts - unless it is the second of
+    l - tolerance, where only rows from there on do: then it is the first
+    right row >= l - tolerance.  That row comes from a copy of the right side
+    shifted by the tolerance: its first row at or after l (``__sl_lo``).
     """
-    if how not in ("inner", "left"):
-        raise ValueError("how must be 'inner' or 'left'")
-    right_r, rk = _rename_right(left, right, keys)
-    width = max(tol_us, 1)
-    sec = 1_000_000
-    rcols = [c for c in right_r.columns if c not in rk.values()]
-    kcols = [f"__sl_k{i}" for i in range(len(keys))]
-    ids = list(left_id) if left_id else [left_ts]
-
-    def fsec(c: Column) -> Column:  # floor seconds of microseconds (exact)
-        return ((c - F.pmod(c, F.lit(sec))) / F.lit(sec)).cast("long")
-
-    lstruct = F.struct(*[F.col(c) for c in left.columns])
-    lus = left.withColumn(_LUS, epoch_micros(F.col(left_ts))) \
-        .withColumn(_BUCKET, _floor_div(_LUS, width))
-    lsel = [*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)], F.col(_BUCKET),
-            *[F.col(c).alias(f"__sl_id{i}") for i, c in enumerate(ids)], lstruct.alias("__sl_l")]
-    lq = (lus.select(*lsel, F.col(_LUS).alias("__sl_t"), F.lit(1).alias("__sl_side"))
-             .unionByName(lus.select(*lsel, (F.col(_LUS) - F.lit(tol_us)).alias("__sl_t"),
-                                     F.lit(2).alias("__sl_side"))))
-    rq = (right_r.withColumn(_RUS, epoch_micros(F.col(right_ts)))
-                 .withColumn("__sl_rb", _floor_div(_RUS, width))
-                 .select(*[F.col(rk[k]).alias(kc) for k, kc in zip(keys, kcols)],
-                         F.explode(F.sequence(F.col("__sl_rb") - 1, F.col("__sl_rb") + 1)).alias(_BUCKET),
-                         F.col(_RUS).alias("__sl_t"), F.lit(0).alias("__sl_side"),
-                         F.struct(F.col(_RUS).alias(_RUS), *[F.col(c) for c in rcols]).alias("__sl_row"),
-                         *[F.col(t).alias(f"__sl_tb{i}") for i, t in enumerate(tiebreak)]))
-    for c in rq.columns:
-        if c not in lq.columns:
-            lq = lq.withColumn(c, F.lit(None).cast(rq.schema[c].dataType))
-    for c in lq.columns:
-        if c not in rq.columns:
-            rq = rq.withColumn(c, F.lit(None).cast(lq.schema[c].dataType))
-    both = lq.unionByName(rq)
-
-    part = [F.col(kc) for kc in kcols] + [F.col(_BUCKET)]
-    # split: chunks of whole seconds, so a second never straddles two chunks and
-    # one (bucket, chunk) partitioning serves the per-second window and both scans
-    both, pnames, chunk = _chunked(both, kcols, width, split, align=sec)
-    sweep_part = [F.col(c) for c in pnames]
-    if chunk is not None:
-        sweep_part.append(F.col(chunk))
-        both = both.repartition(*sweep_part)
-    tb_asc = [F.col(f"__sl_tb{i}").asc_nulls_last() for i in range(len(tiebreak))]
-    tb_desc = [F.col(f"__sl_tb{i}").desc_nulls_first() for i in range(len(tiebreak))]
-    is_right = F.col("__sl_side") == 0
-    # earliest right row of each second (right rows only; left rows form their own group)
-    rsec = F.when(is_right, fsec(F.col("__sl_t")))
-    w_sec = Window.partitionBy(*sweep_part, rsec.alias("__sl_rs")).orderBy(F.col("__sl_t").asc(), *tb_asc)
-    both = both.withColumn("__sl_r", F.when(is_right, F.struct(
-        F.col("__sl_row").alias("row"), F.first("__sl_row").over(w_sec).alias("first_of_second"))))
-    side_order = F.when(is_right, F.lit(0)).otherwise(F.lit(1))
-    swept = _running_last(both, pnames, [F.col("__sl_t").asc(), side_order.asc(), *tb_desc],
-                          "__sl_r", "__sl_b", chunk, ascending=True)
-    swept = _running_last(swept, pnames, [F.col("__sl_t").desc(), side_order.asc(), *tb_desc],
-                          "__sl_r", "__sl_a", chunk, ascending=False)
-    swept = swept.filter(~is_right)
-    # bring the probe's answer (first right row >= l - tolerance) to its left row
-    id_cols = [f"__sl_id{i}" for i in range(len(ids))]
-    w_id = Window.partitionBy(*part, *[F.col(c) for c in id_cols])
-    probe = F.col("__sl_side") == 2
-    swept = swept.withColumn("__sl_lo", F.max(F.when(probe, F.col("__sl_a.row"))).over(w_id)) \
-        .filter(~probe)
-    # one row per left identity (duplicates of an id collapse, as in the joins)
-    w_one = w_id.orderBy(F.col("__sl_l").asc())
-    swept = swept.withColumn("__sl_n", F.row_number().over(w_one)).filter(F.col("__sl_n") == 1)
-
-    lu = F.col("__sl_t")
-    ls = fsec(lu)
-    s_lo = fsec(lu - F.lit(tol_us))
-    b_us = F.col(f"__sl_b.row.{_RUS}")
-    a_us = F.col(f"__sl_a.row.{_RUS}")
-    gb = F.when(lu - b_us <= F.lit(tol_us), fsec(b_us))
-    ga = F.when(a_us - lu <= F.lit(tol_us), fsec(a_us))
-    win_b = F.when(gb.isNull(), F.lit(None)).when(gb == s_lo, F.col("__sl_lo")) \
-        .otherwise(F.col("__sl_b.first_of_second"))
-    win_a = F.when(ga.isNotNull(), F.col("__sl_a.first_of_second"))
+    ls, s_lo = _seconds(t), _seconds(t - F.lit(tol_us))
+    b_us, a_us = F.col(f"__sl_b.row.{_RUS}"), F.col(f"__sl_a.row.{_RUS}")
+    gb = F.when(t - b_us <= F.lit(tol_us), _seconds(b_us))
+    ga = F.when(a_us - t <= F.lit(tol_us), _seconds(a_us))
+    win_b = F.when(gb.isNull(), F.lit(None)).when(gb == s_lo, F.col("__sl_lo")).otherwise(F.col("__sl_b.first_of_second"))
+    win_a = F.when(ga.isNull(), F.lit(None)).when(ga == s_lo, F.col("__sl_lo")).otherwise(F.col("__sl_a.first_of_second"))
     db, da = ls - gb, ga - ls
     # equal whole-second distance: the earlier row (the before side is never later)
     pick_b = win_b.isNotNull() & (win_a.isNull() | (db <= da))
-    chosen = F.when(pick_b, win_b).otherwise(win_a)
-    dist = F.when(pick_b, db).when(win_a.isNotNull(), da)
-    out = swept.select(F.col("__sl_l"), chosen.alias("__sl_c"), dist.alias("__sl_d"))
-    if how == "inner":
-        out = out.filter(F.col("__sl_c").isNotNull())
-    cols = [F.col(f"__sl_l.{c}").alias(c) for c in left.columns] + \
-           [F.col(f"__sl_c.{c}").alias(c) for c in rcols]
-    if diff_col:
-        cols.append(F.col("__sl_d").alias(diff_col))
-    return out.select(*cols)
+    return F.when(pick_b, win_b).otherwise(win_a), F.when(pick_b, db).when(win_a.isNotNull(), da)

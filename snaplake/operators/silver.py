@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from snaplake.functions.casts import lenient_cast
 from snaplake.functions.json import path_column, schema_for_paths
+from snaplake.functions.time import ts_lit
 from snaplake.schemas import RESULT_SUCCESS
 
 _PARSED = "__snaplake_parsed"
@@ -60,20 +61,27 @@ def _order(cols: Sequence[str | Column]) -> list[Column]:
     return [c if isinstance(c, Column) else F.col(c).desc_nulls_last() for c in cols]
 
 
+def _content(df: DataFrame) -> Column:
+    """A hash of a row's columns (those whose type Spark can hash)."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields
+                        if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))])
+
+
 def latest_wins(df: DataFrame, keys: Sequence[str], ts: str | Column,
                 version_cols: Sequence[str | Column]) -> DataFrame:
     """One row per (keys, ts): the one with the greatest version.
 
-    ``version_cols`` are compared descending (NULLs last), left to right;
-    the later ones break ties, so pass a unique column last for a
-    deterministic result.  A Column is used as given (e.g. ``F.col('x').asc()``).
+    ``version_cols`` are compared descending (NULLs last), left to right; the
+    later ones break ties, and rows that tie in all of them go by a hash of
+    their content, so the result never depends on the order of the input.  A
+    Column is used as given (e.g. ``F.col('x').asc()``).
 
     Plan: ``row_number() = 1`` becomes a WindowGroupLimit that keeps only the
     first row per group *before* the shuffle as well as after it, so a hot
     (key, ts) group with many versions is reduced map-side.
     """
     ts_c = ts if isinstance(ts, Column) else F.col(ts)
-    w = Window.partitionBy(*[F.col(k) for k in keys], ts_c).orderBy(*_order(version_cols))
+    w = Window.partitionBy(*[F.col(k) for k in keys], ts_c).orderBy(*_order(version_cols), _content(df).desc())
     rn = "__snaplake_rn"
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
 
@@ -81,7 +89,7 @@ def latest_wins(df: DataFrame, keys: Sequence[str], ts: str | Column,
 def stamp_lineage(df: DataFrame, stamp_col: str, execution_id: str | None,
                   pipeline_run_id: str | None, now=None) -> DataFrame:
     """Add ``stamp_col`` (ingestion time), ``execution_id``, ``pipeline_run_id``."""
-    ts = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    ts = F.current_timestamp() if now is None else ts_lit(now)
     return (df.withColumn(stamp_col, ts)
               .withColumn("execution_id", F.lit(execution_id).cast("string"))
               .withColumn("pipeline_run_id", F.lit(pipeline_run_id).cast("string")))

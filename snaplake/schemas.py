@@ -178,6 +178,12 @@ PIPELINE_AUDIT = _schema(
     ("status", S, False), ("start_ts", T, False), ("end_ts", T, True), ("error_message", S, True),
 )
 
+# What each layer has taken in: rows stamped up to ``upto`` are in it.  Layer
+# ``run`` keeps the stamps of all runs, finished or not, so stamps only grow.
+REFRESH_MARKS = _schema(
+    ("layer", S, False), ("upto", T, False), ("pipeline_run_id", S, True),
+)
+
 # Lake tables by logical name (used by ensure_tables).
 LAKE_TABLES = {
     "bronze_snapshot": BRONZE_SNAPSHOT,
@@ -192,6 +198,7 @@ CONTROL_TABLES = {
     "api_limits": API_LIMITS,
     "ingestion_entities": INGESTION_ENTITIES,
     "pipeline_audit": PIPELINE_AUDIT,
+    "refresh_marks": REFRESH_MARKS,
 }
 # Natural partition column of each lake table (date-slice refresh).
 PARTITION_COLUMNS = {

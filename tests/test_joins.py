@@ -2,7 +2,9 @@ import datetime as dt
 import random
 
 from conftest import rows
-from snaplake.operators.joins import interval_join, nearest_join
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+from snaplake.operators.joins import interval_join, nearest_join, to_micros
 
 H3 = dt.timedelta(hours=3)
 
@@ -13,6 +15,30 @@ def _sides(spark, left, right):
     return l, r
 
 
+def _us(c):
+    return F.unix_micros(F.col(c).cast("timestamp"))
+
+
+def naive_interval(l, r, keys, lts, rts, before, after=None, how="inner"):
+    """Every pair of equal keys, then the range: what interval_join must equal."""
+    rk = {k: f"r_{k}" for k in keys}
+    r = r.withColumnsRenamed(rk)
+    cond = [F.col(k) == F.col(rk[k]) for k in keys]
+    cond.append(_us(rts).between(_us(lts) - to_micros(before), _us(lts) + to_micros(before if after is None else after)))
+    return l.join(r, cond, how).drop(*rk.values())
+
+
+def naive_nearest(l, r, keys, lts, rts, tol, left_id=None, tiebreak=(), unit="microsecond", how="inner", diff_col=None):
+    """Every pair within the tolerance, then the best of each left row: what nearest_join must equal."""
+    pairs = naive_interval(l, r, keys, lts, rts, tol, how=how)
+    sec = lambda c: F.floor(_us(c) / 1_000_000)
+    diff = F.abs(_us(lts) - _us(rts)) if unit == "microsecond" else F.abs(sec(lts) - sec(rts))
+    w = Window.partitionBy(*keys, lts, *(left_id or [])).orderBy(
+        F.col("__d").asc_nulls_last(), F.col(rts).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tiebreak])
+    out = pairs.withColumn("__d", diff).withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    return out.withColumnRenamed("__d", diff_col) if diff_col else out.drop("__d")
+
+
 def test_nearest_edges(spark):
     t = dt.datetime(2024, 1, 1, 12)
     us = dt.timedelta(microseconds=1)
@@ -32,10 +58,8 @@ def test_nearest_edges(spark):
     got = {row["lid"]: row["rid"] for row in
            nearest_join(l, r, ["k"], "lts", "rts", H3, left_id=["lid"], tiebreak=["rid"]).collect()}
     assert got == {1: 10, 2: 20, 4: 40, 5: 50, 6: 60, 7: 71}
-    for strategy in ("bucket", "naive"):
-        other = {row["lid"]: row["rid"] for row in nearest_join(
-            l, r, ["k"], "lts", "rts", H3, left_id=["lid"], tiebreak=["rid"], strategy=strategy).collect()}
-        assert other == got
+    assert {row["lid"]: row["rid"] for row in naive_nearest(
+        l, r, ["k"], "lts", "rts", H3, left_id=["lid"], tiebreak=["rid"]).collect()} == got
     left_kept = nearest_join(l, r, ["k"], "lts", "rts", H3, left_id=["lid"], tiebreak=["rid"], how="left")
     assert left_kept.count() == 7
     # whole seconds of each timestamp: +900 ms is 0 s away, -200 ms is 1 s away
@@ -54,16 +78,11 @@ def test_bucketed_equals_brute_force(spark):
     l, r = _sides(spark, left, right)
     for tol in (dt.timedelta(hours=3), dt.timedelta(minutes=7), dt.timedelta(0)):
         a = interval_join(l, r, ["k"], "lts", "rts", tol, dt.timedelta(hours=1))
-        b = interval_join(l, r, ["k"], "lts", "rts", tol, dt.timedelta(hours=1), strategy="naive")
-        assert rows(a) == rows(b)
-        c = nearest_join(l, r, ["k"], "lts", "rts", tol, left_id=["lid"], tiebreak=["rid"])
-        d = nearest_join(l, r, ["k"], "lts", "rts", tol, left_id=["lid"], tiebreak=["rid"], strategy="naive")
-        e = nearest_join(l, r, ["k"], "lts", "rts", tol, left_id=["lid"], tiebreak=["rid"], strategy="bucket")
-        assert rows(c) == rows(d) == rows(e)
-        f = nearest_join(l, r, ["k"], "lts", "rts", tol, left_id=["lid"], tiebreak=["rid"], how="left")
-        g = nearest_join(l, r, ["k"], "lts", "rts", tol, left_id=["lid"], tiebreak=["rid"], how="left",
-                         strategy="bucket")
-        assert rows(f) == rows(g) and f.count() == 300
+        assert rows(a) == rows(naive_interval(l, r, ["k"], "lts", "rts", tol, dt.timedelta(hours=1)))
+        for how in ("inner", "left"):
+            kw = dict(left_id=["lid"], tiebreak=["rid"], how=how)
+            c = rows(nearest_join(l, r, ["k"], "lts", "rts", tol, **kw))
+            assert c == rows(naive_nearest(l, r, ["k"], "lts", "rts", tol, **kw)), (tol, how)
     # python brute force for the nearest pick
     exp = {}
     for lid, k, lt in left:
@@ -87,19 +106,35 @@ def test_whole_second_sweep_equals_join(spark):
     left = [(i, f"k{rnd.randint(0, 2)}", ts()) for i in range(250)]
     right = [(i, f"k{rnd.randint(0, 2)}", ts()) for i in range(400)]
     l, r = _sides(spark, left, right)
-    for tol in (dt.timedelta(hours=3), dt.timedelta(seconds=30), dt.timedelta(seconds=1),
-                dt.timedelta(seconds=2, microseconds=500000)):
-        for lid in (["lid"], None):
-            for how in ("inner", "left"):
-                kw = dict(left_id=lid, tiebreak=["rid"], unit="second", how=how, diff_col="d")
-                a = nearest_join(l, r, ["k"], "lts", "rts", tol, strategy="sweep", **kw)
-                b = nearest_join(l, r, ["k"], "lts", "rts", tol, strategy="bucket", **kw)
-                c = nearest_join(l, r, ["k"], "lts", "rts", tol, strategy="naive", **kw)
-                # without an id, left rows sharing (key, ts) collapse and which
-                # duplicate's lid survives is arbitrary: compare the rest
-                cols = [x for x in a.columns if lid or x != "lid"]
-                ra, rb, rc = rows(a, *cols), rows(b, *cols), rows(c, *cols)
-                assert ra == rb == rc, (tol, lid, how)
+    for tol in (dt.timedelta(hours=3), dt.timedelta(seconds=1), dt.timedelta(seconds=2, microseconds=500000),
+                dt.timedelta(microseconds=400000), dt.timedelta(0)):
+        for lid, how, split in ((["lid"], "inner", 8), (["lid"], "left", 1), (None, "left", 8)):
+            kw = dict(left_id=lid, tiebreak=["rid"], unit="second", how=how, diff_col="d")
+            a = nearest_join(l, r, ["k"], "lts", "rts", tol, split=split, **kw)
+            # without an id, left rows sharing (key, ts) collapse and which
+            # duplicate's lid survives is arbitrary: compare the rest
+            cols = [x for x in a.columns if lid or x != "lid"]
+            assert rows(a, *cols) == rows(naive_nearest(l, r, ["k"], "lts", "rts", tol, **kw), *cols), (tol, lid, how)
+
+
+def test_null_keys_and_repeated_instants(spark):
+    """A NULL in a key matches nothing, left rows of one identity are one
+    row, and a composite key works: equal to the pairs' answer."""
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+
+    def row(i):
+        return (i, rnd.choice([None, "a", "b"]), rnd.choice([None, 1, 2]),
+                rnd.choice([None, *[base + dt.timedelta(seconds=rnd.randint(0, 40), microseconds=rnd.choice([0, 500000]))] * 9]))
+    l = spark.createDataFrame([row(i) for i in range(160)], "lid int, k string, k2 int, lts timestamp")
+    r = spark.createDataFrame([row(i) for i in range(160)], "rid int, k string, k2 int, rts timestamp")
+    for unit in ("microsecond", "second"):
+        for how, lid in (("inner", None), ("inner", ["lid"]), ("left", ["lid"])):
+            kw = dict(left_id=lid, tiebreak=["rid"], unit=unit, how=how, diff_col="d")
+            got = nearest_join(l, r, ["k", "k2"], "lts", "rts", dt.timedelta(seconds=3), **kw)
+            cols = [x for x in got.columns if lid or x != "lid"]
+            assert rows(got, *cols) == rows(naive_nearest(l, r, ["k", "k2"], "lts", "rts", dt.timedelta(seconds=3), **kw), *cols)
+    assert got.count() == 160
 
 
 def test_split_sweep_equals_unsplit(spark):
@@ -122,8 +157,7 @@ def test_split_sweep_equals_unsplit(spark):
         for unit in ("microsecond", "second"):
             for how in ("inner", "left"):
                 kw = dict(left_id=["lid"], tiebreak=["rid"], unit=unit, how=how, diff_col="d")
-                one = rows(nearest_join(l, r, ["k"], "lts", "rts", tol, strategy="sweep", **kw))
-                assert one == rows(nearest_join(l, r, ["k"], "lts", "rts", tol, strategy="bucket", **kw))
-                for split in (3, 16):
-                    got = rows(nearest_join(l, r, ["k"], "lts", "rts", tol, strategy="sweep", split=split, **kw))
-                    assert got == one, (tol, unit, how, split)
+                want = rows(naive_nearest(l, r, ["k"], "lts", "rts", tol, **kw))
+                for split in (1, 16):
+                    got = rows(nearest_join(l, r, ["k"], "lts", "rts", tol, split=split, **kw))
+                    assert got == want, (tol, unit, how, split)

@@ -83,3 +83,22 @@ def test_latest_wins_idempotent_and_order_insensitive(spark):
     shuffled = latest_wins(df.repartition(7, "id").orderBy(F.rand(3)), ["k"], "ts", ["ingested", "id"])
     assert rows(once) == rows(twice) == rows(shuffled)
     assert once.count() == df.select("k", "ts").distinct().count()
+
+
+def test_latest_wins_by_default_ignores_the_order_of_the_input(spark):
+    """Snapshots of one batch share their ingestion time: the call time, then
+    the content decide, however the rows arrive."""
+    import datetime as dt
+    import json
+
+    from snaplake.plans import lake
+
+    t = dt.datetime(2024, 1, 1)
+    body = lambda aqi: json.dumps({"data": {"current": {"pollution": {"ts": "2024-01-01T10:00:00.000Z", "aqius": aqi}}}})
+    cols = "city string, state string, country string, api_result string, raw_payload string, ingestion_ts timestamp, api_call_ts timestamp"
+    data = [("a", "s", "c", "SUCCESS", body(i), t, t) for i in range(5)] + [("b", "s", "c", "SUCCESS", body(i), t, t + dt.timedelta(hours=i % 4)) for i in range(5)]
+    got = set()
+    for order in (data, data[::-1], data[3:] + data[:3]):
+        parsed = lake.parsed_snapshots(spark.createDataFrame(order, cols))
+        got.add(tuple(sorted((r.city, r.aqi_us) for r in lake.silver_pollution(parsed).collect())))
+    assert len(got) == 1 and ("b", 3) in got.pop()
