@@ -27,6 +27,8 @@ from snaplake.functions.time import trunc_like
 from snaplake.operators.bronze import classify_responses, skip_ingested, to_call_registry
 from snaplake.operators.control import (
     audit_close,
+    audit_state,
+    audit_violations,
     constraint_violations,
     next_execution,
     pending_entities,
@@ -45,7 +47,7 @@ from snaplake.operators.joins import interval_join, nearest_join
 from snaplake.operators.silver import latest_wins, normalize_json
 from snaplake.plans import lake
 from snaplake.schemas import AQI_BANDS, JOIN_WINDOW_HOURS
-from snaplake.session import scratch_path, spread
+from snaplake.session import scratch_path
 from snaplake.sources.io import append_table, ensure_tables, read_table, read_testdata, refresh_table
 from snaplake.streaming.stream import (
     BATCH_COL,
@@ -62,6 +64,11 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
     return read_testdata(spark, d, "events")
 
 
+def _over_cores(df: DataFrame) -> DataFrame:
+    """The test tables are one file each: deal their rows out over the cores before JSON work."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def _r6(c):
     return F.round(F.col(c), 6).alias(c)
 
@@ -181,9 +188,10 @@ def q_monthly_correlation_cohort(spark, d):
 def _landing(spark, d):
     """events as landed API responses: purchases/errors carry a success
     payload (errors with HTTP 500), clicks a 'fail' payload, signups a JSON
-    array, views either an empty object or text that is not JSON; values
+    array; views, by value, an object with text after it, two objects, a
+    repeated field, NaN, an empty object or text that is not JSON; values
     below 1 are transport errors (no status, no body)."""
-    ev = spread(_events(spark, d))
+    ev = _over_cores(_events(spark, d))
     failed = F.col("value") < 1
     et = F.col("event_type")
     body = (F.when(failed, F.lit(None).cast("string"))
@@ -191,6 +199,10 @@ def _landing(spark, d):
                    F.concat(F.lit('{"status": "success", "data": '), F.col("props"), F.lit("}")))
              .when(et == "click", F.concat(F.lit('{"status": "fail", "message": '), F.col("props"), F.lit("}")))
              .when(et == "signup", F.concat(F.lit("["), F.col("props"), F.lit("]")))
+             .when(F.col("value") >= 80, F.lit('{"status": "success"} trailing'))
+             .when(F.col("value") >= 70, F.lit('{"status": "success"}, {"status": "success"}'))
+             .when(F.col("value") >= 60, F.lit('{"status": "fail", "status": "success"}'))
+             .when(F.col("value") >= 50, F.lit('{"status": "success", "v": NaN}'))
              .when(F.col("value") >= 40, F.lit("{}"))
              .otherwise(F.concat(F.lit("not json: "), F.col("props"))))
     return ev.select(
@@ -332,7 +344,7 @@ def _s(c):
     return c.cast("string")
 
 
-def lake_landing(spark, d):
+def lake_landing(spark, d, shift_days=0):
     """events as landed responses in the real payload shape (location +
     current pollution + current weather); the pollution time is the event's
     hour, the weather time 20 minutes later, so several events collide on
@@ -341,7 +353,9 @@ def lake_landing(spark, d):
     pollution time without milliseconds (does not parse: dropped from
     pollution, kept in weather); signups get HTTP 503 and values below 1 a
     transport error."""
-    ev = spread(_events(spark, d))  # one-file test table: use every core for the JSON work
+    ev = _over_cores(_events(spark, d))
+    if shift_days:
+        ev = ev.withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {shift_days} DAYS"))
     ev = ev.withColumn("__hour", trunc_like(ev, "ts", "hour"))
     et, v, uid, eid = F.col("event_type"), F.col("value"), F.col("user_id"), F.col("event_id")
     failed = v < 1
@@ -517,46 +531,200 @@ def q_stream_silver_weather(spark, d):
                       _r6("temperature"), "humidity", "pressure", _r6("wind_speed"), "wind_direction",
                       "weather_icon_code", _r6("heat_index"), "weather_date")
 
-def q_run_refresh(spark, d):
-    """A whole refresh run (control checks, Bronze, Silver, Gold, audit)
-    into a fresh lake folder; the Gold daily table is read back."""
-    from snaplake.plans.refresh import LakeConfig, run_refresh
+# ---------------------------------------------------------------- whole runs
+# the incremental run's two landed batches: days before SPLIT_END, days from
+# SPLIT_START on - together the whole landing, two days landed twice
+SPLIT_START, SPLIT_END = dt.date(2024, 1, 16), dt.date(2024, 1, 18)
+# moves the landing over a month's end, so that slices and months meet
+SHIFT_DAYS = 14
+
+_RUNS: dict[tuple[str, str, str], object] = {}
+
+
+def _lake_config(spark, name, **options):
+    from snaplake.plans.refresh import LakeConfig
+
+    return LakeConfig(root=scratch_path(spark, name), keys=["user_id"], extra=["event_id"], version_cols=_LAKE_VERSION, **options)
+
+
+def _run_full(spark, d):
+    from snaplake.plans.refresh import run_refresh
 
-    cfg = LakeConfig(root=scratch_path(spark, "lake"), keys=["user_id"], extra=["event_id"],
-                     version_cols=("bronze_ingestion_ts", "api_call_ts", "event_id"))
+    cfg = _lake_config(spark, "lake")
     limits = spark.createDataFrame(RUN_LIMITS, "config_key string, config_value string")
     run_refresh(spark, cfg, lake_landing(spark, d), limits, as_of=AS_OF, pipeline_run_id="run_contract")
-    g = read_table(spark, cfg.path("gold_daily_metrics"))
-    return g.select("user_id", "date", _r6("avg_aqi_us"), "max_aqi_us", "observations_cnt",
-                    _r6("avg_aqi_us_7d"), "max_aqi_us_7d", "days_in_window", "rank_avg_aqi_us_7d",
-                    "is_worst_city_7d")
+    return cfg
 
 
-# the incremental run's two landed batches: days before SPLIT_END, days from
-# SPLIT_START on - together the whole landing, two days landed twice
-SPLIT_START, SPLIT_END = dt.date(2024, 1, 16), dt.date(2024, 1, 18)
+def _run_incremental(spark, d):
+    from snaplake.plans.refresh import run_refresh
+
+    cfg = _lake_config(spark, "lake_inc", incremental=True)
+    limits = spark.createDataFrame(RUN_LIMITS, "config_key string, config_value string")
+    shift = dt.timedelta(days=SHIFT_DAYS)
+    landing, day = lake_landing(spark, d, SHIFT_DAYS), F.to_date("api_call_ts")
+    run_refresh(spark, cfg, landing.filter(day < F.lit(SPLIT_END + shift)), limits, as_of=AS_OF + shift, pipeline_run_id="run_inc_1")
+    run_refresh(spark, cfg, landing.filter(day >= F.lit(SPLIT_START + shift)), limits,
+                as_of=AS_OF + shift + dt.timedelta(hours=7), pipeline_run_id="run_inc_2")
+    return cfg
+
+
+def _run_recovered(spark, d):
+    """The first batch, then the second with a Silver that cannot run (its
+    versions are ordered by a column that is not there), then the second again."""
+    from dataclasses import replace
+
+    from snaplake.plans.refresh import run_refresh
+
+    cfg = _lake_config(spark, "lake_rec", incremental=True)
+    limits = spark.createDataFrame(RUN_LIMITS, "config_key string, config_value string")
+    landing, day = lake_landing(spark, d), F.to_date("api_call_ts")
+    late = landing.filter(day >= F.lit(SPLIT_START))
+    run_refresh(spark, cfg, landing.filter(day < F.lit(SPLIT_START)), limits, as_of=AS_OF, pipeline_run_id="run_rec_1")
+    for n, one in ((2, replace(cfg, version_cols=("not_a_column",))), (3, cfg)):
+        run_refresh(spark, one, late, limits, as_of=AS_OF + dt.timedelta(hours=7 * n), pipeline_run_id=f"run_rec_{n}")
+    return cfg
+
+
+def _lake_of(spark, d, kind, fresh=False):
+    """The tables of a run, made once per session and input folder; ``fresh`` runs it anyway."""
+    key = (spark.sparkContext.applicationId, d, kind)
+    if fresh or key not in _RUNS:
+        _RUNS[key] = {"full": _run_full, "incremental": _run_incremental, "recovered": _run_recovered}[kind](spark, d)
+    cfg = _RUNS[key]
+    return lambda table: read_table(spark, cfg.path(table))
+
+
+def _gold_daily_of(lake_table):
+    return lake_table("gold_daily_metrics").select(
+        "user_id", "date", _r6("avg_aqi_us"), "max_aqi_us", "observations_cnt", _r6("avg_aqi_us_7d"), "max_aqi_us_7d",
+        "days_in_window", "rank_avg_aqi_us_7d", "is_worst_city_7d")
+
+
+def q_run_refresh(spark, d):
+    """A whole refresh run (control checks, Bronze, Silver, Gold, audit)
+    into a fresh lake folder; the Gold daily table is read back."""
+    return _gold_daily_of(_lake_of(spark, d, "full", fresh=True))
 
 
 def q_run_refresh_incremental(spark, d):
     """Two refresh runs in incremental mode over two overlapping batches of
-    the landing: the second run re-merges only the Silver dates it touches
-    and rewrites only the Gold slices they reach.  The Gold daily table read
-    back must equal a full refresh of everything."""
-    from snaplake.plans.refresh import LakeConfig, run_refresh
+    the landing, across a month's end: the second run re-merges only the
+    Silver dates it touches and rewrites only the Gold slices they reach.
+    The Gold daily table read back must equal a full refresh of everything."""
+    return _gold_daily_of(_lake_of(spark, d, "incremental", fresh=True))
+
+
+def q_run_refresh_recovered(spark, d):
+    """Three runs, the second of which fails in Silver after Bronze was
+    written: the third must give what a full refresh of everything gives."""
+    return _gold_daily_of(_lake_of(spark, d, "recovered", fresh=True))
+
+
+def _bronze_of(lake_table):
+    return lake_table("bronze_snapshot").select("execution_id", "user_id", "event_id", "api_result", "http_status_code", "api_status")
+
+
+def q_run_bronze(spark, d):
+    return _bronze_of(_lake_of(spark, d, "full"))
+
+
+def _registry_of(lake_table):
+    return lake_table("api_call_registry").select("execution_id", "user_id", F.col("call_ts").cast("timestamp_ntz").alias("call_ts"),
+                                                  "environment")
+
+
+def q_run_registry(spark, d):
+    return _registry_of(_lake_of(spark, d, "full"))
+
+
+def q_run_incremental_registry(spark, d):
+    """Calls landed twice are counted once."""
+    return _registry_of(_lake_of(spark, d, "incremental"))
+
+
+def _silver_of(lake_table):
+    return lake_table("silver_pollution").select("user_id", F.col("pollution_ts").cast("timestamp_ntz").alias("pollution_ts"),
+                                                 "aqi_us", "aqi_cn", "main_pollutant_cn", "pollution_date")
+
+
+def q_run_silver_pollution(spark, d):
+    return _silver_of(_lake_of(spark, d, "full"))
+
+
+def q_run_incremental_silver_pollution(spark, d):
+    return _silver_of(_lake_of(spark, d, "incremental"))
+
+
+def q_run_silver_weather(spark, d):
+    return _lake_of(spark, d, "full")("silver_weather").select(
+        "user_id", F.col("weather_ts").cast("timestamp_ntz").alias("weather_ts"), _r6("temperature"), "humidity", "pressure",
+        "wind_direction", "weather_date")
+
+
+def _categories_of(lake_table):
+    t = lake_table("gold_category_days_by_month")
+    return t.select("user_id", F.col("month_start").cast("timestamp_ntz").alias("month_start"), *BAND_NAMES, "days_with_data")
+
+
+def q_run_category_days(spark, d):
+    return _categories_of(_lake_of(spark, d, "full"))
+
+
+def q_run_incremental_category_days(spark, d):
+    return _categories_of(_lake_of(spark, d, "incremental"))
+
+
+def _correlation_of(lake_table):
+    t = lake_table("gold_weather_correlation_by_month")
+    return t.select("user_id", F.col("month_start").cast("timestamp_ntz").alias("month_start"), "pairs_cnt", _r6("aqi_temp_corr"),
+                    _r6("aqi_humidity_corr"), "join_window_hours")
+
+
+def q_run_weather_correlation(spark, d):
+    return _correlation_of(_lake_of(spark, d, "full"))
+
+
+def q_run_incremental_weather_correlation(spark, d):
+    return _correlation_of(_lake_of(spark, d, "incremental"))
+
+
+def q_run_audit(spark, d):
+    """The closed audit of a run: its pipeline, its layers and every entity."""
+    state = audit_state(_lake_of(spark, d, "full")("pipeline_audit"))
+    return state.select("record_type", "activity_name", "entity", "layer", "status", "error_message",
+                        F.col("end_ts").isNotNull().alias("closed"))
+
+
+def q_audit_violations(spark, d):
+    """A run's own audit violates none of its constraints."""
+    return audit_violations(audit_state(_lake_of(spark, d, "recovered")("pipeline_audit")))
+
+
+def q_refresh_catalog(spark, d):
+    """A date-partitioned catalog table refreshed whole, then by slices, from
+    frames whose columns are in another order and that read the table."""
+    daily = q_daily_metrics(spark, d)
+    loc = scratch_path(spark, "catalog")
+    name = "snaplake_refresh_" + loc.rsplit("-", 1)[-1]
+    ensure_tables(spark, name, location=loc, partitioned=True, tables={"gold_daily_metrics": daily.schema})
+    table = f"{name}.gold_daily_metrics"
+    refresh_table(daily.select("date", *[c for c in daily.columns if c != "date"]), table, partition_by=["date"], replace="all")
+    late = read_table(spark, table).filter(F.col("date") >= F.lit("2024-01-15").cast("date"))
+    refresh_table(late.select(*daily.columns), table, partition_by=["date"])
+    return read_table(spark, table).select(*daily.columns)
+
+
+def q_nearest_join_keys(spark, d):
+    """Nearest join in whole seconds on two key columns, one with NULLs (which match nothing)."""
+    clicks, purchases = _clicks_purchases(spark, d)
+    keys = {"cohort": F.nullif(F.pmod("user_id", F.lit(10)), F.lit(0)), "region": F.pmod("user_id", F.lit(3))}
+    out = nearest_join(clicks.select("click_id", "click_ts", *[c.alias(k) for k, c in keys.items()]),
+                       purchases.select("purchase_id", "purchase_ts", *[c.alias(k) for k, c in keys.items()]),
+                       list(keys), "click_ts", "purchase_ts", dt.timedelta(minutes=20), left_id=["click_id"],
+                       tiebreak=["purchase_id"], diff_col="diff_s", unit="second", how="left")
+    return out.select("click_id", "click_ts", "cohort", "region", "purchase_id", "purchase_ts", "diff_s")
 
-    cfg = LakeConfig(root=scratch_path(spark, "lake_inc"), keys=["user_id"], extra=["event_id"],
-                     version_cols=("bronze_ingestion_ts", "api_call_ts", "event_id"), incremental=True)
-    limits = spark.createDataFrame(RUN_LIMITS, "config_key string, config_value string")
-    landing = lake_landing(spark, d)
-    day = F.to_date("api_call_ts")
-    run_refresh(spark, cfg, landing.filter(day < F.lit(SPLIT_END)), limits, as_of=AS_OF,
-                pipeline_run_id="run_inc_1")
-    run_refresh(spark, cfg, landing.filter(day >= F.lit(SPLIT_START)), limits,
-                as_of=AS_OF + dt.timedelta(hours=7), pipeline_run_id="run_inc_2")
-    g = read_table(spark, cfg.path("gold_daily_metrics"))
-    return g.select("user_id", "date", _r6("avg_aqi_us"), "max_aqi_us", "observations_cnt",
-                    _r6("avg_aqi_us_7d"), "max_aqi_us_7d", "days_in_window", "rank_avg_aqi_us_7d",
-                    "is_worst_city_7d")
 
 QUERIES = {
     "normalize_json": q_normalize_json,
@@ -594,6 +762,21 @@ QUERIES = {
     "stream_silver_weather": q_stream_silver_weather,
     "run_refresh": q_run_refresh,
     "run_refresh_incremental": q_run_refresh_incremental,
+    "run_refresh_recovered": q_run_refresh_recovered,
+    "run_bronze": q_run_bronze,
+    "run_registry": q_run_registry,
+    "run_silver_pollution": q_run_silver_pollution,
+    "run_silver_weather": q_run_silver_weather,
+    "run_category_days": q_run_category_days,
+    "run_weather_correlation": q_run_weather_correlation,
+    "run_audit": q_run_audit,
+    "run_incremental_registry": q_run_incremental_registry,
+    "run_incremental_silver_pollution": q_run_incremental_silver_pollution,
+    "run_incremental_category_days": q_run_incremental_category_days,
+    "run_incremental_weather_correlation": q_run_incremental_weather_correlation,
+    "audit_violations": q_audit_violations,
+    "refresh_catalog": q_refresh_catalog,
+    "nearest_join_keys": q_nearest_join_keys,
 }
 
 # ---------------------------------------------------------------- DuckDB oracle
@@ -696,6 +879,10 @@ _LANDING_SQL = """
          WHEN event_type IN ('purchase', 'error') THEN '{"status": "success", "data": ' || props || '}'
          WHEN event_type = 'click' THEN '{"status": "fail", "message": ' || props || '}'
          WHEN event_type = 'signup' THEN '[' || props || ']'
+         WHEN value >= 80 THEN '{"status": "success"} trailing'
+         WHEN value >= 70 THEN '{"status": "success"}, {"status": "success"}'
+         WHEN value >= 60 THEN '{"status": "fail", "status": "success"}'
+         WHEN value >= 50 THEN '{"status": "success", "v": NaN}'
          WHEN value >= 40 THEN '{}'
          ELSE 'not json: ' || props END AS body,
     CASE WHEN value < 1 THEN 'timeout after 10s: event ' || CAST(event_id AS VARCHAR) END AS transport_error,
@@ -705,6 +892,8 @@ _LANDING_SQL = """
 _CLASSIFIED_SQL = f"""
   WITH l AS ({_LANDING_SQL}),
   s AS (SELECT *, CASE WHEN transport_error IS NOT NULL THEN 'request_failed'
+                       -- the last of a repeated field counts, NaN is a number
+                       WHEN body LIKE '%"fail", "status": "success"%' OR body LIKE '%"v": NaN%' THEN 'success'
                        WHEN json_valid(body) AND json_type(body) = 'OBJECT' THEN json_extract_string(body, '$.status')
                        ELSE 'invalid_json' END AS api_status FROM l),
   r AS (SELECT *, (transport_error IS NULL AND coalesce(http_status_code = 200, false)
@@ -912,16 +1101,8 @@ def _nan6(e):
     return f"CASE WHEN isnan({e}) THEN NULL ELSE round({e}, 6) END"
 
 
-ORACLE_SQL.update({
-    "silver_pollution": f"""
-  SELECT user_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, pollution_ts, aqi_us, aqi_cn,
-         main_pollutant_us, main_pollutant_cn, pollution_date FROM ({_SILVER_P})""",
-    "silver_weather": f"""
-  SELECT user_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, weather_ts,
-         round(temperature, 6) AS temperature, humidity, pressure, round(wind_speed, 6) AS wind_speed,
-         wind_direction, weather_icon_code, round(heat_index, 6) AS heat_index, weather_date FROM ({_SILVER_W})""",
-    "gold_daily_metrics": _gold_metrics_sql(_GOLD_DAILY),
-    "gold_category_days": f"""
+def _categories_sql(daily: str) -> str:
+    return f"""
   WITH t AS (
     SELECT user_id, CAST(date_trunc('month', date) AS TIMESTAMP) AS month_start,
       CASE WHEN max_aqi_us BETWEEN 0 AND 50 THEN 'GOOD' WHEN max_aqi_us BETWEEN 51 AND 100 THEN 'MODERATE'
@@ -929,17 +1110,20 @@ ORACLE_SQL.update({
            WHEN max_aqi_us BETWEEN 151 AND 200 THEN 'UNHEALTHY'
            WHEN max_aqi_us BETWEEN 201 AND 300 THEN 'VERY_UNHEALTHY' WHEN max_aqi_us >= 301 THEN 'HAZARDOUS' END
         AS cat
-    FROM ({_GOLD_DAILY}))
+    FROM ({daily}))
   SELECT user_id, month_start,
     count(*) FILTER (WHERE cat = 'GOOD') AS GOOD, count(*) FILTER (WHERE cat = 'MODERATE') AS MODERATE,
     count(*) FILTER (WHERE cat = 'UNHEALTHY_SENSITIVE') AS UNHEALTHY_SENSITIVE,
     count(*) FILTER (WHERE cat = 'UNHEALTHY') AS UNHEALTHY,
     count(*) FILTER (WHERE cat = 'VERY_UNHEALTHY') AS VERY_UNHEALTHY,
     count(*) FILTER (WHERE cat = 'HAZARDOUS') AS HAZARDOUS, count(*) AS days_with_data
-  FROM t WHERE cat IS NOT NULL GROUP BY 1, 2""",
-    "gold_weather_correlation": f"""
-  WITH p AS (SELECT user_id, pollution_ts, aqi_us FROM ({_SILVER_P}) WHERE aqi_us IS NOT NULL),
-  w AS (SELECT user_id, weather_ts, temperature, humidity, pressure, wind_speed FROM ({_SILVER_W})),
+  FROM t WHERE cat IS NOT NULL GROUP BY 1, 2"""
+
+
+def _correlation_sql(silver_p: str, silver_w: str) -> str:
+    return f"""
+  WITH p AS (SELECT user_id, pollution_ts, aqi_us FROM ({silver_p}) WHERE aqi_us IS NOT NULL),
+  w AS (SELECT user_id, weather_ts, temperature, humidity, pressure, wind_speed FROM ({silver_w})),
   c AS (SELECT p.*, w.weather_ts, w.temperature, w.humidity, w.pressure, w.wind_speed,
                abs(epoch_us(p.pollution_ts) // 1000000 - epoch_us(w.weather_ts) // 1000000) AS diff_s
         FROM p JOIN w ON p.user_id = w.user_id
@@ -952,7 +1136,20 @@ ORACLE_SQL.update({
          {_nan6('corr(aqi_us, pressure)')} AS aqi_pressure_corr,
          {_nan6('corr(aqi_us, wind_speed)')} AS aqi_wind_speed_corr,
          CAST(3 AS INTEGER) AS join_window_hours
-  FROM n GROUP BY 1, 2""",
+  FROM n GROUP BY 1, 2"""
+
+
+ORACLE_SQL.update({
+    "silver_pollution": f"""
+  SELECT user_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, pollution_ts, aqi_us, aqi_cn,
+         main_pollutant_us, main_pollutant_cn, pollution_date FROM ({_SILVER_P})""",
+    "silver_weather": f"""
+  SELECT user_id, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, weather_ts,
+         round(temperature, 6) AS temperature, humidity, pressure, round(wind_speed, 6) AS wind_speed,
+         wind_direction, weather_icon_code, round(heat_index, 6) AS heat_index, weather_date FROM ({_SILVER_W})""",
+    "gold_daily_metrics": _gold_metrics_sql(_GOLD_DAILY),
+    "gold_category_days": _categories_sql(_GOLD_DAILY),
+    "gold_weather_correlation": _correlation_sql(_SILVER_P, _SILVER_W),
 })
 
 ORACLE_SQL.update({
@@ -969,7 +1166,68 @@ ORACLE_SQL.update({
 })
 
 ORACLE_SQL["run_refresh"] = _gold_metrics_sql(_gold_daily_sql(_silver_p_sql(_RUN_OK_SNAPSHOTS)))
-ORACLE_SQL["run_refresh_incremental"] = ORACLE_SQL["run_refresh"]
+ORACLE_SQL["run_refresh_recovered"] = ORACLE_SQL["run_refresh"]
+
+
+def _shifted(sql: str) -> str:
+    return sql.replace("FROM events", f"FROM (SELECT * REPLACE (ts + INTERVAL {SHIFT_DAYS} DAY AS ts) FROM events)")
+
+
+# what a run keeps in Bronze: attempts up to the first success of each execution (day) and user
+_RUN_BRONZE = """
+  SELECT execution_id, user_id, event_id, api_result, http_status_code, api_status FROM (
+    SELECT *, max(CASE WHEN api_result = 'SUCCESS' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, execution_id
+              ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior_ok
+    FROM (SELECT *, 'execution_' || strftime(ts, '%Y%m%d') AS execution_id,
+            CASE WHEN value >= 1 AND event_type <> 'signup' THEN 'SUCCESS' ELSE 'FAILED' END AS api_result,
+            CAST(CASE WHEN value < 1 THEN NULL WHEN event_type = 'signup' THEN 503 ELSE 200 END AS INTEGER) AS http_status_code,
+            CASE WHEN value < 1 THEN 'request_failed' ELSE 'success' END AS api_status FROM events))
+  WHERE coalesce(prior_ok, 0) = 0"""
+_RUN_REGISTRY = ("SELECT 'execution_' || strftime(ts, '%Y%m%d') AS execution_id, user_id, ts AS call_ts, 'dev' AS environment "
+                 "FROM events")
+_RUN_P, _RUN_W = _silver_p_sql(_RUN_OK_SNAPSHOTS), _silver_w_sql(_RUN_OK_SNAPSHOTS)
+_RUN_SILVER_P = f"SELECT user_id, pollution_ts, aqi_us, aqi_cn, main_pollutant_cn, pollution_date FROM ({_RUN_P})"
+_RUN_CORRELATION = (f"SELECT user_id, month_start, pairs_cnt, aqi_temp_corr, aqi_humidity_corr, join_window_hours "
+                    f"FROM ({_correlation_sql(_RUN_P, _RUN_W)})")
+ORACLE_SQL.update({
+    "run_refresh_incremental": _shifted(ORACLE_SQL["run_refresh"]),
+    "run_bronze": _RUN_BRONZE,
+    "run_registry": _RUN_REGISTRY,
+    "run_silver_pollution": _RUN_SILVER_P,
+    "run_silver_weather": f"""
+  SELECT user_id, weather_ts, round(temperature, 6) AS temperature, humidity, pressure, wind_direction, weather_date
+  FROM ({_RUN_W})""",
+    "run_category_days": _categories_sql(_gold_daily_sql(_RUN_P)),
+    "run_weather_correlation": _RUN_CORRELATION,
+    "run_incremental_registry": _shifted(_RUN_REGISTRY),
+    "run_incremental_silver_pollution": _shifted(_RUN_SILVER_P),
+    "run_incremental_category_days": _shifted(_categories_sql(_gold_daily_sql(_RUN_P))),
+    "run_incremental_weather_correlation": _shifted(_RUN_CORRELATION),
+    "run_audit": f"""
+  WITH b AS ({_RUN_BRONZE}),
+  n AS (SELECT count(*) || ' entity call(s) failed' AS text, count(*) AS failed FROM b WHERE api_result = 'FAILED'),
+  e AS (SELECT user_id, bool_or(api_result = 'SUCCESS') AS ok FROM b GROUP BY user_id)
+  SELECT 'PIPELINE' AS record_type, CAST(NULL AS VARCHAR) AS activity_name, CAST(NULL AS VARCHAR) AS entity,
+    CAST(NULL AS VARCHAR) AS layer, CASE WHEN failed > 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+    CASE WHEN failed > 0 THEN 'bronze: ' || text END AS error_message, true AS closed FROM n
+  UNION ALL SELECT 'ACTIVITY', 'bronze_refresh', NULL, 'bronze', CASE WHEN failed > 0 THEN 'FAILED' ELSE 'SUCCESS' END,
+    CASE WHEN failed > 0 THEN text END, true FROM n
+  UNION ALL SELECT 'ACTIVITY', layer || '_refresh', NULL, layer, 'SUCCESS', NULL, true FROM (VALUES ('silver'), ('gold')) l(layer)
+  UNION ALL SELECT 'ACTIVITY', 'bronze_ingestion', CAST(user_id AS VARCHAR), 'bronze',
+    CASE WHEN ok THEN 'SUCCESS' ELSE 'FAILED' END, CASE WHEN NOT ok THEN 'read timed out' END, true FROM e""",
+    "audit_violations": "SELECT CAST(0 AS BIGINT) AS audit_id, '' AS rule, CAST(0 AS BIGINT) AS violations WHERE false",
+    "refresh_catalog": ORACLE_SQL["daily_metrics"],
+    "nearest_join_keys": """
+  WITH c AS (SELECT event_id AS click_id, ts AS click_ts, nullif(user_id % 10, 0) AS cohort, user_id % 3 AS region
+             FROM events WHERE event_type = 'click'),
+  p AS (SELECT event_id AS purchase_id, ts AS purchase_ts, nullif(user_id % 10, 0) AS p_cohort, user_id % 3 AS p_region
+        FROM events WHERE event_type = 'purchase'),
+  j AS (SELECT *, abs(epoch_us(click_ts) // 1000000 - epoch_us(purchase_ts) // 1000000) AS diff_s
+        FROM c LEFT JOIN p ON cohort = p_cohort AND region = p_region
+         AND purchase_ts BETWEEN click_ts - INTERVAL 20 MINUTES AND click_ts + INTERVAL 20 MINUTES)
+  SELECT click_id, click_ts, cohort, region, purchase_id, purchase_ts, diff_s FROM (
+    SELECT *, row_number() OVER (PARTITION BY click_id ORDER BY diff_s, purchase_ts, purchase_id) AS rn FROM j) WHERE rn = 1""",
+})
 
 ORACLE_SQL["rank_worst_range"] = ORACLE_SQL["rank_worst"]
 ORACLE_SQL["nearest_join_split"] = ORACLE_SQL["nearest_join"]

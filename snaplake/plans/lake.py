@@ -2,7 +2,7 @@
 
 Entity keys, JSON paths, bands and window sizes come from
 :mod:`snaplake.schemas`; every function takes and returns DataFrames and
-performs no action.
+performs no action, except that the distributed rank stages its rows.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from snaplake.operators.gold import (
     monthly_correlation,
     rank_worst,
     rolling_calendar,
+    with_constant,
 )
 from snaplake.operators.joins import nearest_join
 from snaplake.operators.silver import latest_wins, normalize_json, stamp_lineage, trusted_snapshots
-from snaplake.session import spread
 from snaplake.schemas import (
     AQI_BANDS,
     ENTITY_KEYS,
@@ -38,34 +38,43 @@ WEATHER_COLS = ["weather_ts", "temperature", "humidity", "pressure", "wind_speed
                 "weather_icon_code", "heat_index"]
 
 
+#: Latest snapshot: by ingestion, then by call; what still ties goes by content (see latest_wins).
+VERSION_COLS = ("bronze_ingestion_ts", "api_call_ts")
+
+
 def parsed_snapshots(bronze: DataFrame, keys: Sequence[str] = ENTITY_KEYS,
                      extra: Sequence[str] = (), ts_formats: Sequence[str] = (PAYLOAD_TS_FORMAT,)) -> DataFrame:
     """Trusted Bronze rows with *all* pollution and weather leaves, parsed
     from one ``from_json`` per row; both Silver tables are projections of
-    this frame (persist it when both are written in one run)."""
+    this frame (stage it when both are written in one run).  The call time
+    comes along where Bronze has one: it orders versions of one ingestion."""
     spec = {**POLLUTION_SPEC, **WEATHER_SPEC}
-    trusted = spread(trusted_snapshots(bronze)).select(
+    if "api_call_ts" in bronze.columns and "api_call_ts" not in extra:
+        extra = [*extra, "api_call_ts"]
+    trusted = trusted_snapshots(bronze).select(
         *keys, *extra, F.col("ingestion_ts").alias("bronze_ingestion_ts"), "raw_payload")
     return normalize_json(trusted, "raw_payload", spec, ts_formats=list(ts_formats))
 
 
 def _silver(parsed: DataFrame, keys: Sequence[str], ts_col: str, date_col: str,
             cols: list[str], version_cols: Sequence[str], extra: Sequence[str]) -> DataFrame:
-    obs = (parsed.select(*keys, *extra, "latitude", "longitude", "bronze_ingestion_ts", *cols)
+    version_cols = [c for c in version_cols if c not in VERSION_COLS or c in parsed.columns]
+    carried = [c for c in version_cols if isinstance(c, str) and c not in extra and c != "bronze_ingestion_ts"]
+    obs = (parsed.select(*keys, *extra, *carried, "latitude", "longitude", "bronze_ingestion_ts", *cols)
                  .filter(F.col(ts_col).isNotNull())
                  .withColumn(date_col, F.to_date(F.col(ts_col))))
-    return latest_wins(obs, keys, ts_col, version_cols)
+    return latest_wins(obs, keys, ts_col, version_cols).drop(*carried)
 
 
 def silver_pollution(parsed: DataFrame, keys: Sequence[str] = ENTITY_KEYS,
-                     version_cols: Sequence[str] = ("bronze_ingestion_ts",),
+                     version_cols: Sequence[str] = VERSION_COLS,
                      extra: Sequence[str] = ()) -> DataFrame:
     """One row per (entity, pollution_ts): the latest ingested snapshot."""
     return _silver(parsed, keys, "pollution_ts", "pollution_date", POLLUTION_COLS, version_cols, extra)
 
 
 def silver_weather(parsed: DataFrame, keys: Sequence[str] = ENTITY_KEYS,
-                   version_cols: Sequence[str] = ("bronze_ingestion_ts",),
+                   version_cols: Sequence[str] = VERSION_COLS,
                    extra: Sequence[str] = ()) -> DataFrame:
     """One row per (entity, weather_ts): the latest ingested snapshot."""
     return _silver(parsed, keys, "weather_ts", "weather_date", WEATHER_COLS, version_cols, extra)
@@ -101,7 +110,7 @@ def gold_category_days(daily: DataFrame, keys: Sequence[str] = ENTITY_KEYS) -> D
 
 def gold_weather_correlation(pollution: DataFrame, weather: DataFrame,
                              keys: Sequence[str] = ENTITY_KEYS, hours: int = JOIN_WINDOW_HOURS,
-                             unit: str = "second", split: int = 1) -> DataFrame:
+                             unit: str = "second", split: int = 8) -> DataFrame:
     """Nearest weather observation within +-hours for every published AQI
     observation, then per entity-month Pearson correlations of AQI with
     temperature, humidity, pressure and wind speed.  ``split`` > 1 spreads
@@ -116,7 +125,7 @@ def gold_weather_correlation(pollution: DataFrame, weather: DataFrame,
     out = monthly_correlation(pairs, keys, "pollution_ts", "aqi_us", {
         "aqi_temp_corr": "temperature", "aqi_humidity_corr": "humidity",
         "aqi_pressure_corr": "pressure", "aqi_wind_speed_corr": "wind_speed"})
-    return out.withColumn("join_window_hours", F.lit(int(hours)))
+    return with_constant(out, "join_window_hours", int(hours))
 
 
 def stamp(df: DataFrame, layer: str, execution_id: str | None, pipeline_run_id: str | None,

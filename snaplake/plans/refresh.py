@@ -1,11 +1,22 @@
 """One refresh run of the lake: control checks, Bronze, Silver, Gold, audit.
 
 A plain function that calls the operators in order (no scheduler).  The
-only values that reach the driver are scalars that decide control flow:
-the execution id of the run, the quota verdict and the pending-entity count.
-Layer rules: Silver runs after Bronze completed, Gold only if Silver
-succeeded; each layer can be switched off.  A single run at a time is
-assumed (as the original does) - two concurrent runs could both append.
+only values that reach the driver are scalars that decide control flow, the
+dates a run touches and the names of emptied partitions.
+
+A run survives failure.  Every run has a stamp later than all earlier ones;
+Bronze rows carry it, Silver slices too.  A layer that succeeded leaves a
+mark: it holds everything stamped up to there.  What a layer takes in is
+what lies behind its own mark, never what this run happened to do before,
+so a run after a crash picks up exactly what is missing.  Calls are
+registered before Bronze is written, once each.  A layer that fails is closed
+as FAILED with the error text, what depends on it is skipped, and the run is
+closed as FAILED.
+
+Layer rules: a breached quota stops the run; Silver runs after Bronze
+completed, whatever the entities' outcome; Gold only if Silver succeeded;
+each layer can be switched off.  A single run at a time is assumed (as the
+original does) - two concurrent runs could both append.
 """
 
 from __future__ import annotations
@@ -13,105 +24,102 @@ from __future__ import annotations
 import datetime as _dt
 import math
 import uuid
-from concurrent.futures import ThreadPoolExecutor, wait
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.operators.bronze import classify_responses, skip_ingested, to_call_registry
+from snaplake.functions.time import ts_lit, utc_naive
+from snaplake.operators.bronze import classify_responses, same_executions, skip_ingested, to_call_registry
 from snaplake.operators.control import (
     audit_close,
     audit_start,
+    audit_state,
+    constraint_violations,
     next_execution,
     pending_entities,
     quota_status,
+    rate_status,
     run_outcome,
 )
-from snaplake.plans import lake
 from snaplake.operators.silver import latest_wins
+from snaplake.plans import lake
 from snaplake.schemas import (
     ENTITY_KEYS,
-    INGESTION_ENTITIES,
     JOIN_WINDOW_HOURS,
+    LAKE_TABLES,
     PARTITION_COLUMNS,
     PIPELINE_AUDIT,
+    REFRESH_MARKS,
     ROLLING_DAYS,
 )
-from snaplake.session import ensure_checkpoint_dir
-from snaplake.sources.io import append_table, read_table, refresh_table
-from snaplake.streaming.stream import _exists
+from snaplake.session import ensure_checkpoint_dir, staged
+from snaplake.sources.io import append_table, drop_partitions, read_table, refresh_table, table_exists
 
 
 @dataclass
 class LakeConfig:
-    root: str                                   # shared folder holding every table
+    root: str = ""                              # shared folder holding every table
     environment: str = "dev"
     fmt: str = "parquet"
     keys: list[str] = field(default_factory=lambda: list(ENTITY_KEYS))
     extra: list[str] = field(default_factory=list)  # passthrough columns (tiebreaks)
-    version_cols: tuple[str, ...] = ("bronze_ingestion_ts", "api_call_ts")
+    version_cols: tuple[str, ...] = lake.VERSION_COLS
     bronze_enabled: bool = True
     silver_enabled: bool = True
     gold_enabled: bool = True
-    partitioned: bool = True                    # Silver/Gold partitioned by date
-    # Silver/Gold: recompute only the date slices this run's snapshots touch
-    # (needs partitioned tables, and every earlier run refreshed both layers)
+    dq_enabled: bool = False                    # check Silver's constraints after it is written
+    partitioned: bool = True                    # tables partitioned by PARTITION_COLUMNS
+    # Silver/Gold: recompute only the date slices that lie behind their marks (needs partitioned tables)
     incremental: bool = False
+    # catalog mode: lake tables in ``<database>_<environment>``, control tables in ``<database>_control``
+    database: str | None = None
 
     def path(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{table}"
+        """Where a table is: lake tables per environment, control tables shared by all."""
+        own = self.environment if table in LAKE_TABLES else "control"
+        return f"{self.database}_{own}.{table}" if self.database else f"{self.root.rstrip('/')}/{own}/{table}"
+
+    def partition(self, table: str) -> list[str] | None:
+        return [PARTITION_COLUMNS[table]] if self.partitioned and table in PARTITION_COLUMNS else None
 
 
 def _read_or_empty(spark: SparkSession, cfg: LakeConfig, table: str, schema) -> DataFrame:
-    if _exists(spark, cfg.path(table)):
-        return read_table(spark, cfg.path(table), cfg.fmt)
+    """A table with its own schema, so partition values are never
+    type-inferred (an id such as '20240101' would turn into a number)."""
+    if table_exists(spark, cfg.path(table)):
+        return read_table(spark, cfg.path(table), cfg.fmt, schema=schema)
     return spark.createDataFrame([], schema)
 
 
-# Bronze and the call registry are partitioned by execution: the
-# idempotency and pending-entity checks of a run read only its own
-# executions' folders, not the whole history
-BRONZE_PARTITION = PARTITION_COLUMNS["bronze_snapshot"]
-MAX_LISTED_EXECUTIONS = 1000
-
-
-def _read_bronze(spark: SparkSession, cfg: LakeConfig, schema) -> DataFrame:
-    """Bronze with its own schema, so the execution folders are never
-    type-inferred (an id such as '20240101' would turn into a number)."""
-    return read_table(spark, cfg.path("bronze_snapshot"), cfg.fmt, schema=schema)
+def _append(df: DataFrame, cfg: LakeConfig, table: str) -> None:
+    append_table(df, cfg.path(table), cfg.fmt, partition_by=cfg.partition(table))
 
 
 def _write(df: DataFrame, cfg: LakeConfig, table: str, replace: str = "all") -> None:
-    part = [PARTITION_COLUMNS[table]] if cfg.partitioned and table in PARTITION_COLUMNS else None
+    part = cfg.partition(table)
     if part:
         df = df.select(*[c for c in df.columns if c not in part], *part)
     refresh_table(df, cfg.path(table), cfg.fmt, partition_by=part, replace=replace)
 
 
-def _write_slices(df: DataFrame, cfg: LakeConfig, table: str, in_slice: Column,
-                  full: Callable[[], DataFrame]) -> str:
+def _write_slices(df: DataFrame, cfg: LakeConfig, table: str, in_slice: Column) -> str:
     """Overwrite the partitions of ``df``; ``in_slice`` selects the
-    partitions this run is responsible for.  If one of those holds rows in
-    the stored table but none in ``df`` (every value of a day turned NULL),
-    dynamic overwrite would leave it stale: the table is rebuilt in full."""
-    spark = df.sparkSession
-    path, part = cfg.path(table), PARTITION_COLUMNS[table]
-    if not _exists(spark, path):
-        _write(full(), cfg, table)
-        return "full"
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    stale = (read_table(spark, path, cfg.fmt).filter(in_slice).select(part).distinct()
-             .join(df.select(part).distinct(), on=part, how="left_anti")
-             .limit(1).count()) > 0
-    if stale:
-        df.unpersist()
-        _write(full(), cfg, table)
+    partitions this run is responsible for.  One of those that holds stored
+    rows but none in ``df`` any more (every value of a day turned NULL) is
+    removed: dynamic overwrite alone would leave it stale."""
+    spark, path, part = df.sparkSession, cfg.path(table), PARTITION_COLUMNS[table]
+    if not table_exists(spark, path):
+        _write(df, cfg, table)
         return "full"
+    df = staged(df, "slices")
+    gone = (read_table(spark, path, cfg.fmt).filter(in_slice).select(part).distinct()
+            .join(df.select(part).distinct(), on=part, how="left_anti")
+            .select(F.col(part).cast("string")).collect())  # calendar-bounded: one per emptied day or month
     _write(df, cfg, table, replace="slices")
-    df.unpersist()
+    drop_partitions(spark, path, [r[0] for r in gone], part)
     return "slices"
 
 
@@ -139,6 +147,40 @@ def _month_of(c: Column) -> Column:
     return F.trunc(F.to_date(c), "month")
 
 
+class _Marks:
+    """The run's stamp, and how far each layer has come (a handful of scalars)."""
+
+    def __init__(self, spark: SparkSession, cfg: LakeConfig, run_id: str, as_of: _dt.datetime):
+        self.spark, self.cfg, self.run_id = spark, cfg, run_id
+        rows = (_read_or_empty(spark, cfg, "refresh_marks", REFRESH_MARKS)
+                .groupBy("layer").agg(F.max(F.unix_micros("upto")).alias("upto")).collect())
+        self.upto = {r["layer"]: r["upto"] for r in rows}
+        own = int((utc_naive(as_of) - _dt.datetime(1970, 1, 1)) / _dt.timedelta(microseconds=1))
+        self.stamp = max([own, *[u + 1 for u in self.upto.values()]])
+        self.leave("run")
+
+    @property
+    def now(self) -> _dt.datetime:
+        return _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=self.stamp)
+
+    def leave(self, layer: str) -> None:
+        row = self.spark.range(1).select(F.lit(layer).alias("layer"), ts_lit(self.now).alias("upto"),
+                                         F.lit(self.run_id).alias("pipeline_run_id"))
+        append_table(row, self.cfg.path("refresh_marks"), self.cfg.fmt)
+        self.upto[layer] = self.stamp
+
+    def behind(self, layer: str, stamp_col: str) -> Column:
+        """Rows that the layer has not taken in (a range the scan can skip row groups by)."""
+        done = self.upto.get(layer)
+        if done is None:
+            return F.lit(True)
+        return F.col(stamp_col) > ts_lit(_dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=done))
+
+
+class _Stop(Exception):
+    """A control check that ends the run; its text is the run's error."""
+
+
 def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits: DataFrame,
                 entities: DataFrame | None = None, as_of: _dt.datetime | None = None,
                 pipeline_run_id: str | None = None) -> dict:
@@ -147,167 +189,24 @@ def run_refresh(spark: SparkSession, cfg: LakeConfig, landing: DataFrame, limits
     ``landing`` holds the landed responses of this batch (``LANDING``
     columns plus ``cfg.extra``); ``entities`` the configured entity list
     (default: the landed entities, active, in ``cfg.environment``).
-    Returns a small dict describing the run.
+    Returns a small dict describing the run; a layer's exception is in its
+    ``errors`` and in the audit, and ``status`` is FAILED.
     """
     as_of = as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    run_id = pipeline_run_id or uuid.uuid4().hex
-    keys = cfg.keys
-    bronze_schema = classify_responses(landing).schema  # the Bronze row layout (no job)
-    audit = _read_or_empty(spark, cfg, "pipeline_audit", PIPELINE_AUDIT)
-    registry_schema = to_call_registry(classify_responses(landing), cfg.environment, keys).schema
-    if _exists(spark, cfg.path("api_call_registry")):
-        registry = read_table(spark, cfg.path("api_call_registry"), cfg.fmt, schema=registry_schema)
-    else:  # first run: an empty registry shaped like this lake's keys
-        registry = spark.createDataFrame([], registry_schema)
-    if entities is None:
-        entities = landing.select(*keys).dropDuplicates(keys).select(
-            F.lit(None).cast("int").alias("entity_id"), *keys,
-            F.lit(cfg.environment).alias("environment"), F.lit(True).alias("is_active"))
-    envs = spark.range(1).select(F.lit(cfg.environment).alias("environment"))
-
-    # 1. execution context + PIPELINE audit row
-    ctx = next_execution(audit, envs, as_of).first()
-    execution_id = ctx["execution_id"]
-    run_row = spark.range(1).select(F.lit(execution_id).alias("execution_id"),
-                                    F.lit(run_id).alias("pipeline_run_id"),
-                                    F.lit(cfg.environment).alias("environment"))
-    append_table(audit_start(run_row, "PIPELINE", as_of), cfg.path("pipeline_audit"), cfg.fmt)
-    result = {"execution_id": execution_id, "pipeline_run_id": run_id, "layers": {}}
-    activities = []
-
-    def activity(layer: str, status: str, error: str | None = None):
-        activities.append((layer, status, error))
-        result["layers"][layer] = status
-
-    # 2. Bronze: quota verdict, pending work, classify, idempotency, append
-    bronze_ok = True
-    new_rows = None  # this run's Bronze rows (lineage cut), for incremental Silver
-    if cfg.bronze_enabled:
-        pending = pending_entities(entities, registry, cfg.environment, execution_id, keys)
-        requested = pending.count()
-        verdict = quota_status(registry, limits, as_of, requested).first()
-        result["quota"] = verdict.asDict()
-        if verdict["verdict_code"] is not None:
-            activity("bronze", "FAILED", f"quota verdict {verdict['verdict_code']}")
-            bronze_ok = False
-        else:
-            bronze_path = cfg.path("bronze_snapshot")
-            ensure_checkpoint_dir(spark)
-            # classified once: the idempotency check reads the batch twice (anti
-            # join, first-success aggregate) and would otherwise re-read the
-            # landing and re-parse every body
-            batch = classify_responses(landing).checkpoint(eager=True)
-            stored = None
-            if _exists(spark, bronze_path):
-                stored = _read_bronze(spark, cfg, bronze_schema)
-                if cfg.partitioned:
-                    # the check reads only the folders of the batch's executions:
-                    # one per run in practice, listed as literals (static pruning);
-                    # a backfill with very many goes through a semi join
-                    # (dynamic partition pruning) instead of a long literal list
-                    ids = batch.select("execution_id").distinct()
-                    execs = [r[0] for r in ids.limit(MAX_LISTED_EXECUTIONS + 1).collect()]
-                    if len(execs) <= MAX_LISTED_EXECUTIONS:
-                        stored = stored.filter(F.col("execution_id").isin(execs))
-                    else:
-                        stored = stored.join(ids, on="execution_id", how="left_semi")
-            todo = skip_ingested(batch, stored if stored is not None else batch.limit(0), keys,
-                                 order_cols=("api_call_ts", *cfg.extra))
-            # Reliable checkpoint, not a cache: once Bronze holds these rows, a
-            # recomputation (lost cache block, lost executor) would run the
-            # idempotency check against them and drop them all.
-            todo = todo.checkpoint(eager=True)
-            append_table(todo, bronze_path, cfg.fmt,
-                         partition_by=[BRONZE_PARTITION] if cfg.partitioned else None)
-            # registry by execution too: the pending-entity check of a run
-            # reads one folder; the quota's time ranges skip row groups
-            append_table(to_call_registry(todo, cfg.environment, keys), cfg.path("api_call_registry"), cfg.fmt,
-                         partition_by=[BRONZE_PARTITION] if cfg.partitioned else None)
-            failed = todo.filter(F.col("api_result") != "SUCCESS").count()
-            new_rows = todo
-            activity("bronze", "FAILED" if failed else "SUCCESS",
-                     f"{failed} entity call(s) failed" if failed else None)
-    else:
-        activity("bronze", "SKIPPED")
-
-    # 3. Silver (after Bronze completed, whatever its outcome)
-    silver_ok = False
-    touched = None  # observation dates per Silver table (None: full refresh)
-    extra = ["api_call_ts", *cfg.extra]
-    silver_tables = ("silver_pollution", "silver_weather")
-    incremental = (cfg.incremental and cfg.partitioned
-                   and all(_exists(spark, cfg.path(t)) for t in silver_tables))
-    if cfg.silver_enabled and incremental:
-        touched = _silver_slices(spark, cfg, new_rows, keys, extra, execution_id, run_id, as_of)
-        result["silver_dates"] = {t: len(v) for t, v in touched.items()}
-        silver_ok = True
-        activity("silver", "SUCCESS")
-    elif cfg.silver_enabled and _exists(spark, cfg.path("bronze_snapshot")):
-        bronze = _read_bronze(spark, cfg, bronze_schema)
-        parsed = lake.parsed_snapshots(bronze, keys, extra=extra).persist(StorageLevel.MEMORY_AND_DISK)
-        pol = lake.silver_pollution(parsed, keys, cfg.version_cols, extra=extra)
-        wea = lake.silver_weather(parsed, keys, cfg.version_cols, extra=extra)
-        _concurrently({
-            "silver_pollution": lambda: _write(lake.stamp(pol, "silver", execution_id, run_id, as_of), cfg,
-                                               "silver_pollution"),
-            "silver_weather": lambda: _write(lake.stamp(wea, "silver", execution_id, run_id, as_of), cfg,
-                                             "silver_weather"),
-        })
-        parsed.unpersist()
-        silver_ok = True
-        activity("silver", "SUCCESS")
+    run = _Run(spark, cfg, as_of, pipeline_run_id or uuid.uuid4().hex)
+    if cfg.database:
+        for own in (cfg.environment, "control"):
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{cfg.database}_{own}`")
+    run.open()
+    stop = run.layer("bronze", cfg.bronze_enabled, lambda: run.bronze(landing, limits, entities))
+    if stop:
+        run.skip("silver", "gold")
     else:
-        activity("silver", "SKIPPED")
-
-    # 4. Gold (only if Silver succeeded); the daily aggregate is computed once
-    if cfg.gold_enabled and silver_ok and touched is not None:
-        result["gold_writes"] = _gold_slices(spark, cfg, touched, keys, execution_id, run_id, as_of)
-        activity("gold", "SUCCESS")
-    elif cfg.gold_enabled and silver_ok:
-        pol = read_table(spark, cfg.path("silver_pollution"), cfg.fmt)
-        wea = read_table(spark, cfg.path("silver_weather"), cfg.fmt)
-        daily = lake.daily_aqi(pol, keys).persist(StorageLevel.MEMORY_AND_DISK)
-        def gold(table: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
-            return lambda: _write(lake.stamp(build(), "gold", execution_id, run_id, as_of), cfg, table)
-
-        # three independent tables: concurrent jobs
-        _concurrently({
-            "gold_daily_metrics": gold("gold_daily_metrics", lambda: lake.gold_daily_metrics(daily, keys)),
-            "gold_category_days_by_month": gold("gold_category_days_by_month",
-                                                lambda: lake.gold_category_days(daily, keys)),
-            "gold_weather_correlation_by_month": gold("gold_weather_correlation_by_month",
-                                                      lambda: lake.gold_weather_correlation(pol, wea, keys)),
-        })
-        daily.unpersist()
-        activity("gold", "SUCCESS")
-    else:
-        activity("gold", "SKIPPED")
-
-    # 5. audit: ACTIVITY rows, run outcome, close everything that was opened
-    acts = spark.createDataFrame(
-        [(execution_id, run_id, cfg.environment, f"{layer}_refresh", layer) for layer, _, _ in activities],
-        "execution_id string, pipeline_run_id string, environment string, activity_name string, layer string")
-    append_table(audit_start(acts, "ACTIVITY", as_of), cfg.path("pipeline_audit"), cfg.fmt)
-    ends = spark.createDataFrame(
-        [("ACTIVITY", execution_id, run_id, f"{layer}_refresh", status, err, as_of)
-         for layer, status, err in activities],
-        "record_type string, execution_id string, pipeline_run_id string, activity_name string, "
-        "final_status string, error_message string, end_ts timestamp")
-    audit_now = read_table(spark, cfg.path("pipeline_audit"), cfg.fmt)
-    outcome = run_outcome(
-        audit_now.filter((F.col("record_type") == "ACTIVITY") & (F.col("execution_id") == execution_id)
-                         & (F.col("pipeline_run_id") == run_id)).drop("status")
-        .join(ends.select("activity_name", F.col("final_status").alias("status")), "activity_name"),
-        ["execution_id", "pipeline_run_id"]).first()
-    run_status = "FAILED" if (not bronze_ok or (outcome and outcome["outcome"] == "FAILED")) else "SUCCESS"
-    run_end = spark.createDataFrame(
-        [("PIPELINE", execution_id, run_id, run_status, None, as_of)],
-        "record_type string, execution_id string, pipeline_run_id string, final_status string, "
-        "error_message string, end_ts timestamp")
-    closed = audit_close(audit_now, ends.unionByName(run_end, allowMissingColumns=True))
-    refresh_table(closed, cfg.path("pipeline_audit"), cfg.fmt)
-    result["status"] = run_status
-    return result
+        failed = run.layer("silver", cfg.silver_enabled, run.silver)
+        if not failed and cfg.silver_enabled and cfg.dq_enabled:
+            run.layer("dq", True, run.check_silver)
+        run.layer("gold", cfg.gold_enabled and cfg.silver_enabled and not failed, run.gold)
+    return run.close()
 
 
 _SILVER = {  # table -> (builder, observation time, date partition)
@@ -316,83 +215,227 @@ _SILVER = {  # table -> (builder, observation time, date partition)
 }
 
 
-def _silver_slices(spark: SparkSession, cfg: LakeConfig, new_rows: DataFrame | None, keys, extra,
-                   execution_id, run_id, as_of) -> dict[str, list[_dt.date]]:
-    """Incremental Silver: only the observation dates this run's snapshots
-    reach are recomputed - latest-wins over (stored rows of those dates) +
-    (new rows) - and overwritten in place.  Latest-wins is associative, so
-    the result equals a full recompute from all of Bronze.  Returns the
-    touched dates per table (a bounded list: one entry per calendar day)."""
-    if new_rows is None:
-        return {t: [] for t in _SILVER}
-    # new_rows is checkpointed: the parse below is recomputable and exact
-    parsed = lake.parsed_snapshots(new_rows, keys, extra=extra).persist(StorageLevel.MEMORY_AND_DISK)
-    def refresh_one(table: str) -> list[_dt.date]:
-        build, ts_col, date_col = _SILVER[table]
-        new = build(parsed, keys, cfg.version_cols, extra=extra)
-        dates = sorted(r[0] for r in new.select(date_col).distinct().collect())
-        if dates:
-            # partition pruning: only the touched date folders are read
-            stored = read_table(spark, cfg.path(table), cfg.fmt).filter(F.col(date_col).isin(dates)) \
-                .select(*new.columns)
-            merged = latest_wins(stored.unionByName(new), keys, ts_col, cfg.version_cols)
-            _write(lake.stamp(merged, "silver", execution_id, run_id, as_of), cfg, table, replace="slices")
-        return dates
-
-    touched = _concurrently({t: (lambda t=t: refresh_one(t)) for t in _SILVER})
-    parsed.unpersist()
-    return touched
-
-
-def _gold_slices(spark: SparkSession, cfg: LakeConfig, touched: dict[str, list[_dt.date]], keys,
-                 execution_id, run_id, as_of) -> dict[str, str]:
-    """Incremental Gold from the Silver dates this run touched.
-
-    * daily metrics: a day d changes the 7-day window of d .. d+6; those
-      dates are recomputed from Silver days d-6 .. d+6 (each output date sees
-      every entity of that date, so the per-date rank is complete);
-    * category days: the months of the touched days;
-    * weather correlation: the months of touched pollution days, and of
-      weather days within the join tolerance of a month.
-    Each table falls back to a full rebuild when a slice would vanish."""
-    tp, tw = touched["silver_pollution"], touched["silver_weather"]
-    pol_all = read_table(spark, cfg.path("silver_pollution"), cfg.fmt)
-    wea_all = read_table(spark, cfg.path("silver_weather"), cfg.fmt)
-
-    def stamp(df):
-        return lake.stamp(df, "gold", execution_id, run_id, as_of)
-
-    jobs: dict[str, Callable[[], str]] = {}
-    if tp:
-        span = ROLLING_DAYS - 1
-        out_days = _days_around(tp, 0, span)
-        pol = pol_all.filter(F.col("pollution_date").isin(_days_around(tp, span, span)))
-        g = lake.gold_daily_metrics(lake.daily_aqi(pol, keys), keys).filter(F.col("date").isin(out_days))
-        jobs["gold_daily_metrics"] = lambda: _write_slices(
-            stamp(g), cfg, "gold_daily_metrics", F.col("date").isin(out_days),
-            lambda: stamp(lake.gold_daily_metrics(lake.daily_aqi(pol_all, keys), keys)))
-
-        months_p = _months(tp)
-        pol_m = pol_all.filter(_month_of(F.col("pollution_date")).isin(months_p))
-        jobs["gold_category_days_by_month"] = lambda: _write_slices(
-            stamp(lake.gold_category_days(lake.daily_aqi(pol_m, keys), keys)), cfg,
-            "gold_category_days_by_month", _month_of(F.col("month_start")).isin(months_p),
-            lambda: stamp(lake.gold_category_days(lake.daily_aqi(pol_all, keys), keys)))
-
-    reach = math.ceil(JOIN_WINDOW_HOURS / 24)  # days a weather row can reach
-    months = _months([*tp, *_days_around(tw, reach, reach)])
-    if months:
-        pol_c = pol_all.filter(_month_of(F.col("pollution_date")).isin(months))
-        wday = F.col("weather_date")
-        wea_c = wea_all.filter(_month_of(F.date_add(wday, reach)).isin(months)
-                               | _month_of(F.date_sub(wday, reach)).isin(months))
-        jobs["gold_weather_correlation_by_month"] = lambda: _write_slices(
-            stamp(lake.gold_weather_correlation(pol_c, wea_c, keys)), cfg,
-            "gold_weather_correlation_by_month", _month_of(F.col("month_start")).isin(months),
-            lambda: stamp(lake.gold_weather_correlation(pol_all, wea_all, keys)))
-    # the three tables are independent: concurrent jobs
-    return _concurrently(jobs)
-
-
-def empty_entities(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], INGESTION_ENTITIES)
+class _Run:
+    """The state of one run: its ids, its stamp and what its layers reported."""
+
+    def __init__(self, spark: SparkSession, cfg: LakeConfig, as_of: _dt.datetime, run_id: str):
+        self.spark, self.cfg, self.as_of, self.run_id = spark, cfg, as_of, run_id
+        self.activities: list[tuple[str, str, str | None]] = []
+        self.entity_rows: DataFrame | None = None
+        self.result: dict = {}
+        ensure_checkpoint_dir(spark)
+
+    # ------------------------------------------------------------ audit
+    def open(self) -> None:
+        """Execution context, the run's stamp, the PIPELINE row."""
+        spark, cfg = self.spark, self.cfg
+        audit = audit_state(_read_or_empty(spark, cfg, "pipeline_audit", PIPELINE_AUDIT))
+        envs = spark.range(1).select(F.lit(cfg.environment).alias("environment"))
+        self.execution_id = next_execution(audit, envs, self.as_of).first()["execution_id"]
+        self.marks = _Marks(spark, cfg, self.run_id, self.as_of)
+        self.pipeline = audit_start(self._ids(spark.range(1)), "PIPELINE", self.as_of)
+        append_table(self.pipeline, cfg.path("pipeline_audit"), cfg.fmt)
+        self.result = {"execution_id": self.execution_id, "pipeline_run_id": self.run_id, "layers": {}, "errors": {}}
+
+    def _ids(self, df: DataFrame, *cols: Column) -> DataFrame:
+        return df.select(F.lit(self.execution_id).alias("execution_id"), F.lit(self.run_id).alias("pipeline_run_id"),
+                         F.lit(self.cfg.environment).alias("environment"), *cols)
+
+    def layer(self, name: str, enabled: bool, work: Callable[[], str | None]) -> bool:
+        """Run a layer; True when it failed in a way that what follows must not run.
+
+        ``work`` returns an error text for a completed layer with failures."""
+        if not enabled:
+            self.skip(name)
+            return False
+        try:
+            error = work()
+        except Exception as e:  # the run's own record of any failure: closed in the audit, told in the result
+            text = str(e) if isinstance(e, _Stop) else f"{type(e).__name__}: {e}"
+            self._report(name, "FAILED", text[:4000])
+            return True
+        self._report(name, "FAILED" if error else "SUCCESS", error)
+        return False
+
+    def skip(self, *names: str) -> None:
+        for name in names:
+            self._report(name, "SKIPPED", None)
+
+    def _report(self, name: str, status: str, error: str | None) -> None:
+        self.activities.append((name, status, error))
+        self.result["layers"][name] = status
+        if error:
+            self.result["errors"][name] = error
+
+    def close(self) -> dict:
+        """ACTIVITY rows (a layer's, and an entity's of Bronze), the outcome, and the closed PIPELINE row.
+
+        The audit is a log: rows are appended, the latest state is derived."""
+        spark, cfg = self.spark, self.cfg
+        acts = spark.createDataFrame([(f"{n}_refresh", n, s, e) for n, s, e in self.activities],
+                                     "activity_name string, layer string, final_status string, error_message string")
+        entity_cols = ["entity", "state", "country"]
+        acts = acts.select("activity_name", "layer", "final_status", "error_message",
+                           *[F.lit(None).cast("string").alias(c) for c in entity_cols])
+        if self.entity_rows is not None:
+            acts = acts.unionByName(self.entity_rows)
+        acts = self._ids(acts, *[F.col(c) for c in acts.columns])
+        ends = acts.withColumn("record_type", F.lit("ACTIVITY")).withColumn("end_ts", ts_lit(self.as_of))
+        closed = audit_close(audit_start(acts, "ACTIVITY", self.as_of), ends)
+        outcome = run_outcome(closed, ["execution_id", "pipeline_run_id"]).first()["outcome"]
+        status = "FAILED" if outcome == "FAILED" else "SUCCESS"
+        error = "; ".join(f"{n}: {e}" for n, _, e in self.activities if e) or None
+        end = self._ids(spark.range(1), F.lit("PIPELINE").alias("record_type"), F.lit(status).alias("final_status"),
+                        F.lit(error).cast("string").alias("error_message"), ts_lit(self.as_of).alias("end_ts"))
+        append_table(closed.unionByName(audit_close(self.pipeline, end)), cfg.path("pipeline_audit"), cfg.fmt)
+        self.result["status"] = status
+        return self.result
+
+    # ------------------------------------------------------------ layers
+    def bronze(self, landing: DataFrame, limits: DataFrame, entities: DataFrame | None) -> str | None:
+        """Quota and rate verdicts, registry, classify, idempotency, append."""
+        spark, cfg, keys = self.spark, self.cfg, self.cfg.keys
+        # classified once, stamped with the run: the checks below read it several times
+        batch = classify_responses(landing, now=self.marks.now).checkpoint(eager=True)
+        calls = to_call_registry(batch, cfg.environment, keys)
+        registry = _read_or_empty(spark, cfg, "api_call_registry", calls.schema)
+        if entities is None:
+            entities = batch.select(*keys).distinct().select(
+                F.lit(None).cast("int").alias("entity_id"), *keys,
+                F.lit(cfg.environment).alias("environment"), F.lit(True).alias("is_active"))
+        self.result["pending"] = pending_entities(entities, registry, cfg.environment, self.execution_id, keys).count()
+
+        # every landed call is spent, also one that Bronze will not keep; a replayed one was counted
+        new_calls = staged(calls.join(same_executions(registry, calls).select("execution_id", "call_ts", *keys),
+                                      on=["execution_id", "call_ts", *keys], how="left_anti").select(*calls.columns), "calls")
+        verdict = quota_status(registry, limits, self.as_of, new_calls.count()).first()
+        self.result["quota"] = verdict.asDict()
+        if verdict["verdict_code"] is not None:
+            raise _Stop(f"quota verdict {verdict['verdict_code']}")
+        rate = rate_status(registry, limits, self.as_of).first()
+        self.result["rate"] = rate.asDict()
+        if rate["verdict_code"] is not None:
+            # blocked, not ingested: the batch is picked up by the next run
+            return f"rate verdict {rate['verdict_code']}"
+
+        _append(new_calls, cfg, "api_call_registry")  # before Bronze: quota must not be lost with it
+        stored = same_executions(_read_or_empty(spark, cfg, "bronze_snapshot", batch.schema), batch)
+        # Reliable copy, not a cache: once Bronze holds these rows, a
+        # recomputation (lost executor) would run the idempotency check
+        # against them and drop them all.
+        todo = staged(skip_ingested(batch, stored, keys, order_cols=("api_call_ts", *cfg.extra)), "todo")
+        _append(todo, cfg, "bronze_snapshot")
+        named = dict(zip(("entity", "state", "country"), keys))
+        ok = F.col("api_result") == "SUCCESS"
+        self.entity_rows = todo.groupBy(*keys).agg(F.max(ok).alias("ok"), F.max(F.when(~ok, F.substring("error_message", 1, 4000)))
+                                                   .alias("error")).select(
+            F.lit("bronze_ingestion").alias("activity_name"), F.lit("bronze").alias("layer"),
+            F.when(F.col("ok"), F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("final_status"),
+            F.when(~F.col("ok"), F.col("error")).alias("error_message"),
+            *[(F.col(named[c]).cast("string") if c in named else F.lit(None).cast("string")).alias(c)
+              for c in ("entity", "state", "country")])
+        failed = todo.filter(~ok).count()
+        return f"{failed} entity call(s) failed" if failed else None
+
+    def _stamp(self, df: DataFrame, layer: str) -> DataFrame:
+        return lake.stamp(df, layer, self.execution_id, self.run_id, self.marks.now)
+
+    def silver(self) -> None:
+        """Bronze rows behind Silver's mark into both Silver tables."""
+        spark, cfg, keys = self.spark, self.cfg, self.cfg.keys
+        if not table_exists(spark, cfg.path("bronze_snapshot")):
+            self.result["silver_dates"] = {t: 0 for t in _SILVER}
+            return
+        extra = list(dict.fromkeys(["api_call_ts", *cfg.extra]))
+        bronze = read_table(spark, cfg.path("bronze_snapshot"), cfg.fmt)
+        slices = cfg.incremental and cfg.partitioned and all(table_exists(spark, cfg.path(t)) for t in _SILVER)
+        if slices:
+            bronze = bronze.filter(self.marks.behind("silver", "ingestion_ts"))
+        # one parse feeds both tables
+        parsed = staged(lake.parsed_snapshots(bronze, keys, extra=extra), "parsed")
+
+        def refresh(table: str) -> int:
+            build, ts_col, date_col = _SILVER[table]
+            new = build(parsed, keys, cfg.version_cols, extra=extra)
+            if not slices:
+                _write(self._stamp(new, "silver"), cfg, table)
+                return 0
+            # one entry per calendar day
+            dates = sorted(r[0] for r in new.select(date_col).distinct().collect())
+            if dates:
+                # Latest-wins is associative: stored rows of those dates and the
+                # new ones give what all of Bronze would; only their folders are read
+                old = read_table(spark, cfg.path(table), cfg.fmt).filter(F.col(date_col).isin(dates)).select(*new.columns)
+                merged = latest_wins(old.unionByName(new), keys, ts_col, cfg.version_cols)
+                _write(self._stamp(merged, "silver"), cfg, table, replace="slices")
+            return len(dates)
+
+        counts = _concurrently({t: (lambda t=t: refresh(t)) for t in _SILVER})
+        if slices:
+            self.result["silver_dates"] = counts
+        self.marks.leave("silver")
+
+    def check_silver(self) -> str | None:
+        """Keys of both Silver tables are unique and complete."""
+        found = {}
+        for table, (_, ts_col, date_col) in _SILVER.items():
+            if table_exists(self.spark, self.cfg.path(table)):
+                df = read_table(self.spark, self.cfg.path(table), self.cfg.fmt)
+                found[table] = constraint_violations(df, [*self.cfg.keys, ts_col], not_null=[*self.cfg.keys, date_col]).count()
+        self.result["dq"] = found
+        broken = {t: n for t, n in found.items() if n}
+        return f"constraint violations: {broken}" if broken else None
+
+    def gold(self) -> None:
+        """Gold from Silver; in slices, from the Silver dates behind Gold's mark.
+
+        * daily metrics: a day d changes the 7-day window of d .. d+6; those
+          dates are recomputed from Silver days d-6 .. d+6 (each output date sees
+          every entity of that date, so the per-date rank is complete);
+        * category days: the months of the touched days;
+        * weather correlation: the months of touched pollution days, and of
+          weather days within the join tolerance of a month."""
+        spark, cfg, keys = self.spark, self.cfg, self.cfg.keys
+        if not all(table_exists(spark, cfg.path(t)) for t in _SILVER):
+            return
+        pol_all, wea_all = (read_table(spark, cfg.path(t), cfg.fmt) for t in _SILVER)
+        gold_tables = ("gold_daily_metrics", "gold_category_days_by_month", "gold_weather_correlation_by_month")
+        if not (cfg.incremental and cfg.partitioned and all(table_exists(spark, cfg.path(t)) for t in gold_tables)):
+            daily = staged(lake.daily_aqi(pol_all, keys), "daily")
+            builds = dict(zip(gold_tables, (lambda: lake.gold_daily_metrics(daily, keys), lambda: lake.gold_category_days(daily, keys),
+                                            lambda: lake.gold_weather_correlation(pol_all, wea_all, keys))))
+            _concurrently({t: (lambda t=t, b=b: _write(self._stamp(b(), "gold"), cfg, t)) for t, b in builds.items()})
+            self.marks.leave("gold")
+            return
+
+        def touched(df: DataFrame, date_col: str) -> list[_dt.date]:
+            rows = df.filter(self.marks.behind("gold", "silver_ingestion_ts")).select(date_col).distinct().collect()
+            return sorted(r[0] for r in rows)
+
+        tp, tw = touched(pol_all, "pollution_date"), touched(wea_all, "weather_date")
+        jobs: dict[str, Callable[[], str]] = {}
+        if tp:
+            span = ROLLING_DAYS - 1
+            out_days = _days_around(tp, 0, span)
+            near = pol_all.filter(F.col("pollution_date").isin(_days_around(tp, span, span)))
+            daily = lake.daily_aqi(near, keys)
+            jobs["gold_daily_metrics"] = lambda: _write_slices(
+                self._stamp(lake.gold_daily_metrics(daily, keys).filter(F.col("date").isin(out_days)), "gold"), cfg,
+                "gold_daily_metrics", F.col("date").isin(out_days))
+            months_p = _months(tp)
+            in_months = pol_all.filter(_month_of(F.col("pollution_date")).isin(months_p))
+            jobs["gold_category_days_by_month"] = lambda: _write_slices(
+                self._stamp(lake.gold_category_days(lake.daily_aqi(in_months, keys), keys), "gold"), cfg,
+                "gold_category_days_by_month", _month_of(F.col("month_start")).isin(months_p))
+        reach = math.ceil(JOIN_WINDOW_HOURS / 24)  # days a weather row can reach
+        months = _months([*tp, *_days_around(tw, reach, reach)])
+        if months:
+            pol_c = pol_all.filter(_month_of(F.col("pollution_date")).isin(months))
+            wday = F.col("weather_date")
+            wea_c = wea_all.filter(_month_of(F.date_add(wday, reach)).isin(months)
+                                   | _month_of(F.date_sub(wday, reach)).isin(months))
+            jobs["gold_weather_correlation_by_month"] = lambda: _write_slices(
+                self._stamp(lake.gold_weather_correlation(pol_c, wea_c, keys), "gold"), cfg,
+                "gold_weather_correlation_by_month", _month_of(F.col("month_start")).isin(months))
+        self.result["gold_writes"] = _concurrently(jobs)
+        self.marks.leave("gold")

@@ -25,16 +25,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from snaplake.operators.bronze import classify_responses, skip_ingested, to_call_registry
+from snaplake.operators.bronze import classify_responses, same_executions, skip_ingested, to_call_registry
 from snaplake.operators.silver import latest_wins
 from snaplake.plans import lake
 from snaplake.schemas import ENTITY_KEYS, LANDING
-from snaplake.sources.io import refresh_table
+from snaplake.session import ensure_checkpoint_dir, staged
+from snaplake.sources.io import refresh_table, table_exists
 
 BATCH_COL = "stream_batch"
 # streamed Bronze layout: the idempotency check of a batch reads only the
@@ -44,16 +44,6 @@ JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 JSON_TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds any visible entry (a written table)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return False
-    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(hpath))
-
-
 def _start(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint_location: str,
            available_now: bool, processing_time: str | None, name: str | None):
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint_location)
@@ -80,27 +70,27 @@ def stream_bronze(spark: SparkSession, landing_path: str, bronze_path: str, chec
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.load(landing_path)
+    ensure_checkpoint_dir(spark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
         s.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        classified = classify_responses(batch)
-        if _exists(s, bronze_path):
+        # classified once: the idempotency check and the sinks would each
+        # read the micro-batch and parse its bodies again
+        classified = classify_responses(batch).checkpoint()
+        if table_exists(s, bronze_path):
             # explicit schema: partition values are never type-inferred
             schema = StructType(list(classified.schema.fields) + [StructField(BATCH_COL, LongType(), True)])
-            execs = classified.select("execution_id").dropDuplicates()
-            stored = (s.read.schema(schema).parquet(bronze_path)
-                       .filter(F.col(BATCH_COL) != F.lit(batch_id))
-                       # only this batch's executions: partition pruning at the scan
-                       .join(execs, on="execution_id", how="left_semi"))
+            stored = same_executions(s.read.schema(schema).parquet(bronze_path)
+                                     .filter(F.col(BATCH_COL) != F.lit(batch_id)), classified)
         else:
             stored = classified.limit(0)
-        todo = skip_ingested(classified, stored, keys, order_cols=order_cols) \
-            .withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-        refresh_table(todo, bronze_path, partition_by=BRONZE_PARTITIONS)
-        if registry_path:
+        todo = staged(skip_ingested(classified, stored, keys, order_cols=order_cols)
+                      .withColumn(BATCH_COL, F.lit(batch_id).cast("long")), "stream-batch")
+        if registry_path:  # before Bronze: a call is spent even if the rest fails
             reg = to_call_registry(todo, environment, keys).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
             refresh_table(reg, registry_path, partition_by=[BATCH_COL])
+        refresh_table(todo, bronze_path, partition_by=BRONZE_PARTITIONS)
 
     q = _start(stream, write_batch, checkpoint_location, available_now, processing_time, name)
     if wait and available_now:
@@ -108,22 +98,23 @@ def stream_bronze(spark: SparkSession, landing_path: str, bronze_path: str, chec
     return q
 
 
-def bronze_stream_schema(bronze_schema: StructType) -> StructType:
-    """Schema of a streamed Bronze directory (batch partition included)."""
-    if BATCH_COL in bronze_schema.fieldNames():
-        return bronze_schema
-    return StructType(list(bronze_schema.fields) + [StructField(BATCH_COL, LongType(), True)])
-
-
 _SILVER_KINDS = {  # kind -> (builder, observation time, date partition)
     "pollution": (lake.silver_pollution, "pollution_ts", "pollution_date"),
     "weather": (lake.silver_weather, "weather_ts", "weather_date"),
 }
 
 
+def same_dates(stored: DataFrame, new: DataFrame, date_col: str) -> DataFrame:
+    """The rows of ``stored`` whose date occurs in ``new``: a static range of
+    dates (two scalars, pruned at the scan) and a semi join inside it."""
+    low, high = new.agg(F.min(date_col), F.max(date_col)).first()
+    ranged = stored.filter(F.col(date_col).between(F.lit(low).cast("date"), F.lit(high).cast("date")))
+    return ranged.join(new.select(date_col).distinct(), on=date_col, how="left_semi")
+
+
 def stream_silver(spark: SparkSession, bronze_path: str, silver_path: str | dict[str, str],
                   checkpoint_location: str, bronze_schema: StructType, kind: str = "pollution",
-                  keys: Sequence[str] = ENTITY_KEYS, version_cols: Sequence[str] = ("bronze_ingestion_ts",),
+                  keys: Sequence[str] = ENTITY_KEYS, version_cols: Sequence[str] = lake.VERSION_COLS,
                   extra: Sequence[str] = (), max_files_per_trigger: int | None = None,
                   available_now: bool = True, processing_time: str | None = None,
                   wait: bool = True, name: str | None = None):
@@ -137,6 +128,8 @@ def stream_silver(spark: SparkSession, bronze_path: str, silver_path: str | dict
     unknown = set(targets) - set(_SILVER_KINDS)
     if unknown or not targets:
         raise ValueError(f"kind must be one of {sorted(_SILVER_KINDS)}, got {sorted(unknown) or 'none'}")
+    # what orders versions stays in the table: later batches are compared with it
+    carried = list(dict.fromkeys([*extra, *[c for c in version_cols if c in bronze_schema.fieldNames()]]))
     reader = spark.readStream.schema(bronze_schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -145,24 +138,17 @@ def stream_silver(spark: SparkSession, bronze_path: str, silver_path: str | dict
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
         s.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        parsed = lake.parsed_snapshots(batch, keys, extra=extra)
-        if len(targets) > 1:  # one parse feeds every table (a lost block re-reads the batch)
-            parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        # staged: one parse feeds every table and the date range below
+        parsed = staged(lake.parsed_snapshots(batch, keys, extra=carried), "stream-parsed")
         for k, path in targets.items():
             build, ts_col, date_col = _SILVER_KINDS[k]
-            new = build(parsed, keys, version_cols, extra=extra)
-            if _exists(s, path):
-                stored = s.read.parquet(path)
-                touched = new.select(date_col).dropDuplicates()
-                old = stored.join(touched, on=date_col, how="left_semi").select(*new.columns)
-                merged = latest_wins(old.unionByName(new), keys, ts_col, version_cols)
-            else:
-                merged = new
+            new = build(parsed, keys, version_cols, extra=carried)
+            if table_exists(s, path):
+                old = same_dates(s.read.parquet(path), new, date_col).select(*new.columns)
+                new = latest_wins(old.unionByName(new), keys, ts_col, version_cols)
             # the partition column goes last, as the file layout stores it
-            cols = [c for c in merged.columns if c != date_col] + [date_col]
-            refresh_table(merged.select(*cols), path, partition_by=[date_col])
-        if len(targets) > 1:
-            parsed.unpersist()
+            cols = [c for c in new.columns if c != date_col] + [date_col]
+            refresh_table(new.select(*cols), path, partition_by=[date_col])
 
     q = _start(stream, write_batch, checkpoint_location, available_now, processing_time, name)
     if wait and available_now:

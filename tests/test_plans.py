@@ -33,9 +33,27 @@ def test_latest_wins_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan and "Final" in plan
 
 
-def test_nearest_sweep_has_no_join(spark):
-    plan = _plan(c.q_nearest_join(spark, SF))
-    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+def _clicks(spark):
+    return c._clicks_purchases(spark, SF)
+
+
+def test_nearest_unsplit_has_no_join_and_one_shuffle(spark):
+    clicks, purchases = _clicks(spark)
+    for unit in ("microsecond", "second"):
+        plan = _plan(c.nearest_join(clicks, purchases, ["user_id"], "click_ts", "purchase_ts", c.TOLERANCE, unit=unit, split=1))
+        assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1, unit
+
+
+def test_nearest_split_shuffles_the_rows_once(spark):
+    """All other shuffles of the default plan carry one row per chunk (an
+    aggregate's output), never the rows."""
+    clicks, purchases = _clicks(spark)
+    for unit, scans in (("microsecond", 2), ("second", 3)):
+        plan = _plan(c.nearest_join(clicks, purchases, ["user_id"], "click_ts", "purchase_ts", c.TOLERANCE, unit=unit))
+        rows = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "REPARTITION_BY_COL" in x]
+        keyed = {x.split("hashpartitioning(")[1].split("),")[0].replace("#", " ").split(",")[1].split(" ")[1] for x in rows}
+        assert keyed == {"__sl_ck"}, plan
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan and scans
 
 
 def test_interval_join_is_equi_on_key_and_bucket(spark):
@@ -56,3 +74,44 @@ def test_scan_prunes_columns(spark):
 def test_constraints_in_one_aggregate(spark):
     plan = _plan(c.q_constraint_violations(spark, SF))
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_bronze_check_prunes_by_a_static_range(spark, tmp_path):
+    """The idempotency check reads the batch's executions only: a range of
+    partitions known when the scan is planned."""
+    from snaplake.operators.bronze import same_executions
+    from snaplake.sources.io import append_table
+
+    rows = spark.createDataFrame([(f"e{i:03d}", i) for i in range(50)], "execution_id string, v int")
+    append_table(rows, str(tmp_path / "b"), partition_by=["execution_id"])
+    stored = spark.read.schema("v int, execution_id string").parquet(str(tmp_path / "b"))
+    plan = _plan(same_executions(stored, rows.filter("v IN (7, 9)")))
+    assert "PartitionFilters: [isnotnull(execution_id" in plan and ">= e007" in plan and "<= e009" in plan
+    assert same_executions(stored, rows.filter("v IN (7, 9)")).count() == 2
+    assert same_executions(stored, rows.limit(0)).count() == 0
+
+
+def test_silver_merge_prunes_by_a_static_range(spark, tmp_path):
+    from snaplake.sources.io import append_table
+    from snaplake.streaming.stream import same_dates
+
+    rows = spark.range(40).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS d")
+    append_table(rows, str(tmp_path / "s"), partition_by=["d"])
+    plan = _plan(same_dates(spark.read.parquet(str(tmp_path / "s")), rows.filter("id IN (3, 5)"), "d"))
+    assert ">= 2024-01-04" in plan and "<= 2024-01-06" in plan and "PartitionFilters" in plan
+
+
+def test_partitioned_writes_make_few_files(spark, tmp_path):
+    from snaplake.sources.io import append_table, refresh_table
+
+    rows = spark.range(0, 3000, 1, 50).selectExpr("id", "id % 30 AS d")
+    for n, write in enumerate((append_table, refresh_table)):
+        write(rows, str(tmp_path / f"t{n}"), partition_by=["d"])
+        files = [p for p in (tmp_path / f"t{n}").rglob("part-*.parquet")]
+        assert len(files) <= 60, len(files)
+
+
+def test_rank_evaluates_its_input_once(spark):
+    """The plan above the staged rows reads only what was staged."""
+    plan = _plan(c.q_rank_worst_range(spark, SF))
+    assert "events.parquet" not in plan
