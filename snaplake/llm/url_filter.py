@@ -97,7 +97,8 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFra
         rules = spark.createDataFrame(list(rules), "host string, path string, verdict string")
     rules = rules.select(F.translate("host", _UPPER, _LOWER).alias("r_host"), F.col("path").alias("r_path"),
                          F.col("verdict").alias("r_verdict")).distinct()
-    rules = rules.withColumn("rule", F.concat("r_host", "r_path"))
+    # written once: joins then know its size, and a small list is not met by shuffled pages
+    rules = materialise(rules.withColumn("rule", F.concat("r_host", "r_path")), "url-rules")
     edges = page_links(pages, url_col, html_col)
     if redirects is not None:
         edges = edges.unionByName(redirects.select(address(F.col("src")).alias("src"), address(F.col("dst")).alias("dst")))

@@ -144,7 +144,7 @@ def write_warc(pages: DataFrame, root: str, id_col: str = "page_id", url_col: st
                         part += 1
                     names = temporary_name(root, shard, part, "warc.gz")
                     store.create_dir(f"{top}/{names[0].rpartition('/')[0]}", recursive=True)
-                    out, size, n, begun = store.open_output_stream(f"{top}/{names[0]}"), 0, 0, now
+                    out, size, n, begun = store.open_output_stream(f"{top}/{names[0]}", compression=None), 0, 0, now
                 out.write(data)
                 size, n = size + len(data), n + 1
         if out is not None:
@@ -170,7 +170,7 @@ def read_warc(manifest: DataFrame, root: str) -> DataFrame:
 
     def read(store, path, row) -> Iterator[pa.RecordBatch]:
         held, weight = [], 0
-        with store.open_input_stream(path) as f:
+        with store.open_input_stream(path, compression=None) as f:
             for data in members(f):
                 fields, block = parse(data)
                 payload, kind = block.partition(b"\r\n\r\n")[2], fields["WARC-Type"]
