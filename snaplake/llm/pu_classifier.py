@@ -5,9 +5,10 @@ minimising the non-negative unbiased risk (Kiryo et al., NeurIPS 2017):
 
     prior * E_P[l(g)] + max(0, E_U[l(-g)] - prior * E_P[l(-g)])
 
-with l the logistic loss, P the trusted positives and U unlabelled documents.
-No negative label is used.  The class prior is estimated from the same two
-samples: a first model tells P from U on one half, and on the other half the
+with l(z) = 1 / (1 + exp(z)), P the trusted positives and U unlabelled documents;
+the loss is bounded, so that a few far documents do not outweigh the small
+difference of the two samples.  No negative label is used.  The class prior is estimated from the same two
+samples: a first model tells P from U, and on documents it was not fitted on the
 share of U above a cut over the share of P above it is smallest where U holds
 positives only (Blanchard, Lee and Scott, JMLR 2010).
 
@@ -69,36 +70,40 @@ def _descend(gradient, width: int, steps: int = 600, rate: float = 0.05) -> np.n
 
 def nn_risk(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
     """The two parts of the risk: of positives, and of negatives before it is held at zero."""
-    gp, gu = p @ w, u @ w
-    return (prior * float(np.logaddexp(0, -gp).mean()),
-            float(np.logaddexp(0, gu).mean()) - prior * float(np.logaddexp(0, gp).mean()))
+    sp, su = _sigmoid(p @ w), _sigmoid(u @ w)
+    return prior * float((1 - sp).mean()), float(su.mean()) - prior * float(sp.mean())
 
 
-def fit_nn_pu(p: np.ndarray, u: np.ndarray, prior: float, ridge: float = 1e-4) -> np.ndarray:
+def fit_nn_pu(p: np.ndarray, u: np.ndarray, prior: float, ridge: float = 1e-2) -> np.ndarray:
     """Weights that minimise the non-negative risk; where its negative part falls under zero, steps raise it."""
     def gradient(w):
         sp, su = _sigmoid(p @ w), _sigmoid(u @ w)
-        negative = (su @ u) / len(u) - prior * (sp @ p) / len(p)
-        pull = ridge * w
-        if nn_risk(w, p, u, prior)[1] < 0:
-            return pull - negative
-        return pull + negative - prior * ((1 - sp) @ p) / len(p)
+        slope_p, negative = (sp * (1 - sp)) @ p / len(p), su.mean() - prior * sp.mean()
+        rise = (su * (1 - su)) @ u / len(u) - prior * slope_p
+        return ridge * w - rise if negative < 0 else ridge * w + rise - prior * slope_p
     return _descend(gradient, p.shape[1])
 
 
-def estimate_prior(p: np.ndarray, u: np.ndarray, least: float = 0.3) -> float:
-    """Share of positives in ``u``: the smallest ratio of tails, over cuts that keep ``least`` of ``p``."""
-    def gradient(w):
-        return (1e-4 * w + (_sigmoid(u[::2] @ w) @ u[::2]) / len(u[::2]) - ((1 - _sigmoid(p[::2] @ w)) @ p[::2]) / len(p[::2]))
-    if len(p) < 4 or len(u) < 4:
+def estimate_prior(p: np.ndarray, u: np.ndarray, least: float = 0.3, folds: int = 5, ridge: float = 1e-2) -> float:
+    """Share of positives in ``u``: the smallest ratio of tails, over cuts that keep ``least`` of ``p``.
+
+    Every row is scored by a model that was fitted without its fold.
+    """
+    if min(len(p), len(u)) < 2 * folds:
         return 0.5
-    w = _descend(gradient, p.shape[1], 300)
-    sp, su = np.sort(p[1::2] @ w), np.sort(u[1::2] @ w)
+    scores = [], []
+    for fold in range(folds):
+        (fit_p, own_p), (fit_u, own_u) = ((x[np.arange(len(x)) % folds != fold], x[np.arange(len(x)) % folds == fold]) for x in (p, u))
+
+        def gradient(w):
+            return (ridge * w + _sigmoid(fit_u @ w) @ fit_u / len(fit_u)
+                    - (1 - _sigmoid(fit_p @ w)) @ fit_p / len(fit_p))
+        w = _descend(gradient, p.shape[1], 300)
+        scores[0].append(own_p @ w)
+        scores[1].append(own_u @ w)
+    sp, su = (np.sort(np.concatenate(x)) for x in scores)
     cuts = np.quantile(sp, np.linspace(0.0, 1 - least, 60))
-    tail = lambda s: 1 - np.searchsorted(s, cuts) / len(s)
-    # both tails are shares of a sample: allow a standard error of each
-    tp, tu = tail(sp), tail(su)
-    ratio = (tu + np.sqrt(tu * (1 - tu) / len(su))) / np.maximum(tp - np.sqrt(tp * (1 - tp) / len(sp)), 1e-9)
+    ratio = (1 - np.searchsorted(su, cuts) / len(su)) / (1 - np.searchsorted(sp, cuts) / len(sp))
     return float(np.clip(ratio.min(), 0.05, 0.99))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from snaplake.llm import license_scan as licenses
 from snaplake.llm import mixing, url_filter
 from snaplake.llm.embedding_dedup import embedding_dedup
+from snaplake.llm.oracle import SQL
 from snaplake.llm.packing import pack
 from snaplake.llm.pu_classifier import quality_classifier
 from snaplake.llm.quality_rules import quality_rules
@@ -69,4 +70,4 @@ QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_simhash_dedup, op3_warc, op4_embedding_dedup, op5_url_filter, op6_license_scan, op7_packing,
     op8_token_store, op9_mixing, op10_quality_classifier)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = SQL
