@@ -13,19 +13,20 @@ import json
 import os
 import re
 from collections.abc import Iterable, Iterator
+from itertools import batched, chain
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Parts whose ids one worker keeps; at that number it starts anew.
-CACHE = 400_000
+#: Parts whose ids one worker keeps (about 200 bytes each); at that number it starts anew.
+CACHE = 700_000
 #: White space here is at least what any tokenizer takes for it: fewer cuts are safe cuts.
-_PARTS = re.compile(r"\s*\S+|\s+")
 _AT_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _INNER = re.compile(r"\s ")  # a space that does not begin its run of white space
-_ENDING = re.compile(r"(.*\w)([.,;:!?|]+)\Z", re.S)
-_WORKER: dict[tuple, Encoder] = {}
+_MARKS = ".,;:!?|"
+_TOGETHER = 1 << 16  # parts that go to the tokenizer as one string
+_WORKER: dict[str, Encoder] = {}
 
 
 class Encoder:
@@ -36,8 +37,13 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.cache, self.known = cache, {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
+        self.cache, self.led = cache, {}  # ids of parts by what follows their leading space
+        self.tails: dict[str, bytes] = {}  # ids of marks alone
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)  # in this alphabet a character is a byte
+        for token, i in vocabulary.items():
+            self.bytes_of[i] = len(token)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         if spec.get("normalizer") or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel":
@@ -50,37 +56,61 @@ class Encoder:
             _WORKER[path] = cls(path)
         return _WORKER[path]
 
-    def pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
-
-    def _learn(self, parts: set[str]) -> None:
-        """Add the ids of parts that are not known."""
-        asked, split = set(), {}
-        for part in parts:
-            pieces = _PARTS.findall(part) or [""]
-            if len(pieces) == 1 and (m := _ENDING.match(part)) and m[1][-1].isalpha() and m[1][-1] < "\u0250":
-                pieces = [m[1], m[2]]  # a letter, then only marks: the split falls between them
-            if len(pieces) > 1:
-                split[part] = pieces
-            asked.update(p for p in pieces if p not in self.known)
-        ask = list(asked)
-        for part, e in zip(ask, self.tokenizer.encode_batch_fast(ask, add_special_tokens=False)):
-            self.known[part] = self.pack(e.ids)
-        for part, pieces in split.items():
-            self.known[part] = b"".join([self.known[p] for p in pieces])
+    def pack(self, ids: list[int] | np.ndarray) -> bytes:
+        return np.asarray(ids, self.dtype).tobytes()
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn(self, parts: list[str]) -> None:
+        """Add the ids of parts that follow a space: as one text, cut again where their bytes end.
+
+        A part that ends in white space would run into the next one's space,
+        so it is a text of its own.  Marks after a letter are split from it by
+        the tokenizer too, so a word is learned once whatever follows it.
+        """
+        marked, bare = {}, set()
+        for p in parts:
+            word = p.rstrip(_MARKS)
+            if len(word) < len(p) and word and word[-1].isalpha() and word[-1] < "\u0250":
+                marked[p] = word
+                if word not in self.led:
+                    bare.add(word)
+        parts = list(bare.union(p for p in parts if p not in marked))
+        apart = [p for p in parts if not p or p[-1].isspace()]
+        for p in apart:
+            self.led[p] = self.pack(self._ids(" " + p))
+        known = set(apart)
+        for some in batched((p for p in parts if p not in known), _TOGETHER):
+            ids = np.array(self._ids(" " + " ".join(some)), np.int64)
+            ends = np.cumsum([len(p.encode()) + 1 for p in some])
+            token_ends = np.cumsum(self.bytes_of[ids])
+            cuts = np.searchsorted(token_ends, ends) + 1
+            if not np.array_equal(token_ends[cuts - 1], ends):
+                raise ValueError("a token runs over a part's end")
+            blob, width, at = self.pack(ids), self.dtype.itemsize, 0
+            for p, cut in zip(some, (cuts * width).tolist()):
+                self.led[p] = blob[at:cut]
+                at = cut
+        for p, word in marked.items():
+            tail = p[len(word):]
+            if tail not in self.tails:
+                self.tails[tail] = self.pack(self._ids(tail))
+            self.led[p] = self.led[word] + self.tails[tail]
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, NULL and empty ones none."""
-        for text in texts:
-            if not text:
-                yield b""
-                continue
-            parts = _AT_SPACE.split(text) if _INNER.search(text) else text.split(" ")
-            parts[1:] = [" " + p for p in parts[1:]]
-            new = {p for p in parts if p not in self.known}
+        for some in batched(texts, 128):
+            split = [_AT_SPACE.split(t) if _INNER.search(t) else t.split(" ") for t in (t or "" for t in some)]
+            firsts = [x.pop(0) for x in split]
+            parts = set(chain.from_iterable(split))
+            new = parts.difference(self.led)
             if new:
-                if len(self.known) + len(new) > self.cache:
-                    self.known.clear()
-                    new = set(parts)
-                self._learn(new)
-            yield b"".join([self.known[p] for p in parts])
+                if len(self.led) + len(new) > self.cache:
+                    self.led.clear()
+                    new = parts
+                self._learn(list(new))
+            led = self.led
+            for first, own in zip(firsts, split):
+                head = self.pack(self._ids(first)) if first else b""
+                yield head + b"".join([led[p] for p in own])
