@@ -73,9 +73,10 @@ def spans(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, k:
     texts = (spark.createDataFrame([(i, label, text) for i, (label, text) in enumerate(templates)],
                                    "template int, label string, text string")
              .withColumn("words", words_of(F.col("text"))).select("template", "label", F.size("words").alias("size"), "words"))
-    # as many rows as the templates have words: a parameter's size, and Catalyst broadcasts it only below its limit
-    places = (texts.select("template", "label", "size", F.posexplode(_grams("words", k)).alias("t_at", "t_gram"))
-              .withColumn("h", F.xxhash64("t_gram")))
+    # as many rows as the templates have words; written once, so that the join knows that size and
+    # broadcasts it below Catalyst's limit instead of shuffling every k-gram
+    places = materialise(texts.select("template", "label", "size", F.posexplode(_grams("words", k)).alias("t_at", "t_gram"))
+                         .withColumn("h", F.xxhash64("t_gram")), "license-places")
     grams = (docs.select("doc_id", "mark", words_of(F.col("text")).alias("words"))
              .select("doc_id", "mark", F.posexplode(_grams("words", k)).alias("at", "gram"))
              .withColumn("h", F.xxhash64("gram")))
