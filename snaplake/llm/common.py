@@ -19,7 +19,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     join is planned as a broadcast only when that size is under the threshold.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)  # texts and ids are most of it
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
