@@ -122,7 +122,7 @@ def finish(lengths: list[int], doc_ids: list[int | None], width: int) -> bytes:
 
 
 def write_tokens(docs: DataFrame, root: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id",
-                 text_col: str = "text", docs_per_shard: int = 16384) -> DataFrame:
+                 text_col: str = "text", docs_per_shard: int = 4096) -> DataFrame:
     """Write every document's ids and its end id in ascending doc_id order; gives the manifest.
 
     ``root`` is a folder that executors and driver share.  NULL ids come first;
@@ -142,7 +142,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, end_id: int = 0, id
                 shard = batch.column(2)[0].as_py()
                 temporary, final = temporary_name(root, shard, 0, "tok")
                 store.create_dir(f"{top}/{temporary.rpartition('/')[0]}", recursive=True)
-                out, lengths, doc_ids = store.open_output_stream(f"{top}/{temporary}"), [], []
+                out, lengths, doc_ids = store.open_output_stream(f"{top}/{temporary}", compression=None), [], []
             for doc, blob in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
                 out.write(blob + end)
                 lengths.append(len(blob) // width + 1)
@@ -166,7 +166,7 @@ def read_tokens(manifest: DataFrame, root: str) -> DataFrame:
     placed = manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
     def read(store, path, row) -> Iterator[pa.RecordBatch]:
-        with store.open_input_stream(path) as f:
+        with store.open_input_stream(path, compression=None) as f:
             shard = TokenFile(memoryview(f.read()))
         bounds, doc_ids, raw = shard.bounds.values().astype(np.int64), shard.doc_ids(), memoryview(shard.array).cast("B")
         width = shard.array.itemsize
