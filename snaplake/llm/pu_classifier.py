@@ -156,8 +156,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = _table(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows.tolist(), pa.list_(pa.float64()))], ["doc_id", "x"])
+            rows = [x.tobytes() for x in _table(batch.column(1)).astype(np.float32)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["doc_id", "x"])
 
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("text"))
     rows = rows.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -168,9 +168,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found = []
     # in order of id, so that a rerun adds the same numbers in the same order
     for picked in (rows.filter(pick_p).join(good.filter(pick_p), "doc_id"), rows.filter(pick_u)):
-        taken = picked.mapInArrow(run, "doc_id long, x array<double>").collect()
-        taken.sort(key=lambda r: (r.doc_id, r.x))
-        found.append(np.array([r.x for r in taken], np.float64).reshape(len(taken), len(features(b""))))
+        taken = sorted((r.doc_id, bytes(r.x)) for r in picked.mapInArrow(run, "doc_id long, x binary").collect())
+        found.append(np.frombuffer(b"".join([x for _, x in taken]), np.float32).reshape(len(taken), len(features(b""))).astype(np.float64))
     return fit(*found)
 
 
