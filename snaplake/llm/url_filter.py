@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import col, materialise
+from snaplake.llm.common import col, let, materialise
 from snaplake.llm.components import connected_components
 
 #: (host, path, verdict)
@@ -25,6 +25,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _QUOTED = r"""\s*=\s*["']?([^"'\s>]+)"""
 CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref""" + _QUOTED
 REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["']?\s*[\d.]*\s*[;,]\s*url""" + _QUOTED
+#: A refresh without ``url=``, or with white space alone before its target.  The quote is group 1, the target group 2.
+BARE_REFRESH = (r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*"""
+                r"""(?:(["'])\s*+[\d.]++(?>\s*+[;,]|\s++)\s*+|[\d.]++[;,])(?:url\s*=\s*)?+(?!\1)["']?([^"'\s>]+)""")
+BASE = r"""(?is)<base\b[^>]*\bhref""" + _QUOTED
 
 
 def host_of(url: Column) -> Column:
@@ -50,14 +54,46 @@ def absolute(link: Column, url: Column) -> Column:
             .when(link.startswith("/"), address(F.concat(F.lit("x://"), host_of(url), link))))
 
 
+def without_dots(path: Column) -> Column:
+    """A path from the root without its ``.`` and ``..`` segments (RFC 3986, 5.2.4)."""
+    def step(kept: Column, part: Column) -> Column:
+        return (F.when(part == ".", kept).when(part == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0))))
+                .otherwise(F.concat(kept, F.array(part))))
+
+    # a dot segment at the end leaves the directory
+    kept = lambda p: F.aggregate(F.filter(F.split(F.regexp_replace(p, r"/(\.\.?)\z", "/$1/"), "/", -1), lambda x, i: i > 0),
+                                 F.array().cast("array<string>"), step)
+    return let(path, lambda p: F.when(p.rlike(r"/\.\.?(/|\z)"), F.concat(F.lit("/"), F.array_join(kept(p), "/"))).otherwise(p))
+
+
+def resolved(link: Column, url: Column) -> Column:
+    """A link without a scheme or host as a full URL beside ``url``; any other link as it is."""
+    query, own = F.regexp_extract(link, r"(?s)\A[^?#]*([^#]*)", 1), F.coalesce(F.nullif(path_of(url), F.lit("")), F.lit("/"))
+    path = let(F.regexp_extract(link, r"(?s)\A([^?#]*)", 1), lambda way: F.when(way == "", own).otherwise(without_dots(
+        F.when(way.startswith("/"), way).otherwise(F.concat(F.regexp_extract(own, r"(?s)\A(.*/)", 1), way)))))
+    return (F.when(link.rlike(r"\A([A-Za-z][A-Za-z0-9+.-]*:|//)"), link)
+            .when(link.startswith("#"), url).otherwise(F.concat(F.lit("x://"), host_of(url), path, query)))
+
+
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(src, dst) addresses from canonical links and immediate redirects in the pages."""
+    """(src, dst) addresses from all canonical links and redirects in the pages.
+
+    Relative ones are taken from the page's ``<base>``, or else its URL; those
+    of other kinds (``mailto:x``) have no address.
+    """
     url, html = col(url_col).cast("string"), col(html_col).cast("string")
+    found = F.concat(*[F.regexp_extract_all(html, F.lit(p), F.lit(group))
+                       for p, group in ((CANONICAL, 1), (REFRESH, 1), (BARE_REFRESH, 2))])
+    rows = pages.select(url.alias("url"), html.alias("html"), F.explode(found).alias("link"))
+    url = F.col("url")
     # entities of the only kind an address needs
-    found = F.array(*[F.replace(F.nullif(F.regexp_extract(html, p, 1), F.lit("")), F.lit("&amp;"), F.lit("&"))
-                      for p in (CANONICAL, REFRESH)])
-    return (pages.select(url.alias("url"), F.explode(found).alias("link")).filter("link IS NOT NULL")
-            .select(address(F.col("url")).alias("src"), absolute(F.col("link"), F.col("url")).alias("dst")))
+    plain = lambda x: F.replace(x, F.lit("&amp;"), F.lit("&"))
+    target = lambda link, at: let(let(link, lambda x: resolved(x, at)), lambda x: absolute(x, url))
+    base = F.nullif(plain(F.regexp_extract("html", BASE, 1)), F.lit(""))
+    beside = F.coalesce(F.concat(F.lit("x://"), target(base, url)), url)
+    dst = let(beside, lambda at: target(plain(F.col("link")), at))
+    # in a Generate, so that no filter repeats it
+    return rows.select(address(url).alias("src"), F.explode(F.array(dst)).alias("dst"))
 
 
 def matched_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:

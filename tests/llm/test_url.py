@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from snaplake.llm.url_filter import RULES, absolute, page_links, url_filter
+from snaplake.llm.url_filter import RULES, absolute, page_links, resolved, url_filter
 from pyspark.sql import functions as F
 
 
@@ -73,3 +73,38 @@ def test_own_rules_and_empty_tables(pages, spark):
     assert url_filter(pages([(1, "x", "")]).limit(0)).collect() == []
     assert page_links(pages([(1, "http://a.org/", canonical("mailto:x"))])).select(F.count("dst")).first()[0] == 0
     assert spark.range(1).select(absolute(F.lit("?q"), F.lit("http://a.org/"))).first()[0] is None
+
+
+BASE, RELATIVE = "http://a.org/b/c/d;p?q", {  # from RFC 3986, 5.4, without fragments
+    "g": "a.org/b/c/g", "./g": "a.org/b/c/g", "g/": "a.org/b/c/g/", "/g": "a.org/g", "//g": "g/", "?y": "a.org/b/c/d;p?y", "g?y": "a.org/b/c/g?y",
+    "#s": "a.org/b/c/d;p?q", "g#s": "a.org/b/c/g", ".": "a.org/b/c/", "./": "a.org/b/c/", "..": "a.org/b/", "../g": "a.org/b/g", "../..": "a.org/",
+    "../../../g": "a.org/g", "/./g": "a.org/g", "/../g": "a.org/g", "g.": "a.org/b/c/g.", "..g": "a.org/b/c/..g", "./../g": "a.org/b/g",
+    "g/./h": "a.org/b/c/g/h", "g/../h": "a.org/b/c/h", "g;x=1/../y": "a.org/b/c/y", "g?y/../x": "a.org/b/c/g?y/../x", "g#s/../x": "a.org/b/c/g",
+    "http://h.org/x": "h.org/x", "mailto:x": None, "a//../b": "a.org/b/c/a/b", "/..//g": "a.org//g"}
+
+
+def test_relative_links_resolve(spark):
+    rows = spark.createDataFrame([(k, BASE) for k in RELATIVE] + [("x", "http://a.org"), ("y", "http://a.org//z"), ("?q", "http://a.org")], "l string, u string")
+    got = [(r.l, r.at) for r in rows.select("l", absolute(resolved(F.col("l"), F.col("u")), F.col("u")).alias("at")).collect()]
+    assert got == [*RELATIVE.items(), ("x", "a.org/x"), ("y", "a.org//y"), ("?q", "a.org/?q")]
+
+
+def test_every_link_of_a_page_counts(pages):
+    meta = lambda content: f"<meta http-equiv=refresh content={content}>"
+    html = {1: canonical("http://p.org/") + canonical("http://q.org/"), 2: refresh("http://p.org/") + refresh("http://q.org/"),
+            3: meta("'0; http://p.org/'"), 4: meta("'0 http://p.org/'"), 5: meta('"0 ; url=\'p\'"'), 6: meta("0;p?a=1"), 7: meta("'0'"), 8: meta("'0; url='"),
+            9: "<meta content=0; http-equiv=refresh>", 10: "<meta content='5 'name=x http-equiv=refresh>", 11: '<base href="/up/x">' + canonical("p"),
+            12: '<base target=x href="http://p.org/up/">' + refresh("../q"), 13: meta("'0 , url.html'"), 14: canonical("?a=1&amp;b=2")}
+    want = {1: {"p.org/", "q.org/"}, 2: {"p.org/", "q.org/"}, 3: {"p.org/"}, 4: {"p.org/"}, 5: {"o.org/d/p"}, 6: {"o.org/d/p?a=1"}, 11: {"o.org/up/p"},
+            12: {"p.org/q"}, 13: {"o.org/d/url.html"}, 14: {"o.org/d/14?a=1&b=2"}}
+    got = {}
+    for r in page_links(pages([(i, f"http://o.org/d/{i}", h) for i, h in html.items()])).collect():
+        got.setdefault(int(r.src.rsplit("/", 1)[1]), set()).add(r.dst)
+    assert got == want
+
+
+def test_blocks_reach_aliases_over_relative_links(pages):
+    rows = [(1, "http://x.net/fr/1", ""), (2, "http://x.net/a/2", canonical("../fr/1")), (3, "http://x.net/a/b/3?x", refresh("../2")),
+            (4, "http://x.net/a/4", canonical("http://y.org/") + canonical("2")), (5, "http://x.net/a/5", "<meta http-equiv=refresh content='0; 4'>"),
+            (6, "http://x.net/a/6", canonical("6?y"))]
+    assert {r.page_id for r in url_filter(pages(rows)).collect() if r.verdict == "block"} == {1, 2, 3, 4, 5}
