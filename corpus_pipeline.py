@@ -6,7 +6,7 @@ calls one operator of ``snaplake.llm``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from snaplake.llm.common import col, unused
@@ -15,7 +15,7 @@ from snaplake.llm.packing import pack
 from snaplake.llm.pu_classifier import quality_classifier
 from snaplake.llm.quality_rules import quality_rules
 from snaplake.llm.queries import TOKENIZER
-from snaplake.llm.simhash import simhash_dedup
+from snaplake.llm.simhash import group_leaders
 from snaplake.session import scratch_path
 from snaplake.sources.io import read_testdata
 
@@ -32,16 +32,17 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of each near-duplicate group whose id is the group's smallest.
+    """The document of each near-duplicate group with the group's smallest id, of several texts the one with the smallest hash.
 
-    Rows that repeat that id with the same text are one document; a NULL id
-    is in no group and stays.
+    Rows that repeat an id with the same text are one document, other texts of
+    that id are documents of their own; a NULL id is in no group and stays.
     """
-    later, key = unused(docs, "later"), "doc_id"
-    found = simhash_dedup(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias(later)).distinct()
-    kept = docs.join(found, col(key) == found[later], "left_anti")
-    named = kept.filter(col(key).isNotNull()).dropDuplicates([key])
-    return named.unionByName(kept.filter(col(key).isNull()))
+    key, tie, place = "doc_id", unused(docs, "tie"), unused(docs, "place")
+    found = group_leaders(docs).select(F.col("doc_id").alias(key), F.col("tie").alias(tie))
+    kept = docs.withColumn(tie, F.xxhash64(col("text").cast("string"))).join(found, [key, tie], "left_semi")
+    repeats = Window.partitionBy(key, tie).orderBy(F.xxhash64(*[col(c) for c in docs.columns]))
+    named = kept.withColumn(place, F.row_number().over(repeats)).filter(F.col(place) == 1).select(docs.columns)
+    return named.unionByName(docs.filter(col(key).isNull()))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,16 +56,19 @@ def fingerprint(text: bytes | None, shingle: int = 4) -> int:
     return int(np.packbits(votes * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) with the fingerprint's bits as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, tie: bool = False) -> DataFrame:
+    """(doc_id, fp[, tie]) with the fingerprint's bits as a signed long; ``tie`` is the text's hash."""
+    names = ["doc_id", "fp", *(["tie"] if tie else [])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             marks = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64)), *batch.columns[2:]], names)
 
-    return docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, fp long")
+    text = col(text_col).cast("string")
+    return docs.select(col(id_col).cast("long").alias("doc_id"), text.alias("text"), *([F.xxhash64(text).alias("tie")] if tie else [])) \
+        .mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def _masks(shared: int) -> list[tuple[int, ...]]:
@@ -213,3 +216,17 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     label = (reps.join(found, F.col("rep") == F.col("node"), "left")
              .select("fp", F.coalesce("component", "rep").alias("component_id")))
     return marks.join(label, "fp").select("doc_id", "fp", "component_id")
+
+
+def group_leaders(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                  max_bits: int = 4, list_limit: int = 32768) -> DataFrame:
+    """(doc_id, tie) of one document of each near-duplicate group: the smallest id, then the smallest hash of the text.
+
+    Groups are of fingerprints, so an id with several texts may be in several
+    groups, and leads those where it is the smallest.  NULL ids are in no group.
+    """
+    marks = materialise(fingerprints(docs.filter(col(id_col).isNotNull()), id_col, text_col, shingle, tie=True), "simhash-texts")
+    reps = marks.select("fp", F.col("fp").alias("rep")).distinct()
+    found = connected_components(fingerprint_links(reps, max_bits, list_limit))
+    return (marks.join(found, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("component", "fp"))
+            .agg(F.min(F.struct("doc_id", "tie")).alias("first")).select("first.*"))

@@ -81,3 +81,20 @@ def test_an_empty_table_passes_through(spark, folder):
         docs = stage(spark, docs, folder)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert P.packed_sequences(spark, docs, folder).collect() == []
+
+
+def test_an_id_with_several_texts_loses_only_the_copies(spark):
+    r = random.Random(3)
+    a, b, c, d = (prose(r, 120) for _ in range(4))
+    near = " ".join(d.split()[:-1])
+    assert bin(brute_fp(d) ^ brute_fp(near)).count("1") <= 4
+    rows = [(7, a, "x"), (9, a, "x"), (3, b, "x"), (7, b, "x"), (7, b, "x"), (7, c, "x"), (7, c, "y"), (5, d, "x"), (5, near, "x"), (None, a, "x")]
+    found = set()
+    for parts in (1, 4):
+        docs = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], DOCS).repartition(parts)
+        got = sorted(((x.doc_id or -1, x.text, x.source) for x in P.one_of_each_group(spark, docs, "").collect()), key=str)
+        found.add(tuple(got))
+    assert len(found) == 1
+    texts = [x[:2] for x in got]
+    assert sorted(x for x in texts if x[0] != 5) == sorted([(7, a), (3, b), (7, c), (-1, a)])
+    assert [x[1] in (d, near) for x in texts if x[0] == 5] == [True]
