@@ -6,10 +6,10 @@ at least ``8 - max_bits`` positional bytes.  Posting lists of single bytes
 would each hold 1/256 of the corpus; the index therefore keeps the lists of
 every combination of that guaranteed number of positions with their values
 (the intersections that count filtering needs), whose expected length at
-random is N / 2**32 for the default of four.  Within a list the shared
-positional bytes of a pair are tallied, pairs below the guaranteed minimum are
-dropped, each pair is handled in the first list that holds it, and the bit
-distance is verified.
+random is N / 2**32 for the default of four.  The lists stand in for the tally:
+all entries of a list share its positions, so no count is left to filter by.
+The bit distance is verified, and each pair is handled in the first list that
+holds it.
 
 Copies with one fingerprint are one index entry.  A list is handled in bounded
 blocks inside a task and yields a spanning forest of its verified links, never
