@@ -152,3 +152,11 @@ def test_packing_keeps_every_id_once(docs):
 
 def test_packing_an_empty_table(docs):
     assert pack(docs([(1, "a")]).limit(0), PATH).collect() == []
+
+
+def test_a_special_tokens_name_is_text_and_other_ids_are_the_plain_calls():
+    e, library = Encoder.of(PATH), Tokenizer.from_file(PATH)
+    for text in TEXTS:
+        ids, plain = np.frombuffer(next(e.encode([text])), e.dtype).tolist(), library.encode(text or "", add_special_tokens=False).ids
+        special = "<|endoftext|>" in (text or "")
+        assert (ids != plain) == special and (50256 in ids, 50256 in plain) == (False, special)
