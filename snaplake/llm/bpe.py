@@ -2,12 +2,15 @@
 
 The symbols of many words lie in one flat array.  The rank of a pair of
 neighbours is found by binary search over the sorted pair keys.  A round takes
-the lowest rank that is left anywhere and merges all its pairs at once, in
-every word; only the pairs beside a merge are searched again.  A merge ranks
-after those that made its parts (checked for the file), so ranks only rise and
-each word is merged as it would be alone.  A word takes part in no more rounds
-than it has merges, and a word of any length costs its own length times a
-logarithm.
+the lowest rank of every word and merges all its pairs there at once; only the
+pairs beside a merge are searched again, and words that are done leave the
+array.  A merge ranks after those that made its parts (checked for the file),
+so a round never changes what an earlier one should have done.
+
+That costs a word its length times its merges.  Words over ``LONG`` symbols
+share rounds of another kind: a round takes the lowest rank that is left in
+any of them, with links between neighbours instead of a packed array, which
+costs their length times a logarithm.
 
 A text is cut in front of every run of white space: a byte-level split never
 joins what lies on both sides of such a cut.  Most parts were seen before;
@@ -24,19 +27,29 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from snaplake.llm.common import col
 from snaplake.llm.ragged import offsets, take_rows
 
-#: Characters of parts whose ids one worker keeps (some 600,000 parts, 150 MB); beyond them it starts anew.
-CACHE = 3 << 20
+#: Characters of parts whose ids one worker keeps (some 400,000 parts, 80 MB); beyond them it starts anew.
+CACHE = 4 << 20
 #: Characters of text that are coded in one go.
 SLICE = 2 << 20
+#: Symbols of a word from which on its merges go rank by rank.
+LONG = 200
 #: A cut is at a single space between two characters that are no white space in Python's sense
 #: (which is at least what any tokenizer takes for it: fewer cuts are safe cuts).
 _AT_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _INNER = re.compile(r"\s ")
+# Fixed value: the pattern that byte-level files split text by.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Below it every version of Unicode has the same letters, digits and spaces (tried when a file is opened);
+#: words with other characters are split by the tokenizer library, whose version counts.
+_LATIN_END = "\u0250"
+_BEYOND_LATIN = re.compile(f"[{_LATIN_END}-\U0010FFFF]")
 _NO_RANK = np.iinfo(np.int64).max
 _WORKER: dict[str, Bpe] = {}
 
@@ -69,13 +82,14 @@ class Bpe:
         added = spec.get("added_tokens") or []
         if not fits or any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in added):
             raise ValueError(f"{path}: only a plain byte-level BPE is coded here")
-        self._split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+        self._library_split = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+        self._pattern = regex.compile(_PATTERN)
+        latin = "".join(f"a{c}1{c}!{c} a{c}{c} " for c in map(chr, range(ord(_LATIN_END))))
+        self._same_classes = self._pattern.findall(latin) == [latin[a:b] for _, (a, b) in self._library_split(latin)]
         vocabulary: dict[str, int] = model["vocab"]
         self.size = max([*vocabulary.values(), *[t["id"] for t in added]]) + 1
         alphabet = byte_characters()
-        self._symbol = np.zeros(max(map(ord, alphabet)) + 1, np.int64)  # code point of a byte's character -> id
-        for c in alphabet:
-            self._symbol[ord(c)] = vocabulary[c]
+        self._symbol = np.array([vocabulary[c] for c in alphabet], np.int64)  # byte -> id
         self._learn_merges(vocabulary, model["merges"])
         byte_of = {c: b for b, c in enumerate(alphabet)}
 
@@ -122,7 +136,54 @@ class Bpe:
         return np.where(self._keys[at] == key, self._rank_of[at], _NO_RANK)
 
     def merge(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Merge rounds over words of byte symbols in one flat array: (ids, ids per word)."""
+        """(ids, ids per word) of words of byte symbols in one flat array."""
+        long = lengths > LONG
+        if not long.any():
+            return self._merge_rounds(symbols, lengths)
+        starts = offsets(lengths)[:-1]
+        parts = [(np.flatnonzero(which), *run(symbols[take_rows(starts[which], lengths[which])], lengths[which]))
+                 for which, run in ((long, self._merge_long), (~long, self._merge_rounds))]
+        return _in_order(parts, len(lengths))
+
+    def _merge_rounds(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rounds by word: each takes the lowest rank of every word."""
+        word = np.flatnonzero(lengths)
+        size, held = lengths[word], symbols
+        done = []
+        last = np.zeros(len(held), bool)
+        last[np.cumsum(size) - 1] = True
+        rank = np.full(len(held), _NO_RANK)
+        inner = np.flatnonzero(~last)
+        rank[inner] = self.ranks(held[inner], held[inner + 1])
+        while len(word):
+            best = np.minimum.reduceat(rank, offsets(size)[:-1])
+            more = best != _NO_RANK
+            if not more.all():
+                stays = np.repeat(more, size)
+                done.append((word[~more], held[~stays], size[~more]))
+                word, size, best = word[more], size[more], best[more]
+                held, rank, last = held[stays], rank[stays], last[stays]
+                if not len(word):
+                    break
+            at = np.flatnonzero(rank == np.repeat(best, size))
+            at = at[_every_second(np.diff(at) == 1)]
+            held[at] = self._made[rank[at]]
+            last[at] = last[at + 1]
+            stays = np.ones(len(held), bool)
+            stays[at + 1] = False
+            ends = np.cumsum(size)
+            size = size - np.diff(np.searchsorted(at, np.concatenate(([0], ends))))
+            held, rank, last = held[stays], rank[stays], last[stays]
+            at = at - np.arange(len(at))  # where the merged symbols are now
+            rank[at] = _NO_RANK
+            prior = at[at > 0] - 1
+            touched = np.concatenate((prior, at))
+            touched = touched[~last[touched]]
+            rank[touched] = self.ranks(held[touched], held[touched + 1])
+        return _in_order(done, len(lengths))
+
+    def _merge_long(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rounds by rank: each takes the lowest rank that is left in any word."""
         n, ends = len(symbols), np.cumsum(lengths)
         held = np.append(symbols, self.size)  # the last place is no symbol: a pair with it has no rank
         after = np.arange(1, n + 2)
@@ -157,11 +218,8 @@ class Bpe:
             groups = waiting.pop(r)
             at = np.unique(np.concatenate(groups)) if len(groups) > 1 else groups[0]
             at = at[rank[at] == r]
-            if len(at) > 1:  # in a run of overlapping pairs (aaa), from the left every second one
-                linked = np.concatenate(([False], after[at[:-1]] == at[1:]))
-                if linked.any():
-                    k = np.arange(len(at))
-                    at = at[(k - np.maximum.accumulate(np.where(linked, 0, k))) % 2 == 0]
+            if len(at) > 1:
+                at = at[_every_second(after[at[:-1]] == at[1:])]
             if not len(at):
                 continue
             gone = after[at]
@@ -179,26 +237,65 @@ class Bpe:
         alive = held[:n] >= 0
         return held[:n][alive], np.diff(np.concatenate(([0], np.cumsum(alive)))[offsets(lengths)])
 
-    def _words(self, part: str) -> Iterator[str]:
-        """The words of a part in the byte alphabet, special tokens as themselves between them."""
-        for i, piece in enumerate(self._names.split(part) if self._names else (part,)):
-            if i % 2:
-                yield piece
-            elif piece:
-                yield from (w for w, _ in self._split(piece))
+    def _split(self, text: str) -> list[str]:
+        """The words of a text, which together are the text."""
+        if self._same_classes and not _BEYOND_LATIN.search(text):
+            return self._pattern.findall(text)
+        return [text[a:b] for _, (a, b) in self._library_split(text)]
+
+    def _words(self, parts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(words of all parts, words per part, the parts in the words' order); special tokens are words too.
+
+        A part that begins with a space and ends with none may follow another
+        such part: those are split as one text, and the places of the words
+        tell where each part ends.
+        """
+        alone = [i for i, p in enumerate(parts) if not p or p[0] != " " or p[-1].isspace()
+                 or (self._names is not None and self._names.search(p))]
+        words: list[str] = []
+        counts = np.zeros(len(parts), np.int64)
+        for i in alone:
+            before = len(words)
+            for k, piece in enumerate(self._names.split(parts[i]) if self._names else (parts[i],)):
+                if k % 2:
+                    words.append(piece)
+                elif piece:
+                    words += self._split(piece)
+            counts[i] = len(words) - before
+        order = np.array(alone, np.int64)
+        if len(alone) < len(parts):
+            apart = set(alone)
+            rest = [i for i in range(len(parts)) if i not in apart]
+            latin = [i for i in rest if not _BEYOND_LATIN.search(parts[i])]
+            if len(latin) < len(rest):
+                held = set(latin)
+                rest = [latin, [i for i in rest if i not in held]]
+            else:
+                rest = [rest]
+            for some in rest:
+                if not some:
+                    continue
+                found = self._split("".join([parts[i] for i in some]))
+                ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+                part_ends = np.cumsum(np.fromiter((len(parts[i]) for i in some), np.int64, len(some)))
+                last = np.searchsorted(ends, part_ends)
+                if not np.array_equal(ends[last], part_ends):
+                    raise ValueError("a word runs over a part's end")
+                counts[some] = np.diff(np.concatenate(([-1], last)))
+                words += found
+                order = np.concatenate((order, np.array(some, np.int64)))
+        return words, counts, order
 
     def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ids per part) of texts that are cut already; equal words are merged once."""
-        per_part, words, number = np.zeros(len(parts), np.int64), [], {}
-        for i, part in enumerate(parts):
-            own = list(self._words(part))
-            per_part[i] = len(own)
-            words += own
-        which = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+        words, per_part, order = self._words(parts)
+        number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        which = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
         distinct = list(number)
-        special = {i: self._special[w] for i, w in enumerate(distinct) if self._names and w in self._special}
-        spelled = ["" if i in special else w for i, w in enumerate(distinct)]
-        symbols = self._symbol[np.frombuffer("".join(spelled).encode("utf-32-le"), np.uint32)]
+        special = {i: self._special[w] for i, w in enumerate(distinct) if w in self._special} if self._names else {}
+        spelled = ["" if i in special else w for i, w in enumerate(distinct)] if special else distinct
+        spelled = [w.encode() for w in spelled]
+        symbols = self._symbol[np.frombuffer(b"".join(spelled), np.uint8)]
         ids, lengths = self.merge(symbols, np.fromiter(map(len, spelled), np.int64, len(spelled)))
         if special:
             starts = offsets(lengths)
@@ -206,7 +303,8 @@ class Bpe:
             lengths[list(special)] = 1
         starts = offsets(lengths)
         of_word = lengths[which]
-        return ids[take_rows(starts[which], of_word)], np.diff(offsets(of_word)[offsets(per_part)])
+        ids = ids[take_rows(starts[which], of_word)]
+        return _in_order([(order, ids, np.diff(offsets(of_word)[offsets(per_part[order])]))], len(parts))
 
     def _forget(self) -> None:
         self._led: dict[str, int] = {}  # parts by what follows their space
@@ -231,8 +329,8 @@ class Bpe:
         self._ids = np.concatenate((self._ids, ids.astype(np.int32)))
         self._starts = np.concatenate((self._starts, self._starts[-1] + np.cumsum(lengths)))
 
-    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text, NULL and empty ones none."""
+    def encode_slices(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, ends) of some texts after the other, ``ends`` from 0: about ``SLICE`` characters at a time."""
         for some in _slices(texts):
             cut = [cut_at_spaces(t) for t in some]
             firsts = [c.pop(0) for c in cut]
@@ -241,8 +339,12 @@ class Bpe:
                 (self._first[f], *map(self._led.__getitem__, own)) for f, own in zip(firsts, cut)),
                 np.int64, sum(map(len, cut)) + len(cut))
             lengths = np.diff(self._starts)[number]
-            ids = self._ids[take_rows(self._starts[number], lengths)]
-            ends = offsets(lengths)[offsets(np.array([len(c) + 1 for c in cut]))]
+            yield (self._ids[take_rows(self._starts[number], lengths)],
+                   offsets(lengths)[offsets(np.array([len(c) + 1 for c in cut]))])
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text, NULL and empty ones none."""
+        for ids, ends in self.encode_slices(texts):
             for low, high in zip(ends[:-1].tolist(), ends[1:].tolist()):
                 yield ids[low:high]
 
@@ -254,6 +356,28 @@ class Bpe:
         return self._bytes[take_rows(starts, self._byte_starts[ids + 1] - starts)].tobytes().decode("utf-8", "replace")
 
 
+def _every_second(linked: np.ndarray) -> np.ndarray:
+    """Which of k + 1 places stay where ``linked`` says of each neighbour pair that it overlaps: in a run
+    of overlapping ones (aaa), from the left every second."""
+    k = np.arange(len(linked) + 1)
+    if not linked.any():
+        return k
+    run = np.maximum.accumulate(np.where(np.concatenate(([False], linked)), 0, k))
+    return k[(k - run) % 2 == 0]
+
+
+def _in_order(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(flat values, lengths) of rows 0 .. n - 1 from lists of (row numbers, flat values, lengths); rows in none are empty."""
+    lengths = np.zeros(n, np.int64)
+    for rows, _, own in parts:
+        lengths[rows] = own
+    starts = offsets(lengths)
+    flat = np.zeros(int(starts[-1]), np.int64)
+    for rows, values, own in parts:
+        flat[take_rows(starts[rows], own)] = values
+    return flat, lengths
+
+
 def _slices(texts: Iterable[str | None]) -> Iterator[list[str]]:
     """Texts in lists of about ``SLICE`` characters (one longer text is a list of its own)."""
     some, size = [], 0
@@ -296,8 +420,23 @@ def bpe_decode(ids: Column, path: str) -> Column:
 def bpe_round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids, decoded) per row of ``docs``: its text's ids, and the text that these ids decode to.
 
-    Rows stay as they are, repeated and NULL keys too; other columns are not
-    read.  A NULL text has no ids and decodes to an empty text.
+    What :func:`bpe_encode` and :func:`bpe_decode` give, in one pass that holds
+    a few texts at a time.  Rows stay as they are, repeated and NULL keys too;
+    other columns are not read.  A NULL text has no ids and decodes to an empty
+    text.
     """
-    ids = bpe_encode(F.col(text).cast("string"), path)
-    return docs.select(F.col(key), ids.alias("ids")).withColumn("decoded", bpe_decode(F.col("ids"), path))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = Bpe.of(path)
+        for batch in batches:
+            at = 0
+            for ids, ends in bpe.encode_slices(s.as_py() for s in batch.column("text")):
+                cuts = ends.tolist()
+                decoded = [bpe.decode(ids[low:high]) for low, high in zip(cuts, cuts[1:])]
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(at, len(decoded)), lists, pa.array(decoded, pa.string())],
+                                                 [key, "ids", "decoded"])
+                at += len(decoded)
+
+    name = "`" + key.replace("`", "``") + "`"
+    return docs.select(col(key).alias("key"), col(text).cast("string").alias("text")).mapInArrow(
+        run, f"{name} {docs.schema[key].dataType.simpleString()}, ids array<int>, decoded string")
