@@ -12,7 +12,8 @@ numbers.  Documents travel in chunks of about ``CHUNK`` characters, each with
 its own parts and pairs of ids: documents times parts times pairs is again a
 product of such matrices.  Spark counts the documents of each pair over all
 chunks, one row per chunk and pair, finds each A id's highest count, and
-brings both back to the chunks.
+brings both back to the chunks, whose rows hold numbers only (in as few bytes
+as they need); the alignment is written out as text at the very end.
 """
 
 from __future__ import annotations
@@ -28,14 +29,14 @@ from pyspark.sql import functions as F
 
 from snaplake.llm.bpe import Bpe, cut_at_spaces
 from snaplake.llm.common import col, materialise
-from snaplake.llm.ragged import Csr, counted, offsets, take_rows
+from snaplake.llm.ragged import Csr, Rows, counted, offsets, take_rows
 
 #: Characters of text in a chunk (one longer text is a chunk of its own).
-CHUNK = 8 << 20
-#: Characters of parts that one worker keeps aligned; beyond them it starts anew.
-CACHE = 2 << 20
+CHUNK = 3 << 20
+#: Characters of parts that one worker keeps aligned (some 300,000 parts, 60 MB); beyond them it starts anew.
+CACHE = 3 << 20
 #: Characters of parts that are aligned in one go.
-SLICE = 1 << 19
+SLICE = 1 << 18
 #: A pair of ids as one number: A's id times this, plus B's.
 PAIR = 1 << 31
 _SPACE = "▁"
@@ -60,7 +61,7 @@ class Aligner:
         self._a_length = np.array([len(b) for b in self.a.token_bytes], np.int64)
         self._lone = self.b.piece_to_id(_SPACE)
         self.cache = cache
-        self._forget()
+        self.forget()
 
     @classmethod
     def of(cls, a_path: str, b_path: str) -> Aligner:
@@ -68,17 +69,20 @@ class Aligner:
             _WORKER[a_path, b_path] = cls(a_path, b_path)
         return _WORKER[a_path, b_path]
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.number: dict[str, int] = {}
         self._held = 0
-        self.groups: list[str | None] = []  # None: the bytes differ
-        self.counts = np.zeros((0, len(_COUNTS)), np.int64)
-        self.pairs = Csr(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0)  # parts x pairs of ids
+        self.same = np.zeros(0, bool)  # parts whose bytes both tokenizers give back
+        none = np.zeros(0, np.int64)
+        self.counts = Rows(none, count=none)
+        # a part's tokens in the order of its alignment, and its pairs of ids as places among them
+        self.tokens = Rows(none, id=none, mark=none)
+        self.pairs = Rows(none, a=none, b=none, links=none)
 
     def room(self, parts: set[str]) -> None:
         """Start anew if the new ones of ``parts`` would be too many."""
         if self._held and self._held + sum(map(len, parts.difference(self.number))) > self.cache:
-            self._forget()
+            self.forget()
 
     def know(self, parts: set[str]) -> None:
         """Align the parts (each without the space it begins with) that are not known yet."""
@@ -93,18 +97,18 @@ class Aligner:
             self._add(some)
 
     def _add(self, parts: list[str]) -> None:
-        groups, counts, pairs = self.align(parts)
-        known = len(self.groups)
+        same, *tables = self.align(parts)
+        known = len(self.same)
         self.number.update((p, known + i) for i, p in enumerate(parts))
         self._held += sum(map(len, parts))
-        self.groups += groups
-        self.counts = np.concatenate((self.counts, counts))
-        self.pairs = Csr(np.concatenate((self.pairs.starts, self.pairs.starts[-1] + pairs.starts[1:])),
-                         np.concatenate((self.pairs.columns, pairs.columns)),
-                         np.concatenate((self.pairs.values, pairs.values)), 0)
-
-    def align(self, parts: list[str]) -> tuple[list[str | None], np.ndarray, Csr]:
-        """For each " " + part: groups as text, the numbers of ``_COUNTS``, and its pairs of ids with their links."""
+        self.same = np.concatenate((self.same, same))
+        for held, more in zip((self.counts, self.tokens, self.pairs), tables):
+            held.append(more)
+
+    def align(self, parts: list[str]) -> tuple[np.ndarray, Rows, Rows, Rows]:
+        """For each " " + part: whether its bytes come back, the numbers of ``_COUNTS``, its tokens (A's before B's
+        in each group, with what follows the id in the text of the alignment), and its pairs of ids (as the places
+        of two of its tokens) with their links."""
         a_ids, a_per = self.a.encode_parts([" " + p for p in parts])
         b_lists = self.b.encode(parts, num_threads=1)
         b_lists = [b if p else [self._lone] for p, b in zip(parts, b_lists)]
@@ -134,26 +138,26 @@ class Aligner:
         a_in = Csr.of(np.searchsorted(a_rows, a_part * PAIR + a_ids), a_group, (len(a_rows), shape))
         b_in = Csr.of(np.searchsorted(b_rows, b_part * PAIR + b_ids), b_group, (len(b_rows), shape))
         links = a_in.product(b_in.transposed())
-        part, pair = (a_rows // PAIR)[links.rows()], a_rows[links.rows()] % PAIR * PAIR + b_rows[links.columns] % PAIR
+        part = (a_rows // PAIR)[links.rows()]
         counts = np.zeros((len(parts), len(_COUNTS)), np.int64)
         for i, at in enumerate((a_part, b_part, part_of_group)):
             counts[:, i] = np.bincount(at, minlength=len(parts))
         np.add.at(counts[:, 3], part, links.values)
         counts[:, 4] = np.bincount(a_part[overlaps.rows()], minlength=len(parts))
-        pairs = Csr(offsets(np.bincount(part, minlength=len(parts))), pair, links.values, 0)
-        return self._text(a_ids, a_group, b_ids, b_group, part_of_group, same), counts, pairs
-
-    @staticmethod
-    def _text(a_ids, a_group, b_ids, b_group, part_of_group, same) -> list[str | None]:
-        """``a1,a2|b1;a3|b2,b3`` of each part, None where its bytes differ."""
-        n = len(part_of_group)
-        sides = []
-        for ids, group in ((a_ids, a_group), (b_ids, b_group)):
-            names, ends = list(map(str, ids.tolist())), offsets(np.bincount(group, minlength=n)).tolist()
-            sides.append([",".join(names[low:high]) for low, high in zip(ends, ends[1:])])
-        groups = [f"{a}|{b}" for a, b in zip(*sides)]
-        ends = offsets(np.bincount(part_of_group, minlength=len(same))).tolist()
-        return [";".join(groups[low:high]) if ok else None for ok, low, high in zip(same.tolist(), ends, ends[1:])]
+        # the tokens of both in the order of the text: by group, then side; the last one of a side ends it
+        group = np.concatenate((a_group, b_group))
+        side = np.repeat([0, 1], [len(a_group), len(b_group)])
+        order = np.argsort(group * 2 + side, kind="stable")
+        ids, group, side = np.concatenate((a_ids, b_ids))[order], group[order], side[order]
+        ends = np.append((group[1:] != group[:-1]) | (side[1:] != side[:-1]), True)[:len(group)]
+        mark = np.where(ends, np.where(side == 0, ord("|"), ord(";")), ord(","))
+        own = part_of_group[group]
+        tokens = Rows(np.bincount(own, minlength=len(parts)), id=ids, mark=mark)
+        within = np.arange(len(ids)) - tokens.starts[own]
+        # where each id of a part first stands
+        a_first, b_first = (within[side == k][np.unique(own[side == k] * PAIR + ids[side == k], return_index=True)[1]] for k in (0, 1))
+        pairs = Rows(np.bincount(part, minlength=len(parts)), a=a_first[links.rows()], b=b_first[links.columns], links=links.values)
+        return same, Rows(np.full(len(parts), len(_COUNTS)), count=counts.ravel()), tokens, pairs
 
     def chunk(self, texts: list[str]) -> dict:
         """A chunk of texts: their parts by number, the parts' pairs, and in how many texts each pair is linked."""
@@ -167,27 +171,39 @@ class Aligner:
         self.room(distinct)
         self.know(distinct)
         numbers = [list(map(self.number.__getitem__, c)) for c in cut]
-        broken = {self.number[p] for p in distinct if self.groups[self.number[p]] is None}
+        broken = {i for i in map(self.number.__getitem__, distinct) if not self.same[i]}
         if broken:
             numbers = [[] if broken.intersection(own) else own for own in numbers]
         per_text = np.array([len(own) for own in numbers], np.int64)
         flat = np.fromiter(chain.from_iterable(numbers), np.int64, int(per_text.sum()))
         used, part = np.unique(flat, return_inverse=True)
-        width = np.diff(self.pairs.starts)[used]
-        at = take_rows(self.pairs.starts[used], width)
-        pairs, pair = np.unique(self.pairs.columns[at], return_inverse=True)
-        linked = Csr(offsets(width), pair, self.pairs.values[at], len(pairs))
+        tokens, pairs = self.tokens.take(used), self.pairs.take(used)
+        ids, linked = pair_matrix(tokens, pairs)
         documents = Csr.of(np.repeat(np.arange(len(texts)), per_text), part, (len(texts), len(used)))
         held = documents.product(linked)
-        return {"starts": offsets(per_text).astype("<i8").tobytes(), "parts": part.astype("<i4").tobytes(),
-                "groups": [self.groups[i] for i in used.tolist()], "counts": self.counts[used].astype("<i8").tobytes(),
-                "pair_starts": linked.starts.astype("<i8").tobytes(), "pairs": linked.columns.astype("<i4").tobytes(),
-                "links": linked.values.astype("<i8").tobytes(), "ids": pairs,
-                "documents": np.bincount(held.columns, minlength=len(pairs))}
+        return {"data": [packed(x) for x in (per_text, part, self.counts.take(used).of("count"), tokens.lengths, tokens.of("id"),
+                                             tokens.of("mark"), pairs.lengths, pairs.of("a"), pairs.of("b"), pairs.of("links"))],
+                "ids": ids, "documents": np.bincount(held.columns, minlength=len(ids))}
 
 
-_BLOB = ["starts binary", "parts binary", "groups array<string>", "counts binary", "pair_starts binary", "pairs binary",
-         "links binary"]
+def pair_matrix(tokens: Rows, pairs: Rows) -> tuple[np.ndarray, Csr]:
+    """(the distinct pairs of ids in ascending order, parts x pairs with the number of links)."""
+    first = np.repeat(tokens.starts[:-1], pairs.lengths)
+    ids = tokens.of("id")
+    distinct, pair = np.unique(ids[first + pairs.of("a")] * PAIR + ids[first + pairs.of("b")], return_inverse=True)
+    return distinct, Csr(pairs.starts, pair, pairs.of("links"), len(distinct))
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 on as bytes: the width that the largest needs, how many, and the numbers, compressed."""
+    width = np.min_scalar_type(int(x.max()) if len(x) else 0).itemsize
+    return bytes([width]) + len(x).to_bytes(8, "little") + pa.compress(x.astype(f"<u{width}").tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    width, n = data[0], int.from_bytes(data[1:9], "little")
+    return np.frombuffer(pa.decompress(data[9:], decompressed_size=n * width, codec="zstd", asbytes=True),
+                         f"<u{width}").astype(np.int64)
 
 
 def _chunks(docs: DataFrame, a_path: str, b_path: str, key_type: str) -> DataFrame:
@@ -198,14 +214,12 @@ def _chunks(docs: DataFrame, a_path: str, b_path: str, key_type: str) -> DataFra
 
         def finished() -> pa.RecordBatch:
             row = aligner.chunk(texts)
-            columns = {"chunk": [uuid.uuid4().hex], "keys": [pa.concat_arrays(keys)], **{k: [v] for k, v in row.items()}}
             return pa.RecordBatch.from_arrays([
-                pa.array(columns["chunk"]), pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), columns["keys"][0]),
-                *[pa.array(columns[n], pa.list_(pa.string()) if n == "groups" else pa.binary())
-                  for n in (b.split()[0] for b in _BLOB)],
-                pa.array(columns["ids"], pa.list_(pa.int64())), pa.array(columns["documents"], pa.list_(pa.int64()))], names)
+                pa.array([uuid.uuid4().hex]),
+                pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), pa.concat_arrays(keys)),
+                pa.array([row["data"]], pa.list_(pa.binary())), pa.array([row["ids"]], pa.list_(pa.int64())),
+                pa.array([row["documents"]], pa.list_(pa.int64()))], ["chunk", "keys", "data", "ids", "documents"])
 
-        names = ["chunk", "keys", *[b.split()[0] for b in _BLOB], "ids", "documents"]
         for batch in batches:
             for i, text in enumerate(batch.column("text")):
                 keys.append(batch.column("key").slice(i, 1))
@@ -216,30 +230,41 @@ def _chunks(docs: DataFrame, a_path: str, b_path: str, key_type: str) -> DataFra
                     keys, texts, size = [], [], 0
         if texts:
             yield finished()
+        aligner.forget()  # the worker may wait beside other stages
+
+    return docs.mapInArrow(run, f"chunk string, keys array<{key_type}>, data array<binary>, ids array<long>, documents array<long>")
+
 
-    schema = f"chunk string, keys array<{key_type}>, {', '.join(_BLOB)}, ids array<long>, documents array<long>"
-    return docs.mapInArrow(run, schema)
+def written(ids: np.ndarray, marks: np.ndarray, lengths: np.ndarray) -> list[str]:
+    """The text of each row of tokens: every id in decimals, then its mark."""
+    top = int(ids.max()) + 1 if len(ids) else 0
+    names = [str(i).encode() + b"," for i in range(top)]
+    starts = offsets(np.fromiter(map(len, names), np.int64, top))
+    width = np.diff(starts)[ids]
+    text = np.frombuffer(b"".join(names), np.uint8)[take_rows(starts[ids], width)]
+    ends = np.cumsum(width)
+    text[ends - 1] = marks
+    whole = text.tobytes().decode("ascii")
+    cuts = offsets(width)[offsets(lengths)].tolist()
+    return [whole[low:high] for low, high in zip(cuts, cuts[1:])]
 
 
 def _documents(chunk: pa.Table, counted_pairs: pa.Table, key: str) -> pa.Table:
     """The rows of one chunk's texts, with the corpus-wide counts of its pairs."""
-    if not chunk.num_rows:
-        raise ValueError("pairs without their chunk")
-    row = {n: chunk.column(n)[0].as_py() for n in ("groups", *[b.split()[0] for b in _BLOB if b.endswith("binary")])}
-    ints = {n: np.frombuffer(row[n], "<i4" if n in ("parts", "pairs") else "<i8").astype(np.int64)
-            for n in row if n != "groups"}
     order = np.argsort(counted_pairs.column("place").to_numpy())
     count, best = (counted_pairs.column(n).to_numpy()[order].astype(np.int64) for n in ("count", "best"))
-    linked = Csr(ints["pair_starts"], ints["pairs"], ints["links"], len(count))
-    per_part = np.concatenate((ints["counts"].reshape(-1, len(_COUNTS)), linked.times_vector(best)[:, None],
+    per_text, parts, counts, n_tokens, ids, marks, n_pairs, a, b, links = map(unpacked, chunk.column("data")[0].as_py())
+    linked = pair_matrix(Rows(n_tokens, id=ids, mark=marks), Rows(n_pairs, a=a, b=b, links=links))[1]
+    per_part = np.concatenate((counts.reshape(-1, len(_COUNTS)), linked.times_vector(best)[:, None],
                                linked.times_vector(count)[:, None]), axis=1)
-    starts = ints["starts"]
-    sums = np.concatenate((np.zeros((1, per_part.shape[1]), np.int64), np.cumsum(per_part[ints["parts"]], axis=0)))
-    per_text = sums[starts[1:]] - sums[starts[:-1]]
-    parts, groups = ints["parts"].tolist(), row["groups"]
-    texts = [";".join([groups[p] for p in parts[low:high]]) for low, high in zip(starts[:-1].tolist(), starts[1:].tolist())]
+    starts = offsets(per_text)
+    sums = np.concatenate((np.zeros((1, per_part.shape[1]), np.int64), np.cumsum(per_part[parts], axis=0)))
+    totals = sums[starts[1:]] - sums[starts[:-1]]
+    spelled = written(ids, marks, n_tokens)
+    parts, starts = parts.tolist(), starts.tolist()
+    texts = ["".join([spelled[p] for p in parts[low:high]])[:-1] for low, high in zip(starts, starts[1:])]
     keys = chunk.column("keys").combine_chunks().flatten()
-    return pa.Table.from_arrays([keys, *[pa.array(per_text[:, i]) for i in range(per_text.shape[1])], pa.array(texts, pa.string())],
+    return pa.Table.from_arrays([keys, *[pa.array(totals[:, i]) for i in range(totals.shape[1])], pa.array(texts, pa.string())],
                                 [key, *_COUNTS, "n_best", "count_sum", "groups"])
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Products of single entries that one block of a matrix product may hold.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 
 
 def offsets(lengths: np.ndarray) -> np.ndarray:
@@ -35,6 +35,35 @@ def counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nda
     return held[first], np.add.reduceat(weights[order], first)
 
 
+class Rows:
+    """Rows of different length with several values an entry, each in as few bytes as it needs."""
+
+    def __init__(self, lengths: np.ndarray, **values: np.ndarray):
+        self.starts = offsets(lengths)
+        self.values = {n: narrow(v) for n, v in values.items()}
+
+    @property
+    def lengths(self) -> np.ndarray:
+        return np.diff(self.starts)
+
+    def append(self, more: Rows) -> None:
+        self.starts = np.concatenate((self.starts, self.starts[-1] + more.starts[1:]))
+        self.values = {n: np.concatenate((v, more.values[n])) for n, v in self.values.items()}
+
+    def take(self, rows: np.ndarray) -> Rows:
+        lengths = self.lengths[rows]
+        at = take_rows(self.starts[rows], lengths)
+        return Rows(lengths, **{n: v[at] for n, v in self.values.items()})
+
+    def of(self, name: str) -> np.ndarray:
+        return self.values[name].astype(np.int64)
+
+
+def narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 on in the narrowest type that holds them."""
+    return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
+
+
 @dataclass
 class Csr:
     """A sparse matrix of whole numbers: row i holds ``values`` at ``columns`` from ``starts[i]`` to ``starts[i + 1]``."""

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from snaplake.llm.alignment import Aligner, align_tokenizers
+from snaplake.llm.alignment import Aligner, align_tokenizers, packed, unpacked, written
 from snaplake.llm.bpe import byte_characters
 from snaplake.llm.queries import op13_alignment
 from snaplake.llm.ragged import Csr, counted
@@ -110,14 +110,24 @@ def test_blocks_of_a_product_do_not_change_it(monkeypatch):
     assert all((getattr(whole, f) == getattr(small, f)).all() for f in ("starts", "columns", "values"))
 
 
+def written_out(aligner, texts):
+    """Each text's alignment, from a chunk's numbers."""
+    per_text, parts, _, n_tokens, ids, marks, *_ = map(unpacked, aligner.chunk(texts)["data"])
+    spelled, ends = written(ids, marks, n_tokens), np.concatenate(([0], np.cumsum(per_text)))
+    return ["".join(spelled[p] for p in parts[a:b])[:-1] for a, b in zip(ends, ends[1:])]
+
+
+def test_numbers_take_the_bytes_they_need():
+    for top, width in ((0, 1), (255, 1), (256, 2), (70_000, 4), (1 << 40, 8)):
+        data = packed(np.array([0, top]))
+        assert data[0] == width and unpacked(data).tolist() == [0, top]
+    assert unpacked(packed(np.zeros(0, np.int64))).tolist() == []
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("ab Z9'.,!\n\t é 　日²́-s▁<|>"), max_size=30))
 def test_parts_of_any_text_align_as_the_whole(text):
-    aligner = Aligner.of(A, B)
-    row = aligner.chunk([text])
-    parts = np.frombuffer(row["parts"], "<i4").tolist()
-    got = ";".join(row["groups"][p] for p in parts)
-    assert got == brute([(0, text)])[0][8]
+    assert written_out(Aligner.of(A, B), [text]) == [brute([(0, text)])[0][8]]
 
 
 def test_a_table_with_odd_rows(spark, docs, monkeypatch):
@@ -138,10 +148,8 @@ def test_chunks_and_a_small_cache_do_not_change_it(monkeypatch):
     aligner = Aligner(A, B, cache=60)
     monkeypatch.setattr("snaplake.llm.alignment.SLICE", 10)
     for some in (TEXTS, TEXTS[::-1], TEXTS[5:9]):
-        row = aligner.chunk([t or "" for t in some])
-        starts, parts = np.frombuffer(row["starts"], "<i8"), np.frombuffer(row["parts"], "<i4")
-        got = [";".join(row["groups"][p] for p in parts[a:b]) for a, b in zip(starts, starts[1:])]
-        assert got == [";".join(f"{','.join(map(str, g[0]))}|{','.join(map(str, g[1]))}" for g in groups_of(t)[0]) for t in some]
+        assert written_out(aligner, [t or "" for t in some]) == [
+            ";".join(f"{','.join(map(str, g[0]))}|{','.join(map(str, g[1]))}" for g in groups_of(t)[0]) for t in some]
 
 
 def test_the_query_equals_brute_force(spark):
