@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.functions.json import parse_object
@@ -72,7 +72,7 @@ def skip_ingested(incoming: DataFrame, bronze: DataFrame, keys: Sequence[str],
     1. Drop every incoming attempt whose (execution, keys) already has a
        success in ``bronze`` (left anti join; the success side is
        de-duplicated first, which is a partial aggregate, so a hot key is
-       reduced map-side).
+       reduced map-side).  A NULL in a key equals a NULL.
     2. Inside the batch, keep attempts up to and including the first
        success of each (execution, keys) in ``order_cols`` order; failures
        before it are kept, later attempts are dropped - what a serial run
@@ -83,28 +83,70 @@ def skip_ingested(incoming: DataFrame, bronze: DataFrame, keys: Sequence[str],
        steps share one hash partitioning; AQE can split a skewed key on the
        big side.
     """
-    k = [execution_col, *keys]
     order = F.struct(*[F.col(c) for c in order_cols], F.col("__sl_content"), F.col("__sl_place"))
     numbered = incoming.withColumn("__sl_content", F.xxhash64(*[F.col(c) for c in incoming.columns])) \
-        .withColumn("__sl_place", F.monotonically_increasing_id())
-    done = bronze.filter(F.col(result_col) == F.lit(ok)).select(*k).dropDuplicates(k)
-    fresh = numbered.join(done, on=k, how="left_anti")
+        .withColumn("__sl_place", F.monotonically_increasing_id()) \
+        .withColumn(_KEY, _same(incoming, incoming, [execution_col, *keys]))
+    done = bronze.filter(F.col(result_col) == F.lit(ok)).select(_same(bronze, incoming, [execution_col, *keys]).alias(_KEY)).distinct()
+    fresh = numbered.join(done, on=_KEY, how="left_anti")
     firsts = (fresh.filter(F.col(result_col) == F.lit(ok))
-                   .groupBy(*k).agg(F.min(order).alias("__sl_first_ok")))
-    return (fresh.join(firsts, on=k, how="left")
+                   .groupBy(_KEY).agg(F.min(order).alias("__sl_first_ok")))
+    return (fresh.join(firsts, on=_KEY, how="left")
                  .filter(F.col("__sl_first_ok").isNull() | (order <= F.col("__sl_first_ok")))
                  .select(*incoming.columns))
 
 
+_KEY = "__sl_key"
+
+
+def _same(df: DataFrame, like: DataFrame, cols: Sequence[str]) -> Column:
+    """One struct of key columns, in the types of ``like``: as a join key it
+    takes a NULL field for equal to a NULL field, and it hashes like any key."""
+    return F.struct(*[(F.col(c) if df.schema[c].dataType == like.schema[c].dataType
+                       else F.col(c).cast(like.schema[c].dataType)).alias(c) for c in cols])
+
+
 def same_executions(stored: DataFrame, batch: DataFrame, execution_col: str = "execution_id") -> DataFrame:
-    """The rows of ``stored`` whose execution occurs in ``batch``.
+    """The rows of ``stored`` whose execution occurs in ``batch`` (NULL is an execution too).
 
     One plan at any size: the batch's smallest and largest execution (two
     scalars) are a static range, which prunes partitions at the scan, and a
     semi join picks the executions in it."""
-    low, high = batch.agg(F.min(execution_col), F.max(execution_col)).first()
-    ranged = stored.filter(F.col(execution_col).between(F.lit(low), F.lit(high)))
-    return ranged.join(batch.select(execution_col).distinct(), on=execution_col, how="left_semi")
+    execution = F.col(execution_col)
+    low, high, unnamed = batch.agg(F.min(execution), F.max(execution), F.count_if(execution.isNull())).first()
+    near = execution.between(F.lit(low), F.lit(high))
+    ranged = stored.filter(near | execution.isNull() if unnamed else near)
+    own = batch.select(_same(batch, stored, [execution_col]).alias(_KEY)).distinct()
+    return (ranged.withColumn(_KEY, _same(stored, stored, [execution_col]))
+                  .join(own, on=_KEY, how="left_semi").select(*stored.columns))
+
+
+def unregistered_calls(calls: DataFrame, registry: DataFrame, keys: Sequence[str],
+                       execution_col: str = "execution_id", ts_col: str = "call_ts") -> DataFrame:
+    """The calls that ``registry`` does not hold: a call is its execution, time
+    and keys, and a NULL key equals a NULL key, so a replay adds nothing."""
+    k = [execution_col, ts_col, *keys]
+    known = same_executions(registry, calls, execution_col).select(_same(registry, calls, k).alias(_KEY))
+    return calls.withColumn(_KEY, _same(calls, calls, k)).join(known, on=_KEY, how="left_anti").select(*calls.columns)
+
+
+def in_calls(found: DataFrame, calls: DataFrame, keys: Sequence[str], execution_col: str = "execution_id",
+             ts_col: str = "call_ts") -> DataFrame:
+    """The rows of ``found`` whose call is among ``calls``."""
+    k = [execution_col, ts_col, *keys]
+    own = calls.select(_same(calls, found, k).alias(_KEY)).distinct()
+    return found.withColumn(_KEY, _same(found, found, k)).join(own, on=_KEY, how="left_semi").select(*found.columns)
+
+
+def without_calls(snapshots: DataFrame, calls: DataFrame, keys: Sequence[str], execution_col: str = "execution_id",
+                  ts_col: str = "api_call_ts", call_ts_col: str = "call_ts") -> DataFrame:
+    """The snapshot rows whose call is not among ``calls`` (blocked ones, say);
+    a row without a call time was never called and stays."""
+    own = [execution_col, ts_col, *keys]
+    named = calls.select(*[F.col(call_ts_col if c == ts_col else c).alias(c) for c in own])
+    gone = named.select(_same(named, snapshots, own).alias(_KEY)).distinct()
+    return (snapshots.withColumn(_KEY, _same(snapshots, snapshots, own)).join(gone, on=_KEY, how="left_anti")
+                     .select(*snapshots.columns))
 
 
 def to_call_registry(snapshots: DataFrame, environment: str | None = None,

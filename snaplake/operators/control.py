@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
+from pyspark.sql.window import Window
 
 from snaplake.functions.time import period_bounds, ts_lit
 from snaplake.schemas import (
@@ -31,6 +32,9 @@ from snaplake.schemas import (
     RECORD_TYPES,
 )
 
+#: The column of :func:`with_broken_rules`.
+BROKEN = "broken_rules"
+
 
 # ---------------------------------------------------------------- pending work
 def _keyed(c: Column, collation: str | None) -> Column:
@@ -144,6 +148,42 @@ def rate_status(registry: DataFrame, limits: DataFrame, as_of: _dt.datetime,
     return agg.select("minute_used", "max_calls_per_minute", code.cast("int").alias("verdict_code"))
 
 
+def rate_limit(limits: DataFrame) -> int | None:
+    """The configured calls per minute (a scalar; None where it is missing)."""
+    return limits.agg(_limit(LIMIT_KEYS["minute"])).first()[0]
+
+
+def rate_verdicts(calls: DataFrame, limit: int | None, window_seconds: int = 60, ts_col: str = "call_ts",
+                  tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Every call with what the per-minute check says just before it.
+
+    ``minute_used`` counts the calls of the table in (t - window, t] that come
+    before the call - equal times in the order of ``tiebreak``, then of the
+    rows' content - and ``verdict_code`` is 50005 if one more is above
+    ``limit``, 50004 if there is no limit, else NULL.  A call counts whether or
+    not it is within the limit itself: it has landed, so it was spent.  Rows
+    without a call time are no calls and are left out.
+
+    A call meets its own minute and, as history, the calls of the minute
+    before: two copies of each row, one shuffle by minute, no window over all
+    calls.  Of the rows before a call in its partition, those at or before
+    t - window do not count.
+    """
+    us, own, minute = "__sl_us", "__sl_own", "__sl_minute"
+    span = window_seconds * 1_000_000
+    timed = calls.filter(F.col(ts_col).isNotNull()).withColumn(us, F.unix_micros(F.col(ts_col).cast("timestamp")))
+    at = F.expr(f"(`{us}` - pmod(`{us}`, {span}L)) div {span}L")
+    both = timed.withColumn(minute, F.explode(F.array(at, at + 1))).withColumn(own, F.col(minute) == at)
+    order = [F.col(us), *[F.col(c) for c in tiebreak], F.xxhash64(*[F.col(c) for c in calls.columns])]
+    before = F.row_number().over(Window.partitionBy(minute).orderBy(*order)) - 1
+    past = F.count(F.lit(1)).over(Window.partitionBy(minute).orderBy(us).rangeBetween(Window.unboundedPreceding, -span))
+    code = (F.lit(CODE_MINUTE_MISSING) if limit is None
+            else F.when(F.col("minute_used") + 1 > F.lit(int(limit)), F.lit(CODE_MINUTE_LIMIT)))
+    counted = both.withColumn("minute_used", (before - past).cast("long")).filter(F.col(own))
+    return counted.select(*calls.columns, "minute_used", F.lit(limit).cast("int").alias("max_calls_per_minute"),
+                          code.cast("int").alias("verdict_code"))
+
+
 # ---------------------------------------------------------------- runs and audit
 def next_execution(audit: DataFrame, environments: DataFrame | None, as_of: _dt.datetime,
                    tiebreak: Sequence[str] = ("pipeline_run_id",)) -> DataFrame:
@@ -335,7 +375,21 @@ def audit_violations(audit: DataFrame) -> DataFrame:
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
-    """Column DEFAULTs: NULL -> default value."""
+    """Column DEFAULTs: NULL -> default value; a column that is missing is added."""
     for c, v in defaults.items():
-        df = df.withColumn(c, F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)))
+        df = df.withColumn(c, F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)) if c in df.columns else F.lit(v))
     return df
+
+
+def with_broken_rules(df: DataFrame, not_null: Sequence[str] = (), checks: dict[str, Column] | None = None,
+                      domains: dict[str, Sequence[str]] | None = None, broken_col: str = BROKEN) -> DataFrame:
+    """``df`` and, per row, the names of the rules it breaks (an empty array: accepted).
+
+    Row rules only, no shuffle: ``not_null:<col>``, ``check:<name>`` (the
+    condition is FALSE; unknown passes, as in SQL) and ``domain:<col>``."""
+    rules = {f"not_null:{c}": F.col(c).isNull() for c in not_null}
+    rules |= {f"check:{name}": ~F.coalesce(cond, F.lit(True)) for name, cond in (checks or {}).items()}
+    rules |= {f"domain:{c}": ~F.coalesce(F.col(c).isin(list(values)), F.lit(True)) for c, values in (domains or {}).items()}
+    none = F.array().cast("array<string>")
+    named = [F.when(cond, F.lit(rule)) for rule, cond in rules.items()]
+    return df.withColumn(broken_col, F.array_compact(F.array(*named)) if named else none)

@@ -196,6 +196,55 @@ def monthly_correlation(pairs: DataFrame, keys: Sequence[str], left_ts: str, x:
     )
 
 
+def pair_moments(pairs: DataFrame, keys: Sequence[str], left_ts: str, x: str, ys: dict[str, str],
+                 count_col: str = "pairs_cnt", date_col: str = "date") -> DataFrame:
+    """Mergeable state of :func:`monthly_correlation` per (keys, day of the left timestamp).
+
+    Per ``ys`` column one struct over the pairs with both sides: how many, both
+    means, both sums of squares about the mean, the sum of products, and both
+    ranges (a constant side is told by its range, not by rounded squares).
+    """
+    def moments(y: str) -> Column:
+        both = F.col(x).isNotNull() & F.col(y).isNotNull()
+        a, b = (F.when(both, F.col(c).cast("double")) for c in (x, y))
+        n = F.count(a)
+        return F.struct(n.alias("n"), F.avg(a).alias("mx"), F.avg(b).alias("my"), (F.var_pop(a) * n).alias("sxx"),
+                        (F.var_pop(b) * n).alias("syy"), (F.covar_pop(a, b) * n).alias("sxy"), F.min(a).alias("lox"),
+                        F.max(a).alias("hix"), F.min(b).alias("loy"), F.max(b).alias("hiy"))
+    tagged = pairs.withColumn(date_col, F.to_date(left_ts))
+    return tagged.groupBy(*keys, date_col).agg(F.count(F.lit(1)).alias(count_col),
+                                               *[moments(y).alias(name) for name, y in ys.items()])
+
+
+def correlation_of_moments(state: DataFrame, keys: Sequence[str], names: Sequence[str], count_col: str = "pairs_cnt",
+                           date_col: str = "date", month_col: str = "month_start") -> DataFrame:
+    """:func:`monthly_correlation` from the day states of :func:`pair_moments`.
+
+    The states of a month (at most one per day) are merged two by two in date
+    order with the update of pairwise means and co-moments, so a month is
+    rebuilt from its days without reading a pair."""
+    def merged(a: Column, b: Column) -> Column:
+        n = a["n"] + b["n"]
+        dx, dy, both = b["mx"] - a["mx"], b["my"] - a["my"], a["n"] * b["n"] / n
+        out = F.struct(n.alias("n"), (a["mx"] + dx * b["n"] / n).alias("mx"), (a["my"] + dy * b["n"] / n).alias("my"),
+                       (a["sxx"] + b["sxx"] + dx * dx * both).alias("sxx"), (a["syy"] + b["syy"] + dy * dy * both).alias("syy"),
+                       (a["sxy"] + b["sxy"] + dx * dy * both).alias("sxy"), F.least(a["lox"], b["lox"]).alias("lox"),
+                       F.greatest(a["hix"], b["hix"]).alias("hix"), F.least(a["loy"], b["loy"]).alias("loy"),
+                       F.greatest(a["hiy"], b["hiy"]).alias("hiy"))
+        return F.when(b["n"] == 0, a).when(a["n"] == 0, b).otherwise(out)
+
+    def corr(name: str) -> Column:
+        days = F.transform(F.col("__sl_days"), lambda d: d[name])
+        whole = F.reduce(F.slice(days, 2, F.greatest(F.size(days), F.lit(1))), days[0], merged)
+        varies = (whole["hix"] > whole["lox"]) & (whole["hiy"] > whole["loy"])
+        return F.when(varies, F.try_divide(whole["sxy"], F.sqrt(whole["sxx"]) * F.sqrt(whole["syy"])))
+
+    tagged = state.withColumn(month_col, F.date_trunc("month", F.col(date_col).cast("timestamp")))
+    days = tagged.groupBy(*keys, month_col).agg(
+        F.sum(count_col).alias(count_col), F.sort_array(F.collect_list(F.struct(date_col, *names))).alias("__sl_days"))
+    return days.select(*keys, month_col, count_col, *[corr(n).alias(n) for n in names])
+
+
 def with_constant(df: DataFrame, name: str, value, type_: str | None = None) -> DataFrame:
     c: Column = F.lit(value)
     return df.withColumn(name, c.cast(type_) if type_ else c)

@@ -52,49 +52,46 @@ def _rename_right(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     return right, rk
 
 
-def _running_last(df: DataFrame, part: Sequence[str], order: Sequence[Column], value: str, out: str,
-                  chunk: str | None = None, ascending: bool = True) -> DataFrame:
-    """``out`` = ``last(value, ignorenulls)`` over the rows up to the current
-    one in ``order`` within ``part`` (a running "latest non-null").
-
-    With ``chunk`` (the name of a column that grows along ``order`` when
-    ``ascending``, shrinks otherwise) the scan runs in two levels, exactly:
-    inside each (part, chunk), then the last non-null of the earlier chunks -
-    a small table with one row per chunk - is carried in for rows that saw
-    none in their own chunk.  One dense ``part`` is then spread over its
-    chunks' tasks instead of being scanned in one.  Pass ``part`` as a single
-    struct column (never NULL; struct equality matches NULL fields): then
-    the join back and a second scan reuse the (part, chunk) partitioning."""
-    pc = [F.col(c) for c in part]
-    if chunk is None:
-        w = Window.partitionBy(*pc).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
-    fin, carry = "__sl_ckfin", "__sl_ckcarry"
-    w_in = Window.partitionBy(*pc, F.col(chunk)).orderBy(*order)
-    df = (df.withColumn(out, F.last(value, ignorenulls=True).over(
-              w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-            .withColumn(fin, F.last(value, ignorenulls=True).over(
-              w_in.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    w_c = (Window.partitionBy(*pc).orderBy(F.col(chunk).asc() if ascending else F.col(chunk).desc())
-           .rowsBetween(Window.unboundedPreceding, -1))
-    summary = (df.groupBy(*part, chunk).agg(F.first(fin, ignorenulls=True).alias(fin))
-                 .select(*part, chunk, F.last(fin, ignorenulls=True).over(w_c).alias(carry)))
-    return (df.drop(fin).join(summary, on=[*part, chunk], how="left")
-              .withColumn(out, F.coalesce(F.col(out), F.col(carry)))
-              .drop(carry))
-
-
-def _chunked(both: DataFrame, kcols: Sequence[str], width: int, split: int, align: int = 1):
-    """(frame, partition columns, chunk column) of a sweep: one struct key for
-    (keys, bucket), plus - for ``split`` > 1 - the chunk of width ``width /
-    split`` (rounded up to a multiple of ``align`` microseconds) of the sweep
-    time ``__sl_t``."""
-    if split <= 1:
-        return both, [*kcols, _BUCKET], None
-    cw = -(-max(-(-width // split), 1) // align) * align
-    both = (both.withColumn("__sl_pk", F.struct(*[F.col(c) for c in [*kcols, _BUCKET]]))
-                .withColumn("__sl_ck", _floor_div("__sl_t", cw)))
-    return both, ["__sl_pk"], "__sl_ck"
+def _chunk_width(width: int, split: int, align: int) -> int:
+    """``width / split`` rounded up to a multiple of ``align`` microseconds."""
+    return -(-max(-(-width // split), 1) // align) * align
+
+
+def _carried(both: DataFrame, part: str, chunk: str, left: Sequence[str], tiebreaks: Sequence[str], seconds: bool) -> DataFrame:
+    """(part, chunk, what earlier and later chunks hand in): one row per chunk.
+
+    One aggregate over the shuffled rows, no window: of a chunk's right rows
+    the last and the first by (time, tiebreak).  Two small running windows
+    over the chunks of a part then carry them up and down.  ``left`` are the
+    columns of left rows, NULL on the right: naming them here makes this read
+    the very exchange that the sweep reads.
+    """
+    t, side = F.col("__sl_t"), F.col("__sl_side")
+    ties = [F.struct(F.col(c).isNull(), F.col(c)) for c in tiebreaks]  # NULLs last
+    alone = F.lit(True)
+    for c in left:
+        alone = alone & F.col(c).isNull()
+
+    def first(rows: Column, *order: Column) -> Column:
+        return F.min_by("__sl_row", F.when(rows & alone, F.struct(*order, *ties)))
+
+    ends = {"last": first(side == 0, -t), "first": first(side == 0, t)}
+    if seconds:
+        ends |= {"head": first(side == 0, -_seconds(t), t), "shifted": first(side == 2, t)}
+    chunks = both.groupBy(part, chunk).agg(*[c.alias(f"__sl_{n}") for n, c in ends.items()])
+    before = Window.partitionBy(part).orderBy(F.col(chunk).asc()).rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy(part).orderBy(F.col(chunk).desc()).rowsBetween(Window.unboundedPreceding, -1)
+
+    def held(row: str, over, head: str | None = None) -> Column:
+        fields = [F.last(f"__sl_{row}", ignorenulls=True).over(over).alias("row")]
+        if seconds:
+            fields.append(F.last(f"__sl_{head or row}", ignorenulls=True).over(over).alias("first_of_second"))
+        return F.struct(*fields)
+
+    cols = [held("last", before, "head").alias("__sl_cb"), held("first", behind).alias("__sl_ca")]
+    if seconds:
+        cols.append(F.last("__sl_shifted", ignorenulls=True).over(behind).alias("__sl_clo"))
+    return chunks.select(part, chunk, *cols)
 
 
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str,
@@ -149,11 +146,12 @@ def nearest_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts
     :func:`_second_choice`.
 
     ``split`` > 1 cuts every (keys, bucket) sweep into that many time chunks:
-    the running scans run per chunk and carry the last value of earlier
-    chunks in (see :func:`_running_last`), so an entity that is dense inside
-    one tolerance window spreads over ``split`` tasks.  The rows are shuffled
-    once, by (keys, bucket, chunk); only tables with one row per chunk move
-    besides.
+    the running scans run per chunk, and what earlier and later chunks hand in
+    comes from one aggregate (:func:`_carried`), so an entity that is dense
+    inside one tolerance window spreads over ``split`` tasks.  Each side is
+    read once, and the rows are shuffled once, by (keys, bucket, chunk); the
+    aggregate reads that same exchange, and only tables with one row per
+    chunk move besides.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
@@ -169,52 +167,64 @@ def nearest_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts
     rcols = [c for c in right_r.columns if c not in rk.values()]
     kcols = [f"__sl_k{i}" for i in range(len(keys))]
     ids = [left_ts, *(left_id or [])]
+    id_cols, tie_cols = [f"__sl_id{i}" for i in range(len(ids))], [f"__sl_tb{i}" for i in range(len(tiebreak))]
 
     lq = (left.withColumn(_LUS, epoch_micros(F.col(left_ts))).withColumn(_BUCKET, _floor_div(_LUS, width))
               .select(*[F.col(k).alias(kc) for k, kc in zip(keys, kcols)], F.col(_BUCKET),
                       F.col(_LUS).alias("__sl_t"), F.lit(1).alias("__sl_side"),
-                      *[F.col(c).alias(f"__sl_id{i}") for i, c in enumerate(ids)],
+                      *[F.col(c).alias(i) for i, c in zip(id_cols, ids)],
                       F.struct(*[F.col(c) for c in left.columns]).alias("__sl_l")))
     rus = right_r.withColumn(_RUS, epoch_micros(F.col(right_ts)))
-    rsel = [*[F.col(rk[k]).alias(kc) for k, kc in zip(keys, kcols)],
-            F.struct(F.col(_RUS).alias(_RUS), *[F.col(c) for c in rcols]).alias("__sl_row"),
-            *[F.col(t).alias(f"__sl_tb{i}") for i, t in enumerate(tiebreak)]]
-
-    def copies(shift: int, first: int, last: int, side: int) -> DataFrame:
-        at = rus.withColumn("__sl_at", F.col(_RUS) + F.lit(shift)).withColumn("__sl_b0", _floor_div("__sl_at", width))
-        return at.select(*rsel, F.col("__sl_at").alias("__sl_t"), F.lit(side).alias("__sl_side"),
-                         F.explode(F.sequence(F.col("__sl_b0") + first, F.col("__sl_b0") + last)).alias(_BUCKET))
-
-    # a right row serves the left rows of its own bucket and, as the nearest
-    # before or after, of the two neighbours
-    rq = copies(0, -1, 1, 0)
-    if seconds:
-        rq = rq.unionByName(copies(tol_us, -1, 0, 2))
-    both, pnames, chunk = _chunked(lq.unionByName(rq, allowMissingColumns=True), kcols, width, split,
-                                   align=_SECOND if seconds else 1)
-    spread = [F.col(c) for c in pnames] + ([F.col(chunk)] if chunk else [])
-    both = both.repartition(*spread)  # the only shuffle of the rows
+    # all copies of a right row come from one pass over it: where each goes, when, and as what
+    own = [(0, 0)] if not seconds else [(0, 0), (tol_us, 2)]
+
+    def copy(shift: int, side: int, off: int) -> Column:
+        at = F.col(_RUS) + F.lit(shift)
+        bucket = F.expr(f"(`{_RUS}` + {shift}L - pmod(`{_RUS}` + {shift}L, {width}L)) div {width}L")
+        return F.struct((bucket + off).alias(_BUCKET), at.alias("__sl_t"), F.lit(side).alias("__sl_side"))
+
+    # a right row serves the left rows of its own bucket and, as the nearest before or after, of the two
+    # neighbours; a shifted one those of its bucket and the one before
+    places = [copy(shift, side, off) for shift, side in own for off in ((-1, 0, 1) if side == 0 else (-1, 0))]
+    rq = (rus.withColumn("__sl_place", F.explode(F.array(*places)))
+             .select(*[F.col(rk[k]).alias(kc) for k, kc in zip(keys, kcols)],
+                     F.struct(F.col(_RUS).alias(_RUS), *[F.col(c) for c in rcols]).alias("__sl_row"),
+                     *[F.col(c).alias(i) for i, c in zip(tie_cols, tiebreak)], "__sl_place.*"))
+    both = lq.unionByName(rq, allowMissingColumns=True)
+    chunk = "__sl_ck" if split > 1 else None
+    both = both.withColumn("__sl_pk", F.struct(*kcols, _BUCKET))
+    if chunk:
+        both = both.withColumn(chunk, _floor_div("__sl_t", _chunk_width(width, split, _SECOND if seconds else 1)))
+    part = ["__sl_pk", chunk] if chunk else ["__sl_pk"]
+    # the only shuffle of the rows: the sweep and the chunks' ends read it alike
+    both = both.select(*part, "__sl_t", "__sl_side", *id_cols, "__sl_l", "__sl_row", *tie_cols).repartition(*part)
 
     is_right, t = F.col("__sl_side") == 0, F.col("__sl_t")
-    tb_asc = [F.col(f"__sl_tb{i}").asc_nulls_last() for i in range(len(tiebreak))]
     # right rows sort before a left row at the same instant (distance 0 counts),
     # and among equal instants the lowest tiebreak is the last one seen
-    tb_desc = [F.col(f"__sl_tb{i}").desc_nulls_first() for i in range(len(tiebreak))]
     side = F.when(is_right, F.lit(0)).when(F.col("__sl_side") == 2, F.lit(1)).otherwise(F.lit(2)).asc()
-    found = F.struct(F.col("__sl_row").alias("row"))
+    tb_desc = [F.col(c).desc_nulls_first() for c in tie_cols]
+    found = [F.col("__sl_row").alias("row")]
     if seconds:
-        w_sec = Window.partitionBy(*spread, F.when(is_right, _seconds(t))).orderBy(t.asc(), *tb_asc)
-        found = F.struct(F.col("__sl_row").alias("row"), F.first("__sl_row").over(w_sec).alias("first_of_second"))
-    both = both.withColumn("__sl_r", F.when(is_right, found))
-    swept = _running_last(both, pnames, [t.asc(), side, *tb_desc], "__sl_r", "__sl_b", chunk, ascending=True)
-    down = [t.desc(), side, *tb_desc]
-    swept = _running_last(swept, pnames, down, "__sl_r", "__sl_a", chunk, ascending=False)
+        w_sec = Window.partitionBy(*part, F.when(is_right, _seconds(t))).orderBy(t.asc(), *[F.col(c).asc_nulls_last() for c in tie_cols])
+        found.append(F.first("__sl_row").over(w_sec).alias("first_of_second"))
+    swept = both.withColumn("__sl_r", F.when(is_right, F.struct(*found)))
     if seconds:
         swept = swept.withColumn("__sl_s", F.when(F.col("__sl_side") == 2, F.col("__sl_row")))
-        swept = _running_last(swept, pnames, down, "__sl_s", "__sl_lo", chunk, ascending=False)
-    swept = swept.filter(F.col("__sl_side") == 1)
-    w_id = Window.partitionBy(*spread, *[F.col(f"__sl_id{i}") for i in range(len(ids))]).orderBy("__sl_l")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    up = Window.partitionBy(*part).orderBy(t.asc(), side, *tb_desc).rowsBetween(*so_far)
+    down = Window.partitionBy(*part).orderBy(t.desc(), side, *tb_desc).rowsBetween(*so_far)
+    swept = swept.withColumn("__sl_b", F.last("__sl_r", ignorenulls=True).over(up))
+    lasts = {"__sl_a": F.last("__sl_r", ignorenulls=True).over(down)}
+    if seconds:
+        lasts["__sl_lo"] = F.last("__sl_s", ignorenulls=True).over(down)
+    swept = swept.withColumns(lasts).filter(F.col("__sl_side") == 1)
+    w_id = Window.partitionBy(*part, *id_cols).orderBy("__sl_l")
     swept = swept.withColumn("__sl_n", F.row_number().over(w_id)).filter(F.col("__sl_n") == 1)
+    if chunk:
+        swept = swept.join(_carried(both, *part, ["__sl_l", *id_cols], tie_cols, seconds), on=part, how="left")
+        swept = swept.withColumns({c: F.coalesce(c, "__sl_c" + c.removeprefix("__sl_"))
+                                   for c in (["__sl_b", "__sl_a", "__sl_lo"] if seconds else ["__sl_b", "__sl_a"])})
 
     chosen, dist = _second_choice(t, tol_us) if seconds else _micros_choice(t, tol_us)
     out = swept.select(F.col("__sl_l"), chosen.alias("__sl_c"), dist.alias("__sl_d"))

@@ -20,6 +20,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from snaplake.functions.casts import lenient_int
 from snaplake.functions.json import json_string_field
@@ -33,7 +34,9 @@ from snaplake.operators.control import (
     next_execution,
     pending_entities,
     quota_status,
+    rate_limit,
     rate_status,
+    rate_verdicts,
     run_outcome,
 )
 from snaplake.operators.gold import (
@@ -47,10 +50,20 @@ from snaplake.operators.joins import interval_join, nearest_join
 from snaplake.operators.silver import latest_wins, normalize_json
 from snaplake.plans import lake
 from snaplake.schemas import AQI_BANDS, JOIN_WINDOW_HOURS
-from snaplake.session import scratch_path
-from snaplake.sources.io import append_table, ensure_tables, read_table, read_testdata, refresh_table
+from snaplake.session import scratch_path, staged
+from snaplake.sources.io import (
+    append_table,
+    compact_table,
+    ensure_tables,
+    read_landing,
+    read_table,
+    read_testdata,
+    refresh_table,
+)
+from snaplake.streaming.state import append_stream, latest_of_log, stream_interval_join, stream_silver_state
 from snaplake.streaming.stream import (
     BATCH_COL,
+    JSON_TS_NTZ_FORMAT,
     append_landing,
     stream_bronze,
     stream_silver,
@@ -268,6 +281,20 @@ def q_rate_status(spark, d):
     return rate_status(reg, _limits(spark), AS_OF)
 
 
+def _rated_calls(spark, d):
+    """events as calls, each day's times pressed into 24 minutes."""
+    ev = _events(spark, d)
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    day = us - F.pmod(us, F.lit(86_400_000_000))
+    at = F.timestamp_micros(day + F.expr("pmod(unix_micros(CAST(ts AS TIMESTAMP)), 86400000000) div 60"))
+    return ev.select("event_id", "user_id", at.cast("timestamp_ntz").alias("call_ts"))
+
+
+def q_rate_verdicts(spark, d):
+    """Every call with the per-minute verdict it would have met."""
+    return rate_verdicts(_rated_calls(spark, d), rate_limit(_limits(spark)), tiebreak=["event_id"])
+
+
 def _status_of(order_status, mapping):
     c = None
     for k, v in mapping.items():
@@ -455,10 +482,9 @@ def q_gold_weather_correlation(spark, d):
 # ---------------------------------------------------------------- sinks and streams
 def q_refresh_table(spark, d):
     """Gold daily chain written partitioned by date, then a date slice
-    recomputed and overwritten in place (dynamic partition overwrite); the
-    table read back must equal the batch result."""
+    recomputed and swapped in; the table read back must equal the batch result."""
     path = scratch_path(spark, "refresh_table")
-    full = q_rank_worst(spark, d)
+    full = q_rank_worst(spark, d, strategy="range")
     refresh_table(full, path, partition_by=["date"])
     stored = read_table(spark, path)
     late = stored.filter(F.col("date") >= F.lit("2024-01-15").cast("date"))
@@ -531,6 +557,63 @@ def q_stream_silver_weather(spark, d):
                       _r6("temperature"), "humidity", "pressure", _r6("wind_speed"), "wind_direction",
                       "weather_icon_code", _r6("heat_index"), "weather_date")
 
+
+def q_stream_registry(spark, d):
+    """The call registry of the Bronze stream: every landed call once, also those that Bronze does not keep."""
+    base = scratch_path(spark, "stream_registry")
+    landing = _landing(spark, d)
+    append_landing(landing, f"{base}/landing")
+    stream_bronze(spark, f"{base}/landing", f"{base}/bronze", f"{base}/_ckpt", keys=["user_id"], schema=landing.schema,
+                  order_cols=("api_call_ts", "event_id"), registry_path=f"{base}/registry", environment="contract",
+                  max_files_per_trigger=8)
+    reg = read_table(spark, f"{base}/registry")
+    return reg.select("pipeline_run_id", "execution_id", F.col("call_ts").cast("timestamp_ntz").alias("call_ts"), "environment", "user_id")
+
+
+def q_stream_silver_state(spark, d):
+    """Bronze snapshots streamed into keyed state, two files per micro-batch;
+    what its change log describes must equal the batch latest-wins result."""
+    base = scratch_path(spark, "stream_state")
+    append_table(lake_bronze(spark, d).repartition(6), f"{base}/bronze")
+    schema = read_table(spark, f"{base}/bronze").schema
+    stream_silver_state(spark, f"{base}/bronze", f"{base}/log", f"{base}/_ckpt", schema, keys=_LAKE_KEYS,
+                        version_cols=_LAKE_VERSION, extra=_LAKE_EXTRA, max_files_per_trigger=2)
+    pol = latest_of_log(read_table(spark, f"{base}/log"), _LAKE_KEYS, "pollution_ts")
+    return pol.select("user_id", _r6("latitude"), _r6("longitude"),
+                      F.col("pollution_ts").cast("timestamp_ntz").alias("pollution_ts"),
+                      "aqi_us", "aqi_cn", "main_pollutant_us", "main_pollutant_cn", "pollution_date")
+
+
+#: Landings of the stream join: days of a landing, and how late every seventh row comes.
+STREAM_DAYS, STREAM_LATE = 7, 12
+
+
+def land_for_stream_join(spark, d, base):
+    """Clicks and purchases landed in files of some days, one after the other;
+    every seventh row comes half a day late.  Gives both stream sources."""
+    clicks, purchases = _clicks_purchases(spark, d)
+    sources = []
+    for name, df, ts, key in (("clicks", clicks, "click_ts", "click_id"), ("purchases", purchases, "purchase_ts", "purchase_id")):
+        df = df.withColumn(ts, F.col(ts).cast("timestamp"))
+        us = F.unix_micros(ts)
+        late = F.when(F.pmod(key, F.lit(7)) == 0, F.lit(STREAM_LATE)).otherwise(F.lit(0)) * 3_600_000_000
+        landed = staged(df.withColumn("part", F.floor((us + late) / F.lit(STREAM_DAYS * 86_400_000_000))), name)
+        for part in [r[0] for r in landed.select("part").distinct().orderBy("part").collect()]:
+            append_table(landed.filter(F.col("part") == part).drop("part").coalesce(1), f"{base}/{name}")
+        sources.append(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/{name}"))
+    return sources
+
+
+def q_stream_interval_join(spark, d):
+    """Two streams joined within +-TOLERANCE; late rows are inside the watermark, so the batch join's rows come out."""
+    base = scratch_path(spark, "stream_join")
+    left, right = land_for_stream_join(spark, d, base)
+    joined = stream_interval_join(left, right, ["user_id"], "click_ts", "purchase_ts", TOLERANCE, left_delay="1 day", right_delay="1 day")
+    append_stream(joined, f"{base}/out", f"{base}/_ckpt")
+    out = read_table(spark, f"{base}/out").drop(BATCH_COL, "purchase_k")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("click_ts", "purchase_ts")})
+
+
 # ---------------------------------------------------------------- whole runs
 # the incremental run's two landed batches: days before SPLIT_END, days from
 # SPLIT_START on - together the whole landing, two days landed twice
@@ -586,11 +669,59 @@ def _run_recovered(spark, d):
     return cfg
 
 
+def _run_breached(spark, d):
+    """A run whose day limit is far below what has landed: it stops, and still every call is registered."""
+    from snaplake.plans.refresh import run_refresh
+
+    cfg = _lake_config(spark, "lake_breached")
+    limits = spark.createDataFrame([*RUN_LIMITS[:1], ("max_calls_per_day", "5"), RUN_LIMITS[2]], "config_key string, config_value string")
+    result = run_refresh(spark, cfg, lake_landing(spark, d), limits, as_of=AS_OF, pipeline_run_id="run_breached")
+    assert result["layers"]["bronze"] == "FAILED" and result["quota"]["verdict_code"] == 50001
+    return cfg
+
+
+def _run_rated(spark, d):
+    """A run (Bronze alone) at two calls a minute: those that come when the minute is full are blocked."""
+    from snaplake.plans.refresh import run_refresh
+
+    cfg = _lake_config(spark, "lake_rated", silver_enabled=False, gold_enabled=False)
+    limits = spark.createDataFrame([("max_calls_per_minute", "2"), *RUN_LIMITS[1:]], "config_key string, config_value string")
+    us = F.unix_micros(F.col("api_call_ts").cast("timestamp"))
+    pressed = F.timestamp_micros(us - F.pmod(us, F.lit(86_400_000_000)) + F.expr(
+        "pmod(unix_micros(CAST(api_call_ts AS TIMESTAMP)), 86400000000) div 60")).cast("timestamp_ntz")
+    run_refresh(spark, cfg, lake_landing(spark, d).withColumn("api_call_ts", pressed), limits, as_of=AS_OF, pipeline_run_id="run_rated")
+    return cfg
+
+
+def _run_rejecting(spark, d):
+    """A run (Bronze alone) over JSON lines of which some are broken, cut off or of a wrong type, and some have no key."""
+    from snaplake.plans.refresh import run_refresh
+
+    base = scratch_path(spark, "landing_lines")
+    landing = lake_landing(spark, d).join(_events(spark, d).select("event_id", "event_type", "value"), "event_id")
+    landing = landing.withColumn("user_id", F.when(~F.col("value").between(60, 65) | F.col("value").isNull(), F.col("user_id")))
+    fields = [c for c in landing.columns if c not in ("event_type", "value")]
+    line = F.to_json(F.struct(*fields), {"timestampNTZFormat": JSON_TS_NTZ_FORMAT})
+    v = F.col("value")
+    text = (F.when(v.between(10, 15), F.concat(F.lit("not json "), F.col("event_id").cast("string")))
+             .when(v.between(20, 25), F.substring("__line", 1, 30))
+             .when(v.between(30, 35), F.regexp_replace("__line", '"user_id":([0-9]+)', '"user_id":"u$1"'))
+             .otherwise(F.col("__line")))
+    landing.withColumn("__line", line).select("event_type", text.alias("value")).write.partitionBy("event_type").text(base)
+    schema = landing.select(*fields).schema
+    read = read_landing(spark, base, schema=schema, quarantine=True).drop("event_type")
+    cfg = _lake_config(spark, "lake_rejecting", silver_enabled=False, gold_enabled=False)
+    limits = spark.createDataFrame(RUN_LIMITS, "config_key string, config_value string")
+    run_refresh(spark, cfg, read, limits, as_of=AS_OF, pipeline_run_id="run_rejecting")
+    return cfg
+
+
 def _lake_of(spark, d, kind, fresh=False):
     """The tables of a run, made once per session and input folder; ``fresh`` runs it anyway."""
     key = (spark.sparkContext.applicationId, d, kind)
     if fresh or key not in _RUNS:
-        _RUNS[key] = {"full": _run_full, "incremental": _run_incremental, "recovered": _run_recovered}[kind](spark, d)
+        _RUNS[key] = {"full": _run_full, "incremental": _run_incremental, "recovered": _run_recovered, "breached": _run_breached,
+                      "rated": _run_rated, "rejecting": _run_rejecting}[kind](spark, d)
     cfg = _RUNS[key]
     return lambda table: read_table(spark, cfg.path(table))
 
@@ -690,15 +821,82 @@ def q_run_incremental_weather_correlation(spark, d):
 
 
 def q_run_audit(spark, d):
-    """The closed audit of a run: its pipeline, its layers and every entity."""
+    """The closed audit of a run: its pipeline, its layers and every entity
+    (an error text that is a whole response body is shown as 'body')."""
     state = audit_state(_lake_of(spark, d, "full")("pipeline_audit"))
-    return state.select("record_type", "activity_name", "entity", "layer", "status", "error_message",
+    error = F.when(F.col("error_message").startswith("{"), F.lit("body")).otherwise(F.col("error_message"))
+    return state.select("record_type", "activity_name", "entity", "layer", "status", error.alias("error_message"),
                         F.col("end_ts").isNotNull().alias("closed"))
 
 
+def q_run_breached_registry(spark, d):
+    """A run that its day limit stops has still counted every landed call."""
+    return _registry_of(_lake_of(spark, d, "breached"))
+
+
+def q_run_rated_bronze(spark, d):
+    """Bronze holds the calls that came within the rate, and no other."""
+    return _bronze_of(_lake_of(spark, d, "rated"))
+
+
+def q_run_rejects(spark, d):
+    """The reject table of a run: records per file group and reason."""
+    rejects = _lake_of(spark, d, "rejecting")("bronze_rejects")
+    group = F.regexp_extract("source_file", "event_type=([a-z]+)", 1)
+    return rejects.groupBy(group.alias("event_type"), "reason").agg(
+        F.count(F.lit(1)).alias("records"), F.count("record").alias("with_text"), F.countDistinct("record").alias("texts"))
+
+
+def _daily_state_of(lake_table):
+    return lake_table("gold_daily_state").select("user_id", "date", "sum_aqi_us", "max_aqi_us", "observations_cnt")
+
+
+def q_run_daily_state(spark, d):
+    return _daily_state_of(_lake_of(spark, d, "full"))
+
+
+def q_run_incremental_daily_state(spark, d):
+    return _daily_state_of(_lake_of(spark, d, "incremental"))
+
+
+def _pair_state_of(lake_table):
+    """Pairs and means of the day states, rounded."""
+    t = lake_table("gold_pair_state")
+    return t.select("user_id", "date", "pairs_cnt", F.col("aqi_temp_corr.n").alias("n"), _r6("aqi_temp_corr.mx").alias("mean_aqi"),
+                    _r6("aqi_temp_corr.my").alias("mean_temperature"), F.round("aqi_temp_corr.sxy", 3).alias("co_moment"))
+
+
+def q_run_pair_state(spark, d):
+    return _pair_state_of(_lake_of(spark, d, "full"))
+
+
+def q_run_incremental_pair_state(spark, d):
+    return _pair_state_of(_lake_of(spark, d, "incremental"))
+
+
+def q_compact_table(spark, d):
+    """A call registry appended to 40 times, one file a partition each time, then compacted; rows stay as they were."""
+    path = scratch_path(spark, "compacted")
+    reg = staged(_events(spark, d).select(F.date_format("ts", "yyyyMM").alias("execution_id"), "user_id", "event_id", F.col("ts").alias("call_ts")), "reg")
+    for n in range(20):
+        append_table(reg.filter(F.pmod("event_id", F.lit(20)) == n).coalesce(1), path, partition_by=["execution_id"])
+    schema = StructType([*[f for f in reg.schema.fields if f.name != "execution_id"], reg.schema["execution_id"]])
+    compact_table(spark, path, partition_by=["execution_id"], max_files=8, schema=schema)
+    return read_table(spark, path, schema=schema).withColumn("call_ts", F.col("call_ts").cast("timestamp_ntz"))
+
+
 def q_audit_violations(spark, d):
-    """A run's own audit violates none of its constraints."""
-    return audit_violations(audit_state(_lake_of(spark, d, "recovered")("pipeline_audit")))
+    """A run's own audit violates none of its constraints; a damaged copy of it (made from orders) does."""
+    own = audit_violations(audit_state(_lake_of(spark, d, "recovered")("pipeline_audit")))
+    o = read_testdata(spark, d, "orders")
+    price = F.col("o_totalprice")
+    damaged = o.select(
+        F.floor(F.col("o_orderkey") / F.lit(2)).cast("bigint").alias("audit_id"),
+        F.when(price > 400000, F.lit("RUN")).otherwise(F.lit("ACTIVITY")).alias("record_type"),
+        F.col("o_orderpriority").alias("execution_id"), F.when(price > 20000, F.lit("run")).alias("pipeline_run_id"),
+        F.lit("dev").alias("environment"), F.when(price > 350000, F.lit("DONE")).otherwise(F.lit("SUCCESS")).alias("status"),
+        F.when(price < 450000, F.col("o_orderdate")).alias("start_ts"))
+    return own.unionByName(audit_violations(damaged))
 
 
 def q_refresh_catalog(spark, d):
@@ -777,6 +975,18 @@ QUERIES = {
     "audit_violations": q_audit_violations,
     "refresh_catalog": q_refresh_catalog,
     "nearest_join_keys": q_nearest_join_keys,
+    "rate_verdicts": q_rate_verdicts,
+    "stream_registry": q_stream_registry,
+    "stream_silver_state": q_stream_silver_state,
+    "stream_interval_join": q_stream_interval_join,
+    "run_breached_registry": q_run_breached_registry,
+    "run_rated_bronze": q_run_rated_bronze,
+    "run_rejects": q_run_rejects,
+    "run_daily_state": q_run_daily_state,
+    "run_incremental_daily_state": q_run_incremental_daily_state,
+    "run_pair_state": q_run_pair_state,
+    "run_incremental_pair_state": q_run_incremental_pair_state,
+    "compact_table": q_compact_table,
 }
 
 # ---------------------------------------------------------------- DuckDB oracle
@@ -1206,7 +1416,10 @@ ORACLE_SQL.update({
     "run_audit": f"""
   WITH b AS ({_RUN_BRONZE}),
   n AS (SELECT count(*) || ' entity call(s) failed' AS text, count(*) AS failed FROM b WHERE api_result = 'FAILED'),
-  e AS (SELECT user_id, bool_or(api_result = 'SUCCESS') AS ok FROM b GROUP BY user_id)
+  e AS (SELECT user_id, bool_or(b.api_result = 'SUCCESS') AS ok,
+          arg_max(CASE WHEN b.http_status_code IS NULL THEN 'read timed out' ELSE 'body' END, ts)
+            FILTER (WHERE b.api_result = 'FAILED') AS last_error
+        FROM b JOIN events USING (event_id, user_id) GROUP BY user_id)
   SELECT 'PIPELINE' AS record_type, CAST(NULL AS VARCHAR) AS activity_name, CAST(NULL AS VARCHAR) AS entity,
     CAST(NULL AS VARCHAR) AS layer, CASE WHEN failed > 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
     CASE WHEN failed > 0 THEN 'bronze: ' || text END AS error_message, true AS closed FROM n
@@ -1214,8 +1427,20 @@ ORACLE_SQL.update({
     CASE WHEN failed > 0 THEN text END, true FROM n
   UNION ALL SELECT 'ACTIVITY', layer || '_refresh', NULL, layer, 'SUCCESS', NULL, true FROM (VALUES ('silver'), ('gold')) l(layer)
   UNION ALL SELECT 'ACTIVITY', 'bronze_ingestion', CAST(user_id AS VARCHAR), 'bronze',
-    CASE WHEN ok THEN 'SUCCESS' ELSE 'FAILED' END, CASE WHEN NOT ok THEN 'read timed out' END, true FROM e""",
-    "audit_violations": "SELECT CAST(0 AS BIGINT) AS audit_id, '' AS rule, CAST(0 AS BIGINT) AS violations WHERE false",
+    CASE WHEN ok THEN 'SUCCESS' ELSE 'FAILED' END, CASE WHEN NOT ok THEN last_error END, true FROM e""",
+    "audit_violations": """
+  WITH a AS (SELECT o_orderkey // 2 AS audit_id, CASE WHEN o_totalprice > 400000 THEN 'RUN' ELSE 'ACTIVITY' END AS record_type,
+      CASE WHEN o_totalprice > 20000 THEN 'run' END AS pipeline_run_id,
+      CASE WHEN o_totalprice > 350000 THEN 'DONE' ELSE 'SUCCESS' END AS status,
+      CASE WHEN o_totalprice < 450000 THEN o_orderdate END AS start_ts FROM orders),
+  g AS (SELECT audit_id, count(*) AS n, count(*) FILTER (WHERE pipeline_run_id IS NULL) AS no_run,
+      count(*) FILTER (WHERE start_ts IS NULL) AS no_start, count(*) FILTER (WHERE record_type = 'RUN') AS bad_type,
+      count(*) FILTER (WHERE status = 'DONE') AS bad_status FROM a GROUP BY audit_id)
+  SELECT * FROM (SELECT audit_id, 'pk_unique' AS rule, CASE WHEN n > 1 THEN n ELSE 0 END AS violations FROM g
+    UNION ALL SELECT audit_id, 'not_null:pipeline_run_id', no_run FROM g
+    UNION ALL SELECT audit_id, 'not_null:start_ts', no_start FROM g
+    UNION ALL SELECT audit_id, 'domain:record_type', bad_type FROM g
+    UNION ALL SELECT audit_id, 'domain:status', bad_status FROM g) WHERE violations > 0""",
     "refresh_catalog": ORACLE_SQL["daily_metrics"],
     "nearest_join_keys": """
   WITH c AS (SELECT event_id AS click_id, ts AS click_ts, nullif(user_id % 10, 0) AS cohort, user_id % 3 AS region
@@ -1233,3 +1458,55 @@ ORACLE_SQL["rank_worst_range"] = ORACLE_SQL["rank_worst"]
 ORACLE_SQL["nearest_join_split"] = ORACLE_SQL["nearest_join"]
 
 ORACLE_SQL["ensure_tables"] = ORACLE_SQL["daily_metrics"]
+
+_PRESSED = "make_timestamp((epoch_us(ts) // 86400000000) * 86400000000 + (epoch_us(ts) % 86400000000) // 60)"
+_MINUTE_USED = ("row_number() OVER (ORDER BY us{tie}) - 1 - count(*) OVER (ORDER BY us RANGE BETWEEN UNBOUNDED PRECEDING "
+                "AND 60000000 PRECEDING)")
+
+
+def _state_sql(silver_p: str) -> str:
+    return (f"SELECT user_id, pollution_date AS date, CAST(sum(aqi_us) AS BIGINT) AS sum_aqi_us, CAST(max(aqi_us) AS INTEGER) AS max_aqi_us, "
+            f"count(*) AS observations_cnt FROM ({silver_p}) WHERE aqi_us IS NOT NULL GROUP BY 1, 2")
+
+
+def _pair_state_sql(silver_p: str, silver_w: str) -> str:
+    return f"""
+  WITH p AS (SELECT user_id, pollution_ts, aqi_us FROM ({silver_p}) WHERE aqi_us IS NOT NULL),
+  w AS (SELECT user_id AS w_user, weather_ts, temperature FROM ({silver_w})),
+  pairs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, pollution_ts
+      ORDER BY abs(epoch_us(pollution_ts) // 1000000 - epoch_us(weather_ts) // 1000000), weather_ts) AS rn
+    FROM p JOIN w ON user_id = w_user AND weather_ts BETWEEN pollution_ts - INTERVAL 3 HOURS AND pollution_ts + INTERVAL 3 HOURS)
+    WHERE rn = 1)
+  SELECT user_id, CAST(pollution_ts AS DATE) AS date, count(*) AS pairs_cnt, count(temperature) AS n,
+    round(avg(CASE WHEN temperature IS NOT NULL THEN CAST(aqi_us AS DOUBLE) END), 6) AS mean_aqi, round(avg(temperature), 6) AS mean_temperature,
+    round(covar_pop(CAST(aqi_us AS DOUBLE), temperature) * count(temperature), 3) AS co_moment
+  FROM pairs GROUP BY 1, 2"""
+
+
+ORACLE_SQL.update({
+    "rate_verdicts": f"""
+  WITH lim AS ({_LIMITS_SQL}),
+  c AS (SELECT event_id, user_id, {_PRESSED} AS call_ts, epoch_us({_PRESSED}) AS us FROM events),
+  u AS (SELECT event_id, user_id, call_ts, {_MINUTE_USED.format(tie=", event_id")} AS minute_used,
+          {_lim('max_calls_per_minute')} AS max_calls_per_minute FROM c)
+  SELECT *, CAST(CASE WHEN minute_used + 1 > max_calls_per_minute THEN 50005 END AS INTEGER) AS verdict_code FROM u""",
+    "stream_registry": ORACLE_SQL["to_call_registry"],
+    "stream_silver_state": ORACLE_SQL["silver_pollution"],
+    "stream_interval_join": ORACLE_SQL["interval_join"],
+    "run_breached_registry": _RUN_REGISTRY,
+    "run_rated_bronze": f"""
+  WITH u AS (SELECT *, {_MINUTE_USED.format(tie=", execution_id, user_id")} AS minute_used FROM (
+    SELECT *, epoch_us({_PRESSED}) AS us, 'execution_' || strftime(ts, '%Y%m%d') AS execution_id FROM events)),
+  ok AS (SELECT * EXCLUDE (execution_id, us, minute_used) FROM u WHERE minute_used + 1 <= 2)
+  {_RUN_BRONZE.replace("FROM events", "FROM ok")}""",
+    "run_rejects": """
+  WITH r AS (SELECT event_type, event_id, CASE WHEN value BETWEEN 10 AND 15 OR value BETWEEN 20 AND 25 OR value BETWEEN 30 AND 35
+      THEN 'unreadable' WHEN value BETWEEN 60 AND 65 THEN 'not_null:user_id' END AS reason FROM events)
+  SELECT event_type, reason, count(*) AS records, count(*) AS with_text, count(DISTINCT event_id) AS texts
+  FROM r WHERE reason IS NOT NULL GROUP BY event_type, reason""",
+    "run_daily_state": _state_sql(_RUN_P),
+    "run_incremental_daily_state": _shifted(_state_sql(_RUN_P)),
+    "run_pair_state": _pair_state_sql(_RUN_P, _RUN_W),
+    "run_incremental_pair_state": _shifted(_pair_state_sql(_RUN_P, _RUN_W)),
+    "compact_table": "SELECT strftime(ts, '%Y%m') AS execution_id, user_id, event_id, ts AS call_ts FROM events",
+})

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from snaplake.operators.gold import (
     band_days_by_month,
+    correlation_of_moments,
     daily_metrics,
     monthly_correlation,
+    pair_moments,
     rank_worst,
     rolling_calendar,
     with_constant,
@@ -56,13 +58,20 @@ def parsed_snapshots(bronze: DataFrame, keys: Sequence[str] = ENTITY_KEYS,
     return normalize_json(trusted, "raw_payload", spec, ts_formats=list(ts_formats))
 
 
-def _silver(parsed: DataFrame, keys: Sequence[str], ts_col: str, date_col: str,
-            cols: list[str], version_cols: Sequence[str], extra: Sequence[str]) -> DataFrame:
+def observations(parsed: DataFrame, keys: Sequence[str], ts_col: str, date_col: str, cols: list[str],
+                 version_cols: Sequence[str], extra: Sequence[str]) -> tuple[DataFrame, list, list[str]]:
+    """(all versions of one table's observations, the version columns there are, those only carried for them)."""
     version_cols = [c for c in version_cols if c not in VERSION_COLS or c in parsed.columns]
     carried = [c for c in version_cols if isinstance(c, str) and c not in extra and c != "bronze_ingestion_ts"]
     obs = (parsed.select(*keys, *extra, *carried, "latitude", "longitude", "bronze_ingestion_ts", *cols)
                  .filter(F.col(ts_col).isNotNull())
                  .withColumn(date_col, F.to_date(F.col(ts_col))))
+    return obs, version_cols, carried
+
+
+def _silver(parsed: DataFrame, keys: Sequence[str], ts_col: str, date_col: str,
+            cols: list[str], version_cols: Sequence[str], extra: Sequence[str]) -> DataFrame:
+    obs, version_cols, carried = observations(parsed, keys, ts_col, date_col, cols, version_cols, extra)
     return latest_wins(obs, keys, ts_col, version_cols).drop(*carried)
 
 
@@ -80,6 +89,19 @@ def silver_weather(parsed: DataFrame, keys: Sequence[str] = ENTITY_KEYS,
     return _silver(parsed, keys, "weather_ts", "weather_date", WEATHER_COLS, version_cols, extra)
 
 
+def daily_state(pollution: DataFrame, keys: Sequence[str] = ENTITY_KEYS) -> DataFrame:
+    """Mergeable state per entity-day: sum, max and count of published AQI."""
+    d = daily_metrics(pollution, keys, "pollution_date", "aqi_us", aggs=("sum", "max", "count"),
+                      names={"sum": "sum_aqi_us", "max": "max_aqi_us", "count": "observations_cnt"})
+    return d.withColumn("max_aqi_us", F.col("max_aqi_us").cast("int"))
+
+
+def daily_of_state(state: DataFrame, keys: Sequence[str] = ENTITY_KEYS) -> DataFrame:
+    """:func:`daily_aqi` from the stored day states."""
+    return state.select(*keys, "date", (F.col("sum_aqi_us") / F.col("observations_cnt")).cast("double").alias("avg_aqi_us"),
+                        "max_aqi_us", "observations_cnt")
+
+
 def daily_aqi(pollution: DataFrame, keys: Sequence[str] = ENTITY_KEYS) -> DataFrame:
     """Per entity-day: avg (double), max (int) and count of published AQI.
     Computed once and fed to both the metrics and the category table."""
@@ -108,24 +130,40 @@ def gold_category_days(daily: DataFrame, keys: Sequence[str] = ENTITY_KEYS) -> D
     return band_days_by_month(daily, keys, "date", "max_aqi_us", AQI_BANDS, value_cast="int")
 
 
-def gold_weather_correlation(pollution: DataFrame, weather: DataFrame,
-                             keys: Sequence[str] = ENTITY_KEYS, hours: int = JOIN_WINDOW_HOURS,
-                             unit: str = "second", split: int = 8) -> DataFrame:
+#: Correlation of the AQI with each of these weather columns.
+CORRELATIONS = {"aqi_temp_corr": "temperature", "aqi_humidity_corr": "humidity",
+                "aqi_pressure_corr": "pressure", "aqi_wind_speed_corr": "wind_speed"}
+
+
+def weather_pairs(pollution: DataFrame, weather: DataFrame, keys: Sequence[str] = ENTITY_KEYS,
+                  hours: int = JOIN_WINDOW_HOURS, unit: str = "second", split: int = 8) -> DataFrame:
     """Nearest weather observation within +-hours for every published AQI
-    observation, then per entity-month Pearson correlations of AQI with
-    temperature, humidity, pressure and wind speed.  ``split`` > 1 spreads
-    an entity that is dense inside one tolerance window over that many
-    tasks (see :func:`nearest_join`)."""
+    observation.  ``split`` > 1 spreads an entity that is dense inside one
+    tolerance window over that many tasks (see :func:`nearest_join`)."""
     p = pollution.filter(F.col("aqi_us").isNotNull() & F.col("pollution_ts").isNotNull()) \
         .select(*keys, "pollution_ts", "aqi_us")
     w = weather.filter(F.col("weather_ts").isNotNull()) \
         .select(*keys, "weather_ts", "temperature", "humidity", "pressure", "wind_speed")
-    pairs = nearest_join(p, w, keys, "pollution_ts", "weather_ts", _dt.timedelta(hours=hours), unit=unit,
-                         split=split)
-    out = monthly_correlation(pairs, keys, "pollution_ts", "aqi_us", {
-        "aqi_temp_corr": "temperature", "aqi_humidity_corr": "humidity",
-        "aqi_pressure_corr": "pressure", "aqi_wind_speed_corr": "wind_speed"})
-    return with_constant(out, "join_window_hours", int(hours))
+    return nearest_join(p, w, keys, "pollution_ts", "weather_ts", _dt.timedelta(hours=hours), unit=unit, split=split)
+
+
+def gold_weather_correlation(pollution: DataFrame, weather: DataFrame,
+                             keys: Sequence[str] = ENTITY_KEYS, hours: int = JOIN_WINDOW_HOURS,
+                             unit: str = "second", split: int = 8) -> DataFrame:
+    """Per entity-month Pearson correlations of AQI with temperature,
+    humidity, pressure and wind speed over :func:`weather_pairs`."""
+    pairs = weather_pairs(pollution, weather, keys, hours, unit, split)
+    return with_constant(monthly_correlation(pairs, keys, "pollution_ts", "aqi_us", CORRELATIONS), "join_window_hours", int(hours))
+
+
+def pair_state(pollution: DataFrame, weather: DataFrame, keys: Sequence[str] = ENTITY_KEYS) -> DataFrame:
+    """Mergeable correlation state per entity-day of the pollution observations."""
+    return pair_moments(weather_pairs(pollution, weather, keys), keys, "pollution_ts", "aqi_us", CORRELATIONS)
+
+
+def correlation_of_state(state: DataFrame, keys: Sequence[str] = ENTITY_KEYS, hours: int = JOIN_WINDOW_HOURS) -> DataFrame:
+    """:func:`gold_weather_correlation` from the stored day states."""
+    return with_constant(correlation_of_moments(state, keys, list(CORRELATIONS)), "join_window_hours", int(hours))
 
 
 def stamp(df: DataFrame, layer: str, execution_id: str | None, pipeline_run_id: str | None,

@@ -8,10 +8,16 @@ A run survives failure.  Every run has a stamp later than all earlier ones;
 Bronze rows carry it, Silver slices too.  A layer that succeeded leaves a
 mark: it holds everything stamped up to there.  What a layer takes in is
 what lies behind its own mark, never what this run happened to do before,
-so a run after a crash picks up exactly what is missing.  Calls are
-registered before Bronze is written, once each.  A layer that fails is closed
-as FAILED with the error text, what depends on it is skipped, and the run is
-closed as FAILED.
+so a run after a crash picks up exactly what is missing.  The marks also say
+where those rows are (executions of Bronze, dates of Silver), so that only
+their partitions are read.  A layer that fails is closed as FAILED with the
+error text, what depends on it is skipped, and the run is closed as FAILED.
+
+Calls.  A landed call is spent, whatever becomes of it: every one is
+registered, once, before anything is judged.  A day or month above its limit
+stops the run.  A call that comes when the trailing minute is full is not
+taken into Bronze; the others are.  The verdict hangs on the times of the
+calls alone, so a rerun comes to the same one.
 
 Layer rules: a breached quota stops the run; Silver runs after Bronze
 completed, whatever the entities' outcome; Gold only if Silver succeeded;
@@ -23,17 +29,27 @@ from __future__ import annotations
 
 import datetime as _dt
 import math
+import threading
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake.functions.time import ts_lit, utc_naive
-from snaplake.operators.bronze import classify_responses, same_executions, skip_ingested, to_call_registry
+from snaplake.operators.bronze import (
+    classify_responses,
+    in_calls,
+    same_executions,
+    skip_ingested,
+    to_call_registry,
+    unregistered_calls,
+    without_calls,
+)
 from snaplake.operators.control import (
+    BROKEN,
     audit_close,
     audit_start,
     audit_state,
@@ -41,12 +57,18 @@ from snaplake.operators.control import (
     next_execution,
     pending_entities,
     quota_status,
-    rate_status,
+    rate_limit,
+    rate_verdicts,
     run_outcome,
+    with_broken_rules,
+    with_defaults,
 )
 from snaplake.operators.silver import latest_wins
 from snaplake.plans import lake
 from snaplake.schemas import (
+    API_CALL_REGISTRY,
+    BRONZE_REJECTS,
+    ENTITY_DEFAULTS,
     ENTITY_KEYS,
     JOIN_WINDOW_HOURS,
     LAKE_TABLES,
@@ -56,7 +78,17 @@ from snaplake.schemas import (
     ROLLING_DAYS,
 )
 from snaplake.session import ensure_checkpoint_dir, staged
-from snaplake.sources.io import append_table, drop_partitions, read_table, refresh_table, table_exists
+from snaplake.sources.io import (
+    CORRUPT,
+    SOURCE_FILE,
+    append_table,
+    compact_table,
+    drop_partitions,
+    finish_refresh,
+    read_table,
+    refresh_table,
+    table_exists,
+)
 
 
 @dataclass
@@ -74,6 +106,8 @@ class LakeConfig:
     partitioned: bool = True                    # tables partitioned by PARTITION_COLUMNS
     # Silver/Gold: recompute only the date slices that lie behind their marks (needs partitioned tables)
     incremental: bool = False
+    # control logs: partitions with more files than this are rewritten at the end of a run (paths only; 0: never)
+    compact_files: int = 32
     # catalog mode: lake tables in ``<database>_<environment>``, control tables in ``<database>_control``
     database: str | None = None
 
@@ -152,29 +186,56 @@ class _Marks:
 
     def __init__(self, spark: SparkSession, cfg: LakeConfig, run_id: str, as_of: _dt.datetime):
         self.spark, self.cfg, self.run_id = spark, cfg, run_id
-        rows = (_read_or_empty(spark, cfg, "refresh_marks", REFRESH_MARKS)
-                .groupBy("layer").agg(F.max(F.unix_micros("upto")).alias("upto")).collect())
+        self.table = _read_or_empty(spark, cfg, "refresh_marks", REFRESH_MARKS)
+        rows = self.table.groupBy("layer").agg(F.max(F.unix_micros("upto")).alias("upto")).collect()
         self.upto = {r["layer"]: r["upto"] for r in rows}
         own = int((utc_naive(as_of) - _dt.datetime(1970, 1, 1)) / _dt.timedelta(microseconds=1))
         self.stamp = max([own, *[u + 1 for u in self.upto.values()]])
+        self.notes: list[tuple] = []  # those of this run: (layer, low, high, dates)
+        self.lock = threading.Lock()
         self.leave("run")
 
     @property
     def now(self) -> _dt.datetime:
-        return _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=self.stamp)
-
-    def leave(self, layer: str) -> None:
-        row = self.spark.range(1).select(F.lit(layer).alias("layer"), ts_lit(self.now).alias("upto"),
-                                         F.lit(self.run_id).alias("pipeline_run_id"))
-        append_table(row, self.cfg.path("refresh_marks"), self.cfg.fmt)
-        self.upto[layer] = self.stamp
+        return self._time(self.stamp)
+
+    @staticmethod
+    def _time(micros: int) -> _dt.datetime:
+        return _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=micros)
+
+    def leave(self, layer: str, low: str | None = None, high: str | None = None, dates: list[_dt.date] | None = None) -> None:
+        row = self.spark.range(1).select(
+            F.lit(layer).alias("layer"), ts_lit(self.now).alias("upto"), F.lit(self.run_id).alias("pipeline_run_id"),
+            F.lit(low).cast("string").alias("low"), F.lit(high).cast("string").alias("high"),
+            (F.lit(None) if dates is None else F.split(F.lit(",".join(map(str, dates))), ",") if dates
+             else F.array()).cast("array<date>").alias("dates"))
+        with self.lock:  # two appends at once would commit each other's temporary folder
+            append_table(row, self.cfg.path("refresh_marks"), self.cfg.fmt)
+            self.upto[layer] = self.stamp
+            self.notes.append((layer, low, high, dates))
 
     def behind(self, layer: str, stamp_col: str) -> Column:
         """Rows that the layer has not taken in (a range the scan can skip row groups by)."""
         done = self.upto.get(layer)
         if done is None:
             return F.lit(True)
-        return F.col(stamp_col) > ts_lit(_dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=done))
+        return F.col(stamp_col) > ts_lit(self._time(done))
+
+    def notes_behind(self, layer: str, note: str) -> list[tuple] | None:
+        """(low, high, dates) of the notes that ``layer`` has not taken in; None
+        if there never was such a note (then nothing is known)."""
+        if note not in self.upto:
+            return None
+        rows = self.table.filter(F.col("layer") == F.lit(note)).filter(self.behind(layer, "upto")).collect()
+        own = [(low, high, dates) for of, low, high, dates in self.notes if of == note]
+        return [(r["low"], r["high"], r["dates"]) for r in rows] + own
+
+    def dates_behind(self, layer: str, table: str) -> list[_dt.date] | None:
+        """Dates of ``table`` touched since ``layer``'s mark; None if they are not known."""
+        notes = self.notes_behind(layer, f"{table}_dates")
+        if notes is None or any(dates is None for _, _, dates in notes):
+            return None
+        return sorted({d for _, _, dates in notes for d in dates})
 
 
 class _Stop(Exception):
@@ -215,6 +276,10 @@ _SILVER = {  # table -> (builder, observation time, date partition)
 }
 
 
+#: A rejected row as it landed.
+_RECORD = "rejected_record"
+
+
 class _Run:
     """The state of one run: its ids, its stamp and what its layers reported."""
 
@@ -222,6 +287,7 @@ class _Run:
         self.spark, self.cfg, self.as_of, self.run_id = spark, cfg, as_of, run_id
         self.activities: list[tuple[str, str, str | None]] = []
         self.entity_rows: DataFrame | None = None
+        self.registry_schema = API_CALL_REGISTRY
         self.result: dict = {}
         ensure_checkpoint_dir(spark)
 
@@ -229,12 +295,16 @@ class _Run:
     def open(self) -> None:
         """Execution context, the run's stamp, the PIPELINE row."""
         spark, cfg = self.spark, self.cfg
-        audit = audit_state(_read_or_empty(spark, cfg, "pipeline_audit", PIPELINE_AUDIT))
+        if not cfg.database:
+            for table in [*LAKE_TABLES, "api_call_registry", "pipeline_audit", "refresh_marks"]:
+                finish_refresh(spark, cfg.path(table))
+        own = (F.col("record_type") == "PIPELINE") & (F.col("environment") == cfg.environment)
+        audit = audit_state(_read_or_empty(spark, cfg, "pipeline_audit", PIPELINE_AUDIT).filter(own))
         envs = spark.range(1).select(F.lit(cfg.environment).alias("environment"))
         self.execution_id = next_execution(audit, envs, self.as_of).first()["execution_id"]
         self.marks = _Marks(spark, cfg, self.run_id, self.as_of)
         self.pipeline = audit_start(self._ids(spark.range(1)), "PIPELINE", self.as_of)
-        append_table(self.pipeline, cfg.path("pipeline_audit"), cfg.fmt)
+        _append(self.pipeline, cfg, "pipeline_audit")
         self.result = {"execution_id": self.execution_id, "pipeline_run_id": self.run_id, "layers": {}, "errors": {}}
 
     def _ids(self, df: DataFrame, *cols: Column) -> DataFrame:
@@ -252,7 +322,7 @@ class _Run:
             error = work()
         except Exception as e:  # the run's own record of any failure: closed in the audit, told in the result
             text = str(e) if isinstance(e, _Stop) else f"{type(e).__name__}: {e}"
-            self._report(name, "FAILED", text[:4000])
+            self._report(name, "FAILED", text)
             return True
         self._report(name, "FAILED" if error else "SUCCESS", error)
         return False
@@ -287,55 +357,117 @@ class _Run:
         error = "; ".join(f"{n}: {e}" for n, _, e in self.activities if e) or None
         end = self._ids(spark.range(1), F.lit("PIPELINE").alias("record_type"), F.lit(status).alias("final_status"),
                         F.lit(error).cast("string").alias("error_message"), ts_lit(self.as_of).alias("end_ts"))
-        append_table(closed.unionByName(audit_close(self.pipeline, end)), cfg.path("pipeline_audit"), cfg.fmt)
+        _append(closed.unionByName(audit_close(self.pipeline, end)), cfg, "pipeline_audit")
         self.result["status"] = status
+        if cfg.compact_files and not cfg.database:
+            schemas = {"api_call_registry": None, "pipeline_audit": PIPELINE_AUDIT, "refresh_marks": REFRESH_MARKS}
+            for table, schema in schemas.items():
+                compact_table(spark, cfg.path(table), cfg.fmt, cfg.partition(table) or (), cfg.compact_files,
+                              schema or self.registry_schema, audit_state if table == "pipeline_audit" else None)
         return self.result
 
     # ------------------------------------------------------------ layers
     def bronze(self, landing: DataFrame, limits: DataFrame, entities: DataFrame | None) -> str | None:
-        """Quota and rate verdicts, registry, classify, idempotency, append."""
+        """Registry, quota, classify, reject, rate verdicts, idempotency, append."""
         spark, cfg, keys = self.spark, self.cfg, self.cfg.keys
-        # classified once, stamped with the run: the checks below read it several times
-        batch = classify_responses(landing, now=self.marks.now).checkpoint(eager=True)
+        batch, rejected = self._landed(landing)
         calls = to_call_registry(batch, cfg.environment, keys)
-        registry = _read_or_empty(spark, cfg, "api_call_registry", calls.schema)
-        if entities is None:
-            entities = batch.select(*keys).distinct().select(
-                F.lit(None).cast("int").alias("entity_id"), *keys,
-                F.lit(cfg.environment).alias("environment"), F.lit(True).alias("is_active"))
-        self.result["pending"] = pending_entities(entities, registry, cfg.environment, self.execution_id, keys).count()
+        self.registry_schema = calls.schema
+        registry = _read_or_empty(spark, cfg, "api_call_registry", calls.schema).select(*calls.columns)
+        every_entity = batch.select(*keys).distinct().select(
+            F.lit(None).cast("int").alias("entity_id"), *keys,
+            F.lit(cfg.environment).alias("environment"), F.lit(True).alias("is_active"))
+        listed = every_entity if entities is None else with_defaults(entities, ENTITY_DEFAULTS)
+        self.result["pending"] = pending_entities(listed, registry, cfg.environment, self.execution_id, keys).count()
 
         # every landed call is spent, also one that Bronze will not keep; a replayed one was counted
-        new_calls = staged(calls.join(same_executions(registry, calls).select("execution_id", "call_ts", *keys),
-                                      on=["execution_id", "call_ts", *keys], how="left_anti").select(*calls.columns), "calls")
-        verdict = quota_status(registry, limits, self.as_of, new_calls.count()).first()
+        new_calls = staged(unregistered_calls(calls, registry, keys), "calls")
+        _append(new_calls, cfg, "api_call_registry")  # first of all: what was spent must never be lost
+        spent = registry.unionByName(new_calls)
+        # of the listed entities, those that neither this execution nor this batch has called: calls still to be spent
+        called = spent.filter(F.col("execution_id") == self.execution_id).unionByName(
+            calls.withColumn("execution_id", F.lit(self.execution_id)))
+        rest = 0 if entities is None else pending_entities(listed, called, cfg.environment, self.execution_id, keys).count()
+        verdict = quota_status(spent, limits, self.as_of, rest).first()
         self.result["quota"] = verdict.asDict()
         if verdict["verdict_code"] is not None:
             raise _Stop(f"quota verdict {verdict['verdict_code']}")
-        rate = rate_status(registry, limits, self.as_of).first()
-        self.result["rate"] = rate.asDict()
-        if rate["verdict_code"] is not None:
-            # blocked, not ingested: the batch is picked up by the next run
-            return f"rate verdict {rate['verdict_code']}"
-
-        _append(new_calls, cfg, "api_call_registry")  # before Bronze: quota must not be lost with it
-        stored = same_executions(_read_or_empty(spark, cfg, "bronze_snapshot", batch.schema), batch)
+
+        blocked = self._blocked(calls, spent, limits)
+        accepted = batch.filter(F.size(BROKEN) == 0).drop(BROKEN, _RECORD, SOURCE_FILE)
+        stored = same_executions(_read_or_empty(spark, cfg, "bronze_snapshot", accepted.schema), accepted)
         # Reliable copy, not a cache: once Bronze holds these rows, a
         # recomputation (lost executor) would run the idempotency check
         # against them and drop them all.
-        todo = staged(skip_ingested(batch, stored, keys, order_cols=("api_call_ts", *cfg.extra)), "todo")
-        _append(todo, cfg, "bronze_snapshot")
+        seen, ok = Observation("bronze-todo"), F.col("api_result") == "SUCCESS"
+        todo = skip_ingested(without_calls(accepted, blocked, keys), stored, keys, order_cols=("api_call_ts", *cfg.extra))
+        todo = staged(todo.observe(seen, F.count_if(~ok).alias("failed"), F.min("execution_id").alias("low"),
+                                   F.max("execution_id").alias("high")), "todo")
+        found = seen.get
+        if found["low"] is not None:  # before Bronze holds the rows: where they are is known once they are there
+            self.marks.leave("bronze_rows", found["low"], found["high"])
+            _append(todo, cfg, "bronze_snapshot")
+        elif not table_exists(spark, cfg.path("bronze_snapshot")):
+            _append(todo, cfg, "bronze_snapshot")
         named = dict(zip(("entity", "state", "country"), keys))
-        ok = F.col("api_result") == "SUCCESS"
-        self.entity_rows = todo.groupBy(*keys).agg(F.max(ok).alias("ok"), F.max(F.when(~ok, F.substring("error_message", 1, 4000)))
-                                                   .alias("error")).select(
+        # the entity's own last error, as the last of its calls left it
+        last = F.max(F.when(~ok, F.struct("api_call_ts", "error_message")))["error_message"]
+        self.entity_rows = todo.groupBy(*keys).agg(F.max(ok).alias("ok"), last.alias("error")).select(
             F.lit("bronze_ingestion").alias("activity_name"), F.lit("bronze").alias("layer"),
             F.when(F.col("ok"), F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("final_status"),
             F.when(~F.col("ok"), F.col("error")).alias("error_message"),
             *[(F.col(named[c]).cast("string") if c in named else F.lit(None).cast("string")).alias(c)
               for c in ("entity", "state", "country")])
-        failed = todo.filter(~ok).count()
-        return f"{failed} entity call(s) failed" if failed else None
+        rate = self.result["rate"]
+        told = [f"rate verdict {rate['verdict_code']}: {rate['blocked']} call(s) blocked, the first at {rate['first_blocked']}"
+                if rate["blocked"] else None,
+                f"{found['failed']} entity call(s) failed" if found["failed"] else None,
+                f"{rejected} record(s) rejected" if rejected else None]
+        return "; ".join(t for t in told if t) or None
+
+    def _landed(self, landing: DataFrame) -> tuple[DataFrame, int]:
+        """(the classified batch with the rules that its rows break, how many break one).
+
+        One pass: rows are classified, stamped and checked as they are written
+        to the shared folder, and counted by that write.  Rows that could not
+        be read, or lack what Bronze must have, go to the reject table, once."""
+        spark, cfg, keys = self.spark, self.cfg, self.cfg.keys
+        corrupt = F.col(CORRUPT) if CORRUPT in landing.columns else F.lit(None).cast("string")
+        file = F.col(SOURCE_FILE) if SOURCE_FILE in landing.columns else F.lit(None).cast("string")
+        fields = [c for c in landing.columns if c not in (CORRUPT, SOURCE_FILE)]
+        checked = with_broken_rules(landing, not_null=["execution_id", *keys])
+        broken = F.when(corrupt.isNotNull(), F.array(F.lit("unreadable"))).otherwise(F.col(BROKEN))
+        record = F.when(corrupt.isNotNull() | (F.size(BROKEN) > 0), F.coalesce(corrupt, F.to_json(F.struct(*fields))))
+        checked = checked.withColumn(_RECORD, record).withColumn(SOURCE_FILE, file).withColumn(BROKEN, broken).drop(CORRUPT)
+        seen = Observation("bronze-landed")
+        batch = staged(classify_responses(checked, now=self.marks.now).observe(
+            seen, F.count_if(F.size(BROKEN) > 0).alias("rejected")), "batch")
+        rejected = seen.get["rejected"]
+        if rejected:
+            rows = self._ids(batch.filter(F.size(BROKEN) > 0), F.array_join(BROKEN, ",").alias("reason"),
+                             F.col(_RECORD).alias("record"), F.col(SOURCE_FILE), F.col("ingestion_ts")).drop("environment")
+            same = ["reason", "record", "source_file"]
+            known = _read_or_empty(spark, cfg, "bronze_rejects", BRONZE_REJECTS).select(F.struct(*same).alias("__sl_key"))
+            rows = staged(rows.withColumn("__sl_key", F.struct(*same)).join(known, "__sl_key", "left_anti").drop("__sl_key"), "rejects")
+            _append(rows, cfg, "bronze_rejects")
+        self.result["rejected"] = rejected
+        return batch, rejected
+
+    def _blocked(self, calls: DataFrame, spent: DataFrame, limits: DataFrame) -> DataFrame:
+        """The batch's calls that came when the trailing minute was full."""
+        us, like, limit = F.unix_micros(F.col("call_ts").cast("timestamp")), calls.schema["call_ts"].dataType, rate_limit(limits)
+        low, high = calls.agg(F.min(us), F.max(us)).first()
+        near = F.lit(False) if low is None else F.col("call_ts").between(
+            ts_lit(_Marks._time(low - 60_000_000), like), ts_lit(_Marks._time(high), like))
+        verdicts = rate_verdicts(spent.filter(near), limit, tiebreak=["execution_id", *self.cfg.keys])
+        full = verdicts.filter(F.col("verdict_code").isNotNull())
+        seen = Observation("bronze-blocked")
+        blocked = staged(in_calls(full, calls, self.cfg.keys).observe(
+            seen, F.count(F.lit(1)).alias("blocked"), F.min("call_ts").cast("string").alias("first"), F.max("verdict_code").alias("code")), "blocked")
+        found = seen.get
+        self.result["rate"] = {"max_calls_per_minute": limit, "blocked": found["blocked"], "verdict_code": found["code"],
+                               "first_blocked": found["first"]}
+        return blocked
 
     def _stamp(self, df: DataFrame, layer: str) -> DataFrame:
         return lake.stamp(df, layer, self.execution_id, self.run_id, self.marks.now)
@@ -351,6 +483,10 @@ class _Run:
         slices = cfg.incremental and cfg.partitioned and all(table_exists(spark, cfg.path(t)) for t in _SILVER)
         if slices:
             bronze = bronze.filter(self.marks.behind("silver", "ingestion_ts"))
+            notes = self.marks.notes_behind("silver", "bronze_rows")
+            if notes is not None:  # the executions those rows are in: only their partitions are opened
+                low, high = min((n[0] for n in notes), default=None), max((n[1] for n in notes), default=None)
+                bronze = bronze.filter(F.col("execution_id").between(F.lit(low), F.lit(high)))
         # one parse feeds both tables
         parsed = staged(lake.parsed_snapshots(bronze, keys, extra=extra), "parsed")
 
@@ -358,10 +494,12 @@ class _Run:
             build, ts_col, date_col = _SILVER[table]
             new = build(parsed, keys, cfg.version_cols, extra=extra)
             if not slices:
+                self.marks.leave(f"{table}_dates")
                 _write(self._stamp(new, "silver"), cfg, table)
                 return 0
-            # one entry per calendar day
+            # one entry per calendar day; told before the table changes, so that Gold never misses one
             dates = sorted(r[0] for r in new.select(date_col).distinct().collect())
+            self.marks.leave(f"{table}_dates", dates=dates)
             if dates:
                 # Latest-wins is associative: stored rows of those dates and the
                 # new ones give what all of Bronze would; only their folders are read
@@ -376,66 +514,93 @@ class _Run:
         self.marks.leave("silver")
 
     def check_silver(self) -> str | None:
-        """Keys of both Silver tables are unique and complete."""
+        """Keys of both Silver tables are unique and complete, in the dates that this run touched."""
         found = {}
         for table, (_, ts_col, date_col) in _SILVER.items():
             if table_exists(self.spark, self.cfg.path(table)):
                 df = read_table(self.spark, self.cfg.path(table), self.cfg.fmt)
+                own = [dates for layer, _, _, dates in self.marks.notes if layer == f"{table}_dates"]
+                if own and all(dates is not None for dates in own):
+                    df = df.filter(F.col(date_col).isin([d for dates in own for d in dates]))
                 found[table] = constraint_violations(df, [*self.cfg.keys, ts_col], not_null=[*self.cfg.keys, date_col]).count()
         self.result["dq"] = found
         broken = {t: n for t, n in found.items() if n}
         return f"constraint violations: {broken}" if broken else None
 
     def gold(self) -> None:
-        """Gold from Silver; in slices, from the Silver dates behind Gold's mark.
+        """Gold from Silver by way of mergeable day states; in slices, from the dates behind Gold's mark.
 
+        * day states: (sum, max, count) per entity-day, and co-moments of the
+          nearest pairs per entity-day; only touched days are read from Silver
+          (for pairs, those a touched weather day can reach too);
         * daily metrics: a day d changes the 7-day window of d .. d+6; those
-          dates are recomputed from Silver days d-6 .. d+6 (each output date sees
-          every entity of that date, so the per-date rank is complete);
-        * category days: the months of the touched days;
-        * weather correlation: the months of touched pollution days, and of
-          weather days within the join tolerance of a month."""
+          dates are rebuilt from the states of d-6 .. d+6 (each output date
+          sees every entity of that date, so the per-date rank is complete);
+        * category days and correlations: touched months, merged from the
+          states of their days; no observation or pair of a month is read again."""
         spark, cfg, keys = self.spark, self.cfg, self.cfg.keys
         if not all(table_exists(spark, cfg.path(t)) for t in _SILVER):
             return
         pol_all, wea_all = (read_table(spark, cfg.path(t), cfg.fmt) for t in _SILVER)
+        states = ("gold_daily_state", "gold_pair_state")
         gold_tables = ("gold_daily_metrics", "gold_category_days_by_month", "gold_weather_correlation_by_month")
-        if not (cfg.incremental and cfg.partitioned and all(table_exists(spark, cfg.path(t)) for t in gold_tables)):
-            daily = staged(lake.daily_aqi(pol_all, keys), "daily")
+        slices = cfg.incremental and cfg.partitioned and all(table_exists(spark, cfg.path(t)) for t in (*states, *gold_tables))
+
+        def write_all(table: str, df: DataFrame) -> None:
+            _write(self._stamp(df, "gold"), cfg, table)
+
+        def state(table: str) -> DataFrame:
+            return read_table(spark, cfg.path(table), cfg.fmt)
+
+        if not slices:
+            _concurrently({"gold_daily_state": lambda: write_all("gold_daily_state", lake.daily_state(pol_all, keys)),
+                           "gold_pair_state": lambda: write_all("gold_pair_state", lake.pair_state(pol_all, wea_all, keys))})
+            daily = lake.daily_of_state(state("gold_daily_state"), keys)
             builds = dict(zip(gold_tables, (lambda: lake.gold_daily_metrics(daily, keys), lambda: lake.gold_category_days(daily, keys),
-                                            lambda: lake.gold_weather_correlation(pol_all, wea_all, keys))))
-            _concurrently({t: (lambda t=t, b=b: _write(self._stamp(b(), "gold"), cfg, t)) for t, b in builds.items()})
+                                            lambda: lake.correlation_of_state(state("gold_pair_state"), keys))))
+            _concurrently({t: (lambda t=t, b=b: write_all(t, b())) for t, b in builds.items()})
             self.marks.leave("gold")
             return
 
-        def touched(df: DataFrame, date_col: str) -> list[_dt.date]:
+        def touched(df: DataFrame, table: str, date_col: str) -> list[_dt.date]:
+            dates = self.marks.dates_behind("gold", table)
+            if dates is not None:
+                return dates
             rows = df.filter(self.marks.behind("gold", "silver_ingestion_ts")).select(date_col).distinct().collect()
             return sorted(r[0] for r in rows)
 
-        tp, tw = touched(pol_all, "pollution_date"), touched(wea_all, "weather_date")
+        tp, tw = touched(pol_all, "silver_pollution", "pollution_date"), touched(wea_all, "silver_weather", "weather_date")
+        reach, span = math.ceil(JOIN_WINDOW_HOURS / 24), ROLLING_DAYS - 1  # days a weather row, a rolling window can reach
+        pair_days = sorted({*tp, *_days_around(tw, reach, reach)})
+        date = F.col("date")
+
+        def write(table: str, df: DataFrame, in_slice: Column) -> Callable[[], str]:
+            return lambda: _write_slices(self._stamp(df, "gold"), cfg, table, in_slice)
+
         jobs: dict[str, Callable[[], str]] = {}
         if tp:
-            span = ROLLING_DAYS - 1
-            out_days = _days_around(tp, 0, span)
-            near = pol_all.filter(F.col("pollution_date").isin(_days_around(tp, span, span)))
-            daily = lake.daily_aqi(near, keys)
-            jobs["gold_daily_metrics"] = lambda: _write_slices(
-                self._stamp(lake.gold_daily_metrics(daily, keys).filter(F.col("date").isin(out_days)), "gold"), cfg,
-                "gold_daily_metrics", F.col("date").isin(out_days))
-            months_p = _months(tp)
-            in_months = pol_all.filter(_month_of(F.col("pollution_date")).isin(months_p))
-            jobs["gold_category_days_by_month"] = lambda: _write_slices(
-                self._stamp(lake.gold_category_days(lake.daily_aqi(in_months, keys), keys), "gold"), cfg,
-                "gold_category_days_by_month", _month_of(F.col("month_start")).isin(months_p))
-        reach = math.ceil(JOIN_WINDOW_HOURS / 24)  # days a weather row can reach
-        months = _months([*tp, *_days_around(tw, reach, reach)])
-        if months:
-            pol_c = pol_all.filter(_month_of(F.col("pollution_date")).isin(months))
-            wday = F.col("weather_date")
-            wea_c = wea_all.filter(_month_of(F.date_add(wday, reach)).isin(months)
-                                   | _month_of(F.date_sub(wday, reach)).isin(months))
-            jobs["gold_weather_correlation_by_month"] = lambda: _write_slices(
-                self._stamp(lake.gold_weather_correlation(pol_c, wea_c, keys), "gold"), cfg,
-                "gold_weather_correlation_by_month", _month_of(F.col("month_start")).isin(months))
+            jobs["gold_daily_state"] = write("gold_daily_state", lake.daily_state(
+                pol_all.filter(F.col("pollution_date").isin(tp)), keys), date.isin(tp))
+        if pair_days:
+            jobs["gold_pair_state"] = write("gold_pair_state", lake.pair_state(
+                pol_all.filter(F.col("pollution_date").isin(pair_days)),
+                wea_all.filter(F.col("weather_date").isin(_days_around(pair_days, reach, reach))), keys), date.isin(pair_days))
         self.result["gold_writes"] = _concurrently(jobs)
+        jobs = {}
+        if tp:
+            out_days, months = _days_around(tp, 0, span), _months(tp)
+            daily = lake.daily_of_state(state("gold_daily_state"), keys)
+            near = daily.filter(date.isin(_days_around(tp, span, span)))
+            jobs["gold_daily_metrics"] = write("gold_daily_metrics", lake.gold_daily_metrics(near, keys).filter(date.isin(out_days)),
+                                               date.isin(out_days))
+            jobs["gold_category_days_by_month"] = write(
+                "gold_category_days_by_month", lake.gold_category_days(daily.filter(_month_of(date).isin(months)), keys),
+                _month_of(F.col("month_start")).isin(months))
+        if pair_days:
+            months = _months(pair_days)
+            jobs["gold_weather_correlation_by_month"] = write(
+                "gold_weather_correlation_by_month",
+                lake.correlation_of_state(state("gold_pair_state").filter(_month_of(date).isin(months)), keys),
+                _month_of(F.col("month_start")).isin(months))
+        self.result["gold_writes"] |= _concurrently(jobs)
         self.marks.leave("gold")

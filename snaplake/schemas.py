@@ -10,6 +10,7 @@ observations inside a JSON payload) is described.
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    ArrayType,
     BooleanType,
     DateType,
     DoubleType,
@@ -180,8 +181,31 @@ PIPELINE_AUDIT = _schema(
 
 # What each layer has taken in: rows stamped up to ``upto`` are in it.  Layer
 # ``run`` keeps the stamps of all runs, finished or not, so stamps only grow.
+# ``bronze_rows`` tells between which executions the rows of a stamp are,
+# ``<table>_dates`` which dates of a table a stamp touched (NULL: any).
 REFRESH_MARKS = _schema(
     ("layer", S, False), ("upto", T, False), ("pipeline_run_id", S, True),
+    ("low", S, True), ("high", S, True), ("dates", ArrayType(DT), True),
+)
+
+# Landed records that Bronze does not take, with the run that met them.
+BRONZE_REJECTS = _schema(
+    ("execution_id", S, False), ("pipeline_run_id", S, True), ("reason", S, False), ("record", S, True),
+    ("source_file", S, True), ("ingestion_ts", T, True),
+)
+
+# Mergeable day states that the Gold tables are built from.
+_MOMENTS = StructType([StructField(n, L if n == "n" else D, True)
+                       for n in ("n", "mx", "my", "sxx", "syy", "sxy", "lox", "hix", "loy", "hiy")])
+GOLD_DAILY_STATE = _schema(
+    *_keys(), ("date", DT, True), ("sum_aqi_us", L, True), ("max_aqi_us", I, True), ("observations_cnt", L, True),
+    ("gold_ingestion_ts", T, True), ("execution_id", S, True), ("pipeline_run_id", S, True),
+)
+GOLD_PAIR_STATE = _schema(
+    *_keys(), ("date", DT, True), ("pairs_cnt", L, True), ("aqi_temp_corr", _MOMENTS, True),
+    ("aqi_humidity_corr", _MOMENTS, True), ("aqi_pressure_corr", _MOMENTS, True),
+    ("aqi_wind_speed_corr", _MOMENTS, True),
+    ("gold_ingestion_ts", T, True), ("execution_id", S, True), ("pipeline_run_id", S, True),
 )
 
 # Lake tables by logical name (used by ensure_tables).
@@ -192,6 +216,9 @@ LAKE_TABLES = {
     "gold_daily_metrics": GOLD_DAILY_METRICS,
     "gold_weather_correlation_by_month": GOLD_WEATHER_CORRELATION,
     "gold_category_days_by_month": GOLD_CATEGORY_DAYS,
+    "bronze_rejects": BRONZE_REJECTS,
+    "gold_daily_state": GOLD_DAILY_STATE,
+    "gold_pair_state": GOLD_PAIR_STATE,
 }
 CONTROL_TABLES = {
     "api_call_registry": API_CALL_REGISTRY,
@@ -205,9 +232,17 @@ PARTITION_COLUMNS = {
     # raw log and call registry by run context: a run's probes read one folder
     "bronze_snapshot": "execution_id",
     "api_call_registry": "execution_id",
+    "bronze_rejects": "execution_id",
+    # few PIPELINE rows apart from the many ACTIVITY rows: a run looks for its predecessor only there
+    "pipeline_audit": "record_type",
     "silver_pollution": "pollution_date",
     "silver_weather": "weather_date",
     "gold_daily_metrics": "date",
     "gold_weather_correlation_by_month": "month_start",
     "gold_category_days_by_month": "month_start",
+    "gold_daily_state": "date",
+    "gold_pair_state": "date",
 }
+
+# Column DEFAULTs of the entity list.
+ENTITY_DEFAULTS = {"environment": DEFAULT_ENVIRONMENT, "is_active": True}

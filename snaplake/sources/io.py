@@ -16,7 +16,8 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from snaplake.schemas import CONTROL_TABLES, LAKE_TABLES, LANDING, PARTITION_COLUMNS
 from snaplake.session import staged
@@ -62,14 +63,28 @@ def read_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_landing(spark: SparkSession, path: str, fmt: str = "json",
-                 schema: StructType = LANDING) -> DataFrame:
+#: Columns of a landing read with ``quarantine``: the text of a record that could not be read whole, and its file.
+CORRUPT, SOURCE_FILE = "corrupt_record", "source_file"
+
+
+def read_landing(spark: SparkSession, path: str, fmt: str = "json", schema: StructType = LANDING,
+                 quarantine: bool = False) -> DataFrame:
     """Landed API responses (one record per attempt) with an explicit schema
-    - never inferred, so a new file cannot change the types."""
+    - never inferred, so a new file cannot change the types.
+
+    ``quarantine`` adds two columns in the same pass: the text of a record that
+    is no JSON object, or whose fields do not have the schema's types, and the
+    file of every record.  A run writes such records to the reject table
+    instead of taking them for rows of NULLs."""
     reader = spark.read.schema(schema)
-    if fmt == "json":
+    if fmt != "json":
+        df = reader.format(fmt).load(path)
+        return df.withColumns({CORRUPT: F.lit(None).cast("string"), SOURCE_FILE: F.col("_metadata.file_path")}) if quarantine else df
+    if not quarantine:
         return reader.option("mode", "PERMISSIVE").json(path)
-    return reader.format(fmt).load(path)
+    reader = spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
+    df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
 
 def _clustered(df: DataFrame, partition_by: Sequence[str] | None) -> DataFrame:
@@ -121,6 +136,83 @@ def _replace_folder(df: DataFrame, target: str, fmt: str, partition_by: Sequence
     spark.catalog.refreshByPath(base)
 
 
+def _leaves(fs, top, depth: int) -> list[str]:
+    """Partition folders ``depth`` levels below ``top``, as paths relative to it."""
+    found = [""]
+    for _ in range(depth):
+        found = [f"{at}/{st.getPath().getName()}".lstrip("/") for at in found
+                 for st in fs.listStatus(top.suffix(f"/{at}") if at else top)
+                 if st.isDirectory() and "=" in st.getPath().getName()]
+    return found
+
+
+def _swap_slices(spark: SparkSession, base: str, mark: str, depth: int) -> None:
+    """Put the partition folders of ``base._slices-mark`` in the place of those of
+    ``base``, one by one.  Started again after a failure it goes on where it
+    stopped: a folder that was moved is no longer there."""
+    fs, new = _hadoop(spark, f"{base}._slices-{mark}")
+    old = f"{base}._old-{mark}"
+
+    def move(src, dst) -> None:
+        fs.mkdirs(dst.getParent())
+        if not fs.rename(src, dst):
+            raise OSError(f"could not move {src} to {dst}; the new data of {base} is in {new}")
+
+    for leaf in _leaves(fs, new, depth):
+        _, at = _hadoop(spark, f"{base}/{leaf}")
+        _, aside = _hadoop(spark, f"{old}/{leaf}")
+        if fs.exists(at):
+            fs.delete(aside, True)
+            move(at, aside)
+        move(new.suffix(f"/{leaf}"), at)
+    fs.delete(_hadoop(spark, old)[1], True)
+    fs.delete(new, True)
+    spark.catalog.refreshByPath(base)
+
+
+def _replace_slices(df: DataFrame, target: str, fmt: str, partition_by: Sequence[str]) -> None:
+    """Write the new partitions completely beside ``target``, then swap them in.
+
+    The folder gets the name ``_slices-`` only once it is complete: that name
+    is the record of what is to be done, and :func:`finish_refresh` does it
+    after a failure."""
+    spark = df.sparkSession
+    base, mark = target.rstrip("/"), uuid.uuid4().hex[:12]
+    partial, ready = f"{base}._part-{mark}", f"{base}._slices-{mark}"
+    _writer(df, "errorifexists", fmt, partition_by).save(partial)
+    fs, at = _hadoop(spark, partial)
+    if not fs.rename(at, _hadoop(spark, ready)[1]):
+        raise OSError(f"could not name the complete slices {ready}; they are in {partial}")
+    _swap_slices(spark, base, mark, len(partition_by))
+
+
+def finish_refresh(spark: SparkSession, target: str) -> int:
+    """Finish slice refreshes of a path that a failure cut off, oldest first,
+    and clear what never became complete; how many were finished."""
+    if not _is_path(target):
+        return 0
+    base = target.rstrip("/")
+    fs, at = _hadoop(spark, base)
+    if not fs.exists(at.getParent()):
+        return 0
+    done, name = 0, at.getName()
+    beside = sorted(fs.listStatus(at.getParent()), key=lambda st: st.getModificationTime())
+    for st in beside:
+        own = st.getPath().getName()
+        if own.startswith(f"{name}._slices-"):
+            depth, below = 0, st.getPath()
+            while True:  # as deep as its folders are partitions
+                inner = [i for i in fs.listStatus(below) if i.isDirectory() and "=" in i.getPath().getName()]
+                if not inner:
+                    break
+                depth, below = depth + 1, inner[0].getPath()
+            _swap_slices(spark, base, own.rsplit("-", 1)[1], depth)
+            done += 1
+        elif own.startswith(f"{name}._part-"):
+            fs.delete(st.getPath(), True)
+    return done
+
+
 def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
                   partition_by: Sequence[str] | None = None, replace: str = "slices") -> None:
     """Full-refresh sink.
@@ -131,9 +223,11 @@ def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
     whole table, so a partition missing from ``df`` disappears.  Without
     ``partition_by`` the whole table is replaced.
 
-    ``df`` may read the target: slices are committed after the last task has
-    read its input, a whole folder is written beside the old one, and data for
-    a catalog table is staged first.  Into a catalog table columns go by name.
+    ``df`` may read the target: new partitions, or the whole new folder, are
+    written beside the old ones and moved in when they are complete, and data
+    for a catalog table is staged first.  Into a catalog table columns go by
+    name.  A failure while partitions are moved is made good by the next
+    refresh of the path, or by :func:`finish_refresh`.
     """
     if replace not in ("slices", "all"):
         raise ValueError("replace must be 'slices' or 'all'")
@@ -141,8 +235,12 @@ def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
     slices = bool(partition_by) and replace == "slices"
     mode = "dynamic" if slices else "static"
     if _is_path(target):
-        if slices or fmt not in FILE_FORMATS:
+        if fmt not in FILE_FORMATS:
             _writer(df, "overwrite", fmt, partition_by, {"partitionOverwriteMode": mode}).save(target)
+            return
+        finish_refresh(spark, target)
+        if slices and table_exists(spark, target):
+            _replace_slices(df, target, fmt, partition_by)
         else:
             _replace_folder(df, target, fmt, partition_by)
     elif spark.catalog.tableExists(target):
@@ -152,6 +250,38 @@ def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
         _writer(df, "overwrite", fmt, partition_by).saveAsTable(target)
 
 
+def compact_table(spark: SparkSession, target: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
+                  max_files: int = 16, schema: StructType | None = None, fold=None) -> int:
+    """Rewrite the partitions of a path that hold more than ``max_files`` files,
+    each into as few as its size needs; how many were rewritten.
+
+    Append-only logs gain a set of files per run.  Only file counts come to the
+    driver; the rows stay, or are what ``fold`` (DataFrame -> DataFrame, of the
+    whole table) makes of them.  The swap is that of a refresh, so a failure
+    leaves one complete copy."""
+    finish_refresh(spark, target)
+    if not _is_path(target) or fmt not in FILE_FORMATS or not table_exists(spark, target):
+        return 0
+    base = target.rstrip("/")
+    fs, at = _hadoop(spark, base)
+
+    def files(leaf: str) -> int:
+        return sum(st.isFile() and not st.getPath().getName().startswith(("_", "."))
+                   for st in fs.listStatus(at.suffix(f"/{leaf}") if leaf else at))
+
+    crowded = [leaf for leaf in _leaves(fs, at, len(partition_by)) if files(leaf) > max_files]
+    if not crowded:
+        return 0
+    reader = spark.read.format(fmt)
+    reader = reader.schema(schema) if schema is not None else reader
+    if fold is not None or not partition_by:
+        rows = fold(reader.load(base)) if fold else reader.load(base)
+        _replace_folder(rows if partition_by else rows.hint("rebalance"), base, fmt, partition_by)
+    else:
+        _replace_slices(reader.option("basePath", base).load([f"{base}/{leaf}" for leaf in crowded]), base, fmt, partition_by)
+    return len(crowded)
+
+
 def drop_partitions(spark: SparkSession, target: str, values: Sequence, partition: str) -> None:
     """Remove whole partitions of a path or catalog table by their values."""
     for value in values:

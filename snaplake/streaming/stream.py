@@ -4,7 +4,7 @@
   snapshot table.  Each micro-batch is classified, checked against what is
   already in Bronze (and against itself) and appended.  The batch is written
   into its own ``execution_id=<e>/stream_batch=<id>`` partitions with dynamic
-  partition overwrite, and the idempotency check (which reads only the
+  replacement, and the idempotency check (which reads only the
   partitions of the batch's executions) ignores that batch id, so a batch
   that is replayed after a failure rewrites itself instead of appending
   twice: the sink is exactly-once.
@@ -29,7 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from snaplake.operators.bronze import classify_responses, same_executions, skip_ingested, to_call_registry
+from snaplake.operators.bronze import (
+    classify_responses,
+    same_executions,
+    skip_ingested,
+    to_call_registry,
+    unregistered_calls,
+)
 from snaplake.operators.silver import latest_wins
 from snaplake.plans import lake
 from snaplake.schemas import ENTITY_KEYS, LANDING
@@ -45,8 +51,8 @@ JSON_TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def _start(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint_location: str,
-           available_now: bool, processing_time: str | None, name: str | None):
-    w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint_location)
+           available_now: bool, processing_time: str | None, name: str | None, output_mode: str = "append"):
+    w = stream.writeStream.outputMode(output_mode).foreachBatch(fn).option("checkpointLocation", checkpoint_location)
     if name:
         w = w.queryName(name)
     if available_now:
@@ -88,8 +94,14 @@ def stream_bronze(spark: SparkSession, landing_path: str, bronze_path: str, chec
         todo = staged(skip_ingested(classified, stored, keys, order_cols=order_cols)
                       .withColumn(BATCH_COL, F.lit(batch_id).cast("long")), "stream-batch")
         if registry_path:  # before Bronze: a call is spent even if the rest fails
-            reg = to_call_registry(todo, environment, keys).withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-            refresh_table(reg, registry_path, partition_by=[BATCH_COL])
+            # every landed call, also one that Bronze does not keep, once: one rule with a refresh run
+            calls = to_call_registry(classified, environment, keys)
+            if table_exists(s, registry_path):
+                known = s.read.schema(StructType([*calls.schema.fields, StructField(BATCH_COL, LongType(), True)])) \
+                    .parquet(registry_path).filter(F.col(BATCH_COL) != F.lit(batch_id))
+                calls = unregistered_calls(calls, known, keys)
+            refresh_table(staged(calls.withColumn(BATCH_COL, F.lit(batch_id).cast("long")), "stream-calls"),
+                          registry_path, partition_by=[BATCH_COL])
         refresh_table(todo, bronze_path, partition_by=BRONZE_PARTITIONS)
 
     q = _start(stream, write_batch, checkpoint_location, available_now, processing_time, name)

@@ -44,16 +44,53 @@ def test_nearest_unsplit_has_no_join_and_one_shuffle(spark):
         assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1, unit
 
 
-def test_nearest_split_shuffles_the_rows_once(spark):
-    """All other shuffles of the default plan carry one row per chunk (an
-    aggregate's output), never the rows."""
+def _final_plan(df) -> str:
+    """The plan that ran, without the initial one beside it; no broadcasts, as with tables of any size."""
+    df.collect()
+    return _plan(df).split("== Initial Plan ==")[0]
+
+
+def test_nearest_reads_each_side_once_and_shuffles_the_rows_once(spark):
+    """In the plan that ran, at any split: one scan a side, one shuffle of the
+    rows; what else moves is an aggregate's output, one row per chunk."""
     clicks, purchases = _clicks(spark)
-    for unit, scans in (("microsecond", 2), ("second", 3)):
-        plan = _plan(c.nearest_join(clicks, purchases, ["user_id"], "click_ts", "purchase_ts", c.TOLERANCE, unit=unit))
-        rows = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "REPARTITION_BY_COL" in x]
-        keyed = {x.split("hashpartitioning(")[1].split("),")[0].replace("#", " ").split(",")[1].split(" ")[1] for x in rows}
-        assert keyed == {"__sl_ck"}, plan
-        assert "CartesianProduct" not in plan and "NestedLoop" not in plan and scans
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for unit in ("microsecond", "second"):
+            for split in (1, 8):
+                plan = _final_plan(c.nearest_join(clicks, purchases, ["user_id"], "click_ts", "purchase_ts", c.TOLERANCE, left_id=["click_id"],
+                                                  tiebreak=["purchase_id"], unit=unit, split=split))
+                assert plan.count("FileScan parquet") == 2, (unit, split, plan)
+                shuffled = [x for x in plan.splitlines() if "REPARTITION_BY_COL" in x]
+                assert sum("ReusedExchange" not in x for x in shuffled) == 1 and len(shuffled) == (1 if split == 1 else 2), (unit, split, plan)
+                assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_gold_correlation_reads_both_silver_tables_once(spark, tmp_path):
+    for table, df in zip(("p", "w"), c._lake_silver(spark, SF)):
+        df.write.parquet(str(tmp_path / table))
+    from snaplake.plans import lake
+
+    sides = [spark.read.parquet(str(tmp_path / t)) for t in ("p", "w")]
+    for build in (lake.gold_weather_correlation, lake.pair_state):
+        plan = _final_plan(build(*sides, ["user_id"]))
+        assert plan.count("FileScan parquet") == 2, plan
+
+
+def test_a_run_finds_its_predecessor_in_the_pipeline_partition(spark, tmp_path):
+    from snaplake.operators.control import audit_start, audit_state
+    from snaplake.schemas import PIPELINE_AUDIT
+    from snaplake.sources.io import append_table, read_table
+
+    run = spark.createDataFrame([("e", "r", "dev")], "execution_id string, pipeline_run_id string, environment string")
+    for kind in ("PIPELINE", "ACTIVITY"):
+        append_table(audit_start(run, kind), str(tmp_path / "a"), partition_by=["record_type"])
+    audit = read_table(spark, str(tmp_path / "a"), schema=PIPELINE_AUDIT)
+    plan = _plan(audit_state(audit.filter("record_type = 'PIPELINE' AND environment = 'dev'")))
+    assert "PartitionFilters: [isnotnull(record_type" in plan and "EqualTo(environment,dev)" in plan
 
 
 def test_interval_join_is_equi_on_key_and_bucket(spark):
