@@ -33,7 +33,7 @@ _CLOSE = 1e-9
 
 
 def _keyed(embeddings: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(vec_id, mark, dim, vec): ``vec`` are doubles, ``mark`` its digest; both NULL for vectors that link with nothing."""
+    """(vec_id, mark, dim, vec): ``vec`` are doubles times a power of two, ``mark`` their digest; both NULL for vectors that link with nothing."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks, vecs, dims = [], [], []
@@ -42,8 +42,8 @@ def _keyed(embeddings: DataFrame, id_col: str, vector_col: str) -> DataFrame:
                 v = None
                 if raw and None not in raw:
                     v = np.array(raw, np.float64)
-                    # a norm must be a number over 0 for a cosine
-                    v = v if np.isfinite(v).all() and 0 < np.dot(v, v) < np.inf else None
+                    # a power of two brings the largest component near 1: exact, and no square over- or underflows
+                    v = np.ldexp(v, -int(np.frexp(np.abs(v).max())[1])) if np.isfinite(v).all() and v.any() else None
                 marks.append(None if v is None else hashlib.blake2b(v.tobytes(), digest_size=16).digest())
                 vecs.append(None if v is None else v.tobytes())
                 dims.append(0 if v is None else len(v))

@@ -10,7 +10,7 @@ def brute(rows, threshold):
     ok = {}
     for i, (_, v) in enumerate(rows):
         if v and all(x is not None and math.isfinite(x) for x in v) and any(v):
-            ok[i] = np.array(v, float)
+            ok[i] = np.array(v, float) / np.abs(v).max()
     parent = list(range(len(rows)))
 
     def root(i):
@@ -41,7 +41,9 @@ def vectors(n=260, dim=8, seed=0):
     rows += [(1000 + i, same) for i in range(40)] + [(2000, [2 * x for x in same]), (2001, [-x for x in same])]
     rows += [(3000, None), (3001, []), (3002, [0.0] * dim), (3003, [float("nan")] * dim), (3004, [None] * dim), (3005, [1e200] * dim),
              (3006, [float("inf")] + [1.0] * (dim - 1)), (3007, same[:4]), (3008, same[:4]), (7, same)]
-    return [(i, v) for i, v in rows if not (v and 1e200 in v)]
+    rows += [(3010, [1e200, 2e200]), (3011, [1e200, 2e200]), (3012, [1.0, 2.0]), (3013, [1e-200, 2e-200]), (3014, [5e-324, 1e-323]),
+             (3015, [1e308, -1e308]), (3016, [1e-300, 1e300]), (3017, [0.0, 3.0])]
+    return rows
 
 
 @pytest.mark.parametrize("size,threshold", [(16, 0.9), (100_000, 0.9), (50, 0.7), (7, 0.99)])
