@@ -22,13 +22,17 @@ from snaplake.llm.components import connected_components
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
          ("net", "/es/", "block"), ("net", "/fr/", "block"))
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_QUOTED = r"""\s*=\s*["']?([^"'\s>]+)"""
-CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref""" + _QUOTED
-REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["']?\s*[\d.]*\s*[;,]\s*url""" + _QUOTED
+#: Tags that can name another address, from ``<`` to before ``>`` (or the next such end there is).
+TAGS = r"""(?is)<(?:link|meta|base)\b[^>]*+"""
+_QUOTED = r"""\s*+=\s*+["']?([^"'\s>]+)"""
+# Each is matched inside one tag, from its first name on: no text is tried from more than one place.
+CANONICAL = r"""(?is)\A(?>.*?<link\b)(?=.*\brel\s*+=\s*+["']?canonical\b).*\bhref""" + _QUOTED
+REFRESH = (r"""(?is)\A(?>.*?<meta\b)(?=.*\bhttp-equiv\s*+=\s*+["']?refresh\b).*\bcontent\s*+=\s*+["']?\s*+[\d.]*+\s*+[;,]"""
+           r"""\s*+url""" + _QUOTED)
 #: A refresh without ``url=``, or with white space alone before its target.  The quote is group 1, the target group 2.
-BARE_REFRESH = (r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*"""
-                r"""(?:(["'])\s*+[\d.]++(?>\s*+[;,]|\s++)\s*+|[\d.]++[;,])(?:url\s*=\s*)?+(?!\1)["']?([^"'\s>]+)""")
-BASE = r"""(?is)<base\b[^>]*\bhref""" + _QUOTED
+BARE_REFRESH = (r"""(?is)\A(?>.*?<meta\b)(?=.*\bhttp-equiv\s*+=\s*+["']?refresh\b).*\bcontent\s*+=\s*+"""
+                r"""(?:(["'])\s*+[\d.]++(?>\s*+[;,]|\s++)\s*+|[\d.]++[;,])(?:url\s*+=\s*+)?+(?!\1)["']?([^"'\s>]+)""")
+BASE = r"""(?is)\A(?>.*?<base\b).*\bhref""" + _QUOTED
 
 
 def host_of(url: Column) -> Column:
@@ -82,14 +86,19 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     of other kinds (``mailto:x``) have no address.
     """
     url, html = col(url_col).cast("string"), col(html_col).cast("string")
-    found = F.concat(*[F.regexp_extract_all(html, F.lit(p), F.lit(group))
-                       for p, group in ((CANONICAL, 1), (REFRESH, 1), (BARE_REFRESH, 2))])
-    rows = pages.select(url.alias("url"), html.alias("html"), F.explode(found).alias("link"))
+    tagged = pages.select(url.alias("url"), F.regexp_extract_all(html, F.lit(TAGS), F.lit(0)).alias("tags")).filter(F.size("tags") > 0)
+
+    def within(*patterns: tuple[str, int]) -> Column:
+        return F.filter(F.flatten(F.transform("tags", lambda t: F.array(*[F.regexp_extract(t, p, g) for p, g in patterns]))),
+                        lambda x: x != "")
+
+    rows = tagged.select("url", F.get(within((BASE, 1)), F.lit(0)).alias("base"),
+                         F.explode(within((CANONICAL, 1), (REFRESH, 1), (BARE_REFRESH, 2))).alias("link"))
     url = F.col("url")
     # entities of the only kind an address needs
     plain = lambda x: F.replace(x, F.lit("&amp;"), F.lit("&"))
     target = lambda link, at: let(let(link, lambda x: resolved(x, at)), lambda x: absolute(x, url))
-    base = F.nullif(plain(F.regexp_extract("html", BASE, 1)), F.lit(""))
+    base = plain(F.col("base"))
     beside = F.coalesce(F.concat(F.lit("x://"), target(base, url)), url)
     dst = let(beside, lambda at: target(plain(F.col("link")), at))
     # in a Generate, so that no filter repeats it

@@ -108,3 +108,18 @@ def test_blocks_reach_aliases_over_relative_links(pages):
             (4, "http://x.net/a/4", canonical("http://y.org/") + canonical("2")), (5, "http://x.net/a/5", "<meta http-equiv=refresh content='0; 4'>"),
             (6, "http://x.net/a/6", canonical("6?y"))]
     assert {r.page_id for r in url_filter(pages(rows)).collect() if r.verdict == "block"} == {1, 2, 3, 4, 5}
+
+
+def test_pages_full_of_unclosed_tags_take_time_in_proportion(pages):
+    import time
+
+    def page(part, size, tail=""):
+        return part * (size // len(part)) + tail
+    link = ' <link rel=canonical href="http://x.net/fr/1">'
+    parts = ["<link ", "<meta http-equiv=refresh content=", "<base href", "<link rel=canonical href ", "content=  ", "<meta ", " ", "<"]
+    rows = [(i, f"http://a{i}.org/", page(p, 5_000_000, ">" + link)) for i, p in enumerate(parts)]
+    rows += [(100, "http://a100.org/", "<meta http-equiv=refresh content=\"" + " " * 3_000_000 + "x"), (101, "http://x.net/fr/1", None)]
+    t = time.time()
+    got = {r.page_id: r.verdict for r in url_filter(pages(rows)).collect()}
+    assert time.time() - t < 60
+    assert {i for i, v in got.items() if v == "block"} == {*range(len(parts)), 101}
