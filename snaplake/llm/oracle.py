@@ -12,7 +12,7 @@ def _quoted(text: str) -> str:
 
 
 _RULES = {"short": "n_words < 10", "repeats": "100 * n_repeat_words > 20 * n_words", "symbols": "10 * n_symbols > n_words",
-          "dup_lines": "10 * n_dup_lines > n_words", "word_length": "word_chars < 2 * n_words OR word_chars > 20 * n_words"}
+          "dup_lines": "10 * n_dup_lines > 3 * n_lines", "word_length": "word_chars < 2 * n_words OR word_chars > 20 * n_words"}
 
 
 def _host_verdict(rule: str) -> str:
@@ -39,7 +39,7 @@ windows AS (SELECT r, i, words[i] || ' ' || words[i+1] || ' ' || words[i+2] || '
 twice AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, s) > 1),
 repeated AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, range(5) x(k) GROUP BY r),
 m AS (SELECT doc_id, source AS host, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
-             len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+             len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
              coalesce(repeated.n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN repeated USING (r)),
 f AS (SELECT host, count(*) AS n, {', '.join(f'count(*) FILTER (WHERE {c}) AS {r}' for r, c in _RULES.items())}
       FROM m WHERE host IS NOT NULL GROUP BY host),

@@ -39,17 +39,19 @@ def _repeated(windows: Column, width: int) -> Column:
 
 
 def measure(docs: DataFrame, text_col: str, carry: Sequence[Column], window: int = WINDOW) -> DataFrame:
-    """*carry* with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of every whole text."""
+    """*carry* with n_words, word_chars, n_symbols, n_lines (with a word), n_dup_lines and n_repeat_words of every whole text."""
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
-    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines"]
+    measures = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines"]
     held = docs.select(F.struct(*carry).alias("held"), text.alias("text"),
                        F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"))
     lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(WORD))
     held = held.select(
         "held", F.size("words").cast("long").alias("n_words"), F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long")
+                                      .alias("dup"))).alias("lines"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
+    held = held.withColumns({"n_lines": F.col("lines.n"), "n_dup_lines": F.col("lines.dup")})
     rolling = F.transform(F.sequence(F.lit(0), F.size("hashes") - window),
                           lambda i: F.xxhash64(*[F.get(F.col("hashes"), i + k) for k in range(window)]))
     held = held.select("held", *measures, F.when(F.size("hashes") > window, rolling).alias("windows"))
@@ -64,7 +66,7 @@ def rules() -> dict[str, Column]:
         "short": n < 10,
         "repeats": 100 * F.col("n_repeat_words") > 20 * n,
         "symbols": 10 * F.col("n_symbols") > n,
-        "dup_lines": 10 * F.col("n_dup_lines") > n,
+        "dup_lines": 10 * F.col("n_dup_lines") > 3 * F.col("n_lines"),
         "word_length": (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 20 * n),
     }
 

@@ -56,6 +56,18 @@ def test_a_bad_host_loses_its_good_documents_and_small_ones_get_the_doubt(docs):
     assert [got[i].kept for i in (3000, 3001, 3002, 3003)] == [False, True, True, False]
 
 
+def test_repeated_lines_are_counted_against_lines_and_speak_for_the_host(docs):
+    def page(i, copies):  # between long lines a short one that repeats: few of the words, many of the lines
+        lines = [" ".join(f"w{i}x{k}x{j}" for j in range(12)) + ("\nread more" if k < copies else "") for k in range(20)]
+        return "\n".join(lines)
+    rows = [(i, page(i, 20), "copies") for i in range(50)] + [(100 + i, page(100 + i, 2), "fine") for i in range(50)]
+    rows += [(200 + i, good(i), f"ok{i % 20}") for i in range(300)]
+    got = {x.doc_id: x for x in quality_rules(docs(rows)).collect()}
+    assert got[0].n_dup_lines == 19 and not got[0].base_failed
+    assert all(got[i].host_failed and not got[i].kept for i in range(50))
+    assert all(got[i].kept for i in [*range(100, 150), *range(200, 500)])
+
+
 def test_prior_shrinks_by_the_spread_of_the_hosts(spark):
     alike = spark.createDataFrame([(f"h{i}", 50, 20 + i % 3) for i in range(40)] + [("new", 1, 1)], "host string, n long, r long")
     assert rejected_hosts(alike, "host", ["r"], 0.5).collect() == []
