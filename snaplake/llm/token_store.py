@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,8 @@ from snaplake.llm.tokens import Encoder
 from snaplake.session import scratch_path
 
 SAMPLE = 256
+#: Documents that are read at a time.
+READ = 512
 _HEAD = struct.Struct("<QQQB")  # numbers, largest, bytes of low bits, low bits
 _FOOT = struct.Struct("<8sBQQQQQ")  # magic, bytes an id, documents, NULL ids first, ids, boundary bytes, doc-id bytes
 _MAGIC = b"snaptok1"
@@ -82,34 +84,56 @@ class EliasFano:
         high = at * 8 + (word & -word).bit_length() - 1 - i
         return high << self.low_bits | int(self._lows(i, 1)[0])
 
-    def values(self) -> np.ndarray:
-        """All numbers as unsigned 64-bit, decoded at once."""
-        if not self.n:
+    def run(self, first: int, count: int) -> np.ndarray:
+        """``count`` numbers from the ``first`` on, selected together: from the sample before it to the one after the last."""
+        if not 0 <= first <= first + count <= self.n:
+            raise IndexError((first, count))
+        if not count:
             return np.array([], np.uint64)
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n].astype(np.uint64)
-        return (places - np.arange(self.n, dtype=np.uint64) << np.uint64(self.low_bits)) | self._lows(0, self.n)
+        begin = int(self.samples[first // SAMPLE]) // 8
+        after = (first + count - 1) // SAMPLE + 1
+        end = int(self.samples[after]) // 8 + 1 if after < len(self.samples) else len(self.high)
+        places = np.flatnonzero(np.unpackbits(self.high[begin:end], bitorder="little")).astype(np.uint64) + np.uint64(begin * 8)
+        # ones of the sample's byte that come before it are not counted
+        skip = int(np.searchsorted(places, np.uint64(self.samples[first // SAMPLE]))) + first % SAMPLE
+        places = places[skip:skip + count]
+        return (places - np.arange(first, first + count, dtype=np.uint64) << np.uint64(self.low_bits)) | self._lows(first, count)
+
+    def values(self) -> np.ndarray:
+        """All numbers as unsigned 64-bit."""
+        return self.run(0, self.n)
 
 
 class TokenFile:
-    """A shard's file, opened at its footer."""
+    """A shard's file, opened at its footer; ids are read where they are asked for.
 
-    def __init__(self, data: bytes | memoryview):
-        magic, width, self.documents, self.nulls, self.ids, bounds, names = _FOOT.unpack_from(data, len(data) - _FOOT.size)
+    ``read(n, at)`` gives ``n`` bytes from ``at`` on (by default of ``data``)."""
+
+    def __init__(self, data: bytes | memoryview | None = None, read: Callable[[int, int], bytes] | None = None, size: int | None = None):
+        self._read = read or (lambda n, at: data[at:at + n])
+        size = len(data) if size is None else size
+        magic, width, self.documents, self.nulls, self.ids, bounds, names = _FOOT.unpack(self._read(_FOOT.size, size - _FOOT.size))
         if magic != _MAGIC:
             raise ValueError("not a token file")
-        self.array = np.frombuffer(data, f"<u{width}", self.ids)
-        at = self.ids * width
-        self.bounds = EliasFano(data[at:at + bounds])
-        at += bounds
-        (base,) = struct.unpack_from("<q", data, at)
-        self.names, self.base = EliasFano(data[at + 8:at + names]), base
+        self.dtype = np.dtype(f"<u{width}")
+        tail = self._read(bounds + names, self.ids * width)
+        self.bounds = EliasFano(tail[:bounds])
+        (self.base,) = struct.unpack_from("<q", tail, bounds)
+        self.names = EliasFano(tail[bounds + 8:])
+
+    def tokens(self, low: int, high: int) -> np.ndarray:
+        width = self.dtype.itemsize
+        return np.frombuffer(self._read((high - low) * width, low * width), self.dtype)
 
     def document(self, i: int) -> np.ndarray:
-        return self.array[self.bounds.select(i):self.bounds.select(i + 1)]
+        return self.tokens(self.bounds.select(i), self.bounds.select(i + 1))
 
-    def doc_ids(self) -> list[int | None]:
-        known = (self.names.values() + np.uint64(self.base % (1 << 64))).view(np.int64).tolist()
-        return [None] * self.nulls + known
+    def doc_ids(self, first: int = 0, count: int | None = None) -> list[int | None]:
+        """Ids of ``count`` documents from the ``first`` on; NULL ids come first."""
+        last = self.documents if count is None else first + count
+        unnamed = max(0, min(last, self.nulls) - first)
+        known = self.names.run(first + unnamed - self.nulls, last - first - unnamed) if last > self.nulls else np.array([], np.uint64)
+        return [None] * unnamed + (known + np.uint64(self.base % (1 << 64))).view(np.int64).tolist()
 
 
 def finish(lengths: list[int], doc_ids: list[int | None], width: int) -> bytes:
@@ -166,16 +190,18 @@ def read_tokens(manifest: DataFrame, root: str) -> DataFrame:
     placed = manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)))
 
     def read(store, path, row) -> Iterator[pa.RecordBatch]:
-        with store.open_input_stream(path, compression=None) as f:
-            shard = TokenFile(memoryview(f.read()))
-        bounds, doc_ids, raw = shard.bounds.values().astype(np.int64), shard.doc_ids(), memoryview(shard.array).cast("B")
-        width = shard.array.itemsize
-        for at in range(0, shard.documents, 512):
-            cut = bounds[at:at + 513]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_ids[at:at + 512], pa.int64()), pa.array(cut[:-1] + row["start"]), pa.array(np.diff(cut)),
-                 pa.array([bytes(raw[a * width:b * width]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())], pa.binary())],
-                ["doc_id", "start", "n_tokens", "ids"])
+        with store.open_input_file(path) as f:
+            shard = TokenFile(read=lambda n, at: f.read_at(n, at), size=f.size())
+            width = shard.dtype.itemsize
+            for at in range(0, shard.documents, READ):
+                some = min(READ, shard.documents - at)
+                cut = shard.bounds.run(at, some + 1).astype(np.int64)  # where these documents begin, by select
+                raw = shard.tokens(int(cut[0]), int(cut[-1])).tobytes()
+                places = ((cut - cut[0]) * width).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard.doc_ids(at, some), pa.int64()), pa.array(cut[:-1] + row["start"]), pa.array(np.diff(cut)),
+                     pa.array([raw[a:b] for a, b in zip(places, places[1:])], pa.binary())],
+                    ["doc_id", "start", "n_tokens", "ids"])
 
     return read_files(placed, root, read, "doc_id long, start long, n_tokens long, ids binary")
 

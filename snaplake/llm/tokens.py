@@ -3,7 +3,9 @@
 A byte-level BPE splits a text before it merges, and white space only ever
 begins a piece of that split, so a text may be cut in front of every run of
 white space: the ids of the parts, one after the other, are the ids of the
-text.  Most parts are words that were seen before; each worker keeps the ids
+text.  The name of a special token holds no white space, so it lies in one
+part and becomes that token's id, as in the library's plain call.  Most parts
+are words that were seen before; each worker keeps the ids
 of up to ``CACHE`` parts and gives only new ones to the tokenizer.
 """
 
@@ -35,8 +37,11 @@ class Encoder:
     def __init__(self, path: str, cache: int = CACHE):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        if any(t["lstrip"] or t["rstrip"] or re.search(r"\s", t["content"]) for t in spec.get("added_tokens") or []):
+            raise ValueError("a special token that takes in white space cannot be cut at it")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.cache, self.led = cache, {}  # ids of parts by what follows their leading space
@@ -44,8 +49,6 @@ class Encoder:
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)  # in this alphabet a character is a byte
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
         if spec.get("normalizer") or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel":
             raise ValueError("only a byte-level split without normalization can be cut at white space")
 

@@ -14,9 +14,8 @@ from snaplake.llm.tokens import Encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PLAIN = Tokenizer.from_file(PATH)
-PLAIN.encode_special_tokens = True
 TEXTS = [None, "", " ", "\n", "a  b", "don't stop, we'll go; I'm.", "x.\nY \n z\t\tq  ", "  lead", "tail  ", "é  ü　 ß",
-         "<|endoftext|> is text", "1,234.5 ²³ x², y³.", "á, b", "日本語 の テキスト。", "\x1c \x1d x", "a   b", "!!! ??? ...",
+         "<|endoftext|> is a token", "x<|endoftext|>, y <|endoftext|>.", "a<|endoftext|><|endoftext|>b <|endoftext", "1,234.5 ²³ x², y³.", "á, b", "日本語 の テキスト。", "\x1c \x1d x", "a   b", "!!! ??? ...",
          "wörd's, it's. 's", "é. f", "tab\tand\x0bmore\x0cof\rit"]
 
 
@@ -44,6 +43,8 @@ def test_elias_fano_round_trip(values):
     e = EliasFano(EliasFano.encode(np.array(values, np.uint64)))
     assert e.values().tolist() == values
     assert [e.select(i) for i in range(0, len(values), 7)] == values[::7]
+    for first, count in ((0, len(values) // 2), (len(values) // 3, len(values) - len(values) // 3), (len(values), 0)):
+        assert e.run(first, count).tolist() == values[first:first + count]
 
 
 def test_elias_fano_is_small_and_refuses_disorder():
@@ -154,9 +155,8 @@ def test_packing_an_empty_table(docs):
     assert pack(docs([(1, "a")]).limit(0), PATH).collect() == []
 
 
-def test_a_special_tokens_name_is_text_and_other_ids_are_the_plain_calls():
+def test_a_special_tokens_name_is_that_token():
     e, library = Encoder.of(PATH), Tokenizer.from_file(PATH)
     for text in TEXTS:
         ids, plain = np.frombuffer(next(e.encode([text])), e.dtype).tolist(), library.encode(text or "", add_special_tokens=False).ids
-        special = "<|endoftext|>" in (text or "")
-        assert (ids != plain) == special and (50256 in ids, 50256 in plain) == (False, special)
+        assert ids == plain and (50256 in ids) == ("<|endoftext|>" in (text or ""))
