@@ -128,10 +128,11 @@ class Model:
 
 
 def fit(p: np.ndarray, u: np.ndarray) -> Model:
-    """A model from the features of positives and of unlabelled documents; without either, scores are a half."""
+    """A model from the features of positives and of unlabelled documents; without either nothing speaks against
+    a document, and all scores are 1."""
     width = len(features(b""))
     if not len(p) or not len(u):
-        return Model(np.zeros(width), np.ones(width), np.zeros(width + 1), 0.5)
+        return Model(np.zeros(width), np.ones(width), np.append(np.zeros(width), 40.0), 1.0)
     mean, scale = u.mean(axis=0), np.maximum(u.std(axis=0), 1e-3)
     ready = lambda x: np.hstack([np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))])
     p, u = ready(p), ready(u)
@@ -143,16 +144,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _picked(key: str, wanted: int, there: int, seed: int) -> Column:
+def _picked(rows: DataFrame, wanted: int, there: int, seed: int) -> DataFrame:
+    """About ``wanted`` of ``rows``, by a hash of id and text: one id's texts are picked apart, equal rows are one."""
     share = min(1.0, wanted / max(there, 1))
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30))
+    hit = F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30))
+    return rows.filter(hit).dropDuplicates(["doc_id", "text_hash"])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """Fit on rows that are not held out: ``labels`` (doc_id, quality) names the positives, all others are unlabelled.
 
-    A document with several labels is a positive if all are 1.  At most about
-    ``sample`` rows of either kind reach the driver, as features.
+    A document with several labels is a positive if all are 1; labels without a
+    document do not count.  At most about ``sample`` rows of either kind reach
+    the driver, as features, however often an id or a row repeats.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,14 +164,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["doc_id", "x"])
 
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("text"))
-    rows = rows.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = rows.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).withColumn("text_hash", F.xxhash64("text"))
     good = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("q"))
             .filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
             .groupBy("doc_id").agg(F.min(F.coalesce("q", F.lit(0))).alias("q")).filter("q = 1").select("doc_id"))
-    pick_p, pick_u = _picked("doc_id", sample, good.count(), 101), _picked("doc_id", sample, rows.count(), 102)
+    known = rows.join(good, "doc_id", "left_semi")
     found = []
     # in order of id, so that a rerun adds the same numbers in the same order
-    for picked in (rows.filter(pick_p).join(good.filter(pick_p), "doc_id"), rows.filter(pick_u)):
+    for of, seed in ((known, 101), (rows, 102)):
+        picked = _picked(of, sample, of.select("doc_id").count(), seed).select("doc_id", "text")
         taken = sorted((r.doc_id, bytes(r.x)) for r in picked.mapInArrow(run, "doc_id long, x binary").collect())
         found.append(np.frombuffer(b"".join([x for _, x in taken]), np.float32).reshape(len(taken), len(features(b""))).astype(np.float64))
     return fit(*found)
@@ -180,7 +185,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id
     NULL and blank texts are scored like any other, as texts without words;
     NULL ids are never learned from nor held out; repeated rows have equal
     scores; with ``carry`` those columns come back in a struct ``held``.
-    Without positives every score is a half.  An empty table gives an empty
+    Without positives every score is 1: all documents are kept.  An empty table gives an empty
     result.
     """
     model = train(docs, labels, id_col, text_col, sample)

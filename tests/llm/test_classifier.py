@@ -47,10 +47,22 @@ def test_odd_rows_and_tables(docs, spark):
     assert len(got) == len(odd) and len({r.score for r in got if r.doc_id == 5}) == 1
     assert [r.held_out for r in got if r.doc_id is None] == [False]
     none = quality_classifier(docs(rows), spark.createDataFrame([], LABELS)).collect()
-    assert {(r.score, r.predicted) for r in none} == {(0.5, 0)}
+    assert {(r.score, r.predicted) for r in none} == {(1.0, 1)}  # nothing speaks against a document
     assert quality_classifier(docs(rows).limit(0), spark.createDataFrame(labels, LABELS)).collect() == []
 
 
+def test_the_sample_is_bounded_under_repeated_ids_and_rows(docs, spark, monkeypatch):
+    from snaplake.llm import pu_classifier
+
+    rows, labels, _ = corpus(400)
+    hot = next(i for i, _, *_ in rows if zlib.crc32(str(i).encode()) % 4 != 2)
+    many = rows + [(hot, "one text")] * 4000 + [(hot, f"text {i} of a hot id") for i in range(4000)]
+    sizes = []
+    monkeypatch.setattr(pu_classifier, "fit", lambda p, u: sizes.append((len(p), len(u))))
+    pu_classifier.train(docs(many), spark.createDataFrame(labels + [(hot, 1, 0, "x"), (10 ** 9, 1, 0, "no document")], LABELS), sample=100)
+    assert 0 < sizes[0][0] < 200 and 50 < sizes[0][1] < 200
+
+
 @pytest.mark.parametrize("prior", [0.5, 0.85])
 def test_risk_and_prior(prior):
     r = np.random.default_rng(3)
