@@ -29,14 +29,14 @@ from pyspark.sql import functions as F
 
 from snaplake.llm.bpe import Bpe, cut_at_spaces
 from snaplake.llm.common import col, materialise
-from snaplake.llm.ragged import Csr, Rows, counted, offsets, take_rows
+from snaplake.llm.ragged import Csr, Rows, counted, give_back, offsets, take_rows
 
 #: Characters of text in a chunk (one longer text is a chunk of its own).
 CHUNK = 3 << 20
 #: Characters of parts that one worker keeps aligned (some 300,000 parts, 60 MB); beyond them it starts anew.
 CACHE = 3 << 20
 #: Characters of parts that are aligned in one go.
-SLICE = 1 << 18
+SLICE = 1 << 17
 #: A pair of ids as one number: A's id times this, plus B's.
 PAIR = 1 << 31
 _SPACE = "▁"
@@ -231,6 +231,7 @@ def _chunks(docs: DataFrame, a_path: str, b_path: str, key_type: str) -> DataFra
         if texts:
             yield finished()
         aligner.forget()  # the worker may wait beside other stages
+        give_back()
 
     return docs.mapInArrow(run, f"chunk string, keys array<{key_type}>, data array<binary>, ids array<long>, documents array<long>")
 

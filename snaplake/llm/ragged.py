@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from dataclasses import dataclass
 
 import numpy as np
 
 #: Products of single entries that one block of a matrix product may hold.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 
 def offsets(lengths: np.ndarray) -> np.ndarray:
@@ -35,6 +37,14 @@ def counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nda
     return held[first], np.add.reduceat(weights[order], first)
 
 
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can: a worker that waits holds what it once had."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        gc.collect()
+        trim(0)
+
+
 class Rows:
     """Rows of different length with several values an entry, each in as few bytes as it needs."""
 
