@@ -57,6 +57,45 @@ def normalize_json(df: DataFrame, json_col: str, spec: dict[str, tuple[str, str]
     return out
 
 
+#: Columns of :func:`shred_payload`.
+VARIANT_COL, SHREDDED_COL = "payload", "is_shredded"
+
+
+def shred_payload(df: DataFrame, json_col: str, spec: dict[str, tuple[str, str]], variant_col: str = VARIANT_COL,
+                  flag_col: str = SHREDDED_COL) -> DataFrame:
+    """``df`` with its JSON text parsed once more into a VARIANT, which the parquet
+    writer stores as one column per leaf, and a flag that says whether the
+    VARIANT gives the very values that the text gives.
+
+    It does not where the text is no plain JSON (a repeated field, ``NaN``), or
+    where a leaf that is read as text is a number or an object (its spelling is
+    lost); such rows are parsed from their text again."""
+    payload = F.try_parse_json(json_col)
+    text = F.lit(True)
+    for path, typ in spec.values():
+        if typ == "string":
+            kind = F.schema_of_variant(F.try_variant_get(F.col(variant_col), path, "variant"))
+            text = text & (F.coalesce(kind, F.lit("VOID")).isin("STRING", "VOID"))
+    return df.withColumn(variant_col, payload).withColumn(flag_col, F.col(variant_col).isNotNull() & F.coalesce(text, F.lit(False)))
+
+
+def normalize_shredded(df: DataFrame, json_col: str, spec: dict[str, tuple[str, str]], keep: Sequence[str],
+                       ts_formats: Sequence[str] | None = None, variant_col: str = VARIANT_COL,
+                       flag_col: str = SHREDDED_COL) -> DataFrame:
+    """:func:`normalize_json` of a table written with :func:`shred_payload`.
+
+    Flagged rows come from the leaf columns that the scan reads, and no JSON is
+    parsed; the others (a scan of their own, which the flag's statistics skip
+    where there are none) from their text.  Results are equal; a NULL text has no row."""
+    fmts = list(ts_formats) if ts_formats else None
+    leaf = {name: F.try_variant_get(F.col(variant_col), path, "string") for name, (path, _) in spec.items()}
+    # leaves first, casts above them: the scan takes over what is asked of the VARIANT alone
+    read = df.filter(F.col(flag_col)).select(*keep, *[leaf[n].alias(n) for n in spec])
+    fast = read.select(*keep, *[lenient_cast(F.col(n), typ, fmts).alias(n) for n, (_, typ) in spec.items()])
+    rest = df.filter(~F.col(flag_col) & F.col(json_col).isNotNull()).select(*keep, json_col)
+    return fast.unionByName(normalize_json(rest, json_col, spec, keep=keep, ts_formats=ts_formats))
+
+
 def _order(cols: Sequence[str | Column]) -> list[Column]:
     return [c if isinstance(c, Column) else F.col(c).desc_nulls_last() for c in cols]
 

@@ -111,13 +111,21 @@ def q_daily_metrics(spark, d):
 
 
 def _rolling(spark, d):
-    return rolling_calendar(_daily(spark, d), ["user_id"], "date",
+    return _rolled(_daily(spark, d))
+
+
+def _rolled(daily):
+    return rolling_calendar(daily, ["user_id"], "date",
                             {"avg_value_7d": ("avg", "avg_value"), "max_value_7d": ("max", "max_value")},
                             days=7)
 
 
 def q_rolling_calendar(spark, d):
-    return _rolling(spark, d).select("user_id", "date", _r6("avg_value"), "max_value", "observations_cnt",
+    return _rolling_of(_daily(spark, d))
+
+
+def _rolling_of(daily):
+    return _rolled(daily).select("user_id", "date", _r6("avg_value"), "max_value", "observations_cnt",
                                      _r6("avg_value_7d"), "max_value_7d", "days_in_window")
 
 
@@ -874,6 +882,71 @@ def q_run_incremental_pair_state(spark, d):
     return _pair_state_of(_lake_of(spark, d, "incremental"))
 
 
+_SHREDDED: dict[tuple[str, str], str] = {}
+
+
+def _shredded_bronze(spark, d):
+    """Bronze written with its payload as a VARIANT of leaf columns, once per session and folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SHREDDED:
+        path = scratch_path(spark, "lake_shredded")
+        append_table(lake.shredded_snapshots(lake_bronze(spark, d)), path)
+        _SHREDDED[key] = path
+    return read_table(spark, _SHREDDED[key])
+
+
+def q_silver_pollution_shredded(spark, d):
+    """Pollution Silver from leaf columns: no JSON is parsed, the rows are those of ``silver_pollution``."""
+    parsed = lake.parsed_snapshots(_shredded_bronze(spark, d), _LAKE_KEYS, extra=_LAKE_EXTRA)
+    pol = lake.silver_pollution(parsed, _LAKE_KEYS, _LAKE_VERSION, extra=_LAKE_EXTRA)
+    return pol.select("user_id", _r6("latitude"), _r6("longitude"), F.col("pollution_ts").cast("timestamp_ntz").alias("pollution_ts"),
+                      "aqi_us", "aqi_cn", "main_pollutant_us", "main_pollutant_cn", "pollution_date")
+
+
+def q_silver_weather_shredded(spark, d):
+    parsed = lake.parsed_snapshots(_shredded_bronze(spark, d), _LAKE_KEYS, extra=_LAKE_EXTRA)
+    wea = lake.silver_weather(parsed, _LAKE_KEYS, _LAKE_VERSION, extra=_LAKE_EXTRA)
+    return wea.select("user_id", _r6("latitude"), _r6("longitude"), F.col("weather_ts").cast("timestamp_ntz").alias("weather_ts"),
+                      _r6("temperature"), "humidity", "pressure", _r6("wind_speed"), "wind_direction", "weather_icon_code",
+                      _r6("heat_index"), "weather_date")
+
+
+def bucketed_events(spark, d, buckets=8):
+    """events as a catalog table in buckets by user, refreshed once."""
+    ev = _events(spark, d)
+    loc = scratch_path(spark, "buckets")
+    name = "snaplake_buckets_" + loc.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{loc}'")
+    table = f"{name}.events"
+    refresh_table(ev.filter("event_id % 2 = 0"), table, replace="all", bucket_by=(buckets, ["user_id"]))
+    refresh_table(ev, table, replace="all", bucket_by=(buckets, ["user_id"]))
+    return read_table(spark, table)
+
+
+def daily_by_bucket(spark, d):
+    ev = bucketed_events(spark, d).withColumn("event_date", F.to_date("ts"))
+    return daily_metrics(ev, ["user_id"], "event_date", "value", names={"avg": "avg_value", "max": "max_value"})
+
+
+def q_rolling_calendar_bucketed(spark, d):
+    """Daily aggregate and rolling window over a table laid out by entity: neither shuffles."""
+    return _rolling_of(daily_by_bucket(spark, d))
+
+
+def q_stamp_lineage(spark, d):
+    """Lineage stamps on the daily table."""
+    stamped = lake.stamp(q_daily_metrics(spark, d), "gold", "execution_dev_1", "run_1", AS_OF)
+    return stamped.withColumn("gold_ingestion_ts", F.col("gold_ingestion_ts").cast("timestamp_ntz"))
+
+
+def q_ingestion_stamp(spark, d):
+    """Rows classified without a given time carry that of the query: one, and a recent one."""
+    rows = classify_responses(_landing(spark, d)).withColumn("now", F.current_timestamp())
+    age = F.unix_micros("now") - F.unix_micros("ingestion_ts")
+    return rows.agg(F.count("ingestion_ts").alias("stamped"), F.countDistinct("ingestion_ts").alias("stamps"),
+                    F.max(age.between(0, 600_000_000)).alias("recent"))
+
+
 def q_compact_table(spark, d):
     """A call registry appended to 40 times, one file a partition each time, then compacted; rows stay as they were."""
     path = scratch_path(spark, "compacted")
@@ -987,6 +1060,11 @@ QUERIES = {
     "run_pair_state": q_run_pair_state,
     "run_incremental_pair_state": q_run_incremental_pair_state,
     "compact_table": q_compact_table,
+    "silver_pollution_shredded": q_silver_pollution_shredded,
+    "silver_weather_shredded": q_silver_weather_shredded,
+    "rolling_calendar_bucketed": q_rolling_calendar_bucketed,
+    "stamp_lineage": q_stamp_lineage,
+    "ingestion_stamp": q_ingestion_stamp,
 }
 
 # ---------------------------------------------------------------- DuckDB oracle
@@ -1510,3 +1588,12 @@ ORACLE_SQL.update({
     "run_incremental_pair_state": _shifted(_pair_state_sql(_RUN_P, _RUN_W)),
     "compact_table": "SELECT strftime(ts, '%Y%m') AS execution_id, user_id, event_id, ts AS call_ts FROM events",
 })
+ORACLE_SQL.update({
+    "silver_pollution_shredded": ORACLE_SQL["silver_pollution"],
+    "silver_weather_shredded": ORACLE_SQL["silver_weather"],
+    "rolling_calendar_bucketed": ORACLE_SQL["rolling_calendar"],
+    "stamp_lineage": f"""
+  SELECT *, TIMESTAMP '{AS_OF}' AS gold_ingestion_ts, 'execution_dev_1' AS execution_id, 'run_1' AS pipeline_run_id
+  FROM ({ORACLE_SQL["daily_metrics"]})""",
+    "ingestion_stamp": "SELECT count(*) AS stamped, CAST(1 AS BIGINT) AS stamps, true AS recent FROM events",
+})

@@ -24,13 +24,22 @@ from snaplake.operators.gold import (
     with_constant,
 )
 from snaplake.operators.joins import nearest_join
-from snaplake.operators.silver import latest_wins, normalize_json, stamp_lineage, trusted_snapshots
+from snaplake.operators.silver import (
+    VARIANT_COL,
+    latest_wins,
+    normalize_json,
+    normalize_shredded,
+    shred_payload,
+    stamp_lineage,
+    trusted_snapshots,
+)
 from snaplake.schemas import (
     AQI_BANDS,
     ENTITY_KEYS,
     JOIN_WINDOW_HOURS,
     PAYLOAD_TS_FORMAT,
     POLLUTION_SPEC,
+    RESULT_SUCCESS,
     ROLLING_DAYS,
     WEATHER_SPEC,
 )
@@ -53,9 +62,17 @@ def parsed_snapshots(bronze: DataFrame, keys: Sequence[str] = ENTITY_KEYS,
     spec = {**POLLUTION_SPEC, **WEATHER_SPEC}
     if "api_call_ts" in bronze.columns and "api_call_ts" not in extra:
         extra = [*extra, "api_call_ts"]
-    trusted = trusted_snapshots(bronze).select(
-        *keys, *extra, F.col("ingestion_ts").alias("bronze_ingestion_ts"), "raw_payload")
-    return normalize_json(trusted, "raw_payload", spec, ts_formats=list(ts_formats))
+    keep = [*keys, *extra, "bronze_ingestion_ts"]
+    if VARIANT_COL in bronze.columns:  # stored as leaf columns: nothing is parsed again, and the text is not read
+        ok = bronze.filter(F.col("api_result") == F.lit(RESULT_SUCCESS)).withColumn("bronze_ingestion_ts", F.col("ingestion_ts"))
+        return normalize_shredded(ok, "raw_payload", spec, keep, ts_formats=list(ts_formats))
+    trusted = trusted_snapshots(bronze).withColumn("bronze_ingestion_ts", F.col("ingestion_ts"))
+    return normalize_json(trusted.select(*keep, "raw_payload"), "raw_payload", spec, ts_formats=list(ts_formats))
+
+
+def shredded_snapshots(bronze: DataFrame) -> DataFrame:
+    """Bronze rows with the payload as a VARIANT of leaf columns beside its text (see :func:`parsed_snapshots`)."""
+    return shred_payload(bronze, "raw_payload", {**POLLUTION_SPEC, **WEATHER_SPEC})
 
 
 def observations(parsed: DataFrame, keys: Sequence[str], ts_col: str, date_col: str, cols: list[str],

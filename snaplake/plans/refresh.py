@@ -108,6 +108,11 @@ class LakeConfig:
     incremental: bool = False
     # control logs: partitions with more files than this are rewritten at the end of a run (paths only; 0: never)
     compact_files: int = 32
+    # Bronze keeps the payload as a VARIANT of leaf columns too, and Silver reads those instead of parsing text
+    shred_payload: bool = False
+    # catalog mode: Silver and the day states in this many buckets by the entity keys (0: none), so that
+    # aggregates and windows by entity need no shuffle; at least as many as tasks should read a table
+    buckets: int = 0
     # catalog mode: lake tables in ``<database>_<environment>``, control tables in ``<database>_control``
     database: str | None = None
 
@@ -120,6 +125,10 @@ class LakeConfig:
         return [PARTITION_COLUMNS[table]] if self.partitioned and table in PARTITION_COLUMNS else None
 
 
+#: Tables that are aggregated or scanned by entity.
+_BUCKETED = ("silver_pollution", "silver_weather", "gold_daily_state", "gold_pair_state")
+
+
 def _read_or_empty(spark: SparkSession, cfg: LakeConfig, table: str, schema) -> DataFrame:
     """A table with its own schema, so partition values are never
     type-inferred (an id such as '20240101' would turn into a number)."""
@@ -136,7 +145,8 @@ def _write(df: DataFrame, cfg: LakeConfig, table: str, replace: str = "all") ->
     part = cfg.partition(table)
     if part:
         df = df.select(*[c for c in df.columns if c not in part], *part)
-    refresh_table(df, cfg.path(table), cfg.fmt, partition_by=part, replace=replace)
+    bucketed = (cfg.buckets, cfg.keys) if cfg.buckets and cfg.database and table in _BUCKETED else None
+    refresh_table(df, cfg.path(table), cfg.fmt, partition_by=part, replace=replace, bucket_by=bucketed)
 
 
 def _write_slices(df: DataFrame, cfg: LakeConfig, table: str, in_slice: Column) -> str:
@@ -404,11 +414,12 @@ class _Run:
         todo = staged(todo.observe(seen, F.count_if(~ok).alias("failed"), F.min("execution_id").alias("low"),
                                    F.max("execution_id").alias("high")), "todo")
         found = seen.get
+        rows = lake.shredded_snapshots(todo) if cfg.shred_payload else todo
         if found["low"] is not None:  # before Bronze holds the rows: where they are is known once they are there
             self.marks.leave("bronze_rows", found["low"], found["high"])
-            _append(todo, cfg, "bronze_snapshot")
+            _append(rows, cfg, "bronze_snapshot")
         elif not table_exists(spark, cfg.path("bronze_snapshot")):
-            _append(todo, cfg, "bronze_snapshot")
+            _append(rows, cfg, "bronze_snapshot")
         named = dict(zip(("entity", "state", "country"), keys))
         # the entity's own last error, as the last of its calls left it
         last = F.max(F.when(~ok, F.struct("api_call_ts", "error_message")))["error_message"]

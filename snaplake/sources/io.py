@@ -214,7 +214,8 @@ def finish_refresh(spark: SparkSession, target: str) -> int:
 
 
 def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
-                  partition_by: Sequence[str] | None = None, replace: str = "slices") -> None:
+                  partition_by: Sequence[str] | None = None, replace: str = "slices",
+                  bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
     """Full-refresh sink.
 
     With ``partition_by`` and ``replace='slices'`` only the partitions
@@ -226,7 +227,8 @@ def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
     ``df`` may read the target: new partitions, or the whole new folder, are
     written beside the old ones and moved in when they are complete, and data
     for a catalog table is staged first.  Into a catalog table columns go by
-    name.  A failure while partitions are moved is made good by the next
+    name; ``bucket_by`` (buckets, keys) lays a new one out by keys, so that what
+    groups or windows by them reads it without a shuffle.  A failure while partitions are moved is made good by the next
     refresh of the path, or by :func:`finish_refresh`.
     """
     if replace not in ("slices", "all"):
@@ -245,7 +247,12 @@ def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
             _replace_folder(df, target, fmt, partition_by)
     elif spark.catalog.tableExists(target):
         ready = staged(df, "refresh").select(*spark.table(target).columns)
-        _clustered(ready, partition_by).write.mode("overwrite").option("partitionOverwriteMode", mode).insertInto(target)
+        laid = ready.repartition(bucket_by[0], *bucket_by[1]) if bucket_by else _clustered(ready, partition_by)
+        laid.write.mode("overwrite").option("partitionOverwriteMode", mode).insertInto(target)
+    elif bucket_by:  # a task holds a bucket, so each partition gets one file a bucket
+        n, keys = bucket_by
+        w = df.repartition(n, *keys).write.mode("overwrite").format(fmt).bucketBy(n, *keys).sortBy(*keys)
+        (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(target)
     else:
         _writer(df, "overwrite", fmt, partition_by).saveAsTable(target)
 

@@ -152,3 +152,25 @@ def test_rank_evaluates_its_input_once(spark):
     """The plan above the staged rows reads only what was staged."""
     plan = _plan(c.q_rank_worst_range(spark, SF))
     assert "events.parquet" not in plan
+
+
+def test_a_table_laid_out_by_entity_needs_no_shuffle(spark):
+    """Daily aggregate and rolling window: two shuffles over a plain table, none over buckets."""
+    plain = _plan(c._rolled(c._daily(spark, SF)))
+    laid = _plan(c._rolled(c.daily_by_bucket(spark, SF)))
+    assert plain.count("Exchange hashpartitioning") == 2 and "Exchange" not in laid, laid
+    assert "SelectedBucketsCount: 8 out of 8" in laid
+
+
+def test_silver_reads_leaf_columns_and_parses_nothing_again(spark):
+    from snaplake.plans import lake
+
+    bronze = c._shredded_bronze(spark, SF)
+    parsed = lake.parsed_snapshots(bronze, c._LAKE_KEYS, extra=c._LAKE_EXTRA)
+    df = lake.silver_pollution(parsed, c._LAKE_KEYS, c._LAKE_VERSION, extra=c._LAKE_EXTRA)
+    plan = spark.sparkContext._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    reads = [x for x in plan.splitlines() if x.startswith("ReadSchema")]
+    fast = [x for x in reads if "payload:struct<0:string" in x]
+    assert len(reads) == 2 and len(fast) == 1 and "raw_payload" not in fast[0], reads
+    assert "EqualTo(is_shredded,true)" in plan and "Not(EqualTo(is_shredded,true))" in plan  # text only where the VARIANT does not do
+    assert bronze.filter("NOT is_shredded AND raw_payload IS NOT NULL AND api_result = 'SUCCESS'").count() == 0

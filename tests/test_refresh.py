@@ -103,6 +103,56 @@ def test_a_layer_switched_off_is_made_up_for(spark, landing, full):
     assert content(spark, cfg) == full
 
 
+def test_marks_say_where_the_rows_are_and_payloads_can_be_stored_as_leaves(spark, landing, full):
+    cfg = config(spark, incremental=True, shred_payload=True, dq_enabled=True)
+    day = F.to_date("api_call_ts")
+    run(spark, cfg, landing.filter(day < "2024-01-11"), 0)
+    result = run(spark, cfg, landing.filter(day >= "2024-01-11"), 1)
+    notes = {(r.layer, r.pipeline_run_id): r for r in read_table(spark, cfg.path("refresh_marks")).collect()}
+    late = notes["bronze_rows", "r1"]
+    assert (late.low, late.high) == ("execution_20240111", "execution_20240113")  # the partitions the second Silver opens
+    dates = notes["silver_pollution_dates", "r1"].dates
+    assert notes["silver_pollution_dates", "r0"].dates is None and dates == [dt.date(2024, 1, d) for d in (11, 12, 13)]
+    assert result["dq"] == {"silver_pollution": 0, "silver_weather": 0}
+    assert "payload" in read_table(spark, cfg.path("bronze_snapshot")).columns and content(spark, cfg) == full
+
+
+def test_a_run_that_dies_between_moves_of_slices_is_made_good(spark, landing, full, monkeypatch):
+    from snaplake.sources import io
+
+    cfg = config(spark, incremental=True)
+    day = F.to_date("api_call_ts")
+    run(spark, cfg, landing.filter(day < "2024-01-12"), 0)
+    real, calls = io._swap_slices, []
+
+    def dying(spark, base, mark, depth):
+        if base.endswith("silver_pollution") and not calls:
+            calls.append(base)
+            fs, old = io._hadoop(spark, base)
+            leaf = io._leaves(fs, io._hadoop(spark, f"{base}._slices-{mark}")[1], depth)[0]
+            fs.delete(io._hadoop(spark, f"{base}/{leaf}")[1], True)  # the folder is gone, the new one not yet there
+            raise OSError("lost")
+        return real(spark, base, mark, depth)
+    with monkeypatch.context() as m:
+        m.setattr(io, "_swap_slices", dying)
+        late = landing.filter(day >= "2024-01-11")
+        assert run(spark, cfg, late, 1)["layers"]["silver"] == "FAILED" and calls
+    run(spark, cfg, late, 2)
+    assert content(spark, cfg) == full
+
+
+def test_buckets_by_entity_in_the_catalog(spark, landing, full):
+    name = "snaplake_bkt_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
+    cfg = config(spark, database=name, incremental=True, buckets=4)
+    run(spark, cfg, landing.filter(F.to_date("api_call_ts") < "2024-01-11"), 0)
+    run(spark, cfg, landing, 1)
+    assert content(spark, cfg) == full
+    silver = read_table(spark, cfg.path("silver_pollution"))
+    from snaplake.plans import lake
+    plan = lake.daily_state(silver, ["user_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+
+
 def test_a_breached_quota_stops_the_run_and_a_breached_rate_blocks_the_batch(spark, landing):
     cfg = config(spark)
     tight = [("max_calls_per_minute", "5"), ("max_calls_per_day", "10"), ("max_calls_per_month", "10")]

@@ -102,3 +102,21 @@ def test_latest_wins_by_default_ignores_the_order_of_the_input(spark):
         parsed = lake.parsed_snapshots(spark.createDataFrame(order, cols))
         got.add(tuple(sorted((r.city, r.aqi_us) for r in lake.silver_pollution(parsed).collect())))
     assert len(got) == 1 and ("b", 3) in got.pop()
+
+
+def test_leaf_columns_give_what_the_text_gives(spark, tmp_path):
+    """Hostile payloads included: repeated fields, NaN, numbers where text is read, deep and empty ones."""
+    from snaplake.operators.silver import SHREDDED_COL, normalize_json, normalize_shredded, shred_payload
+
+    spec = {"i": ("$.a.i", "int"), "d": ("$.a.d", "double"), "s": ("$.a.s", "string"), "t": ("$.t", "timestamp"), "e": ("$.l[1]", "int")}
+    texts = ['{"a": {"i": 5, "d": 1.5, "s": "x"}, "t": "2024-01-01T00:00:00.000Z", "l": [1, 2]}', '{"a": {"i": "55.9", "d": "1e2", "s": "1.50"}}',
+             '{"a": {"i": 1, "i": 2}}', '{"a": {"d": NaN}}', '{"a": {"s": 1.50}}', '{"a": {"s": {"k": 1}}}', '{"a": {"s": null, "i": null}}',
+             '{"a": {"i": 12345678901234567890, "d": 123456789012345678901234567890123456789012345.5}}', '{"a": {"i": 1e2, "d": -0.0, "s": ""}}',
+             '{}', '[]', 'x', '', None, '{"a": [1]}', '{"a": {"i": true, "d": 0.1, "s": "é\\n"}, "l": [1]}', '{"a": {"i": 7.99, "d": 1.10}}']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, raw string")
+    shred_payload(df, "raw", spec).write.parquet(str(tmp_path / "b"))
+    stored = spark.read.parquet(str(tmp_path / "b"))
+    fmts = ["yyyy-MM-dd'T'HH:mm:ss.SSSX"]
+    assert rows(normalize_shredded(stored, "raw", spec, ["id"], fmts)) == rows(normalize_json(df.filter("raw IS NOT NULL"), "raw", spec, keep=["id"], ts_formats=fmts))
+    flagged = {r.id for r in stored.filter(SHREDDED_COL).collect()}
+    assert {0, 1, 6, 8, 9} <= flagged and not flagged & {2, 3, 4, 5, 11, 12, 13}
