@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snaplake.session import scratch_path
@@ -49,3 +51,23 @@ def unit_hash(key: Column, seed: int) -> Column:
     """A uniform double in (0, 1] from a key, the same on every run and engine (52 bits of MD5)."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 1) / F.lit(float(2 ** 52))
+
+
+def prefix_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, Column], name: str) -> DataFrame:
+    """``df`` with, per column of ``sums``, its sum over all rows before the row in a global order.
+
+    The rows are cut into ranges of the order and stored with their range; the
+    ranges' totals (one row per range) are summed up, and rows are only ever
+    ordered within a range.  Rows that tie in ``order`` come one after the
+    other, in any order.
+    """
+    place = unused(df, "place")
+    ranged = df.repartitionByRange(*order).withColumns({place: F.spark_partition_id(), **sums})
+    ranged = materialise(ranged, name)
+    before = Window.orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(place).agg(*[F.sum(c).alias(c) for c in sums])
+    totals = totals.select(place, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_ahead") for c in sums])
+    inside = Window.partitionBy(place).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    held = ranged.withColumns({c: F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
+    return held.join(totals, place).withColumns({c: F.col(c) + F.col(f"{c}_ahead") for c in sums}) \
+        .drop(place, *[f"{c}_ahead" for c in sums])

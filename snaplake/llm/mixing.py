@@ -7,9 +7,10 @@ weighted sample.  A source whose target is several times its size takes every
 document for each complete epoch; the rest of the target is filled by the
 documents in key order, up to the token budget.
 
-A source may hold most of the corpus: its keys are cut into ``BUCKETS`` ranges,
-the budget is first carried over the ranges' sums, and only documents of one
-range are ever sorted together.
+A source may hold most of the corpus: its keys are cut into ``BUCKETS`` ranges
+of about equal numbers, the budget is first carried over the ranges' sums, and
+only documents of one range are ever sorted together.  Sources may be many:
+their order and the level of their targets come from sums over ranges too.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import WORD, col, materialise, unit_hash
+from snaplake.llm.common import WORD, col, materialise, prefix_sums, unit_hash
 
 #: Ranges of the key that one source's documents are dealt into.
 BUCKETS = 4096
@@ -44,22 +45,35 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], total: float, lim
     level L with target = min(limit * size, weight * L): sources are full in
     the order of limit * size / weight.  The rows are one per source.
     """
-    order = Window.orderBy(F.col("source").isNull(), "source")
     rate = F.array(*[F.lit(float(w)) for w in weights])
-    ranked = (sizes.withColumn("w", F.element_at(rate, (F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))) + 1)))
-              .withColumn("full", F.lit(float(limit)) * F.col("source_size")))
-    by_fill = Window.orderBy(F.col("full") / F.col("w"), F.col("source").isNull(), "source")
-    upto = by_fill.rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    left = (F.lit(float(total)) * F.sum("source_size").over(every) - F.coalesce(F.sum("full").over(upto), F.lit(0.0)))
-    open_w = F.sum("w").over(every) - F.coalesce(F.sum("w").over(upto), F.lit(0.0))
-    # a source is not full where its own level, with all before it full, is under its limit; from there on none is
-    level = ranked.withColumn("level", left / open_w)
+    named = [F.col("source").isNull(), F.col("source")]
+    ranked = prefix_sums(sizes, named, {"rank": F.lit(1)}, "mix-source-ranks")
+    ranked = (ranked.withColumn("w", F.element_at(rate, (F.pmod("rank", F.lit(len(weights))) + 1).cast("int")))
+              .withColumn("full", F.lit(float(limit)) * F.col("source_size")).drop("rank"))
+    fill = [F.col("full") / F.col("w"), *named]
+    ranked = materialise(prefix_sums(ranked, fill, {"full_ahead_of": F.col("full"), "w_ahead_of": F.col("w")}, "mix-source-fill"),
+                         "mix-sources")
+    every = ranked.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w")).first()  # two numbers
+    level = ((F.lit(float(total)) * F.lit(float(every["size"] or 0)) - F.col("full_ahead_of"))
+             / (F.lit(float(every["w"] or 0)) - F.col("w_ahead_of")))
+    # a source is not full where its own level, with all before it full, is under its limit; from there on none is:
     # the first open source fixes the level for all after it
-    first = F.first(F.when(F.col("w") * F.col("level") < F.col("full"), F.col("level")), ignorenulls=True).over(
-        by_fill.rowsBetween(Window.unboundedPreceding, 0))
-    return level.withColumn("at", first).select(
-        "source", "source_size", F.coalesce(F.least("full", F.col("w") * F.col("at")), F.col("full")).alias("target"))
+    place = F.struct(fill[0].alias("a"), fill[1].alias("b"), fill[2].alias("c"))
+    opened = ranked.withColumn("level", level).filter(F.col("w") * F.col("level") < F.col("full"))
+    first = opened.agg(F.min(F.struct(place.alias("place"), F.col("level").alias("level"))).alias("first")).select("first.*")
+    reached = ranked.join(first.hint("broadcast"), place >= F.col("place"), "left")  # one row
+    return reached.select("source", "source_size", F.coalesce(F.least("full", F.col("w") * F.col("level")), F.col("full")).alias("target"))
+
+
+def key_ranges(rows: DataFrame, ranges: int = BUCKETS) -> Column:
+    """The range of a row's key, 0 to ``ranges`` - 1, so that ranges hold about equal numbers of rows.
+
+    A key of weight w lies below k with chance 1 - exp(-w k); the mean of that
+    over some quantiles of the weights is near the share of all keys below k.
+    """
+    some = rows.agg(F.percentile_approx("w", [0.03125 + k / 16 for k in range(16)], 10_000)).first()[0] or [1.0]
+    share = sum((F.lit(1.0) - F.exp(F.lit(-float(w)) * F.col("key")) for w in some), F.lit(0.0)) / len(some)
+    return F.least(F.lit(ranges - 1), F.floor(share * ranges)).cast("int")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -84,10 +98,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(source_col).cast("string").alias("source"),
                        word_count(text).alias("size"), given.cast("double").alias("w"), held.alias("held"))
     safe = F.when(F.col("w") > 1e-6, F.col("w")).otherwise(1e-6)
-    rows = (rows.withColumn("key", -F.log(unit_hash(F.col("doc_id"), seed)) / safe)
-            .withColumn("range", F.least(F.lit(BUCKETS - 1), F.floor((1 - F.exp(-F.col("key"))) * BUCKETS)).cast("int"))
-            .drop("w"))
-    rows = materialise(rows, "mix-rows")
+    rows = materialise(rows.withColumn("w", safe).withColumn("key", -F.log(unit_hash(F.col("doc_id"), seed)) / F.col("w")), "mix-rows")
+    rows = rows.withColumn("range", key_ranges(rows)).drop("w")
     at = [F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("no_s")]
     ranges = materialise(rows.groupBy(*at, "range").agg(F.sum("size").alias("in_range")), "mix-ranges")
     sizes = ranges.groupBy("s", "no_s").agg(F.sum("in_range").alias("source_size"))

@@ -80,3 +80,31 @@ def test_documents_come_back_as_often_as_they_are_taken(docs):
     for r in out.collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + 1
     assert got == {k: v for k, v in taken.items() if v}
+
+
+def test_ranges_of_the_key_are_even_under_a_small_weight(spark):
+    from pyspark.sql import functions as F
+
+    from snaplake.llm.common import unit_hash
+    from snaplake.llm.mixing import BUCKETS, key_ranges
+
+    for w in (0.05, 1.0):
+        rows = spark.range(100_000).withColumn("w", F.when(F.col("id") % 3 == 0, F.lit(0.4)).otherwise(F.lit(w)))
+        rows = rows.withColumn("key", -F.log(unit_hash(F.col("id"), 7)) / F.col("w"))
+        most = rows.groupBy(key_ranges(rows).alias("r")).count().agg(F.max("count"), F.count("r")).first()
+        assert most[0] < 300 and most[1] > BUCKETS * 0.9  # of 100,000 rows, 24 a range are even
+
+
+def test_many_sources_get_the_targets_of_one_window(spark):
+    from snaplake.llm.mixing import source_targets
+
+    r = random.Random(9)
+    sizes = [(f"host{i}" if i else None, r.randrange(1, 3000) if i % 7 else 0) for i in range(900)]
+    got = {x.source: x.target for x in source_targets(spark.createDataFrame(sizes, "source string, source_size long").repartition(9), (3, 1, 2), 1.5, 2.0).collect()}
+    names = sorted((s for s, _ in sizes), key=lambda s: (s is None, s or ""))
+    w, full, size = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}, {s: 2.0 * n for s, n in sizes}, dict(sizes)
+    low, high = 0.0, 1e9  # the level, by halving
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(min(full[s], w[s] * mid) for s in names) < 1.5 * sum(size.values()) else (low, mid)
+    assert got.keys() == full.keys() and all(abs(got[s] - min(full[s], w[s] * low)) < 1e-6 for s in names)
