@@ -17,15 +17,23 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake.llm.common import materialise
 
+#: Keys that come to the driver to cut the rows by, at any size (8 bytes each).
+KEYS = 1 << 20
 TEMPORARY = "_temporary"
 MANIFEST = "_manifest"
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """``root`` with its scheme, as Spark itself takes it: executors open the very folder Spark writes to."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def open_store(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder that all executors share, and the folder's path in it."""
     uri = re.sub(r"^file:/+", "file:///", uri)
@@ -37,8 +45,11 @@ def open_store(uri: str) -> tuple[fs.FileSystem, str]:
 def split_points(rows: DataFrame, key: str, shards: int, per_shard: int = 16) -> np.ndarray:
     """At most ``shards - 1`` long keys that cut ``rows`` into ranges of about equal row counts.
 
-    About ``per_shard`` keys a shard, picked by hash, come to the driver.
+    About ``per_shard`` keys a shard, picked by hash, come to the driver, and
+    about ``KEYS`` in all: shards are at most ``KEYS // per_shard``, each then
+    with more rows.
     """
+    shards = min(shards, KEYS // per_shard)
     if shards <= 1:
         return np.array([], np.int64)
     n = rows.count()
@@ -76,6 +87,7 @@ def commit(files: DataFrame, root: str) -> DataFrame:
 
     Gives the manifest as a table: the rows of ``files`` without ``temporary``.
     """
+    root = qualified(files.sparkSession, root)
     listed = materialise(files, "shard-files")
     names = [c for c in listed.columns if c != "temporary"]
 
@@ -97,6 +109,8 @@ def commit(files: DataFrame, root: str) -> DataFrame:
 def read_files(manifest: DataFrame, root: str, read: Callable[[fs.FileSystem, str, dict], Iterator[pa.RecordBatch]],
                schema: str) -> DataFrame:
     """One task per file of the manifest: ``read(store, path, manifest row)``."""
+    root = qualified(manifest.sparkSession, root)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = open_store(root)
         for batch in batches:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snaplake.llm.common import col
-from snaplake.llm.shards import commit, in_shards, open_store, read_files, split_points, temporary_name
+from snaplake.llm.shards import commit, in_shards, open_store, qualified, read_files, split_points, temporary_name
 from snaplake.llm.tokens import Encoder
 from snaplake.session import scratch_path
 
@@ -153,6 +153,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, end_id: int = 0, id
     repeated rows stay, ordered by their text's hash; NULL and empty texts are their end id alone; an
     empty table gives a manifest without rows.
     """
+    root = qualified(docs.sparkSession, root)
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("text"))
     shards = max(1, -(-rows.count() // docs_per_shard))
     points = split_points(rows, "doc_id", shards)

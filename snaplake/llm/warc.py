@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.llm.common import col, materialise
-from snaplake.llm.shards import commit, in_shards, open_store, read_files, split_points, temporary_name
+from snaplake.llm.shards import commit, in_shards, open_store, qualified, read_files, split_points, temporary_name
 from snaplake.session import scratch_path
 
 #: Compressed bytes after which a file is closed, and the WARC-Date of all records (a parameter: no clock is read).
@@ -111,6 +111,7 @@ def write_warc(pages: DataFrame, root: str, id_col: str = "page_id", url_col: st
     URL is ``about:blank``.  Repeated rows have a record each.  An empty table
     gives a manifest without rows.
     """
+    root = qualified(pages.sparkSession, root)
     payload = F.coalesce(col(payload_col).cast("binary"), F.lit(b""))
     rows = pages.select(col(id_col).cast("long").alias("page"), col(url_col).cast("string").alias("url"), payload.alias("payload"))
     points = split_points(rows, "page", max(1, -(-rows.count() // records_per_shard)))
