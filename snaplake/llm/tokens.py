@@ -21,7 +21,7 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Parts whose ids one worker keeps (about 200 bytes each); at that number it starts anew.
+#: Parts whose ids one worker keeps (about 200 bytes each): at half of it those not asked for since the last time go.
 CACHE = 500_000
 #: White space here is at least what any tokenizer takes for it: fewer cuts are safe cuts.
 _AT_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -45,6 +45,7 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.cache, self.led = cache, {}  # ids of parts by what follows their leading space
+        self.old: dict[str, bytes] = {}  # those known before ``led`` was begun
         self.tails: dict[str, bytes] = {}  # ids of marks alone
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)  # in this alphabet a character is a byte
         for token, i in vocabulary.items():
@@ -77,6 +78,8 @@ class Encoder:
             word = p.rstrip(_MARKS)
             if len(word) < len(p) and word and word[-1].isalpha() and word[-1] < "\u0250":
                 marked[p] = word
+                if word in self.old:
+                    self.led.setdefault(word, self.old[word])
                 if word not in self.led:
                     bare.add(word)
         parts = list(bare.union(p for p in parts if p not in marked))
@@ -101,19 +104,27 @@ class Encoder:
                 self.tails[tail] = self.pack(self._ids(tail))
             self.led[p] = self.led[word] + self.tails[tail]
 
+    def _know(self, parts: set[str]) -> None:
+        """Have the ids of all ``parts`` in ``led``."""
+        new = parts.difference(self.led)
+        if new and len(self.led) + len(new) > self.cache // 2:
+            self.old, self.led = self.led, {}
+            new = parts
+        if new:
+            kept = {p: self.old[p] for p in new if p in self.old}
+            self.led.update(kept)
+            new = new.difference(kept)
+        if new:
+            self._learn(list(new))
+
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, NULL and empty ones none."""
         for some in batched(texts, 128):
             split = [_AT_SPACE.split(t) if _INNER.search(t) else t.split(" ") for t in (t or "" for t in some)]
             firsts = [x.pop(0) for x in split]
-            parts = set(chain.from_iterable(split))
-            new = parts.difference(self.led)
-            if new:
-                if len(self.led) + len(new) > self.cache:
-                    self.led.clear()
-                    new = parts
-                self._learn(list(new))
+            self._know(set(chain.from_iterable(split)))
             led = self.led
+            heads = iter(self.tokenizer.encode_batch_fast([f for f in firsts if f], add_special_tokens=False))
             for first, own in zip(firsts, split):
-                head = self.pack(self._ids(first)) if first else b""
+                head = self.pack(next(heads).ids) if first else b""
                 yield head + b"".join([led[p] for p in own])
