@@ -121,6 +121,45 @@ def same_executions(stored: DataFrame, batch: DataFrame, execution_col: str = "e
                   .join(own, on=_KEY, how="left_semi").select(*stored.columns))
 
 
+#: Hash positions of one execution in the membership index.
+INDEX_BITS = 1 << 20
+
+
+def _position(keys: Sequence[str], bits: int) -> Column:
+    """A key's position in its execution, from 1 on."""
+    return F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
+
+
+def done_index(snapshots: DataFrame, keys: Sequence[str], execution_col: str = "execution_id",
+               result_col: str = "api_result", ok: str = RESULT_SUCCESS, bits: int = INDEX_BITS) -> DataFrame:
+    """(execution, bucket, bits): which key hashes of an execution have a success.
+
+    A bitmap holds 32,768 positions in 4 KB, so an execution takes at most
+    ``bits / 8`` bytes however many rows it has.  Indexes of parts of a table
+    are appended to one another; :func:`possibly_done` merges them."""
+    at = _position(keys, bits)
+    return (snapshots.filter(F.col(result_col) == F.lit(ok))
+            .groupBy(execution_col, F.bitmap_bucket_number(at).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")))
+
+
+def possibly_done(incoming: DataFrame, index: DataFrame, keys: Sequence[str], execution_col: str = "execution_id",
+                  bits: int = INDEX_BITS) -> DataFrame:
+    """The rows of ``incoming`` whose (execution, keys) may have a success: all that
+    do, and those that share a hash position with one.  What is left out needs
+    no look into Bronze."""
+    bucket, place = "__sl_bucket", "__sl_place"
+    known = (same_executions(index, incoming, execution_col)
+             .select(_same(index, incoming, [execution_col]).alias(_KEY), F.col("bucket").alias(bucket), "bits")
+             .groupBy(_KEY, bucket).agg(F.bitmap_or_agg("bits").alias("__sl_bits")))
+    asked = (incoming.withColumn(_KEY, _same(incoming, incoming, [execution_col]))
+                     .withColumn(bucket, F.bitmap_bucket_number(_position(keys, bits)))
+                     .withColumn(place, F.bitmap_bit_position(_position(keys, bits)).cast("int")))
+    byte = F.conv(F.hex(F.substring(F.col("__sl_bits"), F.expr(f"{place} div 8 + 1").cast("int"), F.lit(1))), 16, 10).cast("int")
+    return (asked.join(known, [_KEY, bucket])
+                 .filter(F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1).select(*incoming.columns))
+
+
 def unregistered_calls(calls: DataFrame, registry: DataFrame, keys: Sequence[str],
                        execution_col: str = "execution_id", ts_col: str = "call_ts") -> DataFrame:
     """The calls that ``registry`` does not hold: a call is its execution, time

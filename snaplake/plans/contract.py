@@ -25,7 +25,13 @@ from pyspark.sql.types import StructType
 from snaplake.functions.casts import lenient_int
 from snaplake.functions.json import json_string_field
 from snaplake.functions.time import trunc_like
-from snaplake.operators.bronze import classify_responses, skip_ingested, to_call_registry
+from snaplake.operators.bronze import (
+    classify_responses,
+    done_index,
+    possibly_done,
+    skip_ingested,
+    to_call_registry,
+)
 from snaplake.operators.control import (
     audit_close,
     audit_state,
@@ -947,6 +953,21 @@ def q_ingestion_stamp(spark, d):
                     F.max(age.between(0, 600_000_000)).alias("recent"))
 
 
+def q_done_index(spark, d):
+    """Idempotency with the membership index at a size where keys collide: only
+    possible hits are looked up, and the rows are those of ``skip_ingested``."""
+    ev = _events(spark, d).withColumn("execution_id", F.to_date("ts").cast("string"))
+    incoming = ev.select("execution_id", "user_id", "event_id", "ts", "event_type",
+                         F.when(F.col("event_type") == "signup", F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("api_result"))
+    bronze = ev.select("execution_id", "user_id",
+                       F.when(F.col("event_type") == "view", F.lit("SUCCESS")).otherwise(F.lit("FAILED")).alias("api_result"))
+    index = done_index(bronze.filter("user_id % 2 = 0"), ["user_id"], bits=64).unionByName(
+        done_index(bronze.filter("user_id % 2 = 1"), ["user_id"], bits=64))
+    asked = possibly_done(incoming, index, ["user_id"], bits=64).select("execution_id", "user_id").distinct()
+    looked_up = bronze.join(asked, ["execution_id", "user_id"], "left_semi")
+    return skip_ingested(incoming, looked_up, ["user_id"], "execution_id", order_cols=("ts", "event_id"))
+
+
 def q_compact_table(spark, d):
     """A call registry appended to 40 times, one file a partition each time, then compacted; rows stay as they were."""
     path = scratch_path(spark, "compacted")
@@ -1060,6 +1081,7 @@ QUERIES = {
     "run_pair_state": q_run_pair_state,
     "run_incremental_pair_state": q_run_incremental_pair_state,
     "compact_table": q_compact_table,
+    "done_index": q_done_index,
     "silver_pollution_shredded": q_silver_pollution_shredded,
     "silver_weather_shredded": q_silver_weather_shredded,
     "rolling_calendar_bucketed": q_rolling_calendar_bucketed,
@@ -1586,6 +1608,7 @@ ORACLE_SQL.update({
     "run_incremental_daily_state": _shifted(_state_sql(_RUN_P)),
     "run_pair_state": _pair_state_sql(_RUN_P, _RUN_W),
     "run_incremental_pair_state": _shifted(_pair_state_sql(_RUN_P, _RUN_W)),
+    "done_index": ORACLE_SQL["skip_ingested"],
     "compact_table": "SELECT strftime(ts, '%Y%m') AS execution_id, user_id, event_id, ts AS call_ts FROM events",
 })
 ORACLE_SQL.update({

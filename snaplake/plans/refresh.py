@@ -41,7 +41,9 @@ from pyspark.sql import functions as F
 from snaplake.functions.time import ts_lit, utc_naive
 from snaplake.operators.bronze import (
     classify_responses,
+    done_index,
     in_calls,
+    possibly_done,
     same_executions,
     skip_ingested,
     to_call_registry,
@@ -67,6 +69,7 @@ from snaplake.operators.silver import latest_wins
 from snaplake.plans import lake
 from snaplake.schemas import (
     API_CALL_REGISTRY,
+    BRONZE_DONE,
     BRONZE_REJECTS,
     ENTITY_DEFAULTS,
     ENTITY_KEYS,
@@ -110,6 +113,9 @@ class LakeConfig:
     compact_files: int = 32
     # Bronze keeps the payload as a VARIANT of leaf columns too, and Silver reads those instead of parsing text
     shred_payload: bool = False
+    # a bitmap of succeeded keys beside Bronze: the idempotency check reads Bronze only for keys that may be in it
+    # (pays where an execution's Bronze is large and batches mostly bring new keys)
+    done_index: bool = False
     # catalog mode: Silver and the day states in this many buckets by the entity keys (0: none), so that
     # aggregates and windows by entity need no shuffle; at least as many as tasks should read a table
     buckets: int = 0
@@ -405,7 +411,10 @@ class _Run:
 
         blocked = self._blocked(calls, spent, limits)
         accepted = batch.filter(F.size(BROKEN) == 0).drop(BROKEN, _RECORD, SOURCE_FILE)
-        stored = same_executions(_read_or_empty(spark, cfg, "bronze_snapshot", accepted.schema), accepted)
+        asked = accepted
+        if cfg.done_index and (table_exists(spark, cfg.path("bronze_done")) or not table_exists(spark, cfg.path("bronze_snapshot"))):
+            asked = possibly_done(accepted, _read_or_empty(spark, cfg, "bronze_done", BRONZE_DONE), keys)
+        stored = same_executions(_read_or_empty(spark, cfg, "bronze_snapshot", accepted.schema), asked)
         # Reliable copy, not a cache: once Bronze holds these rows, a
         # recomputation (lost executor) would run the idempotency check
         # against them and drop them all.
@@ -417,6 +426,8 @@ class _Run:
         rows = lake.shredded_snapshots(todo) if cfg.shred_payload else todo
         if found["low"] is not None:  # before Bronze holds the rows: where they are is known once they are there
             self.marks.leave("bronze_rows", found["low"], found["high"])
+            if cfg.done_index:  # what the index says too much costs a look, what it lacked would cost a row
+                _append(done_index(todo, keys), cfg, "bronze_done")
             _append(rows, cfg, "bronze_snapshot")
         elif not table_exists(spark, cfg.path("bronze_snapshot")):
             _append(rows, cfg, "bronze_snapshot")

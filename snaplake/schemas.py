@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
+    BinaryType,
     BooleanType,
     DateType,
     DoubleType,
@@ -194,6 +195,9 @@ BRONZE_REJECTS = _schema(
     ("source_file", S, True), ("ingestion_ts", T, True),
 )
 
+# Membership index of Bronze: bitmaps of the keys that succeeded in an execution.
+BRONZE_DONE = _schema(("execution_id", S, False), ("bucket", L, False), ("bits", BinaryType(), True))
+
 # Mergeable day states that the Gold tables are built from.
 _MOMENTS = StructType([StructField(n, L if n == "n" else D, True)
                        for n in ("n", "mx", "my", "sxx", "syy", "sxy", "lox", "hix", "loy", "hiy")])
@@ -217,6 +221,7 @@ LAKE_TABLES = {
     "gold_weather_correlation_by_month": GOLD_WEATHER_CORRELATION,
     "gold_category_days_by_month": GOLD_CATEGORY_DAYS,
     "bronze_rejects": BRONZE_REJECTS,
+    "bronze_done": BRONZE_DONE,
     "gold_daily_state": GOLD_DAILY_STATE,
     "gold_pair_state": GOLD_PAIR_STATE,
 }
@@ -233,6 +238,7 @@ PARTITION_COLUMNS = {
     "bronze_snapshot": "execution_id",
     "api_call_registry": "execution_id",
     "bronze_rejects": "execution_id",
+    "bronze_done": "execution_id",
     # few PIPELINE rows apart from the many ACTIVITY rows: a run looks for its predecessor only there
     "pipeline_audit": "record_type",
     "silver_pollution": "pollution_date",

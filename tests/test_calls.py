@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from snaplake.operators.bronze import skip_ingested, unregistered_calls
+from snaplake.operators.bronze import done_index, possibly_done, skip_ingested, unregistered_calls
 from snaplake.operators.control import audit_state, rate_limit, rate_verdicts, with_broken_rules, with_defaults
 from snaplake.plans.refresh import LakeConfig, run_refresh
 from snaplake.schemas import LANDING
@@ -159,3 +159,28 @@ def test_no_calls(spark, limit):
     cfg = config(spark)
     result = run(spark, cfg, landing(spark, [("a", "s", 0)]).limit(0), minute=limit or 1)
     assert result["status"] == "SUCCESS" and result["rate"]["blocked"] == 0 and result["rejected"] == 0
+
+
+def test_the_membership_index_leaves_out_only_what_is_new(spark):
+    done = spark.createDataFrame([(f"e{i % 3}", f"c{i}", None if i % 5 == 0 else "s", "SUCCESS" if i % 4 else "FAILED") for i in range(300)],
+                                 "execution_id string, city string, state string, api_result string")
+    new = spark.createDataFrame([(f"e{i % 3}", f"n{i}", "s", "SUCCESS") for i in range(300)], done.schema)
+    keys = ["city", "state"]
+    for bits in (8, 1 << 10, 1 << 20):  # at 8 every key collides
+        index = done_index(done.limit(150), keys, bits=bits).unionByName(done_index(done, keys, bits=bits))
+        asked = possibly_done(done.unionByName(new), index, keys, bits=bits)
+        assert done.filter("api_result = 'SUCCESS'").exceptAll(asked).count() == 0
+        fresh = asked.filter("city LIKE 'n%'").count()
+        assert fresh == 300 if bits == 8 else fresh < 100 if bits == 1 << 10 else fresh == 0
+    assert possibly_done(new, done_index(done.limit(0), keys), keys).count() == 0
+
+
+def test_a_run_with_the_index_equals_one_without(spark):
+    plain, indexed = config(spark), config(spark, done_index=True)
+    batches = [[("a", "s", 0), ("b", "s", 1, "x")], [("a", "s", 0), ("b", "s", 9), ("c", "s", 10)], [("a", "s", 20), ("b", "s", 21), ("d", "s", 22)]]
+    for n, calls in enumerate(batches):
+        for cfg in (plain, indexed):
+            run(spark, cfg, landing(spark, calls), n)
+    held = [rows(read_table(spark, cfg.path("bronze_snapshot")), "city", "api_result") for cfg in (plain, indexed)]
+    assert held[0] == held[1] and len(held[0]) == 5
+    assert read_table(spark, indexed.path("bronze_done")).select("execution_id").distinct().count() == 1
