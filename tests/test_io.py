@@ -79,7 +79,7 @@ def test_every_lake_table_through_a_partitioned_catalog_refresh(spark):
             kind = f.dataType.simpleString()
             if kind.startswith("struct"):
                 return tuple(value(g, i) for g in f.dataType.fields)
-            return {"string": f"{f.name}{i}", "double": i + 0.5, "boolean": True, "date": dt.date(2024, 1, 1 + i),
+            return {"string": f"{f.name}{i}", "binary": bytes([i]), "double": i + 0.5, "boolean": True, "date": dt.date(2024, 1, 1 + i),
                     "timestamp": dt.datetime(2024, 1, 1 + i)}.get(kind, i * 10 + len(f.name))
         data = [tuple(value(f, i) for f in schema.fields) for i in range(3)]
         df = spark.createDataFrame(data, schema)
