@@ -21,7 +21,7 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Parts whose ids one worker keeps (about 200 bytes each): at half of it those not asked for since the last time go.
+#: Parts whose ids one worker keeps (about 200 bytes each); at that number it starts anew.
 CACHE = 500_000
 #: White space here is at least what any tokenizer takes for it: fewer cuts are safe cuts.
 _AT_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -45,7 +45,6 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.cache, self.led = cache, {}  # ids of parts by what follows their leading space
-        self.old: dict[str, bytes] = {}  # those known before ``led`` was begun
         self.tails: dict[str, bytes] = {}  # ids of marks alone
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)  # in this alphabet a character is a byte
         for token, i in vocabulary.items():
@@ -66,7 +65,7 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn(self, parts: set[str]) -> None:
         """Add the ids of parts that follow a space: as one text, cut again where their bytes end.
 
         A part that ends in white space would run into the next one's space,
@@ -75,29 +74,30 @@ class Encoder:
         """
         marked, bare = {}, set()
         for p in parts:
-            word = p.rstrip(_MARKS)
-            if len(word) < len(p) and word and word[-1].isalpha() and word[-1] < "\u0250":
-                marked[p] = word
-                if word in self.old:
-                    self.led.setdefault(word, self.old[word])
-                if word not in self.led:
-                    bare.add(word)
-        parts = list(bare.union(p for p in parts if p not in marked))
-        apart = [p for p in parts if not p or p[-1].isspace()]
+            if p and p[-1] in _MARKS:
+                word = p.rstrip(_MARKS)
+                if word and word[-1].isalpha() and word[-1] < "\u0250":
+                    marked[p] = word
+                    if word not in self.led:
+                        bare.add(word)
+        bare.update(parts.difference(marked))
+        apart = [p for p in bare if not p or p[-1].isspace()]
         for p in apart:
             self.led[p] = self.pack(self._ids(" " + p))
-        known = set(apart)
-        for some in batched((p for p in parts if p not in known), _TOGETHER):
-            ids = np.array(self._ids(" " + " ".join(some)), np.int64)
-            ends = np.cumsum([len(p.encode()) + 1 for p in some])
+        bare.difference_update(apart)
+        for some in batched(bare, _TOGETHER):
+            text = " " + " ".join(some)
+            raw = np.frombuffer(text.encode(), np.uint8)
+            ends = np.append(np.flatnonzero(raw == 32)[1:], len(raw))
+            if len(ends) != len(some):  # a part with a space inside
+                ends = np.cumsum([len(p.encode()) + 1 for p in some])
+            ids = np.array(self._ids(text), np.int64)
             token_ends = np.cumsum(self.bytes_of[ids])
             cuts = np.searchsorted(token_ends, ends) + 1
             if not np.array_equal(token_ends[cuts - 1], ends):
                 raise ValueError("a token runs over a part's end")
-            blob, width, at = self.pack(ids), self.dtype.itemsize, 0
-            for p, cut in zip(some, (cuts * width).tolist()):
-                self.led[p] = blob[at:cut]
-                at = cut
+            blob, cuts = self.pack(ids), (cuts * self.dtype.itemsize).tolist()
+            self.led.update(zip(some, [blob[low:high] for low, high in zip([0, *cuts], cuts)]))
         for p, word in marked.items():
             tail = p[len(word):]
             if tail not in self.tails:
@@ -107,15 +107,11 @@ class Encoder:
     def _know(self, parts: set[str]) -> None:
         """Have the ids of all ``parts`` in ``led``."""
         new = parts.difference(self.led)
-        if new and len(self.led) + len(new) > self.cache // 2:
-            self.old, self.led = self.led, {}
+        if new and len(self.led) + len(new) > self.cache:
+            self.led.clear()
             new = parts
         if new:
-            kept = {p: self.old[p] for p in new if p in self.old}
-            self.led.update(kept)
-            new = new.difference(kept)
-        if new:
-            self._learn(list(new))
+            self._learn(new)
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, NULL and empty ones none."""
