@@ -86,7 +86,6 @@ from snaplake.sources.io import (
     SOURCE_FILE,
     append_table,
     compact_table,
-    drop_partitions,
     finish_refresh,
     read_table,
     refresh_table,
@@ -147,29 +146,22 @@ def _append(df: DataFrame, cfg: LakeConfig, table: str) -> None:
     append_table(df, cfg.path(table), cfg.fmt, partition_by=cfg.partition(table))
 
 
-def _write(df: DataFrame, cfg: LakeConfig, table: str, replace: str = "all") -> None:
+def _write(df: DataFrame, cfg: LakeConfig, table: str, replace: str = "all", emptied: Sequence = ()) -> None:
     part = cfg.partition(table)
     if part:
         df = df.select(*[c for c in df.columns if c not in part], *part)
     bucketed = (cfg.buckets, cfg.keys) if cfg.buckets and cfg.database and table in _BUCKETED else None
-    refresh_table(df, cfg.path(table), cfg.fmt, partition_by=part, replace=replace, bucket_by=bucketed)
+    refresh_table(df, cfg.path(table), cfg.fmt, partition_by=part, replace=replace, bucket_by=bucketed, emptied=emptied)
 
 
-def _write_slices(df: DataFrame, cfg: LakeConfig, table: str, in_slice: Column) -> str:
-    """Overwrite the partitions of ``df``; ``in_slice`` selects the
-    partitions this run is responsible for.  One of those that holds stored
-    rows but none in ``df`` any more (every value of a day turned NULL) is
-    removed: dynamic overwrite alone would leave it stale."""
-    spark, path, part = df.sparkSession, cfg.path(table), PARTITION_COLUMNS[table]
-    if not table_exists(spark, path):
+def _write_slices(df: DataFrame, cfg: LakeConfig, table: str, values: Sequence) -> str:
+    """Replace the partitions ``values`` of ``table`` by the rows of ``df``.  One
+    that holds stored rows but none in ``df`` any more (every value of a day
+    turned NULL) is emptied: replacing what is in ``df`` alone would leave it stale."""
+    if not table_exists(df.sparkSession, cfg.path(table)):
         _write(df, cfg, table)
         return "full"
-    df = staged(df, "slices")
-    gone = (read_table(spark, path, cfg.fmt).filter(in_slice).select(part).distinct()
-            .join(df.select(part).distinct(), on=part, how="left_anti")
-            .select(F.col(part).cast("string")).collect())  # calendar-bounded: one per emptied day or month
-    _write(df, cfg, table, replace="slices")
-    drop_partitions(spark, path, [r[0] for r in gone], part)
+    _write(df, cfg, table, replace="slices", emptied=values)
     return "slices"
 
 
@@ -520,7 +512,8 @@ class _Run:
                 _write(self._stamp(new, "silver"), cfg, table)
                 return 0
             # one entry per calendar day; told before the table changes, so that Gold never misses one
-            dates = sorted(r[0] for r in new.select(date_col).distinct().collect())
+            seen = parsed.filter(F.col(ts_col).isNotNull()).select(F.to_date(ts_col)).distinct()
+            dates = sorted(r[0] for r in seen.collect())
             self.marks.leave(f"{table}_dates", dates=dates)
             if dates:
                 # Latest-wins is associative: stored rows of those dates and the
@@ -596,17 +589,20 @@ class _Run:
         pair_days = sorted({*tp, *_days_around(tw, reach, reach)})
         date = F.col("date")
 
-        def write(table: str, df: DataFrame, in_slice: Column) -> Callable[[], str]:
-            return lambda: _write_slices(self._stamp(df, "gold"), cfg, table, in_slice)
+        def write(table: str, df: DataFrame, values: Sequence) -> Callable[[], str]:
+            return lambda: _write_slices(self._stamp(df, "gold"), cfg, table, values)
+
+        def starts(months: Sequence[_dt.date]) -> list[_dt.datetime]:
+            return [_dt.datetime(m.year, m.month, 1) for m in months]
 
         jobs: dict[str, Callable[[], str]] = {}
         if tp:
             jobs["gold_daily_state"] = write("gold_daily_state", lake.daily_state(
-                pol_all.filter(F.col("pollution_date").isin(tp)), keys), date.isin(tp))
+                pol_all.filter(F.col("pollution_date").isin(tp)), keys), tp)
         if pair_days:
             jobs["gold_pair_state"] = write("gold_pair_state", lake.pair_state(
                 pol_all.filter(F.col("pollution_date").isin(pair_days)),
-                wea_all.filter(F.col("weather_date").isin(_days_around(pair_days, reach, reach))), keys), date.isin(pair_days))
+                wea_all.filter(F.col("weather_date").isin(_days_around(pair_days, reach, reach))), keys), pair_days)
         self.result["gold_writes"] = _concurrently(jobs)
         jobs = {}
         if tp:
@@ -614,15 +610,15 @@ class _Run:
             daily = lake.daily_of_state(state("gold_daily_state"), keys)
             near = daily.filter(date.isin(_days_around(tp, span, span)))
             jobs["gold_daily_metrics"] = write("gold_daily_metrics", lake.gold_daily_metrics(near, keys).filter(date.isin(out_days)),
-                                               date.isin(out_days))
+                                               out_days)
             jobs["gold_category_days_by_month"] = write(
                 "gold_category_days_by_month", lake.gold_category_days(daily.filter(_month_of(date).isin(months)), keys),
-                _month_of(F.col("month_start")).isin(months))
+                starts(months))
         if pair_days:
             months = _months(pair_days)
             jobs["gold_weather_correlation_by_month"] = write(
                 "gold_weather_correlation_by_month",
                 lake.correlation_of_state(state("gold_pair_state").filter(_month_of(date).isin(months)), keys),
-                _month_of(F.col("month_start")).isin(months))
+                starts(months))
         self.result["gold_writes"] |= _concurrently(jobs)
         self.marks.leave("gold")

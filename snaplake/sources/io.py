@@ -170,10 +170,11 @@ def _swap_slices(spark: SparkSession, base: str, mark: str, depth: int) -> None:
     spark.catalog.refreshByPath(base)
 
 
-def _replace_slices(df: DataFrame, target: str, fmt: str, partition_by: Sequence[str]) -> None:
+def _replace_slices(df: DataFrame, target: str, fmt: str, partition_by: Sequence[str], emptied: Sequence = ()) -> None:
     """Write the new partitions completely beside ``target``, then swap them in.
 
-    The folder gets the name ``_slices-`` only once it is complete: that name
+    Of the partitions with the values ``emptied`` those without new rows become
+    empty folders, in the same swap.  The folder gets the name ``_slices-`` only once it is complete: that name
     is the record of what is to be done, and :func:`finish_refresh` does it
     after a failure."""
     spark = df.sparkSession
@@ -181,6 +182,11 @@ def _replace_slices(df: DataFrame, target: str, fmt: str, partition_by: Sequence
     partial, ready = f"{base}._part-{mark}", f"{base}._slices-{mark}"
     _writer(df, "errorifexists", fmt, partition_by).save(partial)
     fs, at = _hadoop(spark, partial)
+    _, old = _hadoop(spark, base)
+    for value in emptied:
+        leaf = f"/{partition_by[0]}={_partition_text(value)}"
+        if fs.exists(old.suffix(leaf)) and not fs.exists(at.suffix(leaf)):
+            fs.mkdirs(at.suffix(leaf))
     if not fs.rename(at, _hadoop(spark, ready)[1]):
         raise OSError(f"could not name the complete slices {ready}; they are in {partial}")
     _swap_slices(spark, base, mark, len(partition_by))
@@ -215,7 +221,7 @@ def finish_refresh(spark: SparkSession, target: str) -> int:
 
 def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
                   partition_by: Sequence[str] | None = None, replace: str = "slices",
-                  bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
+                  bucket_by: tuple[int, Sequence[str]] | None = None, emptied: Sequence = ()) -> None:
     """Full-refresh sink.
 
     With ``partition_by`` and ``replace='slices'`` only the partitions
@@ -227,7 +233,9 @@ def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
     ``df`` may read the target: new partitions, or the whole new folder, are
     written beside the old ones and moved in when they are complete, and data
     for a catalog table is staged first.  Into a catalog table columns go by
-    name; ``bucket_by`` (buckets, keys) lays a new one out by keys, so that what
+    name.  ``emptied`` are values of the (first) partition column that ``df``
+    speaks for: a stored partition of theirs without rows in ``df`` is emptied.
+    ``bucket_by`` (buckets, keys) lays a new one out by keys, so that what
     groups or windows by them reads it without a shuffle.  A failure while partitions are moved is made good by the next
     refresh of the path, or by :func:`finish_refresh`.
     """
@@ -242,13 +250,16 @@ def refresh_table(df: DataFrame, target: str, fmt: str = "parquet",
             return
         finish_refresh(spark, target)
         if slices and table_exists(spark, target):
-            _replace_slices(df, target, fmt, partition_by)
+            _replace_slices(df, target, fmt, partition_by, emptied)
         else:
             _replace_folder(df, target, fmt, partition_by)
     elif spark.catalog.tableExists(target):
         ready = staged(df, "refresh").select(*spark.table(target).columns)
         laid = ready.repartition(bucket_by[0], *bucket_by[1]) if bucket_by else _clustered(ready, partition_by)
         laid.write.mode("overwrite").option("partitionOverwriteMode", mode).insertInto(target)
+        if emptied:
+            held = {str(r[0]) for r in ready.select(F.col(partition_by[0]).cast("string")).distinct().collect()}
+            drop_partitions(spark, target, [v for v in emptied if str(v) not in held], partition_by[0])
     elif bucket_by:  # a task holds a bucket, so each partition gets one file a bucket
         n, keys = bucket_by
         w = df.repartition(n, *keys).write.mode("overwrite").format(fmt).bucketBy(n, *keys).sortBy(*keys)

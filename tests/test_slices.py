@@ -95,3 +95,16 @@ def test_compaction_keeps_the_state_of_the_audit(spark, tmp_path, monkeypatch):
     assert compact_table(spark, path, partition_by=["record_type"], max_files=4, schema=PIPELINE_AUDIT, fold=audit_state) == 1
     log = read_table(spark, path, schema=PIPELINE_AUDIT)
     assert log.count() == 6 and rows(audit_state(log), "pipeline_run_id", "status", "end_ts") == before
+
+
+def test_a_slice_without_rows_any_more_is_emptied(spark, tmp_path):
+    path = str(tmp_path / "e")
+    refresh_table(dated(spark, [("old", d) for d in range(4)]), path, partition_by=["d"])
+    refresh_table(dated(spark, [("new", 1)]), path, partition_by=["d"], emptied=[1, 2, 9])
+    assert rows(read_table(spark, path), "d", "v") == [(0, "old"), (1, "new"), (3, "old")]
+    refresh_table(dated(spark, [("back", 2)]), path, partition_by=["d"], emptied=[2])
+    assert rows(read_table(spark, path), "d", "v")[2] == (2, "back")
+    months = spark.createDataFrame([(1, dt.datetime(2024, m, 1)) for m in (1, 2)], "i int, m timestamp")
+    refresh_table(months, str(tmp_path / "m"), partition_by=["m"])
+    refresh_table(months.filter("m < '2024-02-01'"), str(tmp_path / "m"), partition_by=["m"], emptied=[dt.datetime(2024, m, 1) for m in (1, 2)])
+    assert read_table(spark, str(tmp_path / "m")).count() == 1
