@@ -22,7 +22,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Parts whose ids one worker keeps (about 200 bytes each); at that number it starts anew.
-CACHE = 900_000
+CACHE = 500_000
 #: White space here is at least what any tokenizer takes for it: fewer cuts are safe cuts.
 _AT_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _INNER = re.compile(r"\s ")  # a space that does not begin its run of white space
