@@ -88,3 +88,18 @@ def test_registry_counts_every_attempt(spark):
     cases = [("ok", 200, '{"status": "success"}', None), ("t", None, None, "timeout")]
     reg = to_call_registry(classify_responses(_landing(spark, cases)), "dev")
     assert rows(reg, "city", "environment") == [("ok", "dev"), ("t", "dev")]
+
+
+def test_skip_ingested_never_sorts_the_payloads(spark):
+    """The joins hash their narrow side: a sort of the attempts, payloads and all, is what spills."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        attempts = spark.range(8).selectExpr("'e' AS execution_id", "CAST(id % 3 AS STRING) AS city", "id AS api_call_ts",
+                                             "IF(id > 3, 'SUCCESS', 'FAILED') AS api_result", "repeat('x', 50) AS raw_payload")
+        out = skip_ingested(attempts, attempts.filter("city = '0'"), ["city"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ShuffledHashJoin") >= 2 and "SortMergeJoin" not in plan
+        assert rows(out, "city", "api_call_ts") == [("1", 1), ("1", 4), ("2", 2), ("2", 5)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

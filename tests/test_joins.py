@@ -161,3 +161,14 @@ def test_split_sweep_equals_unsplit(spark):
                 for split in (1, 16):
                     got = rows(nearest_join(l, r, ["k"], "lts", "rts", tol, split=split, **kw))
                     assert got == want, (tol, unit, how, split)
+
+
+def test_a_bucket_holds_several_windows_so_few_rows_are_copied(spark):
+    """A right row goes to the buckets its band reaches, once each; a bucket of one window meant three copies or five."""
+    t0 = dt.datetime(2024, 1, 1, 12)
+    l, r = _sides(spark, [(1, "a", t0)], [(n, "a", t0 + dt.timedelta(minutes=n)) for n in range(-200, 201, 7)])
+    for unit in ("microsecond", "second"):
+        out = nearest_join(l, r, ["k"], "lts", "rts", H3, left_id=["lid"], tiebreak=["rid"], unit=unit, split=1)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "array_distinct" in plan and str(8 * 3 * 3_600_000_000) in plan
+        assert rows(out, "rid") == [(3,)]

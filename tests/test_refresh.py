@@ -177,3 +177,15 @@ def test_a_run_through_the_catalog_separates_environments(spark, landing, full):
     assert read_table(spark, prod.path("bronze_snapshot")).count() <= 10
     audit = audit_state(read_table(spark, dev.path("pipeline_audit")))
     assert {r.environment for r in audit.select("environment").distinct().collect()} == {"dev", "prod"}
+
+
+def test_windows_are_cut_into_chunks_only_where_an_entity_is_dense(spark, landing, full, monkeypatch):
+    real = refresh.lake.pair_state
+    for limit, split in ((refresh.DENSE_WINDOW, 1), (0, 8)):
+        splits = []
+        monkeypatch.setattr(refresh, "DENSE_WINDOW", limit)
+        monkeypatch.setattr(refresh.lake, "pair_state", lambda *a, **k: splits.append(k["split"]) or real(*a, **k))
+        cfg = config(spark)
+        run(spark, cfg, landing, 0)
+        assert splits == [split]
+        assert content(spark, cfg) == full
