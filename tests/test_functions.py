@@ -57,3 +57,15 @@ def test_bands_edges(spark):
     got = [r[0] for r in df.select(band_of(F.col("v"), AQI_BANDS)).collect()]
     assert got == ["GOOD", "GOOD", "MODERATE", "MODERATE", "UNHEALTHY_SENSITIVE", "UNHEALTHY_SENSITIVE",
                    "UNHEALTHY", "UNHEALTHY", "VERY_UNHEALTHY", "VERY_UNHEALTHY", "HAZARDOUS", "HAZARDOUS", None]
+
+
+def test_an_object_is_parsed_once_and_again_only_where_its_end_is_in_doubt(spark):
+    from snaplake.functions.json import parse_object
+
+    texts = ['{"status": "a"}', '{"status": "a"}] {}', '{"status": "a"} ] }', '{"status": "a", "v": [{"x": 1}]}', '{"status": "a"}, {"status": "b"}',
+             '{"status": "a"}, "y": {"status": "b"}', '{"status": "a"} x', '{"status": "a"}\n ]}', '["a"]', "{}", "", None, ' {"status": "}]"} ',
+             '{"status": "a"}], [{"status": "b"}', '{"status": "a"}}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string").select("i", parse_object(F.col("s"), "status").alias("o"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 2
+    got = {r["i"]: r["o"]["status"] for r in df.collect() if r["o"] is not None}
+    assert got == {0: "a", 3: "a", 9: None, 12: "}]"}
