@@ -57,3 +57,19 @@ def test_stream_silver_both_tables_from_one_parse(spark):
         assert streamed.exceptAll(batch).count() == 0
     with pytest.raises(ValueError):
         stream_silver(spark, f"{base}/bronze", {"ozone": f"{base}/o"}, f"{base}/ckpt2", schema)
+
+
+def test_stream_silver_takes_its_dates_from_the_parsed_rows(spark, monkeypatch):
+    """Latest-wins used to run twice more in every batch, only to tell its dates."""
+    import snaplake.streaming.stream as stream
+    from snaplake.plans import contract as c
+    from snaplake.sources.io import append_table
+
+    asked, real = [], stream.same_dates
+    monkeypatch.setattr(stream, "same_dates", lambda stored, new, date_col: asked.append(
+        new._jdf.queryExecution().optimizedPlan().toString()) or real(stored, new, date_col))
+    base = scratch_path(spark, "stream_dates")
+    append_table(c.lake_bronze(spark, SF).repartition(2), f"{base}/bronze")
+    stream.stream_silver(spark, f"{base}/bronze", f"{base}/p", f"{base}/ckpt", read_table(spark, f"{base}/bronze").schema,
+                         keys=c._LAKE_KEYS, version_cols=c._LAKE_VERSION, extra=c._LAKE_EXTRA, max_files_per_trigger=1)
+    assert asked and not any("Window" in plan for plan in asked)
