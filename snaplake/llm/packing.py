@@ -89,7 +89,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
         for batch in batches:
             out = [[], [], [], [], [], []]
             rows, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for row, doc, blob in zip(rows, ids, encoder.encode(batch.column(2).to_pylist())):
+            for row, doc, blob in zip(rows, ids, encoder.encode(batch.column(2))):
                 blob += end
                 total = len(blob) // width
                 for start in range(0, total, window):

@@ -1,8 +1,10 @@
 import random
 import zlib
+from itertools import product
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -160,3 +162,60 @@ def test_a_special_tokens_name_is_that_token():
     for text in TEXTS:
         ids, plain = np.frombuffer(next(e.encode([text])), e.dtype).tolist(), library.encode(text or "", add_special_tokens=False).ids
         assert ids == plain and (50256 in ids) == ("<|endoftext|>" in (text or ""))
+
+
+def library_chars(e, texts):
+    """How many characters ``e`` gives to the library for ``texts``; their ids must be the library's."""
+    class Counting:
+        def encode_batch_fast(self, some, **options):
+            nonlocal given
+            given += sum(map(len, some))
+            return library.encode_batch_fast(some, **options)
+
+    given, library, e.tokenizer = 0, e.tokenizer, Counting()
+    assert [np.frombuffer(b, e.dtype).tolist() for b in e.encode(texts)] == [ids_of(t) for t in texts]
+    e.tokenizer = library
+    return given
+
+
+def test_a_word_is_learned_once_whatever_follows_it():
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefghijé") for _ in range(9)) for _ in range(100)]
+    texts = [" " + "".join(r.choice(words) + r.choice([" ", ", ", ".\n", "$$$ ", "\n", "** ", ") "]) for _ in range(200)) + "end"
+             for _ in range(40)]
+    # each word after a space and after a line feed, and the marks; every mix of words was learned before
+    assert library_chars(Encoder(PATH), texts) < 100 * 2 * 11 + 500 < sum(map(len, texts)) / 10
+
+
+def test_a_full_cache_keeps_what_comes_again(monkeypatch):
+    monkeypatch.setattr("snaplake.llm.tokens.SLICE", 2000)
+    often = " ".join(f"common{chr(97 + i)}" for i in range(26))
+    texts = ["x " + often + "".join(f" rare{i}x{k}" for k in range(100)) for i in range(40)]
+    e = Encoder(PATH, cache=400)
+    given = library_chars(e, texts)
+    assert given < sum(map(len, texts)) - 38 * len(often) and len(e._known) <= 400
+
+
+def test_long_parts_are_not_kept():
+    e = Encoder(PATH)
+    library_chars(e, ["y" * 100_000, "a " + "z" * 65, "short"])
+    assert e._known.to_pylist() == ["a", "short"]
+
+
+def test_cuts_are_where_the_library_cuts():
+    some = ["a", "é", "×", "9", ",", "'", "s", " ", "\n", "\t", "\x0b", "\x1c", "\u00a0", "\u3000", "\u200b", "<|endoftext|>", "|", ">", "語"]
+    texts = ["".join(x) for n in range(1, 4) for x in product(some, repeat=n)]
+    r = random.Random(6)
+    texts += ["".join(r.choice(some) for _ in range(r.randrange(4, 30))) for _ in range(3000)]
+    e = Encoder(PATH)
+    got = [np.frombuffer(b, e.dtype).tolist() for b in e.encode(texts)]
+    assert got == [x.ids for x in PLAIN.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_columns_slices_and_empty_texts(monkeypatch):
+    monkeypatch.setattr("snaplake.llm.tokens.SLICE", 30)
+    monkeypatch.setattr("snaplake.llm.tokens.TOGETHER", 10)
+    column = pa.array([None, "", "cut off", *TEXTS, "", None, "tail"], pa.string())[2:]
+    e = Encoder(PATH)
+    assert [np.frombuffer(b, e.dtype).tolist() for b in e.encode(column)] == [ids_of(t) for t in column.to_pylist()]
+    assert list(e.encode(column[:0])) == [] and list(e.encode(pa.array([None, ""], pa.string()))) == [b"", b""]
