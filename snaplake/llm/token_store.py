@@ -168,7 +168,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer: str, end_id: int = 0, id
                 temporary, final = temporary_name(root, shard, 0, "tok")
                 store.create_dir(f"{top}/{temporary.rpartition('/')[0]}", recursive=True)
                 out, lengths, doc_ids = store.open_output_stream(f"{top}/{temporary}", compression=None), [], []
-            for doc, blob in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
+            for doc, blob in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
                 out.write(blob + end)
                 lengths.append(len(blob) // width + 1)
                 doc_ids.append(doc)
