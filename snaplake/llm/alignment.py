@@ -37,6 +37,11 @@ CHUNK = 3 << 20
 CACHE = 3 << 20
 #: Characters of parts that are aligned in one go.
 SLICE = 1 << 17
+#: Tokens that are written out in one go, and characters of alignments that go back to Spark as one batch.
+TOKENS, BATCH = 1 << 16, 1 << 20
+#: Chunks (some 3 MB each) in a row group: Parquet writes and reads a row group's rows at once, and looks at their size
+#: only after a hundred.
+GROUP = 4
 #: A pair of ids as one number: A's id times this, plus B's.
 PAIR = 1 << 31
 _SPACE = "▁"
@@ -69,6 +74,13 @@ class Aligner:
             _WORKER[a_path, b_path] = cls(a_path, b_path)
         return _WORKER[a_path, b_path]
 
+    @classmethod
+    def drop(cls) -> None:
+        """Forget the worker's tokenizers, for a stage that needs none."""
+        if _WORKER:
+            _WORKER.clear()
+            give_back()
+
     def forget(self) -> None:
         self.number: dict[str, int] = {}
         self._held = 0
@@ -241,31 +253,60 @@ def written(ids: np.ndarray, marks: np.ndarray, lengths: np.ndarray) -> list[str
     top = int(ids.max()) + 1 if len(ids) else 0
     names = [str(i).encode() + b"," for i in range(top)]
     starts = offsets(np.fromiter(map(len, names), np.int64, top))
+    names = np.frombuffer(b"".join(names), np.uint8)
     width = np.diff(starts)[ids]
-    text = np.frombuffer(b"".join(names), np.uint8)[take_rows(starts[ids], width)]
-    ends = np.cumsum(width)
-    text[ends - 1] = marks
-    whole = text.tobytes().decode("ascii")
+    blocks = []
+    for low in range(0, len(ids), TOKENS):
+        own = slice(low, low + TOKENS)
+        text = names[take_rows(starts[ids[own]], width[own])]
+        text[np.cumsum(width[own]) - 1] = marks[own]
+        blocks.append(text.tobytes())
+    whole = b"".join(blocks).decode("ascii")
     cuts = offsets(width)[offsets(lengths)].tolist()
     return [whole[low:high] for low, high in zip(cuts, cuts[1:])]
 
 
+def _totals(data: list[pa.Scalar], count: np.ndarray, best: np.ndarray) -> list[np.ndarray]:
+    """Of each text the numbers of ``_COUNTS``, ``n_best`` and ``count_sum``: one array a number."""
+    per_text, parts, counts, n_tokens, ids, _, n_pairs, a, b, links = [unpacked(x.as_py()) for x in data]
+    linked = pair_matrix(Rows(n_tokens, id=ids), Rows(n_pairs, a=a, b=b, links=links))[1]
+    del ids, a, b, links
+    counts, starts = counts.reshape(-1, len(_COUNTS)), offsets(per_text)
+
+    def total(per_part: np.ndarray) -> np.ndarray:
+        return np.diff(offsets(per_part[parts])[starts])
+
+    return [*[total(counts[:, i]) for i in range(len(_COUNTS))], total(linked.times_vector(best)), total(linked.times_vector(count))]
+
+
+def _texts(data: list[pa.Scalar]) -> pa.ChunkedArray:
+    """The alignment of each text as text, about ``BATCH`` characters in an array."""
+    per_text, parts, _, n_tokens, ids, marks, *_ = data
+    spelled = written(*[unpacked(x.as_py()) for x in (ids, marks, n_tokens)])
+    starts, parts = offsets(unpacked(per_text.as_py())).tolist(), unpacked(parts.as_py())
+    done, some, size = [], [], 0
+    for low, high in zip(starts, starts[1:]):
+        some.append("".join([spelled[p] for p in parts[low:high].tolist()])[:-1])
+        size += len(some[-1])
+        if size >= BATCH:
+            done.append(pa.array(some, pa.string()))
+            some, size = [], 0
+    return pa.chunked_array([*done, pa.array(some, pa.string())], pa.string())
+
+
 def _documents(chunk: pa.Table, counted_pairs: pa.Table, key: str) -> pa.Table:
-    """The rows of one chunk's texts, with the corpus-wide counts of its pairs."""
+    """The rows of one chunk's texts, with the corpus-wide counts of its pairs.
+
+    Two of these run beside a JVM that uses all of its heap by then, so they
+    hold one step's arrays at a time, and no tokenizer.
+    """
+    Aligner.drop()
     order = np.argsort(counted_pairs.column("place").to_numpy())
     count, best = (counted_pairs.column(n).to_numpy()[order].astype(np.int64) for n in ("count", "best"))
-    per_text, parts, counts, n_tokens, ids, marks, n_pairs, a, b, links = map(unpacked, chunk.column("data")[0].as_py())
-    linked = pair_matrix(Rows(n_tokens, id=ids, mark=marks), Rows(n_pairs, a=a, b=b, links=links))[1]
-    per_part = np.concatenate((counts.reshape(-1, len(_COUNTS)), linked.times_vector(best)[:, None],
-                               linked.times_vector(count)[:, None]), axis=1)
-    starts = offsets(per_text)
-    sums = np.concatenate((np.zeros((1, per_part.shape[1]), np.int64), np.cumsum(per_part[parts], axis=0)))
-    totals = sums[starts[1:]] - sums[starts[:-1]]
-    spelled = written(ids, marks, n_tokens)
-    parts, starts = parts.tolist(), starts.tolist()
-    texts = ["".join([spelled[p] for p in parts[low:high]])[:-1] for low, high in zip(starts, starts[1:])]
+    data = list(chunk.column("data")[0].values)
+    totals = _totals(data, count, best)
     keys = chunk.column("keys").combine_chunks().flatten()
-    return pa.Table.from_arrays([keys, *[pa.array(totals[:, i]) for i in range(totals.shape[1])], pa.array(texts, pa.string())],
+    return pa.Table.from_arrays([keys, *map(pa.array, totals), _texts(data)],
                                 [key, *_COUNTS, "n_best", "count_sum", "groups"])
 
 
@@ -287,7 +328,7 @@ def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_
     """
     key_type = docs.schema[key].dataType.simpleString()
     chunks = materialise(_chunks(docs.select(col(key).alias("key"), col(text).cast("string").alias("text")),
-                                 a_path, b_path, key_type), "alignment")
+                                 a_path, b_path, key_type), "alignment", GROUP)
     pairs = chunks.select("chunk", F.posexplode(F.arrays_zip("ids", "documents")).alias("place", "pair")).select(
         "chunk", "place", F.col("pair.ids").alias("pair"), F.col("pair.documents").alias("documents"))
     counts = pairs.groupBy("pair").agg(F.sum("documents").alias("count"))

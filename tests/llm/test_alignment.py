@@ -1,16 +1,21 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from snaplake.llm.alignment import Aligner, align_tokenizers, packed, unpacked, written
+from snaplake.llm import alignment
+from snaplake.llm.alignment import Aligner, _documents, align_tokenizers, packed, unpacked, written
 from snaplake.llm.bpe import byte_characters
+from snaplake.llm.common import materialise
 from snaplake.llm.queries import op13_alignment
 from snaplake.llm.ragged import Csr, counted
 
@@ -159,3 +164,38 @@ def test_the_query_equals_brute_force(spark):
     assert found.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert sorted(map(tuple, found.collect()), key=str) == [
         (*w[:5], *w[6:8], hashlib.sha256(w[8].encode()).hexdigest() if w[8] else "") for w in want]
+
+
+def chunk_tables(texts):
+    """What a chunk's task gets: the chunk, and its pairs with made-up counts."""
+    row = Aligner.of(A, B).chunk(texts)
+    n = len(row["ids"])
+    own = pa.table({"keys": pa.array([list(range(len(texts)))]), "data": pa.array([row["data"]], pa.list_(pa.binary()))})
+    return own, pa.table({"place": pa.array(range(n), pa.int32()), "count": pa.array(range(n), pa.int64()), "best": pa.array([i % 2 == 0 for i in range(n)])})
+
+
+def test_a_chunks_rows_are_made_in_little_memory_and_sent_in_batches(monkeypatch):
+    r = random.Random(7)
+    words = ["".join(r.choice(["th", "er", "on", "an", "re", "é", "x."]) for _ in range(r.randint(1, 6))) for _ in range(40_000)]
+    texts = [" ".join(r.choices(words, k=500)) for _ in range(600)]
+    own, pairs = chunk_tables(texts)
+    tracemalloc.start()
+    found = _documents(own, pairs, "doc_id")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not alignment._WORKER  # no tokenizer is held beside it
+    assert peak < 12 * sum(map(len, texts))
+    assert found.num_rows == 600 and max(b.nbytes for b in found.to_batches()) < 2 * alignment.BATCH
+    monkeypatch.setattr(alignment, "TOKENS", 7)
+    monkeypatch.setattr(alignment, "BATCH", 50)
+    own, pairs = chunk_tables(["", *texts[:9], "", "tail "])
+    again = _documents(own, pairs, "doc_id")
+    assert again.column("groups").to_pylist() == ["", *found.column("groups").to_pylist()[:9], "", brute([(0, "tail ")])[0][8]]
+    assert len(again.to_batches()) > 9
+
+
+def test_row_groups_of_chunks_hold_few_rows(spark):
+    kept = materialise(spark.range(0, 11, 1, 1), "alignment-groups", 4)
+    held = pq.ParquetFile(kept.inputFiles()[0].removeprefix("file://")).metadata
+    assert [held.row_group(i).num_rows for i in range(held.num_row_groups)] == [4, 4, 3]
+    assert kept.count() == 11
